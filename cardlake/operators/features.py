@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardlake.functions import cleaning as fn
 from cardlake.operators.lookups import hot_keys, lookup
-from cardlake.operators.ordering import dense_index
+from cardlake.operators.ordering import ROWS_PER_RANGE, dense_index
 from cardlake.session import stage
 
 SCALED = ("year", "month", "day", "amount")
@@ -20,10 +21,10 @@ EDGE_ATTRIBUTES = ("amount", "merchant_city", "use_chip", "year", "month", "day"
 
 @dataclass(frozen=True)
 class LabelCodes:
-    """The code of each value of one column (``value, code, n``) and its most frequent values."""
+    """The code of each value of one column, ``table(code, value, n)``, and the number of its rows."""
 
     table: DataFrame
-    hot: tuple
+    rows: int
 
 
 @dataclass(frozen=True)
@@ -38,10 +39,11 @@ def fit_label_codes(df: DataFrame, columns: Sequence[str]) -> dict[str, LabelCod
     """Number the distinct values of each column from 0, in the order of the column's own type."""
     fitted = {}
     for c in columns:
-        counted = (df.select(F.col(c).alias("value")).where(F.col("value").isNotNull())
-                   .groupBy("value").agg(F.count("*").alias("n")))
-        table = stage(dense_index(stage(counted, f"values-{c}"), ["value"], "code"), f"codes-{c}")
-        fitted[c] = LabelCodes(table, tuple(hot_keys(table, "value")))
+        counted = stage(df.select(F.col(c).alias("value")).where(F.col("value").isNotNull())
+                        .groupBy("value").agg(F.count("*").alias("n")), f"values-{c}")
+        rows = counted.count()
+        table = dense_index(counted, ["value"], "code", rows=rows)
+        fitted[c] = LabelCodes(table if rows <= ROWS_PER_RANGE else stage(table, f"codes-{c}"), rows)
     return fitted
 
 
@@ -63,7 +65,8 @@ def apply_label_codes(df: DataFrame, codes: Mapping[str, LabelCodes], unseen: st
     for c, fitted in codes.items():
         key = f"__key_{c}"
         table = fitted.table.select(F.col("value").alias(key), F.col("code").alias(f"__code_{c}"))
-        out = lookup(out.withColumn(key, F.col(c)), table, key, hot=fitted.hot, spread=spread or df.columns)
+        out = lookup(out.withColumn(key, F.col(c)), table, key, rows=fitted.rows,
+                     hot=partial(hot_keys, fitted.table, "value"), spread=spread or df.columns)
         code, falsy = F.col(f"__code_{c}"), _falsy(F.col(key), df.schema[c].dataType.simpleString())
         no_code = code.isNull() & F.col(key).isNotNull() & (~falsy if falsy_zero else F.lit(True))
         value = F.when(falsy, F.lit(0).cast("long")) if falsy_zero else F.when(F.col(key).isNull(), F.lit(None))

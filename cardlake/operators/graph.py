@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,15 +37,26 @@ def bipartite_nodes(rows: DataFrame, card: str = "card_id", merchant: str = "mer
     """Cards, then merchants, numbered from 0 as first seen (equal positions by key)."""
     cards = _first_seen(rows, card, order, "cards")
     merchants = _first_seen(rows, merchant, order, "merchants")
-    kinds = (("card", cards, 0), ("merchant", merchants, cards.count()))
-    parts = [dense_index(keys, ["first_seen", "key"], "node_id", start)
+    n_cards, n_merchants = cards.count(), merchants.count()
+    parts = [dense_index(keys, ["first_seen", "key"], "node_id", start, rows=rows)
              .select("node_id", F.lit(kind).alias("type"), F.col("key").cast("string").alias("key"), "degree")
-             for kind, keys, start in kinds]
+             for kind, keys, start, rows in (("card", cards, 0, n_cards), ("merchant", merchants, n_cards, n_merchants))]
     return stage(parts[0].unionByName(parts[1]), "nodes")
 
 
-def _hot_nodes(nodes: DataFrame, kind: str) -> tuple:
-    return tuple(hot_keys(nodes.where(F.col("type") == kind), "key", "degree"))
+def type_counts(nodes: DataFrame) -> dict[str, int]:
+    """Nodes per type; a graph has few types."""
+    return {r[0]: r[1] for r in nodes.groupBy("type").count().collect()}
+
+
+def _look_up_nodes(rows: DataFrame, nodes: DataFrame, sizes: dict[str, int], column: str, kind: str, name: str, how: str,
+                   spread: Sequence[str] | None) -> DataFrame:
+    """Add ``name``, the id of the node of type ``kind`` whose key stands in ``column``."""
+    key, typed = f"__{name}_key", nodes.where(F.col("type") == kind)
+    table = typed.select(F.col("key").alias(key), F.col("node_id").alias(name))
+    hot = partial(hot_keys, typed, "key", "degree") if "degree" in nodes.columns else ()
+    return lookup(rows.withColumn(key, F.col(column).cast("string")), table, key, how, sizes.get(kind, 0), hot,
+                  spread).drop(key)
 
 
 def resolve_edges(rows: DataFrame, nodes: DataFrame, card: str = "card_id", merchant: str = "merchant_name",
@@ -55,13 +67,9 @@ def resolve_edges(rows: DataFrame, nodes: DataFrame, card: str = "card_id", merc
     ``dst_known`` tell them from rows that really meet this node.
     """
     how = "inner" if default is None else "left"
-    out = rows
+    out, sizes = rows, type_counts(nodes)
     for end, column, kind in (("src", card, "card"), ("dst", merchant, "merchant")):
-        key = f"__{end}_key"
-        table = nodes.where(F.col("type") == kind).select(F.col("key").alias(key), F.col("node_id").alias(end))
-        hot = _hot_nodes(nodes, kind) if "degree" in nodes.columns else ()
-        out = lookup(out.withColumn(key, F.col(column).cast("string")), table, key, how, hot,
-                     spread or rows.columns).drop(key)
+        out = _look_up_nodes(out, nodes, sizes, column, kind, end, how, spread or rows.columns)
     if default is not None:
         out = out.withColumns({
             "src_known": F.col("src").isNotNull(), "dst_known": F.col("dst").isNotNull(),
@@ -118,22 +126,19 @@ def index_nodes(relations: Sequence[Relation]) -> DataFrame:
     """Nodes of all relations, numbered from 0 within each type as first seen."""
     first = stage(_ends(relations).groupBy("type", "key").agg(F.min("pos").alias("pos"), F.count("*").alias("degree")),
                   "ends")
-    types = sorted({t for r in relations for t in (r.src_type, r.dst_type)})
-    parts = [dense_index(first.where(F.col("type") == t), ["pos"], "node_id") for t in types]
+    parts = [dense_index(first.where(F.col("type") == t), ["pos"], "node_id", rows=n)
+             for t, n in sorted(type_counts(first).items())]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return stage(out.select("node_id", "type", "key", "degree"), "typed-nodes")
 
 
-def index_relation(relation: Relation, nodes: DataFrame) -> DataFrame:
+def index_relation(relation: Relation, nodes: DataFrame, sizes: dict[str, int] | None = None) -> DataFrame:
     """``(src_id, dst_id, row)`` of one relation; rows with an unknown node are dropped."""
-    out = relation.rows
+    out, sizes = relation.rows, sizes or type_counts(nodes)
     for end, kind in (("src", relation.src_type), ("dst", relation.dst_type)):
-        key = f"__{end}"
-        table = nodes.where(F.col("type") == kind).select(F.col("key").alias(key), F.col("node_id").alias(f"{end}_id"))
-        out = lookup(out.withColumn(key, F.col(end).cast("string")), table, key, "inner", _hot_nodes(nodes, kind),
-                     relation.rows.columns).drop(key)
+        out = _look_up_nodes(out, nodes, sizes, end, kind, f"{end}_id", "inner", relation.rows.columns)
     return out.select("src_id", "dst_id", "row")
 
 
@@ -164,9 +169,9 @@ def hetero_edges(relations: Sequence[Relation], nodes: DataFrame, target: str) -
     loops = nodes.where(F.col("type") == target).select(
         F.lit(TARGET).alias("src_type"), F.lit(SELF_RELATION).alias("relation"), F.lit(TARGET).alias("dst_type"),
         F.col("node_id").alias("src"), F.col("node_id").alias("dst"))
-    out = loops
+    out, sizes = loops, type_counts(nodes)
     for (src, dst), relation in last.values():
-        out = out.unionByName(_both_ways(src, dst, index_relation(relation, nodes)))
+        out = out.unionByName(_both_ways(src, dst, index_relation(relation, nodes, sizes)))
     return out
 
 
@@ -236,9 +241,9 @@ def index_edges(rows: DataFrame, nodes: DataFrame | None = None) -> Graph:
     indexed = stage(dense_index(stage(first, "listed-keys"), ["row"], "node_id")
                     .select("node_id", F.lit("node").alias("type"), "key", "degree"), "listed-nodes")
     out = rows
+    sizes = type_counts(indexed)
     for end in ("src", "dst"):
-        table = indexed.select(F.col("key").alias(f"__{end}"), F.col("node_id").alias(f"{end}_id"))
-        out = out.withColumn(f"__{end}", F.col(end).cast("string")).join(table, f"__{end}", "left")
-        unknown = F.raise_error(F.concat(F.lit("edge with unknown node "), F.col(f"__{end}"))).cast("long")
-        out = out.withColumn(f"{end}_id", F.coalesce(F.col(f"{end}_id"), unknown)).drop(f"__{end}")
+        out = _look_up_nodes(out, indexed, sizes, end, "node", f"{end}_id", "left", rows.columns)
+        unknown = F.raise_error(F.concat(F.lit("edge with unknown node "), F.col(end))).cast("long")
+        out = out.withColumn(f"{end}_id", F.coalesce(F.col(f"{end}_id"), unknown))
     return Graph(indexed, out.select("src_id", "dst_id", "row"))

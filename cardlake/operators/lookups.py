@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 HOT_SHARE = 1 / 256
 SALTS = 64
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 128
 
 
 def hot_keys(counted: DataFrame, key: str, count: str = "n", share: float = HOT_SHARE) -> list:
@@ -16,20 +18,25 @@ def hot_keys(counted: DataFrame, key: str, count: str = "n", share: float = HOT_
     return [r[0] for r in counted.where(F.col(key).isNotNull() & (F.col(count) >= total * share)).select(key).collect()]
 
 
-def lookup(facts: DataFrame, table: DataFrame, key: str, how: str = "left", hot: Sequence = (),
-           spread: Sequence[str] | None = None, salts: int = SALTS) -> DataFrame:
+def lookup(facts: DataFrame, table: DataFrame, key: str, how: str = "left", rows: int | None = None,
+           hot: Sequence | Callable[[], Sequence] = (), spread: Sequence[str] | None = None,
+           row_bytes: int = ROW_BYTES, salts: int = SALTS) -> DataFrame:
     """Join ``table`` (one row per ``key``) to ``facts``.
 
-    Rows of a hot key are spread over ``salts`` tasks by a hash of the ``spread`` columns, and only the hot rows of
-    ``table`` are repeated for it. The hash depends on the row alone, so a task that runs again places rows the same way.
-    With no hot key, or with a table small enough for Catalyst to broadcast, it is a plain join.
+    A table whose counted ``rows`` of ``row_bytes`` stay below ``BROADCAST_BYTES`` is broadcast. A greater one is joined
+    by a shuffle, in which the rows of the ``hot`` keys are spread over ``salts`` tasks by a hash of the ``spread``
+    columns, and the few hot rows of the table are repeated for it. The hash depends on the row alone, so a task that runs
+    again places rows the same way. ``hot`` may be a function, which is only called for a shuffle.
     """
-    if not hot:
+    if rows is not None and rows * row_bytes <= BROADCAST_BYTES:
+        return facts.join(F.broadcast(table), key, how)
+    keys = list(hot() if callable(hot) else hot)
+    if not keys:
         return facts.join(table, key, how)
-    is_hot = F.col(key).isin(list(hot))
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*(spread or facts.columns)), F.lit(salts))).otherwise(F.lit(0).cast("long"))
-    copies = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))) \
-        .otherwise(F.array(F.lit(0).cast("long")))
+    zero = F.lit(0).cast("long")
+    is_hot = F.col(key).isin(keys)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*(spread or facts.columns)), F.lit(salts))).otherwise(zero)
+    copies = F.when(is_hot, F.sequence(zero, F.lit(salts - 1).cast("long"))).otherwise(F.array(zero))
     return (facts.withColumn("__salt", salt)
             .join(table.withColumn("__salt", F.explode(copies)), [key, "__salt"], how)
             .drop("__salt"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
@@ -41,11 +42,11 @@ def _node_stats(train: DataFrame, prior: float) -> DataFrame:
                                 F.log1p(F.col("degree").cast("double")).alias("log_degree")), "node-stats")
 
 
-def _with_stats(edges: DataFrame, stats: DataFrame, prior: float, hot: tuple, spread: list[str]) -> DataFrame:
-    out = edges
+def _with_stats(edges: DataFrame, stats: DataFrame, prior: float, spread: list[str]) -> DataFrame:
+    out, rows, hot = edges, stats.count(), partial(hot_keys, stats, "node_id", "degree")
     for end in _ENDS:
         table = stats.select(F.col("node_id").alias(end), *[F.col(s).alias(f"{end}_{s}") for s in _STATS])
-        out = lookup(out, table, end, "left", hot, spread)
+        out = lookup(out, table, end, "left", rows, hot, spread)
         out = out.withColumns({f"{end}_fraud_rate": F.coalesce(f"{end}_fraud_rate", F.lit(prior)),
                                f"{end}_log_degree": F.coalesce(f"{end}_log_degree", F.lit(0.0))})
     return out
@@ -90,8 +91,7 @@ def train_edge_classifier(rows: DataFrame, kind: str = "mlp", fit_on: str = "tra
     in_train = edges.where(F.col("split") == "train")
     prior = float(in_train.agg(F.avg("label")).first()[0] or 0.0)
     stats = _node_stats(in_train, prior)
-    hot = tuple(hot_keys(stats, "node_id", "degree"))
-    full = stage(_with_stats(_encode(edges, codes, scaler, "zero"), stats, prior, hot, ["idx"]), "model-inputs")
+    full = stage(_with_stats(_encode(edges, codes, scaler, "zero"), stats, prior, ["idx"]), "model-inputs")
     steps = [VectorAssembler(inputCols=_inputs(), outputCol="raw"),
              StandardScaler(inputCol="raw", outputCol="x", withMean=True), _classifier(kind, seed, iterations)]
     fitted = Pipeline(stages=steps).fit(full.where(F.col("split") == "train"))
@@ -116,8 +116,7 @@ def score(requests: DataFrame, model: EdgeModel, unseen: str = "zero") -> DataFr
         "merchant_city", "use_chip", "errors", fn.money(F.col("amount")).alias("amount"),
         *[F.col(c).cast("double").alias(c) for c in ("year", "month", "day")])
     edges = graph.resolve_edges(rows, model.nodes, default=0)
-    hot = tuple(hot_keys(model.stats, "node_id", "degree"))
-    full = _with_stats(_encode(edges, model.codes, model.scaler, unseen), model.stats, model.prior, hot, edges.columns)
+    full = _with_stats(_encode(edges, model.codes, model.scaler, unseen), model.stats, model.prior, edges.columns)
     return _predict(model.pipeline, full).select("request.*", "prediction", "confidence", "prob0", "prob1", "src_known",
                                                  "dst_known")
 
@@ -156,7 +155,7 @@ def load(spark: SparkSession, path: str) -> EdgeModel:
     codes = {}
     for c in features.CODED:
         table = spark.read.parquet(f"{path}/codes/{c}")
-        codes[c] = LabelCodes(table, tuple(hot_keys(table, "value")))
+        codes[c] = LabelCodes(table, table.count())
     return EdgeModel(
         spark.read.parquet(f"{path}/nodes"), codes,
         MinMax({r["name"]: r["low"] for r in ranges}, {r["name"]: r["high"] for r in ranges}),

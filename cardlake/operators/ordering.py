@@ -27,9 +27,13 @@ class Ranges:
     count: int
 
 
-def order_ranges(df: DataFrame, keys: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> Ranges:
-    """Cut the order by ``keys`` (ascending, nulls first) into ranges of about ``rows_per_range`` rows."""
-    rows = df.count()
+def order_ranges(df: DataFrame, keys: Sequence[str], rows_per_range: int = ROWS_PER_RANGE,
+                 rows: int | None = None) -> Ranges:
+    """Cut the order by ``keys`` (ascending, nulls first) into ranges of about ``rows_per_range`` rows.
+
+    ``rows`` saves the counting pass where the number of rows is known.
+    """
+    rows = df.count() if rows is None else rows
     count = 1
     while count * rows_per_range < rows and count < MAX_RANGES:
         count *= 2
@@ -66,13 +70,13 @@ def _before(per_range: dict[int, float], count: int) -> list:
 
 
 def dense_index(df: DataFrame, order_by: Sequence[str], name: str = "idx", start: int = 0,
-                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                rows_per_range: int = ROWS_PER_RANGE, rows: int | None = None) -> DataFrame:
     """Number the rows ``start``, ``start + 1``, … in the order of ``order_by``; the index is the first column.
 
     ``order_by`` must order the rows totally. It takes one shuffle of ``df``; the cuts and the range sizes come from scans
     of the key columns only.
     """
-    ranges = order_ranges(df, order_by, rows_per_range)
+    ranges = order_ranges(df, order_by, rows_per_range, rows)
     ranged = df.withColumn(_RANGE, ranges.number)
     position = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*order_by)).cast("long") - 1 + start
     if ranges.count > 1:
