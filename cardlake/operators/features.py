@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardlake.functions import cleaning as fn
-from cardlake.operators.lookups import hot_keys, lookup
+from cardlake.operators.lookups import hot_keys, lookup, row_bytes
 from cardlake.operators.ordering import ROWS_PER_RANGE, dense_index
 from cardlake.session import stage
 
@@ -21,10 +21,10 @@ EDGE_ATTRIBUTES = ("amount", "merchant_city", "use_chip", "year", "month", "day"
 
 @dataclass(frozen=True)
 class LabelCodes:
-    """The code of each value of one column, ``table(code, value, n)``, and the number of its rows."""
+    """The code of each value of one column, ``table(code, value, n)``, and the table's size in bytes."""
 
     table: DataFrame
-    rows: int
+    size: int
 
 
 @dataclass(frozen=True)
@@ -41,9 +41,9 @@ def fit_label_codes(df: DataFrame, columns: Sequence[str]) -> dict[str, LabelCod
     for c in columns:
         counted = stage(df.select(F.col(c).alias("value")).where(F.col("value").isNotNull())
                         .groupBy("value").agg(F.count("*").alias("n")), f"values-{c}")
-        rows = counted.count()
+        rows, size = counted.agg(F.count("*"), F.coalesce(F.sum(row_bytes(counted)), F.lit(0))).first()
         table = dense_index(counted, ["value"], "code", rows=rows)
-        fitted[c] = LabelCodes(table if rows <= ROWS_PER_RANGE else stage(table, f"codes-{c}"), rows)
+        fitted[c] = LabelCodes(table if rows <= ROWS_PER_RANGE else stage(table, f"codes-{c}"), size)
     return fitted
 
 
@@ -65,7 +65,7 @@ def apply_label_codes(df: DataFrame, codes: Mapping[str, LabelCodes], unseen: st
     for c, fitted in codes.items():
         key = f"__key_{c}"
         table = fitted.table.select(F.col("value").alias(key), F.col("code").alias(f"__code_{c}"))
-        out = lookup(out.withColumn(key, F.col(c)), table, key, rows=fitted.rows,
+        out = lookup(out.withColumn(key, F.col(c)), table, key, size=fitted.size,
                      hot=partial(hot_keys, fitted.table, "value"), spread=spread or df.columns)
         code, falsy = F.col(f"__code_{c}"), _falsy(F.col(key), df.schema[c].dataType.simpleString())
         no_code = code.isNull() & F.col(key).isNotNull() & (~falsy if falsy_zero else F.lit(True))

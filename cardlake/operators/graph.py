@@ -9,7 +9,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
-from cardlake.operators.lookups import hot_keys, lookup
+from cardlake.operators.lookups import hot_keys, lookup, row_bytes
 from cardlake.operators.ordering import dense_index
 from cardlake.operators.sampling import take_exactly
 from cardlake.session import stage
@@ -44,18 +44,19 @@ def bipartite_nodes(rows: DataFrame, card: str = "card_id", merchant: str = "mer
     return stage(parts[0].unionByName(parts[1]), "nodes")
 
 
-def type_counts(nodes: DataFrame) -> dict[str, int]:
-    """Nodes per type; a graph has few types."""
-    return {r[0]: r[1] for r in nodes.groupBy("type").count().collect()}
+def type_sizes(nodes: DataFrame) -> dict[str, tuple[int, int]]:
+    """Rows and bytes of each node type; a graph has few types."""
+    sizes = nodes.groupBy("type").agg(F.count("*").alias("n"), F.sum(row_bytes(nodes)).alias("bytes")).collect()
+    return {r["type"]: (r["n"], r["bytes"]) for r in sizes}
 
 
-def _look_up_nodes(rows: DataFrame, nodes: DataFrame, sizes: dict[str, int], column: str, kind: str, name: str, how: str,
+def _look_up_nodes(rows: DataFrame, nodes: DataFrame, sizes: dict[str, tuple[int, int]], column: str, kind: str, name: str, how: str,
                    spread: Sequence[str] | None) -> DataFrame:
     """Add ``name``, the id of the node of type ``kind`` whose key stands in ``column``."""
     key, typed = f"__{name}_key", nodes.where(F.col("type") == kind)
     table = typed.select(F.col("key").alias(key), F.col("node_id").alias(name))
     hot = partial(hot_keys, typed, "key", "degree") if "degree" in nodes.columns else ()
-    return lookup(rows.withColumn(key, F.col(column).cast("string")), table, key, how, sizes.get(kind, 0), hot,
+    return lookup(rows.withColumn(key, F.col(column).cast("string")), table, key, how, sizes.get(kind, (0, 0))[1], hot,
                   spread).drop(key)
 
 
@@ -67,7 +68,7 @@ def resolve_edges(rows: DataFrame, nodes: DataFrame, card: str = "card_id", merc
     ``dst_known`` tell them from rows that really meet this node.
     """
     how = "inner" if default is None else "left"
-    out, sizes = rows, type_counts(nodes)
+    out, sizes = rows, type_sizes(nodes)
     for end, column, kind in (("src", card, "card"), ("dst", merchant, "merchant")):
         out = _look_up_nodes(out, nodes, sizes, column, kind, end, how, spread or rows.columns)
     if default is not None:
@@ -127,16 +128,17 @@ def index_nodes(relations: Sequence[Relation]) -> DataFrame:
     first = stage(_ends(relations).groupBy("type", "key").agg(F.min("pos").alias("pos"), F.count("*").alias("degree")),
                   "ends")
     parts = [dense_index(first.where(F.col("type") == t), ["pos"], "node_id", rows=n)
-             for t, n in sorted(type_counts(first).items())]
+             for t, (n, _) in sorted(type_sizes(first).items())]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return stage(out.select("node_id", "type", "key", "degree"), "typed-nodes")
 
 
-def index_relation(relation: Relation, nodes: DataFrame, sizes: dict[str, int] | None = None) -> DataFrame:
+def index_relation(relation: Relation, nodes: DataFrame,
+                   sizes: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """``(src_id, dst_id, row)`` of one relation; rows with an unknown node are dropped."""
-    out, sizes = relation.rows, sizes or type_counts(nodes)
+    out, sizes = relation.rows, sizes or type_sizes(nodes)
     for end, kind in (("src", relation.src_type), ("dst", relation.dst_type)):
         out = _look_up_nodes(out, nodes, sizes, end, kind, f"{end}_id", "inner", relation.rows.columns)
     return out.select("src_id", "dst_id", "row")
@@ -169,7 +171,7 @@ def hetero_edges(relations: Sequence[Relation], nodes: DataFrame, target: str) -
     loops = nodes.where(F.col("type") == target).select(
         F.lit(TARGET).alias("src_type"), F.lit(SELF_RELATION).alias("relation"), F.lit(TARGET).alias("dst_type"),
         F.col("node_id").alias("src"), F.col("node_id").alias("dst"))
-    out, sizes = loops, type_counts(nodes)
+    out, sizes = loops, type_sizes(nodes)
     for (src, dst), relation in last.values():
         out = out.unionByName(_both_ways(src, dst, index_relation(relation, nodes, sizes)))
     return out
@@ -241,7 +243,7 @@ def index_edges(rows: DataFrame, nodes: DataFrame | None = None) -> Graph:
     indexed = stage(dense_index(stage(first, "listed-keys"), ["row"], "node_id")
                     .select("node_id", F.lit("node").alias("type"), "key", "degree"), "listed-nodes")
     out = rows
-    sizes = type_counts(indexed)
+    sizes = type_sizes(indexed)
     for end in ("src", "dst"):
         out = _look_up_nodes(out, indexed, sizes, end, "node", f"{end}_id", "left", rows.columns)
         unknown = F.raise_error(F.concat(F.lit("edge with unknown node "), F.col(end))).cast("long")

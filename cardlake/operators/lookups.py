@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 HOT_SHARE = 1 / 256
 SALTS = 64
 BROADCAST_BYTES = 64 << 20
-ROW_BYTES = 128
+_ROW_OVERHEAD = 64
 
 
 def hot_keys(counted: DataFrame, key: str, count: str = "n", share: float = HOT_SHARE) -> list:
@@ -18,17 +18,34 @@ def hot_keys(counted: DataFrame, key: str, count: str = "n", share: float = HOT_
     return [r[0] for r in counted.where(F.col(key).isNotNull() & (F.col(count) >= total * share)).select(key).collect()]
 
 
-def lookup(facts: DataFrame, table: DataFrame, key: str, how: str = "left", rows: int | None = None,
+def row_bytes(df: DataFrame) -> Column:
+    """About the memory a row takes, from the true lengths of its texts and arrays."""
+    total = F.lit(_ROW_OVERHEAD).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            total = total + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType):
+            total = total + F.coalesce(8 * F.size(f.name), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
+def table_bytes(df: DataFrame) -> int:
+    """The size of a table in memory, measured by a scan."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+
+
+def lookup(facts: DataFrame, table: DataFrame, key: str, how: str = "left", size: int | None = None,
            hot: Sequence | Callable[[], Sequence] = (), spread: Sequence[str] | None = None,
-           row_bytes: int = ROW_BYTES, salts: int = SALTS) -> DataFrame:
+           salts: int = SALTS) -> DataFrame:
     """Join ``table`` (one row per ``key``) to ``facts``.
 
-    A table whose counted ``rows`` of ``row_bytes`` stay below ``BROADCAST_BYTES`` is broadcast. A greater one is joined
-    by a shuffle, in which the rows of the ``hot`` keys are spread over ``salts`` tasks by a hash of the ``spread``
+    A table of a measured ``size`` up to ``BROADCAST_BYTES`` is broadcast. A greater one is joined by a shuffle, in which the rows of the ``hot`` keys are spread over ``salts`` tasks by a hash of the ``spread``
     columns, and the few hot rows of the table are repeated for it. The hash depends on the row alone, so a task that runs
     again places rows the same way. ``hot`` may be a function, which is only called for a shuffle.
     """
-    if rows is not None and rows * row_bytes <= BROADCAST_BYTES:
+    if size is not None and size <= BROADCAST_BYTES:
         return facts.join(F.broadcast(table), key, how)
     keys = list(hot() if callable(hot) else hot)
     if not keys:

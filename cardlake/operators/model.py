@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from cardlake.functions import cleaning as fn
 from cardlake.operators import features, graph, metrics
 from cardlake.operators.features import LabelCodes, MinMax
-from cardlake.operators.lookups import hot_keys, lookup
+from cardlake.operators.lookups import hot_keys, lookup, table_bytes
 from cardlake.session import stage
 
 _ENDS = ("src", "dst")
@@ -43,10 +43,10 @@ def _node_stats(train: DataFrame, prior: float) -> DataFrame:
 
 
 def _with_stats(edges: DataFrame, stats: DataFrame, prior: float, spread: list[str]) -> DataFrame:
-    out, rows, hot = edges, stats.count(), partial(hot_keys, stats, "node_id", "degree")
+    out, size, hot = edges, table_bytes(stats), partial(hot_keys, stats, "node_id", "degree")
     for end in _ENDS:
         table = stats.select(F.col("node_id").alias(end), *[F.col(s).alias(f"{end}_{s}") for s in _STATS])
-        out = lookup(out, table, end, "left", rows, hot, spread)
+        out = lookup(out, table, end, "left", size, hot, spread)
         out = out.withColumns({f"{end}_fraud_rate": F.coalesce(f"{end}_fraud_rate", F.lit(prior)),
                                f"{end}_log_degree": F.coalesce(f"{end}_log_degree", F.lit(0.0))})
     return out
@@ -155,7 +155,7 @@ def load(spark: SparkSession, path: str) -> EdgeModel:
     codes = {}
     for c in features.CODED:
         table = spark.read.parquet(f"{path}/codes/{c}")
-        codes[c] = LabelCodes(table, table.count())
+        codes[c] = LabelCodes(table, table_bytes(table))
     return EdgeModel(
         spark.read.parquet(f"{path}/nodes"), codes,
         MinMax({r["name"]: r["low"] for r in ranges}, {r["name"]: r["high"] for r in ranges}),

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardlake.operators import attention, features, graph, metrics, model, neural, report, sampling
+from cardlake.operators.lookups import table_bytes
 from cardlake.plans.registry import EDGE, TXN, query
 from cardlake.session import scratch_path
 from cardlake.sources import adapters, readers
@@ -505,5 +506,6 @@ def encoder_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def request_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each transaction scored on the graph of its own edge; the tests check it against the layer operator."""
     g, w = _attributed(spark, sf_dir), encoder_weights()
-    scored = neural.score_requests(g.edges, weight_table(g.nodes, 64), w, g.nodes.count(), spread=["idx"])
+    table = weight_table(g.nodes, 64)
+    scored = neural.score_requests(g.edges, table, w, table_bytes(table), spread=["idx"])
     return scored.select("idx", "src", "dst", F.round("confidence", 6).alias("confidence"), "prediction")
