@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cardlake.functions.cleaning import null_if_sentinel
 
+# Labels, and the range of ids that scored transactions get.
 FRAUD = "Yes"
 NOT_FRAUD = "No"
+FIRST_SCORED_IDX = 26_000_001
+LAST_SCORED_IDX = 10 ** 9
 
 
 def fraud_only(transactions: DataFrame) -> DataFrame:
@@ -34,11 +37,15 @@ def fraud_report(transactions: DataFrame, cards: DataFrame, users: DataFrame, co
     ``count_mode="reference"`` counts the rows of transactions ⟕ cards ⟕ users, so a fraud counts once per card and
     profile row of its user; ``"transactions"`` counts the frauds. The joined rows are never built: each side is reduced
     to a row per user first, and the counts are multiplied.
+
+    ``exclude_scored`` leaves out transactions that the scoring job added: those marked ``scored``, or else those whose id
+    is in its range.
     """
     if count_mode not in ("reference", "transactions"):
         raise ValueError(f"unknown count_mode {count_mode!r}")
-    if exclude_scored and "scored" in transactions.columns:
-        transactions = transactions.where(~F.coalesce(F.col("scored"), F.lit(False)))
+    if exclude_scored:
+        added = F.col("scored") if "scored" in transactions.columns else F.col("idx") >= FIRST_SCORED_IDX
+        transactions = transactions.where(~F.coalesce(added, F.lit(False)))
     frauds = (fraud_only(transactions).where(F.col("user").isNotNull())
               .groupBy("user").agg(F.count("*").alias("n_frauds")))
     per_card = per_user(cards, ["card_number", "credit_limit"], order, "n_cards")

@@ -67,11 +67,12 @@ class Enforced:
     rejects: DataFrame
 
 
-def enforce(df: DataFrame, schema: T.StructType) -> Enforced:
+def enforce(df: DataFrame, schema: T.StructType, fault: Column | None = None) -> Enforced:
     """Cast ``df`` to ``schema`` and split off the rows that do not fit.
 
     A missing optional column becomes null. A row is rejected when a required field is null (``mcc: null``) or a value
-    cannot be cast (``mcc: not int``). Rejected rows keep their values as text.
+    cannot be cast (``mcc: not int``). Where ``fault`` is not null it is the only reason. Rejected rows keep their values
+    as text.
     """
     def source(f: T.StructField) -> Column:
         return F.col(f.name) if f.name in df.columns else F.lit(None).cast(T.StringType())
@@ -82,6 +83,8 @@ def enforce(df: DataFrame, schema: T.StructType) -> Enforced:
         return bad if f.nullable else bad.when(raw.isNull(), F.lit(f"{f.name}: null"))
 
     reasons = F.filter(F.array(*[reason(f) for f in schema.fields]), lambda r: r.isNotNull())
+    if fault is not None:
+        reasons = F.when(fault.isNotNull(), F.array(fault)).otherwise(reasons)
     checked = df.withColumn("reasons", reasons)
     valid = checked.where(F.size("reasons") == 0).select(
         *[source(f).try_cast(f.dataType).alias(f.name) for f in schema.fields])

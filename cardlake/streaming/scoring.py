@@ -11,29 +11,25 @@ from pyspark.errors import AnalysisException
 from cardlake import schemas
 from cardlake.functions.cleaning import event_time
 from cardlake.operators.ordering import dense_index
-from cardlake.operators.report import FRAUD
+from cardlake.operators.report import FIRST_SCORED_IDX as FIRST_IDX, FRAUD, LAST_SCORED_IDX as LAST_IDX
 from cardlake.schemas import Enforced
 from cardlake.sources.sinks import write_batch
+from cardlake.streaming.topics import TOPICS, publish
 
-# The range of ids for scored rows.
-FIRST_IDX = 26_000_001
-LAST_IDX = 10 ** 9
 
 
 def parse_requests(messages: DataFrame, value: str = "value") -> Enforced:
-    """JSON texts as typed requests; rejects carry the reasons and the ``raw`` text.
+    """JSON texts as typed requests, and those that are not with the reasons.
 
-    All fields are read as text first, so that numbers may come quoted and 64-bit ids never pass through a double.
+    All fields are read as text first, so that numbers may come quoted and 64-bit ids never pass through a double. The
+    parsed record goes through a generator: a filter on its fields then stays above it, and each text is parsed once.
     """
     fields = [T.StructField(f.name, T.StringType()) for f in schemas.REQUEST.fields]
     parsed = F.from_json(value, T.StructType([*fields, T.StructField("_bad", T.StringType())]),
                          {"columnNameOfCorruptRecord": "_bad"})
-    rows = messages.select(F.col(value).alias("raw"), parsed.alias("r")).select("raw", "r.*")
-    broken = F.col("_bad").isNotNull() | F.col("raw").isNull()
-    fitting = schemas.enforce(rows.where(~broken).select(*schemas.REQUEST.fieldNames()), schemas.REQUEST)
-    torn = rows.where(broken).select(*[F.lit(None).cast("string").alias(f.name) for f in schemas.REQUEST.fields],
-                                     F.array(F.lit("not JSON")).alias("reasons"))
-    return Enforced(fitting.valid, fitting.rejects.unionByName(torn))
+    rows = messages.select(F.col(value).alias("_raw"), F.inline(F.array(parsed)))
+    fault = F.when(F.col("_bad").isNotNull() | F.col("_raw").isNull(), F.lit("not JSON"))
+    return schemas.enforce(rows, schemas.REQUEST, fault)
 
 
 def assign_idx(rows: DataFrame, order_by: list[str], high: int | None = None) -> DataFrame:
@@ -74,24 +70,30 @@ def _greatest_idx(spark: SparkSession, path: str, batch_id: int) -> int | None:
     return written.where(F.col("batch_id") != batch_id).agg(F.max("idx")).first()[0]
 
 
+def publish_scored(transactions: DataFrame, root: str) -> None:
+    """Send scored rows back to the transaction topic. A repeated batch sends the same ids again (see :func:`dedupe`)."""
+    publish(transactions.select(*schemas.TRANSACTION.fieldNames()), TOPICS["transaction-topic"], root)
+
+
 def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame], root: str, checkpoint: str,
-                 value: str = "value", **trigger) -> StreamingQuery:
+                 value: str = "value", topic_root: str | None = None, **trigger) -> StreamingQuery:
     """Score a stream of JSON requests.
 
     ``scorer`` adds a ``prediction`` of ``Yes`` / ``No`` (see :mod:`cardlake.operators.model`). Each batch writes
     ``transactions``, ``alerts`` and ``rejects`` under ``root``, into partitions of its own, so a repeated batch leaves
-    the same rows and ids.
+    the same rows and ids. With ``topic_root`` the scored rows also go to the transaction topic there.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         requests = parse_requests(batch, value)
-        ready = requests.valid.where(F.col("is_fraud").isNull()) if "is_fraud" in requests.valid.columns else requests.valid
-        rows = as_transactions(scorer(ready)).persist()
+        rows = as_transactions(scorer(requests.valid)).persist()
         try:
             high = _greatest_idx(batch.sparkSession, f"{root}/transactions", batch_id)
             order = [f.name for f in schemas.TRANSACTION.fields if f.name != "idx"]
             write_batch(assign_idx(rows, order, high), f"{root}/transactions", batch_id)
             written = batch.sparkSession.read.parquet(f"{root}/transactions").where(F.col("batch_id") == batch_id)
             write_batch(alerts(written), f"{root}/alerts", batch_id)
+            if topic_root:
+                publish_scored(written, topic_root)
             write_batch(requests.rejects, f"{root}/rejects", batch_id)
         finally:
             rows.unpersist()
