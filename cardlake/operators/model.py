@@ -108,12 +108,17 @@ def _predict(fitted: PipelineModel, inputs: DataFrame) -> DataFrame:
         .drop("raw", "x", "rawPrediction", "probability", *_inputs())
 
 
-def score(requests: DataFrame, model: EdgeModel, unseen: str = "zero") -> DataFrame:
-    """Add the prediction to requests; unknown nodes count as node 0 and are flagged ``src_known`` / ``dst_known``."""
+def score(requests: DataFrame, model: EdgeModel, unseen: str = "zero", fill_errors: bool = False) -> DataFrame:
+    """Add the prediction to requests; unknown nodes count as node 0 and are flagged ``src_known`` / ``dst_known``.
+
+    A request without ``errors`` gets code 0, whatever error that code stands for. ``fill_errors`` reads it as the training
+    rows do, as "No error".
+    """
     names = requests.columns
     rows = requests.select(
         F.struct(*names).alias("request"), fn.card_key(F.col("user"), F.col("card")).alias("card_id"), "merchant_name",
-        "merchant_city", "use_chip", "errors", fn.money(F.col("amount")).alias("amount"),
+        "merchant_city", "use_chip", (fn.or_default(F.col("errors")) if fill_errors else F.col("errors")).alias("errors"),
+        fn.money(F.col("amount")).alias("amount"),
         *[F.col(c).cast("double").alias(c) for c in ("year", "month", "day")])
     edges = graph.resolve_edges(rows, model.nodes, default=0)
     full = _with_stats(_encode(edges, model.codes, model.scaler, unseen), model.stats, model.prior, edges.columns)

@@ -375,7 +375,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- metrics -----------------------------------------------------------------------------------------------------
 
 _JUDGED = """judged AS (SELECT event_id, floor(value / 5.0) / 100.0 AS score, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END
-  AS label, CASE WHEN floor(value / 5.0) / 100.0 > 0.5 THEN 1 ELSE 0 END AS pred FROM events)"""
+  AS label, CASE WHEN floor(value / 5.0) / 100.0 > 0.1 THEN 1 ELSE 0 END AS pred FROM events)"""
 _CURVE = f"""{_JUDGED}, per AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
   FROM judged GROUP BY score),
 pts AS (SELECT score, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER () AS p, sum(neg) OVER () AS n,
@@ -386,7 +386,7 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = F.floor(F.col("value") / 5.0) / F.lit(100.0)
     return adapters.table(spark, sf_dir, "events").select(
         "event_id", score.alias("score"), F.when(F.col("event_type") == "error", 1).otherwise(0).alias("label"),
-        F.when(score > 0.5, 1).otherwise(0).alias("pred"))
+        F.when(score > 0.1, 1).otherwise(0).alias("pred"))
 
 
 @query(f"""WITH {_JUDGED}
@@ -398,17 +398,19 @@ def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.confusion(_judged(spark, sf_dir))
 
 
-@query(f"""WITH {_JUDGED}, c AS (SELECT avg(CAST(pred = label AS INT)) AS accuracy,
-  count(*) FILTER (WHERE pred = 1 AND label = 1) / CAST(count(*) FILTER (WHERE pred = 1) AS DOUBLE) AS precision,
-  count(*) FILTER (WHERE pred = 1 AND label = 1) / CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS recall FROM judged
-  WHERE md5('42:' || event_id) < '8')
-SELECT round(accuracy, 9) AS accuracy, round(precision, 9) AS precision, round(recall, 9) AS recall,
-  round(2 * precision * recall / (precision + recall), 9) AS f1 FROM c""")
+@query(f"""WITH {_JUDGED}, c AS (SELECT md5('42:' || event_id) < '33333333' AS test, avg(CAST(pred = label AS INT)) AS accuracy,
+  count(*) FILTER (WHERE pred = 1 AND label = 1) AS tp, count(*) FILTER (WHERE pred = 1) AS p,
+  count(*) FILTER (WHERE label = 1) AS y FROM judged GROUP BY 1)
+SELECT CASE WHEN test THEN 'test' ELSE 'train' END AS split, round(accuracy, 9) AS accuracy,
+  CASE WHEN p > 0 THEN round(tp / p, 9) ELSE 0.0 END AS precision, CASE WHEN y > 0 THEN round(tp / y, 9) ELSE 0.0 END AS recall,
+  CASE WHEN p + y > 0 THEN round(2 * tp / (p + y), 9) ELSE 0.0 END AS f1 FROM c""")
 def classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _judged(spark, sf_dir)
-    mask = sampling.shuffle_key(F.col("event_id")) < "8"
-    found = metrics.classification(rows, mask=mask)
-    return found.select(*_rounded({c: F.col(c) for c in found.columns}, 9))
+    """Rates of both parts of a split, each under its mask."""
+    rows = sampling.stratified_split(_judged(spark, sf_dir), "label", "event_id", mode="threshold")
+    return readers.union_all([
+        metrics.classification(rows, mask=F.col("split") == part).select(
+            F.lit(part).alias("split"), *_rounded({c: F.col(c) for c in ("accuracy", "precision", "recall", "f1")}, 9))
+        for part in ("train", "test")])
 
 
 @query(f"""WITH {_CURVE} SELECT score AS threshold, round(fp / n, 9) AS fpr, round(tp / p, 9) AS tpr FROM pts

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,8 +14,6 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = build_session("tests", 8, 8)
     session.sparkContext.setLogLevel("OFF")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cardlake-tests-"))
     yield session
     session.stop()
 
