@@ -13,17 +13,19 @@ OVERLAP = 50
 def chunks(text: Column, size: int = CHUNK_SIZE, overlap: int = OVERLAP) -> Column:
     """Substrings of ``size`` characters that start every ``size - overlap``; the last ones may be short.
 
-    The text is cut once into pieces of one step, and a chunk is the piece at its start with what it needs of the next
-    ones. So the work grows with the length of the text, where a substring from the beginning per chunk would make it grow
-    with its square.
+    The text is cut into pieces of one step, and a chunk is the piece at its start with what it needs of the next ones. So
+    the work grows with the length of the text, where a substring from the beginning per chunk would make it grow with its
+    square. The pieces stand outside the lambdas, whose bodies run once per chunk.
     """
     step = size - overlap
     if overlap < 0 or step <= 0:
         raise ValueError("overlap must be at least 0 and less than size")
     pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
-    span = -(-size // step)
-    return F.transform(pieces, lambda piece, i: F.substring(
-        F.array_join(F.slice(pieces, i + 1, F.lit(span)), ""), 1, size))
+    out = pieces
+    for ahead in range(1, -(-size // step)):
+        following = F.slice(pieces, F.lit(ahead + 1), F.greatest(F.length(text), F.lit(0)))
+        out = F.zip_with(out, following, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.transform(out, lambda c: F.substring(c, 1, size))
 
 
 def tokens(text: Column) -> Column:

@@ -104,7 +104,7 @@ def top_k(queries: DataFrame, collection: DataFrame, k: int = TOP_K, metric: str
     id_type = collection.schema["id"].dataType
     schema = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType), T.StructField("id", id_type),
                            T.StructField("distance", T.DoubleType())])
-    slim = collection.select("id", F.col(vector).cast("array<double>").alias("v")).where(F.col("v").isNotNull())
+    slim = collection.select("id", F.col(vector).cast("array<double>").alias("v"))
     out = None
     for ids, matrix in blocks:
         part = slim.mapInArrow(_nearest(ids, matrix, k, metric, decimals, query_id, schema), schema)
@@ -147,6 +147,8 @@ def _nearest(query_ids: list, q: np.ndarray, k: int, metric: str, decimals: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[list] = [[] for _ in query_ids]
         for b in batches:
+            # Rows without a vector go here: a filter before would compute an embedding function twice.
+            b = b.filter(b.column("v").is_valid())
             if b.num_rows == 0:
                 continue
             values = b.column("v").flatten().to_numpy(zero_copy_only=False)

@@ -88,7 +88,7 @@ SELECT id AS doc_id, CAST(slot AS INT) AS slot, round(v, 9) AS value FROM hashed
 def hashed_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = adapters.table(spark, sf_dir, "documents")
     embedded = docs.select("doc_id", vectors.hashed_embedding(F.col("text"), _DIM).alias("e"))
-    return embedded.select("doc_id", F.posexplode("e").alias("slot", "value")).where(F.col("value") > 0) \
+    return embedded.select("doc_id", F.posexplode_outer("e").alias("slot", "value")).where(F.col("value") > 0) \
         .withColumn("value", F.round("value", 9))
 
 

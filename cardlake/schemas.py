@@ -82,12 +82,18 @@ def enforce(df: DataFrame, schema: T.StructType, fault: Column | None = None) ->
         bad = F.when(raw.isNotNull() & typed.isNull(), F.lit(f"{f.name}: not {f.dataType.simpleString()}"))
         return bad if f.nullable else bad.when(raw.isNull(), F.lit(f"{f.name}: null"))
 
+    def fits(f: T.StructField) -> Column:
+        typed = source(f).try_cast(f.dataType).isNotNull()
+        return typed | source(f).isNull() if f.nullable else typed
+
+    # Good rows are told by plain comparisons; the texts of the reasons are only made for the others.
+    good = F.lit(True) if fault is None else fault.isNull()
+    for f in schema.fields:
+        good = good & fits(f)
     reasons = F.filter(F.array(*[reason(f) for f in schema.fields]), lambda r: r.isNotNull())
     if fault is not None:
         reasons = F.when(fault.isNotNull(), F.array(fault)).otherwise(reasons)
-    checked = df.withColumn("reasons", reasons)
-    valid = checked.where(F.size("reasons") == 0).select(
-        *[source(f).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-    rejects = checked.where(F.size("reasons") > 0).select(
-        *[source(f).cast(T.StringType()).alias(f.name) for f in schema.fields], "reasons")
+    valid = df.where(good).select(*[source(f).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    rejects = df.where(~good).select(*[source(f).cast(T.StringType()).alias(f.name) for f in schema.fields],
+                                     reasons.alias("reasons"))
     return Enforced(valid, rejects)
