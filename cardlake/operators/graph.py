@@ -26,21 +26,23 @@ class Graph:
     edges: DataFrame
 
 
-def _first_seen(df: DataFrame, key: str, order: str, name: str) -> DataFrame:
-    """Distinct keys with their first position and their number of rows."""
-    return stage(df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key"))
-                 .agg(F.min(order).alias("first_seen"), F.count("*").alias("degree")), name)
-
-
 def bipartite_nodes(rows: DataFrame, card: str = "card_id", merchant: str = "merchant_name",
                     order: str = "idx") -> DataFrame:
-    """Cards, then merchants, numbered from 0 as first seen (equal positions by key)."""
-    cards = _first_seen(rows, card, order, "cards")
-    merchants = _first_seen(rows, merchant, order, "merchants")
-    n_cards, n_merchants = cards.count(), merchants.count()
-    parts = [dense_index(keys, ["first_seen", "key"], "node_id", start, rows=rows)
-             .select("node_id", F.lit(kind).alias("type"), F.col("key").cast("string").alias("key"), "degree")
-             for kind, keys, start, rows in (("card", cards, 0, n_cards), ("merchant", merchants, n_cards, n_merchants))]
+    """Cards, then merchants, numbered from 0 as first seen (equal positions by key, as text).
+
+    One pass over the rows finds the first position and the number of rows of every key.
+    """
+    ends = F.array(*[F.struct(F.lit(kind).alias("type"), F.col(column).cast("string").alias("key"))
+                     for kind, column in (("card", card), ("merchant", merchant))])
+    first = stage(rows.select(order, F.explode(ends).alias("e")).where(F.col("e.key").isNotNull())
+                  .groupBy(F.col("e.type").alias("type"), F.col("e.key").alias("key"))
+                  .agg(F.min(order).alias("first_seen"), F.count("*").alias("degree")), "first-seen")
+    sizes, start, parts = type_sizes(first), 0, []
+    for kind in ("card", "merchant"):
+        n = sizes.get(kind, (0, 0))[0]
+        numbered = dense_index(first.where(F.col("type") == kind), ["first_seen", "key"], "node_id", start, rows=n)
+        parts.append(numbered.select("node_id", "type", "key", "degree"))
+        start += n
     return stage(parts[0].unionByName(parts[1]), "nodes")
 
 

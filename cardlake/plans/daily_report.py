@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake import schemas
 from cardlake.operators.report import FRAUD, coerce_olap, fraud_report
-from cardlake.sources.readers import read_topic
+from cardlake.session import stage
+from cardlake.sources.readers import read_stage, read_topic
 from cardlake.sources.sinks import append_table, write_stage
 
 
@@ -22,8 +23,14 @@ def build_report(spark: SparkSession, bronze: str, count_mode: str = "reference"
 
 def run(spark: SparkSession, bronze: str, table: str, ds: str, count_mode: str = "reference",
         stage_root: str | None = None, mode: str = "replace_ds", fmt: str = "parquet") -> None:
-    """Write the report of run date ``ds``; with ``stage_root`` also keep it among the staged tables."""
+    """Write the report of run date ``ds``; with ``stage_root`` also keep it among the staged tables.
+
+    The range layout of the table looks at its input twice, so the report is written once before it.
+    """
     report = build_report(spark, bronze, count_mode, fmt)
     if stage_root:
-        report = spark.read.parquet(write_stage(report, stage_root, "fraud_report", ds)).where(F.col("ds") == ds).drop("ds")
+        write_stage(report, stage_root, "fraud_report", ds)
+        report = read_stage(spark, stage_root, "fraud_report", ds)
+    else:
+        report = stage(report, "fraud-report")
     append_table(report, table, ["count_fraud", "user"], ds, mode)

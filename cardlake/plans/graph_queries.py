@@ -113,7 +113,7 @@ _NODES = f"""{EDGE}, cards AS (
   SELECT row_number() OVER (ORDER BY min(l_orderkey), card_id) - 1 AS node_id, 'card' AS type, card_id AS key,
     count(*) AS degree FROM edge GROUP BY card_id),
 merchants AS (
-  SELECT row_number() OVER (ORDER BY min(l_orderkey), merchant) - 1 + (SELECT count(*) FROM cards) AS node_id,
+  SELECT row_number() OVER (ORDER BY min(l_orderkey), CAST(merchant AS VARCHAR)) - 1 + (SELECT count(*) FROM cards) AS node_id,
     'merchant' AS type, CAST(merchant AS VARCHAR) AS key, count(*) AS degree FROM edge GROUP BY merchant),
 nodes AS (SELECT * FROM cards UNION ALL SELECT * FROM merchants),
 resolved AS (

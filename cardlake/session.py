@@ -40,9 +40,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it may be deleted once the application has ended."""
+    return f"{shared_folder(spark)}/cardlake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/cardlake/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.errors import AnalysisException
 
 from cardlake import schemas
 from cardlake.functions.cleaning import event_time
@@ -61,13 +63,20 @@ def as_transactions(scored: DataFrame, prediction: str = "prediction") -> DataFr
     return scored.select(*names, F.col(prediction).alias("is_fraud"), F.lit(True).alias("scored"))
 
 
-def _greatest_idx(spark: SparkSession, path: str, batch_id: int) -> int | None:
-    """The greatest id that other batches wrote."""
+def _high_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
+    """The greatest id in use when the batch begins. Each batch leaves it as one row, so the history is not read."""
     try:
-        written = spark.read.parquet(path)
+        return spark.read.schema("high int").parquet(f"{root}/high_water/batch_id={batch_id - 1}").agg(F.max("high")).first()[0]
     except AnalysisException:
-        return None
-    return written.where(F.col("batch_id") != batch_id).agg(F.max("idx")).first()[0]
+        if batch_id == 0:
+            return None
+        raise
+
+
+def as_transactions_schema() -> T.StructType:
+    """Scored transactions as they are stored."""
+    return T.StructType([*schemas.TRANSACTION.fields, T.StructField("scored", T.BooleanType()),
+                         T.StructField("batch_id", T.LongType())])
 
 
 def publish_scored(transactions: DataFrame, root: str) -> None:
@@ -87,14 +96,17 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
         requests = parse_requests(batch, value)
         rows = as_transactions(scorer(requests.valid)).persist()
         try:
-            high = _greatest_idx(batch.sparkSession, f"{root}/transactions", batch_id)
+            high = _high_before(batch.sparkSession, root, batch_id)
             order = [f.name for f in schemas.TRANSACTION.fields if f.name != "idx"]
             write_batch(assign_idx(rows, order, high), f"{root}/transactions", batch_id)
-            written = batch.sparkSession.read.parquet(f"{root}/transactions").where(F.col("batch_id") == batch_id)
+            written = (batch.sparkSession.read.schema(as_transactions_schema())
+                       .parquet(f"{root}/transactions").where(F.col("batch_id") == batch_id))
             write_batch(alerts(written), f"{root}/alerts", batch_id)
             if topic_root:
                 publish_scored(written, topic_root)
             write_batch(requests.rejects, f"{root}/rejects", batch_id)
+            last = written.agg(F.coalesce(F.max("idx"), F.lit(high).cast("int")).alias("high"))
+            write_batch(last, f"{root}/high_water", batch_id)
         finally:
             rows.unpersist()
 
@@ -106,6 +118,21 @@ def with_event_time(transactions: DataFrame) -> DataFrame:
     return transactions.withColumn("event_time", event_time(*[F.col(c) for c in ("year", "month", "day", "time")]))
 
 
+def _first_of_each(df: DataFrame, key: str) -> DataFrame:
+    """Drop copies that stand in one Arrow batch, before any row is shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                codes = b.column(key).dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+                yield b.take(pa.array(np.sort(np.unique(codes, return_index=True)[1])))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def dedupe(transactions: DataFrame, key: str = "idx", delay: str = "7 days") -> DataFrame:
-    """Keep one row per ``key`` in a stream; the watermark only bounds how long keys are remembered."""
-    return with_event_time(transactions).withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
+    """Keep one row per ``key`` in a stream; the watermark only bounds how long keys are remembered.
+
+    Copies are thinned out where they are read, so that many copies of one row do not all meet in one task.
+    """
+    thinned = _first_of_each(with_event_time(transactions), key)
+    return thinned.withWatermark("event_time", delay).dropDuplicatesWithinWatermark([key])
