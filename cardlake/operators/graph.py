@@ -91,6 +91,10 @@ def graph_summary(edges: DataFrame) -> DataFrame:
     return edges.groupBy("src_type", "relation", "dst_type").agg(F.count("*").alias("n_edges"))
 
 
+def node_summary(nodes: DataFrame) -> DataFrame:
+    return nodes.groupBy("type").agg(F.count("*").alias("n_nodes"))
+
+
 # --- graphs of several relations ---------------------------------------------------------------------------------
 
 @dataclass(frozen=True)

@@ -18,17 +18,19 @@ def hot_keys(counted: DataFrame, key: str, count: str = "n", share: float = HOT_
     return [r[0] for r in counted.where(F.col(key).isNotNull() & (F.col(count) >= total * share)).select(key).collect()]
 
 
+def _value_bytes(c: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(8 * F.size(c), F.lit(0))
+    if isinstance(kind, T.StructType):
+        return sum((_value_bytes(c[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    return F.lit(8)
+
+
 def row_bytes(df: DataFrame) -> Column:
     """About the memory a row takes, from the true lengths of its texts and arrays."""
-    total = F.lit(_ROW_OVERHEAD).cast("long")
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            total = total + F.coalesce(F.octet_length(f.name), F.lit(0))
-        elif isinstance(f.dataType, T.ArrayType):
-            total = total + F.coalesce(8 * F.size(f.name), F.lit(0))
-        else:
-            total = total + 8
-    return total
+    return sum((_value_bytes(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(_ROW_OVERHEAD).cast("long"))
 
 
 def table_bytes(df: DataFrame) -> int:

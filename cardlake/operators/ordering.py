@@ -13,6 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from cardlake.operators.lookups import lookup, table_bytes
+from cardlake.session import stage
+
 ROWS_PER_RANGE = 1 << 18
 MAX_RANGES = 1 << 14
 _SAMPLES_PER_RANGE = 32
@@ -85,6 +88,20 @@ def dense_index(df: DataFrame, order_by: Sequence[str], name: str = "idx", start
     return ranged.withColumn(name, position).select(name, *[c for c in df.columns if c != name])
 
 
+def index_within(df: DataFrame, by: Sequence[str], order_by: Sequence[str], name: str = "pos",
+                 rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Number the rows of each group of ``by`` from 0 in the order of ``order_by``.
+
+    The rows are numbered as a whole, group after group, and the first number of its group is taken off each. So a group
+    that holds a great part of the table is still numbered by many tasks.
+    """
+    whole = stage(dense_index(df, [*by, *order_by], name, 0, rows_per_range), "numbered")
+    grouped = whole.withColumn("__group", F.struct(*by))  # unlike null columns, structs with nulls are equal
+    starts = stage(grouped.groupBy("__group").agg(F.min(name).alias("__start")), "starts")
+    found = lookup(grouped, starts, "__group", "inner", table_bytes(starts))
+    return found.select((F.col(name) - F.col("__start")).alias(name), *df.columns)
+
+
 def running_totals(df: DataFrame, order_by: Sequence[str], values: Sequence[str],
                    rows_per_range: int = ROWS_PER_RANGE) -> tuple[DataFrame, dict[str, int]]:
     """Add ``cum_<v>``, the inclusive running total of each whole-number column, and ``next_<v>``, its value in the next

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cardlake.functions import cleaning as fn, text as tx
-from cardlake.operators.ordering import dense_index
+from cardlake.operators.ordering import dense_index, index_within
 
 PREFIX = 1500
 BATCH = 100
@@ -25,9 +25,13 @@ def chunk(documents: DataFrame, text: str = "text", size: int = tx.CHUNK_SIZE, o
     return documents.select(*rest, F.posexplode(tx.chunks(F.col(text), size, overlap)).alias("chunk_no", "chunk"))
 
 
-def batch_no(records: DataFrame, order_by: Sequence[str], size: int = BATCH) -> DataFrame:
-    """Add ``pos``, the position in the order, and ``batch_no``, the number of its batch of ``size`` rows, from 0."""
-    return dense_index(records, order_by, "pos").withColumn("batch_no", F.floor(F.col("pos") / size).cast("long"))
+def batch_no(records: DataFrame, order_by: Sequence[str], size: int = BATCH, by: Sequence[str] = ()) -> DataFrame:
+    """Add ``pos``, the position in the order, and ``batch_no``, the number of its batch of ``size`` rows, from 0.
+
+    With ``by``, such as the file a record comes from, both start anew in each group.
+    """
+    numbered = index_within(records, by, order_by, "pos") if by else dense_index(records, order_by, "pos")
+    return numbered.withColumn("batch_no", F.floor(F.col("pos") / size).cast("long"))
 
 
 def table_lines(rows: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:

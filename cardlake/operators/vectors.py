@@ -81,6 +81,14 @@ def insert_new(collection: DataFrame, incoming: DataFrame, order_by: str | None
     return incoming.join(collection.select("id"), "id", "left_anti")
 
 
+def add_to_collection(path: str, incoming: DataFrame, order_by: str | None = None) -> None:
+    """Get or create the collection at ``path`` and append the rows whose ids it lacks; rows it has stay as they are."""
+    incoming.limit(0).write.mode("append").parquet(path)
+    collection = incoming.sparkSession.read.schema(incoming.schema).parquet(path)
+    fresh = insert_new(collection, incoming, order_by)
+    fresh.select(*[c for c in incoming.columns if c != order_by]).write.mode("append").parquet(path)
+
+
 def insert_batch(incoming: DataFrame, fields: Sequence[str], order_by: Sequence[str], start: int = 0,
                  auto_id: str = "id") -> DataFrame:
     """The declared fields of ``incoming`` under new ids that continue from ``start``."""

@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake.operators import text, vectors
+from cardlake.plans import indexing
 from cardlake.plans.registry import query
 from cardlake.session import scratch_path
 from cardlake.sources import adapters, readers
@@ -62,6 +63,46 @@ def embed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.batch_no(records, ["conv_id", "turn"])
 
 
+@query("""WITH numbered AS (SELECT role, conv_id, turn, row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1 AS pos
+  FROM conversations) SELECT *, pos // 100 AS batch_no FROM numbered""")
+def file_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that start anew in each group, here the role in place of the file."""
+    records = adapters.table(spark, sf_dir, "conversations").select("role", "conv_id", "turn")
+    return text.batch_no(records, ["conv_id", "turn"], by=["role"])
+
+
+@query(f"""WITH lines AS (
+  SELECT 'documents_20240701.parquet' AS id, 'documents' AS "table", 'doc_id,lang,text' AS columns, doc_id AS pos,
+    doc_id || ',' || {_cell('lang')} || ',' || {_cell('text')} AS line FROM documents
+  UNION ALL SELECT 'customer_20240701.parquet', 'customer', 'c_custkey,c_name', c_custkey,
+    c_custkey || ',' || {_cell('c_name')} FROM customer)
+SELECT id, "table", CAST(count(*) AS VARCHAR) AS row_count, columns,
+  substr(columns || chr(10) || string_agg(line, chr(10) ORDER BY pos) || chr(10), 1, 1500) AS document, 64 AS width
+FROM lines GROUP BY id, "table", columns""")
+def index_tables_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nightly index: staged files → documents → vectors → collection; a second run adds nothing."""
+    root = scratch_path(spark, "index")
+    for name, columns in (("documents", ["doc_id", "lang", "text"]), ("customer", ["c_custkey", "c_name"])):
+        rows = adapters.table(spark, sf_dir, name).select(*columns)
+        rows.repartitionByRange(4, columns[0]).sortWithinPartitions(columns[0]).write.parquet(
+            f"{root}/stage/{name}_20240701.parquet")
+    for _ in range(2):
+        indexing.index_tables(spark, f"{root}/stage", f"{root}/collection", partial(vectors.hashed_embedding, dim=_DIM))
+    found = spark.read.parquet(f"{root}/collection")
+    meta = [F.col("metadata").getItem(k).alias(k) for k in ("table", "row_count", "columns")]
+    return found.select("id", "document", F.size("embedding").alias("width"), *meta)
+
+
+@query("""SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS id, text AS raw_text, 64 AS width FROM conversations
+WHERE trim(text) <> ''""")
+def index_records_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a text field → vectors under automatic ids."""
+    records = adapters.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("message"))
+    path = scratch_path(spark, "records")
+    indexing.index_records(records, path, ["conv_id", "turn"], partial(vectors.hashed_embedding, dim=_DIM))
+    return spark.read.parquet(path).select("id", "raw_text", F.size("embedding").alias("width"))
+
+
 @query("""SELECT substr(file_name, 1, 8) AS "table", count(*) AS row_count, CAST(sum(key) AS BIGINT) AS key_sum FROM (
   SELECT 'customer' AS file_name, c_custkey AS key FROM customer UNION ALL SELECT 'supplier', s_suppkey FROM supplier)
 GROUP BY 1""")

@@ -77,6 +77,11 @@ def read_prefix_with_file(spark: SparkSession, path: str, schema: T.StructType,
     return df.select("*", name.alias("file_name"), F.element_at(F.split(name, "_"), 1).alias("table"))
 
 
+def list_datasets(spark: SparkSession, prefix: str, suffix: str = ".parquet") -> list[str]:
+    """Paths of the datasets under ``prefix``, one per file or folder whose name ends with ``suffix``."""
+    return _glob(spark, f"{prefix}/*{suffix}")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``(path, text)``, one row per file."""
     return (spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)

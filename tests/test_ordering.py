@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cardlake.operators.lookups import hot_keys, lookup, table_bytes
 from cardlake.operators import lookups
-from cardlake.operators.ordering import dense_index, order_ranges, running_totals
+from cardlake.operators.ordering import dense_index, index_within, order_ranges, running_totals
 
 
 @pytest.mark.parametrize("per_range", [7, 100, 10 ** 6])
@@ -78,3 +78,15 @@ def test_hot_rows_are_spread_only_without_broadcast(frame, monkeypatch):
     big = lookup(facts, table, "k", size=table_bytes(table), hot=lambda: ["hot"])
     assert "__salt" in big._jdf.queryExecution().executedPlan().toString()
     assert big.count() == 100
+
+
+@pytest.mark.parametrize("per_range", [50, 10 ** 6])
+def test_index_within_groups(frame, per_range):
+    data = [("hot" if i % 3 else None if i % 2 else f"g{i % 5}", i) for i in range(900)]
+    out = index_within(frame(data, "g string, i int"), ["g"], ["i"], "pos", per_range)
+    seen = {}
+    want = []
+    for g, i in data:
+        want.append((seen.get(g, 0), g, i))
+        seen[g] = seen.get(g, 0) + 1
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[2]) == want

@@ -102,6 +102,8 @@ def test_scoring_stream(spark):
         scoring.score_stream(messages, scorer, f"{root}/out", f"{root}/checkpoint", topic_root=f"{root}/topic") \
             .awaitTermination()
 
+    send("none", [{"user": "nobody"}])
+    run()  # a batch of rejects only
     send("a", [{**SAMPLE, "amount": a} for a in ("1", "9")] + [{"user": "only"}])
     run()
     run()
@@ -112,7 +114,7 @@ def test_scoring_stream(spark):
     every = rows(spark.read.parquet(f"{root}/out/transactions").select("idx", "amount", "is_fraud"))
     assert every[2] == (26_000_003, "7", "Yes")
     assert spark.read.parquet(f"{root}/out/alerts").count() == 2
-    assert spark.read.parquet(f"{root}/out/rejects").count() == 1
+    assert spark.read.parquet(f"{root}/out/rejects").count() == 2
     records = spark.read.schema(topics.record_schema(TXN)).parquet(f"{root}/topic/topics/{TXN.name}")
     assert rows(records.select("value.idx", "key")) == [(26_000_001, "user4"), (26_000_002, "user4"), (26_000_003, "user4")]
 

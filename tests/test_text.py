@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardlake.functions import text as tx
-from cardlake.operators import text
+from cardlake.operators import text, vectors
+from cardlake.plans import indexing
+from cardlake.session import scratch_path
 from tests.conftest import rows
 
 
@@ -89,3 +91,20 @@ def test_pick_text(spark):
 def test_batches(frame):
     out = text.batch_no(frame([(i,) for i in range(250)], "id int"), ["id"])
     assert rows(out.groupBy("batch_no").count()) == [(0, 100), (1, 100), (2, 50)]
+
+
+def test_batches_per_file(frame):
+    out = text.batch_no(frame([(f"f{i % 2}", i) for i in range(301)], "file string, i int"), ["i"], by=["file"])
+    assert rows(out.groupBy("file", "batch_no").count()) == [
+        ("f0", 0, 100), ("f0", 1, 51), ("f1", 0, 100), ("f1", 1, 50)]
+    assert out.where("file = 'f1' AND i = 3").first()["pos"] == 1
+
+
+def test_index_of_a_folder(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x" * 301)
+    (tmp_path / "b.txt").write_text("fraud")
+    path = scratch_path(spark, "folder")
+    for _ in range(2):
+        indexing.index_documents(spark, str(tmp_path), path, lambda c: vectors.hashed_embedding(c, 8))
+    found = spark.read.parquet(path)
+    assert sorted(len(r["document"]) for r in found.collect()) == [5, 51, 300]
