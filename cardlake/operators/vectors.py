@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cardlake.functions.text import tokens
 from cardlake.operators.ordering import dense_index
@@ -20,24 +22,23 @@ METRICS = ("l2", "cosine", "ip")
 def hashed_embedding(text: Column, dim: int) -> Column:
     """Counts of words per hash slot, scaled to length 1; a text without words gives zeros.
 
-    The default provider, with no service behind it. Spark makes words and slots; one batch of numbers is then counted at
-    a time.
+    The default provider, with no service behind it. A word's slot comes from the first 32 bits of its MD5. Spark makes the
+    words; of each Arrow batch only the distinct ones are hashed.
     """
-    slots = F.transform(tokens(text), lambda t: F.pmod(F.conv(F.substring(F.md5(t), 1, 8), 16, 10).cast("long"),
-                                                       F.lit(dim)).cast("int"))
-
     @F.arrow_udf("array<double>")
     def count(v: pa.Array) -> pa.Array:
-        lengths = np.diff(v.offsets.to_numpy())
-        slot = v.flatten().to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(v)), lengths)
+        words = v.flatten().dictionary_encode()
+        slots = np.array([int.from_bytes(md5(w.encode()).digest()[:4], "big") % dim for w in words.dictionary.to_pylist()],
+                         dtype=np.int64)
+        slot = slots[words.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, dtype=np.int64)
+        owner = np.repeat(np.arange(len(v)), np.diff(v.offsets.to_numpy()))
         counts = np.bincount(owner * dim + slot, minlength=len(v) * dim).reshape(len(v), dim).astype(np.float64)
         norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         values = np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, dim, dtype=np.int32)),
                                         pa.array(values.reshape(-1)))
 
-    return count(F.coalesce(slots, F.array().cast("array<int>")))
+    return count(F.coalesce(tokens(text), F.array().cast("array<string>")))
 
 
 def embed_with(df: DataFrame, provider: Callable[[list[str]], list[list[float]]], dim: int, text: str = "text",
@@ -81,6 +82,15 @@ def insert_new(collection: DataFrame, incoming: DataFrame, order_by: str | None
     return incoming.join(collection.select("id"), "id", "left_anti")
 
 
+def known_ids(spark: SparkSession, path: str, ids: Sequence[str]) -> set:
+    """Those of ``ids`` that the collection at ``path`` holds; none if there is no collection yet."""
+    try:
+        collection = spark.read.schema("id string").parquet(path)
+    except AnalysisException:
+        return set()
+    return {r[0] for r in collection.where(F.col("id").isin(list(ids))).distinct().collect()}
+
+
 def add_to_collection(path: str, incoming: DataFrame, order_by: str | None = None) -> None:
     """Get or create the collection at ``path`` and append the rows whose ids it lacks; rows it has stay as they are."""
     incoming.limit(0).write.mode("append").parquet(path)

@@ -13,6 +13,10 @@ from cardlake.sources.readers import file_order_index, list_datasets, read_docum
 Embed = Callable[[Column], Column]
 
 
+def _name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def table_rows(spark: SparkSession, path: str, embed: Embed, prefix: int = text.PREFIX) -> DataFrame:
     """One collection row ``(id, embedding, document, metadata)`` for the dataset at ``path``.
 
@@ -21,7 +25,7 @@ def table_rows(spark: SparkSession, path: str, embed: Embed, prefix: int = text.
     """
     rows = spark.read.parquet(path)
     columns = rows.columns
-    named = file_order_index(rows, "pos").withColumn("file_name", F.lit(path.rstrip("/").rsplit("/", 1)[-1]))
+    named = file_order_index(rows, "pos").withColumn("file_name", F.lit(_name(path)))
     document = text.table_documents(named, columns, prefix=prefix)
     metadata = F.create_map(
         F.lit("table"), F.col("table"), F.lit("file_name"), F.col("file_name"),
@@ -31,9 +35,12 @@ def table_rows(spark: SparkSession, path: str, embed: Embed, prefix: int = text.
 
 
 def index_tables(spark: SparkSession, prefix: str, collection: str, embed: Embed) -> None:
-    """Add every dataset under ``prefix`` to the collection unless its file name is there already."""
-    for path in list_datasets(spark, prefix):
-        vectors.add_to_collection(collection, table_rows(spark, path, embed))
+    """Add every dataset under ``prefix`` to the collection. Those whose file name is there already are not read."""
+    paths = {_name(path): path for path in list_datasets(spark, prefix)}
+    known = vectors.known_ids(spark, collection, list(paths))
+    for name, path in paths.items():
+        if name not in known:
+            vectors.add_to_collection(collection, table_rows(spark, path, embed))
 
 
 def index_records(records: DataFrame, collection: str, order_by: Sequence[str], embed: Embed, start: int = 0) -> None:

@@ -42,14 +42,18 @@ def assign_idx(rows: DataFrame, order_by: list[str], high: int | None = None) ->
     return numbered.withColumn("idx", F.when(F.col("idx") > LAST_IDX, spent).otherwise(F.col("idx").cast("int")))
 
 
+# The wording of an alert.
+ALERT_HEAD = "*FRAUD DETECTED!*"
+ALERT_LABELS = ("User", "Card", "Amount", "Time", "Merchant")
+
+
 def alert_text() -> Column:
     """The alert message of a transaction row; a missing merchant reads ``None``."""
-    date = F.format_string("%d-%02d-%02d %s", "year", "month", "day", "time")
-    return F.concat_ws(
-        "\n", F.lit("*FRAUD DETECTED!*"),
-        F.concat(F.lit("User: "), F.col("user")), F.concat(F.lit("Card: "), F.col("card")),
-        F.concat(F.lit("Amount: "), F.col("amount")), F.concat(F.lit("Time: "), date),
-        F.concat(F.lit("Merchant: "), F.coalesce(F.col("merchant_name").cast("string"), F.lit("None"))))
+    when = F.format_string("%d-%02d-%02d %s", "year", "month", "day", "time")
+    merchant = F.coalesce(F.col("merchant_name").cast("string"), F.lit("None"))
+    values = (F.col("user"), F.col("card"), F.col("amount"), when, merchant)
+    return F.concat_ws("\n", F.lit(ALERT_HEAD), *[
+        F.concat(F.lit(f"{label}: "), value) for label, value in zip(ALERT_LABELS, values)])
 
 
 def alerts(transactions: DataFrame) -> DataFrame:
