@@ -9,7 +9,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, functions as F
 
-from cardlake.operators.lookups import hot_keys, lookup, row_bytes
+from cardlake.operators.lookups import hot_keys, lookup, row_bytes, table_bytes
 from cardlake.operators.ordering import dense_index
 from cardlake.operators.sampling import take_exactly
 from cardlake.session import stage
@@ -191,14 +191,15 @@ def attach_features(nodes: DataFrame, features: DataFrame, target: str) -> tuple
     """
     known = nodes.where(F.col("type") == target)
     free = known.agg(F.max("node_id")).first()[0]
-    fresh = (features.join(known.select("key"), "key", "left_anti")
-             .groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("degree")))
-    fresh = dense_index(stage(fresh, "new-keys"), ["row"], "node_id", 0 if free is None else free + 1)
+    lines = stage(features.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("degree")), "feature-keys")
+    fresh = stage(lines.join(known.select("key"), "key", "left_anti"), "new-keys")
+    fresh = dense_index(fresh, ["row"], "node_id", 0 if free is None else free + 1)
     fresh = stage(fresh.select("node_id", F.lit(target).alias("type"), "key", "degree"), "new-nodes")
     every = nodes.unionByName(fresh)
     ids = known.select("key", "node_id", F.lit(False).alias("is_new")).unionByName(
         fresh.select("key", "node_id", F.lit(True).alias("is_new")))
-    return every, features.join(ids, "key").select("node_id", "key", "features", "is_new")
+    found = lookup(features, ids, "key", "inner", table_bytes(ids), partial(hot_keys, lines, "key", "degree"), ["row"])
+    return every, found.select("node_id", "key", "features", "is_new")
 
 
 def attach_labels(nodes: DataFrame, labels: DataFrame, n: int | None = None, missing: str = "error") -> DataFrame:

@@ -10,10 +10,11 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from cardlake.operators.lookups import lookup, table_bytes
+from cardlake.operators.lookups import hot_keys, lookup, table_bytes
 from cardlake.session import stage
 
 ROWS_PER_RANGE = 1 << 18
@@ -96,9 +97,11 @@ def index_within(df: DataFrame, by: Sequence[str], order_by: Sequence[str], name
     that holds a great part of the table is still numbered by many tasks.
     """
     whole = stage(dense_index(df, [*by, *order_by], name, 0, rows_per_range), "numbered")
-    grouped = whole.withColumn("__group", F.struct(*by))  # unlike null columns, structs with nulls are equal
-    starts = stage(grouped.groupBy("__group").agg(F.min(name).alias("__start")), "starts")
-    found = lookup(grouped, starts, "__group", "inner", table_bytes(starts))
+    # As one text, groups with nulls are equal too, and frequent ones can be named in the join.
+    grouped = whole.withColumn("__group", F.to_json(F.struct(*by), {"ignoreNullFields": "false"}))
+    starts = stage(grouped.groupBy("__group").agg(F.min(name).alias("__start"), F.count("*").alias("__n")), "starts")
+    found = lookup(grouped, starts.select("__group", "__start"), "__group", "inner", table_bytes(starts),
+                   partial(hot_keys, starts, "__group", "__n"), [name])
     return found.select((F.col(name) - F.col("__start")).alias(name), *df.columns)
 
 

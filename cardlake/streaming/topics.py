@@ -66,8 +66,17 @@ def record_schema(topic: Topic) -> T.StructType:
 
 
 def read_topic_stream(spark: SparkSession, root: str, topic: Topic, max_files: int | None = None,
-                      fmt: str = "parquet") -> DataFrame:
-    """The topic as a stream of ``(key, value, timestamp, partition)``; ``max_files`` bounds a batch."""
+                      fmt: str = "parquet", **options: str) -> DataFrame:
+    """The topic as a stream of ``(key, value, timestamp, partition)``; ``max_files`` bounds a batch.
+
+    ``fmt="kafka"`` reads a broker where that package is deployed (``root`` is unused, values are JSON); bound a batch with
+    ``maxOffsetsPerTrigger`` there.
+    """
+    if fmt == "kafka":
+        records = spark.readStream.format("kafka").options(**options).option("subscribe", topic.name).load()
+        return records.select(F.col("key").cast("string").alias("key"),
+                              F.from_json(F.col("value").cast("string"), topic.schema).alias("value"), "timestamp",
+                              "partition")
     reader = spark.readStream.format(fmt).schema(record_schema(topic))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cardlake.operators import graph
+from cardlake.operators import graph, lookups
 from cardlake.sources import readers
 from tests.conftest import rows
 
@@ -113,3 +113,19 @@ def test_select_relations():
 def test_isolated_edges_keep_duplicates(frame):
     edges = frame([(i, "a", "b") for i in range(50)], "row long, src string, dst string")
     assert graph.index_edges(edges).edges.where(F.col("src_id") == 0).count() == 50
+
+
+def test_features_without_broadcast(frame, monkeypatch):
+    """A third of the feature lines belong to one node."""
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 0)
+    nodes = frame([(i, "t", f"k{i}", 1) for i in range(20)], "node_id long, type string, key string, degree long")
+    lines = [(i, "k0" if i % 3 == 0 else f"k{i % 25}", [float(i)]) for i in range(300)]
+    every, found = graph.attach_features(nodes, frame(lines, "row long, key string, features array<double>"), "t")
+    ids = {r["key"]: r["node_id"] for r in every.collect()}
+    assert [ids[f"k{i}"] for i in range(20)] == list(range(20)) and sorted(ids.values()) == list(range(25))
+    first = {}
+    for row, key, _ in lines:
+        first.setdefault(key, row)
+    late = sorted((k for k in first if int(k[1:]) >= 20), key=first.get)
+    assert [ids[k] for k in late] == [20, 21, 22, 23, 24]
+    assert rows(found.select("features", "node_id")) == sorted(([x], ids[k]) for _, k, (x,) in lines)

@@ -90,3 +90,14 @@ def test_index_within_groups(frame, per_range):
         want.append((seen.get(g, 0), g, i))
         seen[g] = seen.get(g, 0) + 1
     assert sorted(map(tuple, out.collect()), key=lambda r: r[2]) == want
+
+
+def test_index_within_hot_groups_by_shuffle(frame, monkeypatch):
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 0)
+    data = [("hot" if i % 3 else f"g{i % 5}", i) for i in range(900)]
+    out = index_within(frame(data, "g string, i int"), ["g"], ["i"], "pos", 100)
+    seen = {}
+    for r in sorted(out.collect(), key=lambda r: r["i"]):
+        assert r["pos"] == seen.get(r["g"], 0)
+        seen[r["g"]] = r["pos"] + 1
+    assert sum(seen.values()) == 900
