@@ -467,7 +467,7 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("idx", "user", "prediction", "confidence", "src_known", "dst_known")
 
 
-def encoder_weights(seed: int = 7, heads: int = 4, width: int = 16) -> neural.EncoderWeights:
+def encoder_weights(seed: int = 7, heads: int = 4, width: int = 16, hidden: int = 32) -> neural.EncoderWeights:
     """Random weights in the encoder's shape: no trained ones are published."""
     r = np.random.default_rng(seed)
 
@@ -476,7 +476,63 @@ def encoder_weights(seed: int = 7, heads: int = 4, width: int = 16) -> neural.En
 
     return neural.EncoderWeights(
         w(heads, width), w(heads, width), w(heads * width), w(heads * width, width), w(1, width), w(1, width), w(width),
-        [(w(7, 32), w(32)), (w(32, width), w(width))], [(w(4 * width, width), w(width)), (w(width, 2), w(2))])
+        [(w(7, hidden), w(hidden)), (w(hidden, width), w(width))], [(w(4 * width, width), w(width)), (w(width, 2), w(2))])
+
+
+_SMALL = encoder_weights(heads=2, width=2, hidden=3)
+
+
+def _linear(columns: list[str], weights, bias, j: int) -> str:
+    return " + ".join([f"{w:.17e} * {c}" for c, w in zip(columns, weights[:, j])] + [f"{bias[j]:.17e}"])
+
+
+def _sql_attention(name: str, vec: str, att_src, att_dst, bias, averaged: bool) -> str:
+    """CTEs for one layer over ``vec(g, id, h0, …)`` and ``msg(g, s, d)``; graphs ``g`` are apart from each other."""
+    heads, width = att_src.shape
+    logits = ", ".join(" + ".join(
+        f"{att_src[k][i]:.17e} * a.h{k * width + i} + {att_dst[k][i]:.17e} * b.h{k * width + i}" for i in range(width))
+        + f" AS e{k}" for k in range(heads))
+    shares = ", ".join(f"exp(greatest(e{k}, 0.2 * e{k}) - max(greatest(e{k}, 0.2 * e{k})) OVER (PARTITION BY g, d)) AS w{k}"
+                       for k in range(heads))
+    sums = [f"sum(w{k} * h{k * width + i}) / sum(w{k})" for k in range(heads) for i in range(width)]
+    assert not averaged or heads == 1
+    z = ", ".join(f"{x} + {bias[i]:.17e} AS z{i}" for i, x in enumerate(sums))
+    return f"""{name}_e AS (SELECT m.g, m.d, {', '.join(f'a.h{i}' for i in range(heads * width))}, {logits} FROM msg m
+  JOIN {vec} a ON a.g = m.g AND a.id = m.s JOIN {vec} b ON b.g = m.g AND b.id = m.d),
+{name}_w AS (SELECT *, {shares} FROM {name}_e),
+{name} AS (SELECT g, d AS id, {z} FROM {name}_w GROUP BY g, d)"""
+
+
+def _sql_scores(msg: str, vec: str, ends: str) -> str:
+    """Both layers, the edge perceptron and the classifier. ``ends`` joins the vectors of an edge's nodes as s and d."""
+    w, hidden = _SMALL, [f"(CASE WHEN z{i} > 0 THEN z{i} ELSE exp(z{i}) - 1 END)" for i in range(4)]
+    first = [f"greatest(0.0, {_linear([f'a{i}' for i in range(7)], *w.edge_layers[0], j)})" for j in range(3)]
+    full = ["s.z0", "s.z1", "d.z0", "d.z1", *[_linear(["u0", "u1", "u2"], *w.edge_layers[1], j) for j in range(2)],
+            "abs(s.z0 - d.z0)", "abs(s.z1 - d.z1)"]
+    unit = [f"greatest(0.0, {_linear([f'x{i}' for i in range(8)], *w.classifier[0], j)})" for j in range(2)]
+    return f"""WITH {_AMOUNTS}, cards AS (
+  SELECT "user" || '_' || card AS k, row_number() OVER (ORDER BY min(idx)) - 1 AS id FROM txn GROUP BY 1),
+merchants AS (SELECT merchant_name AS k, row_number() OVER (ORDER BY min(idx)) - 1 + (SELECT count(*) FROM cards) AS id
+  FROM txn GROUP BY 1),
+attr AS (SELECT idx, amount AS a0, dense_rank() OVER (ORDER BY merchant_city) - 1 AS a1,
+  dense_rank() OVER (ORDER BY use_chip) - 1 AS a2, "year" AS a3, "month" AS a4, "day" AS a5,
+  dense_rank() OVER (ORDER BY coalesce(errors, 'No error')) - 1 AS a6 FROM
+  (SELECT idx, merchant_city, use_chip, errors, {_SCALED} FROM priced)),
+edges AS (SELECT txn.idx, c.id AS src, m.id AS dst FROM txn JOIN cards c ON c.k = "user" || '_' || card
+  JOIN merchants m ON m.k = merchant_name),
+ids AS (SELECT id FROM cards UNION ALL SELECT id FROM merchants),
+weights AS (SELECT id, {', '.join(f'(id * {i + 3} % 17) / 17.0 - 0.5 AS h{i}' for i in range(4))} FROM ids),
+msg AS ({msg}), vec AS ({vec}),
+{_sql_attention('one', 'vec', w.att_src1, w.att_dst1, w.bias1, False)},
+mid AS (SELECT g, id, {', '.join(_linear(hidden, w.linear2, np.zeros(2), j) + f' AS h{j}' for j in range(2))} FROM one),
+{_sql_attention('two', 'mid', w.att_src2, w.att_dst2, w.bias2, True)},
+shaped AS (SELECT idx, {', '.join(f'{x} AS u{j}' for j, x in enumerate(first))} FROM attr),
+joined AS (SELECT edges.*, {', '.join(f'{x} AS x{i}' for i, x in enumerate(full))} FROM edges JOIN shaped USING (idx) {ends}),
+units AS (SELECT idx, src, dst, {', '.join(f'{x} AS y{j}' for j, x in enumerate(unit))} FROM joined),
+logits AS (SELECT idx, src, dst, {', '.join(_linear(['y0', 'y1'], *w.classifier[1], j) + f' AS l{j}' for j in range(2))}
+  FROM units)
+SELECT idx, src, dst, round(exp(l1) / (exp(l0) + exp(l1)), 6) AS confidence, CASE WHEN l1 > l0 THEN 'Yes' ELSE 'No' END
+  AS prediction FROM logits"""
 
 
 def weight_table(nodes: DataFrame, size: int) -> DataFrame:
@@ -495,19 +551,23 @@ def _attributed(spark: SparkSession, sf_dir: str) -> graph.Graph:
     return graph.Graph(nodes, edges.select("idx", "src", "dst", "edge_attr", "label"))
 
 
-@query()
+@query(_sql_scores("SELECT 0 AS g, src AS s, dst AS d FROM edges UNION ALL SELECT 0, id, id FROM ids",
+                   "SELECT 0 AS g, * FROM weights", "JOIN two s ON s.id = src JOIN two d ON d.id = dst"))
 def encoder_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two attention layers over the whole graph, then the edge classifier; the tests check it against matrices."""
-    g, w = _attributed(spark, sf_dir), encoder_weights()
-    vectors = neural.encode(weight_table(g.nodes, 64), g.edges, w)
-    scored = neural.classify_edges(g.edges, vectors, w)
+    """Two attention layers over the whole graph, then the edge classifier."""
+    g = _attributed(spark, sf_dir)
+    vectors = neural.encode(weight_table(g.nodes, 4), g.edges, _SMALL)
+    scored = neural.classify_edges(g.edges, vectors, _SMALL)
     return scored.select("idx", "src", "dst", F.round("confidence", 6).alias("confidence"), "prediction")
 
 
-@query()
+@query(_sql_scores("""SELECT idx AS g, src AS s, dst AS d FROM edges UNION ALL SELECT idx, src, src FROM edges
+  UNION ALL SELECT idx, dst, dst FROM edges""",
+                   "SELECT idx AS g, weights.* FROM edges JOIN weights ON id = src OR id = dst",
+                   "JOIN two s ON s.g = idx AND s.id = src JOIN two d ON d.g = idx AND d.id = dst"))
 def request_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each transaction scored on the graph of its own edge; the tests check it against the layer operator."""
-    g, w = _attributed(spark, sf_dir), encoder_weights()
-    table = weight_table(g.nodes, 64)
-    scored = neural.score_requests(g.edges, table, w, table_bytes(table), spread=["idx"])
+    """Each transaction scored on the graph of its own edge."""
+    g = _attributed(spark, sf_dir)
+    table = weight_table(g.nodes, 4)
+    scored = neural.score_requests(g.edges, table, _SMALL, table_bytes(table), spread=["idx"])
     return scored.select("idx", "src", "dst", F.round("confidence", 6).alias("confidence"), "prediction")
