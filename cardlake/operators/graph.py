@@ -52,8 +52,8 @@ def type_sizes(nodes: DataFrame) -> dict[str, tuple[int, int]]:
     return {r["type"]: (r["n"], r["bytes"]) for r in sizes}
 
 
-def _look_up_nodes(rows: DataFrame, nodes: DataFrame, sizes: dict[str, tuple[int, int]], column: str, kind: str, name: str, how: str,
-                   spread: Sequence[str] | None) -> DataFrame:
+def _look_up_nodes(rows: DataFrame, nodes: DataFrame, sizes: dict[str, tuple[int, int]], column: str, kind: str,
+                   name: str, how: str, spread: Sequence[str] | None) -> DataFrame:
     """Add ``name``, the id of the node of type ``kind`` whose key stands in ``column``."""
     key, typed = f"__{name}_key", nodes.where(F.col("type") == kind)
     table = typed.select(F.col("key").alias(key), F.col("node_id").alias(name))

@@ -43,9 +43,10 @@ def lookup(facts: DataFrame, table: DataFrame, key: str, how: str = "left", size
            salts: int = SALTS) -> DataFrame:
     """Join ``table`` (one row per ``key``) to ``facts``.
 
-    A table of a measured ``size`` up to ``BROADCAST_BYTES`` is broadcast. A greater one is joined by a shuffle, in which the rows of the ``hot`` keys are spread over ``salts`` tasks by a hash of the ``spread``
-    columns, and the few hot rows of the table are repeated for it. The hash depends on the row alone, so a task that runs
-    again places rows the same way. ``hot`` may be a function, which is only called for a shuffle.
+    A table of a measured ``size`` up to ``BROADCAST_BYTES`` is broadcast. A greater one is joined by a shuffle, in which
+    the rows of the ``hot`` keys are spread over ``salts`` tasks by a hash of the ``spread`` columns, and the few hot rows
+    of the table are repeated for it. The hash depends on the row alone, so a task that runs again places rows the same
+    way. ``hot`` may be a function, which is only called for a shuffle.
     """
     if size is not None and size <= BROADCAST_BYTES:
         return facts.join(F.broadcast(table), key, how)

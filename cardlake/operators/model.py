@@ -111,16 +111,22 @@ def _predict(fitted: PipelineModel, inputs: DataFrame) -> DataFrame:
 def score(requests: DataFrame, model: EdgeModel, unseen: str = "zero", fill_errors: bool = False) -> DataFrame:
     """Add the prediction to requests; unknown nodes count as node 0 and are flagged ``src_known`` / ``dst_known``.
 
-    A request without ``errors`` gets code 0, whatever error that code stands for. ``fill_errors`` reads it as the training
-    rows do, as "No error".
+    A missing value counts as the first of its column: a request without a merchant is scored with the least merchant
+    (and ``dst_known`` false), one without ``errors`` with the first error text. ``fill_errors`` reads the latter as the
+    training rows do, as "No error".
     """
     names = requests.columns
+    merchants = model.nodes.where(F.col("type") == "merchant")
+    least = merchants.agg(F.min(F.col("key").try_cast("long"))).first()[0]
+    given = F.when(F.col("merchant_name") != 0, F.col("merchant_name"))
     rows = requests.select(
-        F.struct(*names).alias("request"), fn.card_key(F.col("user"), F.col("card")).alias("card_id"), "merchant_name",
+        F.struct(*names).alias("request"), fn.card_key(F.col("user"), F.col("card")).alias("card_id"),
+        F.coalesce(given, F.lit(least).cast("long")).alias("merchant_name"), given.isNotNull().alias("has_merchant"),
         "merchant_city", "use_chip", (fn.or_default(F.col("errors")) if fill_errors else F.col("errors")).alias("errors"),
         fn.money(F.col("amount")).alias("amount"),
         *[F.col(c).cast("double").alias(c) for c in ("year", "month", "day")])
     edges = graph.resolve_edges(rows, model.nodes, default=0)
+    edges = edges.withColumn("dst_known", F.col("dst_known") & F.col("has_merchant"))
     full = _with_stats(_encode(edges, model.codes, model.scaler, unseen), model.stats, model.prior, edges.columns)
     return _predict(model.pipeline, full).select("request.*", "prediction", "confidence", "prob0", "prob1", "src_known",
                                                  "dst_known")

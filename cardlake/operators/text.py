@@ -49,7 +49,8 @@ def table_documents(rows: DataFrame, columns: Sequence[str], file: str = "file_n
     header = tx.csv_header(columns) + "\n"
     need = max(1, -(-prefix // max(2, len(columns))))
     lines = table_lines(rows, columns, [file, *order_by])
-    ranked = lines.withColumn("r", F.row_number().over(Window.partitionBy(file).orderBy(*order_by))).where(F.col("r") <= need)
+    place = F.row_number().over(Window.partitionBy(file).orderBy(*order_by))
+    ranked = lines.withColumn("r", place).where(F.col("r") <= need)
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "line"))), lambda s: s["line"]), "\n")
     texts = ranked.groupBy(file).agg(
         F.substring(F.concat(F.lit(header), joined, F.lit("\n")), 1, prefix).alias("text"))

@@ -70,7 +70,8 @@ def as_transactions(scored: DataFrame, prediction: str = "prediction") -> DataFr
 def _high_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
     """The greatest id in use when the batch begins. Each batch leaves it as one row, so the history is not read."""
     try:
-        return spark.read.schema("high int").parquet(f"{root}/high_water/batch_id={batch_id - 1}").agg(F.max("high")).first()[0]
+        left = spark.read.schema("high int").parquet(f"{root}/high_water/batch_id={batch_id - 1}")
+        return left.agg(F.max("high")).first()[0]
     except AnalysisException:
         if batch_id == 0:
             return None

@@ -54,3 +54,14 @@ def test_unknown_nodes_and_values(spark, trained, transactions):
     assert len(out) == 3 and not any(r["src_known"] or r["dst_known"] for r in out)
     with pytest.raises(Exception, match="no code for merchant_city: nowhere"):
         model.score(odd, fitted, unseen="error").collect()
+
+
+def test_a_missing_merchant_is_the_least_one(trained, transactions):
+    fitted, _ = trained
+    two = transactions.limit(2)
+    least = model.score(two.withColumn("merchant_name", F.lit(0).cast("long")), fitted).collect()
+    names = [int(r[0]) for r in fitted.nodes.where("type = 'merchant'").select("key").collect()]
+    none = model.score(two.withColumn("merchant_name", F.lit(None).cast("long")), fitted).collect()
+    named = model.score(two.withColumn("merchant_name", F.lit(min(names)).cast("long")), fitted).collect()
+    assert [r["prob1"] for r in none] == [r["prob1"] for r in named] == [r["prob1"] for r in least]
+    assert not any(r["dst_known"] for r in none)
