@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from cardlake.llm import decontaminate
+from cardlake.llm import decontaminate, jaccard_join
 
-QUERIES = {"op4_decontamination": decontaminate.op4}
+QUERIES = {
+    "op4_decontamination": decontaminate.op4,
+    "op9_ngram_jaccard_join": jaccard_join.op9,
+}
 ORACLES: dict[str, str] = {}
