@@ -5,13 +5,14 @@
 2. *Shared shingles.* Shingles are dealt to buckets by hash, packed as arrays. A bucket counts in how many classes each
    occurs and passes on those of at least two; a shingle of one class alone cannot be part of any overlap. A class whose
    shared shingles are fewer than ``share`` of its set links with nothing and is done: that bound needs no threshold on data.
-3. *Prefixes.* With shingles ordered rarest first, two sets that link share one of their first ``s - ceil(share*n) + 1``
-   shared shingles, so passages that many documents hold are not looked at unless a document is little else.
+3. *Prefixes.* With shingles ordered rarest first, two sets that link have ``k`` of their first ``s - ceil(share*n) + k``
+   shared shingles in common (k is 16, or the least overlap if that is smaller), so passages that many documents hold are
+   not looked at unless a document is little else.
 4. *Groups.* Classes are partitioned around leaders: in each round every class is compared with the one class that leads most of
    its prefix shingles. The linked ones form groups.
-5. *Token-group matrix.* A class and another group that share a prefix shingle are a candidate. The overlap of the class with
-   the union of the group's shingles bounds its overlap with any member; only groups that reach ``share`` of the class are
-   opened, and their members (with a fitting size and a common prefix shingle) are compared exactly.
+5. *Token-group matrix.* It holds the union of the members' prefix shingles of each group. The overlap of a class with a
+   group's row bounds its overlap with any member; only groups that reach k are opened. Of their members those are compared
+   exactly that have a fitting size and share at least as many prefix shingles as a link leaves no way to miss.
 
 Steps 4 and 5 leave out only pairs that are already in one component, so components are exact: a pair of different texts
 that links is either compared or connected by compared links.
@@ -34,6 +35,7 @@ from cardlake.session import stage
 SIZE, SHARE = 5, (80, 100)
 FLUSH = 1 << 21  # shingles that a task holds before it sends them on
 ROUNDS = 3  # leader rounds
+PREFIX_OVERLAP = 16  # shared prefix shingles that a link needs; prefixes are this much longer
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -158,7 +160,7 @@ def _candidates(share: tuple[int, int]):
         sigs, which = np.unique(raw, return_inverse=True)
         owner = np.repeat(which.astype(np.int32), many)
         sizes = sigs.view(np.uint8).reshape(-1, 16)[:, 12:].copy().view(">u4").reshape(-1).astype(np.int64)
-        need = needed(sizes, share)
+        need, alpha = needed(sizes, share), needed(2 * sizes, (share[0], share[0] + share[1]))
         shared = np.bincount(owner, minlength=len(sigs))
         keep = (shared >= need)[owner]
         tokens, ranks, owner = tokens[keep], ranks[keep], owner[keep]
@@ -167,13 +169,14 @@ def _candidates(share: tuple[int, int]):
         out = []
         for i in np.unique(owner):
             a, b = np.searchsorted(owner, [i, i + 1])
-            own = tokens[a:b]
-            out.append((sigs[i].tobytes(), int(sizes[i]), own[:len(own) - int(need[i]) + 1].view(np.int64).tolist(),
+            own, least = tokens[a:b], min(PREFIX_OVERLAP, int(need[i]))
+            out.append((sigs[i].tobytes(), int(sizes[i]), len(own), int(need[i]), int(alpha[i]), least,
+                        min(PREFIX_OVERLAP, int(alpha[i])), own[:len(own) - int(need[i]) + least].view(np.int64).tolist(),
                         np.sort(own).tobytes()))
-        cols = list(zip(*out)) or [[]] * 4
-        return pa.Table.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()),
-                                     pa.array(cols[2], pa.list_(pa.int64())), pa.array(cols[3], pa.binary())],
-                                    ["sig", "n", "prefix", "tokens"])
+        cols = list(zip(*out)) or [[]] * 9
+        kinds = (pa.binary(), *[pa.int64()] * 6, pa.list_(pa.int64()), pa.binary())
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
+                                    ["sig", "n", "s", "need", "alpha", "least", "least_short", "prefix", "tokens"])
     return run
 
 
@@ -188,78 +191,94 @@ def _verified(share: tuple[int, int]):
                 if share[1] * both >= share[0] * (n[i] + m[i] - both):
                     kept.append(i)
             if kept:
-                yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in kept], pa.binary()),
-                                                  pa.array([b[i] for i in kept], pa.binary())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in kept], pa.int64()),
+                                                  pa.array([b[i] for i in kept], pa.int64())], ["a", "b"])
     return run
 
 
 def _compare(pairs: DataFrame, classes: DataFrame, share: tuple[int, int]) -> DataFrame:
-    left = classes.select(F.col("sig").alias("a"), F.col("n"), F.col("tokens").alias("x"))
-    right = classes.select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("tokens").alias("y"))
+    left = classes.select(F.col("cid").alias("a"), F.col("n"), F.col("tokens").alias("x"))
+    right = classes.select(F.col("cid").alias("b"), F.col("n").alias("m"), F.col("tokens").alias("y"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(
-        _verified(share), "a binary, b binary")
+        _verified(share), "a long, b long")
 
 
-def _fits(n: str, m: str, share: tuple[int, int]):
-    return (F.col(n) * share[1] >= F.col(m) * share[0]) & (F.col(m) * share[1] >= F.col(n) * share[0])
+def _overlap_fits(n: str, m: str, shared: str, share: tuple[int, int]):
+    """Whether a set of n with so many shared shingles can reach the overlap that a link with a set of m needs."""
+    return (F.col(n) + F.col(m)) * share[0] <= F.col(shared) * (share[0] + share[1])
 
 
-def similar_classes(docs: DataFrame, text: str = "text", size: int = SIZE, share: tuple[int, int] = SHARE) -> DataFrame:
-    """(a, b): links between signatures of different sets that connect every component of linked sets."""
+def _fits(share: tuple[int, int]):
+    """Whether sets of n and m, with s and t shared shingles, can link."""
+    sizes = (F.col("n") * share[1] >= F.col("m") * share[0]) & (F.col("m") * share[1] >= F.col("n") * share[0])
+    return sizes & _overlap_fits("n", "m", "s", share) & _overlap_fits("n", "m", "t", share)
+
+
+def similar_classes(docs: DataFrame, text: str = "text", size: int = SIZE,
+                    share: tuple[int, int] = SHARE) -> tuple[DataFrame, DataFrame]:
+    """Classes (cid, sig, n, ...) that may link, and links (a, b) between their numbers.
+
+    The links connect every component of linked sets; pairs that other links connect already may be left out.
+    """
     spark = docs.sparkSession
     buckets = min(1 << 16, max(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     packs = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(
         _packs(size, buckets), "bucket int, sigs binary, many binary, low binary")
     shared = packs.groupBy("bucket").applyInArrow(_shared(buckets), "part int, sigs binary, many binary, tokens binary, ranks binary")
     classes = stage(shared.groupBy("part").applyInArrow(
-        _candidates(share), "sig binary, n long, prefix array<long>, tokens binary"), "candidates")
-    posts = stage(classes.select("sig", "n", F.explode("prefix").alias("token")), "prefixes")
-
-    # Leaders: per round and shingle the class with the least salted hash; a class meets the one that leads most of its prefix.
+        _candidates(share), "sig binary, n long, s long, need long, alpha long, least long, least_short long, "
+        "prefix array<long>, tokens binary")
+        .withColumn("cid", F.monotonically_increasing_id()), "candidates")
+    posts = stage(classes.select("cid", "n", "s", "need", "alpha", "least", "least_short",
+                                 F.posexplode("prefix").alias("pos", "token"))
+                  .withColumn("short", (F.col("s") >= F.col("alpha"))
+                              & (F.col("pos") < F.col("s") - F.col("alpha") + F.col("least_short")))
+                  .withColumn("cap", F.floor(F.col("s") * sum(share) / share[0]) - F.col("n")).drop("pos"), "prefixes")
+
+    # Leaders: in round 0 the class with the fewest shingles of its own (an original among its copies), then any by salted
+    # hash. A class meets the one that leads most of its prefix.
     rounds = F.explode(F.array(*[F.lit(i) for i in range(ROUNDS)]))
-    order = F.struct(F.xxhash64("sig", "round").alias("h"), F.col("sig").alias("sig"), F.col("n").alias("n"))
+    own = F.when(F.col("round") == 0, F.floor(50 * (F.col("n") - F.col("s")) / F.col("n"))).otherwise(0)
+    order = F.struct(own.alias("own"), F.xxhash64("cid", "round").alias("h"), "cid", "n", "s")
     seeded = posts.withColumn("round", rounds)
     leaders = seeded.groupBy("token", "round").agg(F.min(order).alias("lead"), F.count("*").alias("held")).filter("held > 1")
-    met = (seeded.join(leaders, ["token", "round"]).select("sig", "round", "n", F.col("lead.sig").alias("lead"),
-                                                            F.col("lead.n").alias("m"))
-           .filter("sig <> lead").filter(_fits("n", "m", share)).groupBy("sig", "round", "lead").count()
-           .groupBy("sig", "round").agg(F.max(F.struct("count", "lead")).alias("best")))
-    pairs = met.select(F.col("sig").alias("a"), F.col("best.lead").alias("b")).distinct()
+    met = (seeded.join(leaders, ["token", "round"])
+           .select("cid", "round", "n", "s", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("m"), F.col("lead.s").alias("t"))
+           .filter("cid <> lead").filter(_fits(share)).groupBy("cid", "round", "lead").count()
+           .groupBy("cid", "round").agg(F.max(F.struct("count", "lead")).alias("best")))
+    pairs = met.select(F.least("cid", "best.lead").alias("a"), F.greatest("cid", "best.lead").alias("b")).distinct()
     first = stage(_compare(pairs, classes, share), "leader-links")
     group_of = stage(components(first), "groups")
 
-    # The matrix: shingles of groups, for classes and groups that meet in a prefix shingle.
-    members = stage(posts.join(group_of.withColumnRenamed("node", "sig"), "sig", "left")
-                    .select("sig", "n", "token", F.coalesce("root", "sig").alias("grp")), "members")
+    # The matrix: the shingles of each group, as far as classes of another group ask for them. Of two sets the smaller
+    # one asks, with a shorter prefix, for its overlap with a set that is no smaller must be larger. cap: the size of the
+    # largest set that a class can link with, given how much of it is shared with any other.
+    members = stage(posts.join(group_of.withColumnRenamed("node", "cid"), "cid", "left")
+                    .withColumn("grp", F.coalesce("root", "cid")).drop("root"), "members")
     mixed = (members.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo <> hi")
              .select("token"))
-    open_posts = stage(members.join(mixed, "token"), "open-prefixes")
-    matrix = open_posts.select("token", "grp").distinct()
-    asked = (open_posts.select("sig", "n", "token", F.col("grp").alias("own")).join(matrix, "token").filter("own <> grp")
-             .select("sig", "n", "grp").distinct())
-    asked = stage(asked, "asked-groups")
-    long_form = classes.join(asked.select("sig").distinct(), "sig", "left_semi")
-    query_tokens = long_form.mapInArrow(_explode_tokens, "sig binary, token long")
-    all_groups = (classes.join(group_of.withColumnRenamed("node", "sig"), "sig", "left")
-                  .select("tokens", F.coalesce("root", "sig").alias("grp"))
-                  .join(asked.select("grp").distinct(), "grp", "left_semi"))
-    union = all_groups.select(F.col("grp").alias("sig"), "tokens").mapInArrow(
-        _explode_tokens, "sig binary, token long").select(F.col("sig").alias("grp"), "token").distinct()
-    overlap = (asked.join(query_tokens, "sig").join(union, ["grp", "token"]).groupBy("sig", "n", "grp").count()
-               .filter(F.col("count") * share[1] >= F.col("n") * share[0]).select("sig", "grp"))
-    opened = stage(overlap, "opened-groups")
-    inside = open_posts.select("token", "grp", F.col("sig").alias("b"), F.col("n").alias("m"))
-    further = (opened.join(open_posts.drop("grp"), "sig").join(inside, ["token", "grp"]).filter(_fits("n", "m", share))
-               .select(F.least("sig", "b").alias("a"), F.greatest("sig", "b").alias("b")).distinct())
+    asking = stage(members.join(mixed, "token"), "asking")
+    matrix = asking.groupBy("token", F.col("grp").alias("other")).agg(
+        F.min("least").alias("enough"), F.max("n").alias("largest"), F.min("n").alias("smallest"), F.max("cap").alias("cap"))
+    queries = asking.filter("short").select("token", "cid", "grp", "n", "s", "alpha", "least_short")
+    opened = stage(
+        queries.join(matrix, (queries["token"] == matrix["token"]) & (F.col("grp") != F.col("other"))
+                     & (F.col("largest") >= F.col("n")) & (matrix["cap"] >= F.col("n")) & _overlap_fits("n", "smallest", "s", share))
+        .groupBy("cid", "other").agg(F.count("*").alias("overlap"), F.min("least_short").alias("least"),
+                                     F.min("enough").alias("enough"))
+        .filter(F.col("overlap") >= F.least("least", "enough")).select("cid", F.col("other").alias("grp")), "opened-groups")
+    inside = asking.select("token", "grp", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("s").alias("t"),
+                           (F.col("least") - F.col("need")).alias("slack_b"))
+    asked = opened.join(queries.drop("grp"), "cid").withColumn("slack", F.col("least_short") - F.col("alpha")).drop("alpha", "least_short")
+    # Two linked sets share at least this much, and miss at most the rest of either prefix (the one that ends first).
+    least = F.ceil((F.col("n") + F.col("m")) * share[0] / (share[0] + share[1]))
+    further = (asked.join(inside, (asked["token"] == inside["token"]) & (asked["grp"] == inside["grp"]) & _fits(share)
+                          & ((F.col("m") > F.col("n")) | (F.col("m") == F.col("n")) & (F.col("b") > F.col("cid"))))
+               .groupBy(F.col("cid").alias("a"), "b")
+               .agg(F.count("*").alias("overlap"), F.min(least + F.least("slack", "slack_b")).alias("enough"))
+               .filter(F.col("overlap") >= F.col("enough")).select("a", "b"))
     second = stage(_compare(further, classes, share), "group-links")
-    return first.unionByName(second)
-
-
-def _explode_tokens(batches):
-    for batch in batches:
-        for sig, tokens in zip(batch.column("sig").to_pylist(), batch.column("tokens").to_pylist()):
-            own = np.frombuffer(tokens, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([sig] * len(own), pa.binary()), pa.array(own)], ["sig", "token"])
+    return classes, first.unionByName(second)
 
 
 def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (),
@@ -269,10 +288,11 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     plain = docs.select(F.struct(*kept).alias("kept"), F.col(text).cast("binary").alias("text"))
     fields = plain.schema["kept"].dataType.simpleString()
     sets = stage(plain.mapInArrow(_signatures(size), f"kept {fields}, n_shingles long, sig binary"), "sets")
-    root_of = components(similar_classes(docs, text, size, share))
+    classes, links = similar_classes(docs, text, size, share)
+    root_of = components(links).withColumnRenamed("node", "cid").join(classes.select("cid", "sig"), "cid").select("sig", "root")
     least = (sets.filter("sig is not null").groupBy("sig").agg(F.min("kept.id").alias("least"))
-             .join(root_of.withColumnRenamed("node", "sig"), "sig", "left")
-             .withColumn("root", F.coalesce("root", "sig")))
+             .join(root_of, "sig", "left")
+             .withColumn("root", F.coalesce(F.col("root").cast("string").cast("binary"), "sig")))
     by_root = least.groupBy("root").agg(F.min("least").alias("component_id"))
     by_sig = stage(least.select("sig", "root").join(by_root, "root").select("sig", "component_id"), "class-components")
     # A class may hold a third of all documents: its single row is repeated for every salt.
