@@ -250,6 +250,22 @@ def similar_classes(docs: DataFrame, text: str = "text", size: int = SIZE,
     first = stage(_compare(pairs, classes, share), "leader-links")
     group_of = stage(components(first), "groups")
 
+    # Once more with groups in place: a class meets the original of the group that holds most of its prefix shingles.
+    grouped = posts.join(group_of.withColumnRenamed("node", "cid"), "cid", "left").withColumn("grp", F.coalesce("root", "cid"))
+    rank = F.struct(((F.col("n") - F.col("s")) / F.col("n")).alias("own"), "cid", "n", "s")
+    heads = (classes.select("cid", "n", "s").join(group_of.withColumnRenamed("node", "cid"), "cid", "left")
+             .groupBy(F.coalesce("root", "cid").alias("grp")).agg(F.min(rank).alias("lead")))
+    common = (grouped.groupBy("token", "grp").agg(F.count("*").alias("held")).groupBy("token")
+              .agg(F.max(F.struct("held", "grp")).alias("top"), F.count("*").alias("groups")).filter("groups > 1")
+              .select("token", F.col("top.grp").alias("other")))
+    near = (grouped.join(common, "token").filter("grp <> other").groupBy("cid", "n", "s", "other").count()
+            .groupBy("cid", "n", "s").agg(F.max(F.struct("count", "other")).alias("best"))
+            .join(heads.withColumnRenamed("grp", "other"), F.col("best.other") == F.col("other"))
+            .select("cid", "n", "s", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("m"), F.col("lead.s").alias("t"))
+            .filter(_fits(share)).select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct())
+    first = stage(first.unionByName(_compare(near, classes, share)), "leader-links")
+    group_of = stage(components(first), "groups")
+
     # The matrix: the shingles of each group, as far as classes of another group ask for them. Of two sets the smaller
     # one asks, with a shorter prefix, for its overlap with a set that is no smaller must be larger. cap: the size of the
     # largest set that a class can link with, given how much of it is shared with any other.
