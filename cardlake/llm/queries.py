@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from cardlake.llm import decontaminate, jaccard_join
+from cardlake.llm import bpe, decontaminate, jaccard_join, secrets, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1,
     "op4_decontamination": decontaminate.op4,
+    "op5_secret_scan": secrets.op5,
+    "op8_bpe_automaton": bpe.op8,
     "op9_ngram_jaccard_join": jaccard_join.op9,
 }
 ORACLES: dict[str, str] = {}
