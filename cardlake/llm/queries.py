@@ -2,13 +2,36 @@
 
 from __future__ import annotations
 
-from cardlake.llm import bpe, decontaminate, jaccard_join, secrets, toxicity
+from cardlake.llm import bpe, decontaminate, html_extract, jaccard_join, language, secrets, toxicity, vector_search, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
+    "op3_html_extraction": html_extract.op3,
     "op4_decontamination": decontaminate.op4,
     "op5_secret_scan": secrets.op5,
+    "op6_exact_top_k": vector_search.op6,
+    "op7_warc_revisits": warc.op7,
     "op8_bpe_automaton": bpe.op8,
     "op9_ngram_jaccard_join": jaccard_join.op9,
+    "op10_language_id": language.op10,
+}
+ORACLES: dict[str, str] = {
+    "op6_exact_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(CAST(a.q AS DOUBLE[]), CAST(b.q AS DOUBLE[])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5""",
+    "op7_warc_revisits": """
+WITH p AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY ALL)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)""",
 }
-ORACLES: dict[str, str] = {}
