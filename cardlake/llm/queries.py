@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from cardlake.llm import bpe, decontaminate, html_extract, jaccard_join, language, secrets, toxicity, vector_search, warc
+from cardlake.llm import bpe, decontaminate, html_extract, jaccard_join, katz, language, secrets, toxicity, vector_search, warc
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
+    "op2_katz_backoff": katz.op2,
     "op3_html_extraction": html_extract.op3,
     "op4_decontamination": decontaminate.op4,
     "op5_secret_scan": secrets.op5,
