@@ -14,7 +14,7 @@ mass to one unknown word, as the base score does, so both are distributions over
 Defined cases: a null or empty text has one token, the end; without training rows every token has probability 1; where
 Good-Turing gives no discount between 0 and 1 (a count of counts is missing), an absolute discount is used; a context whose
 counts are all above LIMIT gets one more count for the unseen; repeated rows count and are scored row by row; empty tables give no
-rows. Words are told apart by 64-bit hashes, behind a context by 48 bits of them.
+rows. Words are told apart by 64-bit hashes, behind a context by 40 bits of them.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ from cardlake.session import scratch_path, stage
 
 ORDER, LIMIT = 2, 5
 BLOCK = 1 << 20  # tokens
+LOW = 5  # bytes of a word's hash that tell it apart from the others behind one context
 END = H.U(0x27220A95FE6D52B1)
 _ANSWER = "kind int, block long, bucket int, counts binary, context_sums binary, context long, stats array<double>"
 _NAMES = ["kind", "block", "bucket", "counts", "context_sums", "context", "stats"]
@@ -52,6 +53,23 @@ def _open(b: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(item, -1).T).view(kind).reshape(-1)
 
 
+def _press_values(a: np.ndarray) -> bytes:
+    """Few distinct values: a list of them and their numbers."""
+    values, which = np.unique(a, return_inverse=True)
+    codes = _press(which.astype(np.uint16 if len(values) < 1 << 16 else np.uint32))
+    return len(codes).to_bytes(8, "little") + codes + _press(values)
+
+
+def _open_values(b: bytes) -> np.ndarray:
+    size = int.from_bytes(b[:8], "little")
+    values = _open(b[8 + size:], np.float64)
+    return values[_open(b[8:8 + size], np.uint16 if len(values) < 1 << 16 else np.uint32)]
+
+
+def _low(words: np.ndarray) -> bytes:
+    return words.view(np.uint8).reshape(-1, 8)[:, :LOW].tobytes()
+
+
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> H.U(40)) * H.U(buckets) >> H.U(24)).astype(np.int64)
 
@@ -183,8 +201,9 @@ def _answer_grams(table: pa.Table) -> pa.Table:
     bucket = table.column("bucket")[0].as_py()
     col = lambda name, kind: [_open(x, kind) for x in table.column(name).to_pylist()]
     contexts, sizes, hots = col("contexts", np.uint64), col("sizes", np.uint32), col("hot", np.uint8)
-    low = [np.pad(np.frombuffer(x, np.uint8).reshape(-1, 6), ((0, 0), (0, 2))).reshape(-1).view(np.uint64) for x in table.column("low").to_pylist()]
-    counts, lower = col("counts", np.uint32), col("lower", np.float64)
+    low = [np.pad(np.frombuffer(x, np.uint8).reshape(-1, LOW), ((0, 0), (0, 8 - LOW))).reshape(-1).view(np.uint64)
+           for x in table.column("low").to_pylist()]
+    counts, lower = col("counts", np.uint32), [_open_values(x) for x in table.column("lower").to_pylist()]
     ctx = np.concatenate([np.repeat(c, s) for c, s in zip(contexts, sizes)])
     w, n, p = np.concatenate(low), np.concatenate(counts).astype(np.int64), np.concatenate(lower)
     order = np.lexsort((w, ctx))
@@ -213,7 +232,9 @@ def _answer_grams(table: pa.Table) -> pa.Table:
         rows.append((HOT, None, bucket, None, None, c, sums[:, i].tolist()))
     rows.append((TOTALS, None, bucket, None, None, None, [float(total.sum()), float((total > 0).sum()), *_count_of_counts(total)]))
     seen = total > 0
-    rows.append((TABLE, None, bucket, _press(total[seen].astype(np.uint32)), _press(e_ctx[seen]) + _press(w_o[entry][seen]), None, None))
+    kept, runs = e_ctx[seen], _runs(e_ctx[seen])
+    parts = [_press(kept[runs]), _press(np.diff(np.append(runs, len(kept))).astype(np.uint32)), _low(w_o[entry][seen])]
+    rows.append((TABLE, None, bucket, _press(total[seen].astype(np.uint32)), b"".join(len(x).to_bytes(8, "little") + x for x in parts), None, None))
     return _rows(rows)
 
 
@@ -309,12 +330,12 @@ def _ask_grams(n: int, scorer: _Scorer, buckets: int):
         _, p, count = scorer.run(block, _answers(right, n - 1))
         at, one, which, ctx, w, bucket, hot = block.grams(n, buckets, count, scorer.orders[0]["totals"][0])
         many = np.bincount(which, weights=block.flag[at], minlength=len(one)).astype(np.uint32)
-        low, rows = w.view(np.uint8).reshape(-1, 8)[:, :6], []
+        rows = []
         for k in np.unique(bucket):
             i, j = np.searchsorted(bucket, [k, k + 1])
             run = _runs(ctx[i:j])
             rows.append((int(k), block.block, _press(ctx[i:j][run]), _press(np.diff(np.append(run, j - i)).astype(np.uint32)),
-                         _press(hot[i:j][run].astype(np.uint8)), low[i:j].tobytes(), _press(many[i:j]), _press(p[one[i:j]])))
+                         _press(hot[i:j][run].astype(np.uint8)), _low(w[i:j]), _press(many[i:j]), _press_values(p[one[i:j]])))
         cols = list(zip(*rows)) or [[]] * 8
         kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 6)
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
@@ -343,7 +364,7 @@ def score_documents(docs: DataFrame, train: str, text: str = "text", keep: tuple
     The n-gram tables are written under ``tables`` (a folder in the shared folder by default), partitioned by order and bucket.
     """
     spark = docs.sparkSession
-    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     tables = tables or scratch_path(spark, "katz")
     plain = docs.select(F.struct(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]).alias("kept"),
                         F.coalesce(F.col(train), F.lit(False)).alias("train"), F.col(text).cast("binary").alias("text"))
