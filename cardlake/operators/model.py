@@ -108,12 +108,12 @@ def _predict(fitted: PipelineModel, inputs: DataFrame) -> DataFrame:
         .drop("raw", "x", "rawPrediction", "probability", *_inputs())
 
 
-def score(requests: DataFrame, model: EdgeModel, unseen: str = "zero", fill_errors: bool = False) -> DataFrame:
+def score(requests: DataFrame, model: EdgeModel, unseen: str = "zero", fill_errors: bool = True) -> DataFrame:
     """Add the prediction to requests; unknown nodes count as node 0 and are flagged ``src_known`` / ``dst_known``.
 
     A missing value counts as the first of its column: a request without a merchant is scored with the least merchant
-    (and ``dst_known`` false), one without ``errors`` with the first error text. ``fill_errors`` reads the latter as the
-    training rows do, as "No error".
+    (and ``dst_known`` false), one without ``errors`` as the training rows are, with "No error". With
+    ``fill_errors=False`` the latter is scored with the first error text.
     """
     names = requests.columns
     merchants = model.nodes.where(F.col("type") == "merchant")

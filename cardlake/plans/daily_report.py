@@ -30,7 +30,7 @@ def run(spark: SparkSession, bronze: str, table: str, ds: str, count_mode: str =
     report = build_report(spark, bronze, count_mode, fmt)
     if stage_root:
         write_stage(report, stage_root, "fraud_report", ds)
-        report = read_stage(spark, stage_root, "fraud_report", ds)
+        report = read_stage(spark, stage_root, "fraud_report", ds, report.schema)
     else:
         report = stage(report, "fraud-report")
     append_table(report, table, ["count_fraud", "user"], ds, mode)

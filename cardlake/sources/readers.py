@@ -15,27 +15,34 @@ from cardlake.session import stage
 CORRUPT = "_corrupt"
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, corrupt: bool = False) -> DataFrame:
-    """CSV with a header row. With ``corrupt`` lines that do not fit are kept whole in the column ``_corrupt``."""
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, corrupt: bool = False,
+             multi_line: bool = True) -> DataFrame:
+    """CSV with a header row. With ``corrupt`` lines that do not fit are kept whole in the column ``_corrupt``.
+
+    Quoted line breaks belong to their field. Where no field holds one, ``multi_line=False`` lets Spark split large files.
+    """
     if corrupt:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
+    reader = reader.option("multiLine", multi_line)
     return (reader.option("columnNameOfCorruptRecord", CORRUPT) if corrupt else reader).csv(path)
 
 
 def file_order_index(df: DataFrame, name: str = "idx", start: int = 0) -> DataFrame:
     """Number the rows of a table just read from files in the order they stand there; the index is the first column.
 
-    A split of a file is read by one task from its first row to its last, so a row's place is the number of rows in the
-    splits before it plus its distance from the first row of its own. Only the small table of splits is sorted; the rows
-    stay where they are read.
+    The rows are written once with the place where they were read: file, split, and number in the split. Counts and
+    positions both come from that table, so it does not matter how another scan would split the files. Files stand in
+    the order of their folder, the number in their name and their name. Only the small table of splits is sorted.
     """
-    located = df.select("*", F.col("_metadata.file_path").alias("__file"),
-                        F.col("_metadata.file_block_start").alias("__block"),
-                        F.monotonically_increasing_id().alias("__row"))
-    splits = stage(located.groupBy("__file", "__block").agg(F.count("*").alias("n"), F.min("__row").alias("__first")),
-                   "splits")
-    before, _ = running_totals(splits, ["__file", "__block"], ["n"])
+    file = F.col("_metadata.file_path")
+    located = stage(df.select("*", file.alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
+                              F.monotonically_increasing_id().alias("__row")), "located")
+    number = F.regexp_extract(F.element_at(F.split("__file", "/"), -1), r"(\d+)", 1)
+    splits = stage(located.groupBy("__file", "__block").agg(F.count("*").alias("n"), F.min("__row").alias("__first"))
+                   .withColumn("__folder", F.regexp_replace("__file", "/[^/]*$", ""))
+                   .withColumn("__digits", F.length(number)).withColumn("__number", number), "splits")
+    before, _ = running_totals(splits, ["__folder", "__digits", "__number", "__file", "__block"], ["n"])
     before = before.select("__file", "__block", "__first", (F.col("cum_n") - F.col("n") + start).alias("__before"))
     index = F.col("__before") + F.col("__row") - F.col("__first")
     return located.join(before, ["__file", "__block"]).select(index.alias(name), *[c for c in df.columns if c != name])
@@ -43,15 +50,20 @@ def file_order_index(df: DataFrame, name: str = "idx", start: int = 0) -> DataFr
 
 def read_topic(spark: SparkSession, root: str, topic: str, schema: T.StructType, columns: Sequence[str] | None = None,
                predicate: Column | None = None, fmt: str = "parquet") -> DataFrame:
-    """All files under ``topics/<topic>/partition=*/``.
+    """All rows of ``topics/<topic>``; if a stream wrote it, only what its commit log names.
 
     Columns that a file lacks are null, no file at all gives no rows, and both the projection and the predicate reach the
     scan.
     """
     base = f"{root}/topics/{topic}"
-    found = _glob(spark, f"{base}/partition=*")
-    df = (spark.read.format(fmt).schema(schema).option("basePath", base).option("pathGlobFilter", f"*.{fmt}").load(found)
-          if found else spark.createDataFrame([], schema))
+    if _glob(spark, f"{base}/_spark_metadata"):
+        # A commit log is read with the schema as given, so what older files lack must be allowed to be null.
+        nullable = [T.StructField(f.name, f.dataType) for f in schema.fields]
+        df = spark.read.format(fmt).schema(T.StructType([*nullable, T.StructField("partition", T.IntegerType())])).load(base)
+    else:
+        found = _glob(spark, f"{base}/partition=*")
+        reader = spark.read.format(fmt).schema(schema).option("basePath", base).option("pathGlobFilter", f"*.{fmt}")
+        df = reader.load(found) if found else spark.createDataFrame([], schema)
     if predicate is not None:
         df = df.where(predicate)
     return select_present(df, columns or schema.fieldNames())
@@ -63,9 +75,13 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(h.getPath()) for h in hits or [])
 
 
-def read_stage(spark: SparkSession, root: str, name: str, ds: str | None = None) -> DataFrame:
-    """A staged table, or only the rows of one run date."""
-    df = spark.read.parquet(f"{root}/{name}")
+def read_stage(spark: SparkSession, root: str, name: str, ds: str | None = None,
+               schema: T.StructType | None = None) -> DataFrame:
+    """A staged table, or only the rows of one run date. With ``schema`` a table without any rows can be read."""
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType([*[f for f in schema.fields if f.name != "ds"], T.StructField("ds", T.StringType())]))
+    df = reader.parquet(f"{root}/{name}")
     return df if ds is None else df.where(F.col("ds") == ds).drop("ds")
 
 
@@ -78,8 +94,9 @@ def read_prefix_with_file(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def list_datasets(spark: SparkSession, prefix: str, suffix: str = ".parquet") -> list[str]:
-    """Paths of the datasets under ``prefix``, one per file or folder whose name ends with ``suffix``."""
-    return _glob(spark, f"{prefix}/*{suffix}")
+    """Paths of the datasets under ``prefix``: files or folders whose name ends with ``suffix``, and staged tables."""
+    staged = {p.rstrip("/").rsplit("/", 1)[0] for p in _glob(spark, f"{prefix}/*/ds=*")}
+    return sorted({*_glob(spark, f"{prefix}/*{suffix}"), *staged})
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -12,19 +12,26 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", '""').csv(path)
 
 
-def _replace_partitions(df: DataFrame, path: str, *by: str) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+def _replace_partition(df: DataFrame, path: str, by: str, value) -> None:
+    """Write ``df`` as the whole partition ``by=value``; an empty ``df`` empties it and leaves a readable table."""
+    rows = df.withColumn(by, F.lit(value))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    if df.isEmpty():  # a dynamic overwrite without rows replaces nothing
+        fs.delete(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={value}"), True)
 
 
 def write_stage(df: DataFrame, root: str, name: str, ds: str) -> str:
     """Stage a table under its run date; a second run of the date replaces the first."""
-    _replace_partitions(df.withColumn("ds", F.lit(ds)), f"{root}/{name}", "ds")
+    _replace_partition(df, f"{root}/{name}", "ds", ds)
     return f"{root}/{name}"
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one stream batch; when the stream repeats a batch it replaces its own files."""
-    _replace_partitions(df.withColumn("batch_id", F.lit(batch_id).cast("long")), path, "batch_id")
+    _replace_partition(df, path, "batch_id", batch_id)
 
 
 def sort_layout(df: DataFrame, sort_by: Sequence[str]) -> DataFrame:
@@ -53,7 +60,7 @@ def append_table(df: DataFrame, path: str, sort_by: Sequence[str], ds: str | Non
     if mode == "replace_ds":
         if ds is None:
             raise ValueError("replace_ds needs a run date")
-        _replace_partitions(laid_out.withColumn("ds", F.lit(ds)), path, "ds")
+        _replace_partition(laid_out, path, "ds", ds)
     elif mode == "reference_append":
         if ds is None:
             laid_out.write.mode("append").parquet(path)

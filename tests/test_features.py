@@ -33,7 +33,7 @@ def test_minmax(frame):
 
 
 def test_prepare(frame):
-    df = frame([(1, "user4", "card7", 2023, 5, 20, "$1,200.00", None, 3189517333335617109, "Riverside", 7538, None, "Yes")],
+    df = frame([(1, "user4", "card7", 2023, 5, 20, "$1,200.00", None, 4711000123456789012, "Springfield", 5411, None, "Yes")],
                "idx int, user string, card string, year int, month int, day int, amount string, use_chip string, "
                "merchant_name long, merchant_city string, mcc int, errors string, is_fraud string")
     row = features.prepare(df).first()
@@ -82,3 +82,18 @@ def test_split_quotas():
     assert sampling.split_quotas({"a": 5, "b": 5}, 0.2) == {"a": 1, "b": 1}
     assert sampling.split_quotas({0: 3, 1: 3, 2: 3}, 0.5) == {0: 1, 1: 2, 2: 2}  # ties go to the smaller label's train part
     assert sampling.split_quotas({}, 0.2) == {}
+
+
+def test_split_with_many_labels(frame):
+    df = frame([(i, f"l{i % 90}" if i % 7 else None) for i in range(3000)], "idx long, label string")
+    out = sampling.stratified_split(df, "label", test_size=0.2)
+    assert out.count() == 3000 and out.where("split = 'test'").count() == 600
+    got = {r["label"]: r["c"] for r in out.where("split = 'test'").groupBy("label").agg(F.count("*").alias("c")).collect()}
+    sizes = {r["label"]: r["c"] for r in df.groupBy("label").agg(F.count("*").alias("c")).collect()}
+    assert all(abs(got.get(s, 0) - 0.2 * n) <= 1 for s, n in sizes.items())
+
+
+def test_rebalance_without_keys(frame):
+    df = frame([(i if i % 3 else None, "Yes" if i % 10 == 0 else "No") for i in range(300)], "idx long, is_fraud string")
+    out = sampling.rebalance(df, 20)
+    assert out.where("is_fraud = 'No'").count() == 20 and out.where("is_fraud = 'Yes'").count() == 30

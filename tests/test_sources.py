@@ -122,3 +122,34 @@ def test_table_in_the_catalog(spark):
         assert rows(found) == [("u1", 3)]
     finally:
         spark.sql("DROP TABLE fraud_report_test")
+
+
+def test_csv_keeps_line_breaks(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
+    df = spark.createDataFrame([(1, 'a\nb "c"'), (2, "plain, text")], schema)
+    sinks.write_csv(df, str(tmp_path / "t"))
+    assert sorted(tuple(r) for r in readers.read_csv(spark, str(tmp_path / "t"), schema).collect()) == [(1, 'a\nb "c"'), (2, "plain, text")]
+
+
+def test_empty_rerun_empties_the_date(spark, tmp_path):
+    df, root = spark.range(5), str(tmp_path)
+    sinks.write_stage(df.limit(0), root, "first", "20240701")
+    assert readers.read_stage(spark, root, "first", "20240701", df.schema).count() == 0
+    sinks.write_stage(df, root, "t", "20240701")
+    sinks.write_stage(df, root, "t", "20240702")
+    sinks.write_stage(df.limit(0), root, "t", "20240701")
+    assert readers.read_stage(spark, root, "t", "20240701").count() == 0
+    assert readers.read_stage(spark, root, "t", "20240702").count() == 5
+
+
+def test_positions_do_not_depend_on_later_splits(spark, tmp_path):
+    path = str(tmp_path / "n")
+    spark.range(20000).repartition(3).sortWithinPartitions("id").write.csv(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+        out = readers.file_order_index(spark.read.schema("id long").csv(path))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+        assert sorted(r["idx"] for r in out.collect()) == list(range(20000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
