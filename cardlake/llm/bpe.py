@@ -22,7 +22,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-CACHE = 400_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
+CACHE = 250_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
 # The pre-split pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The same for texts in which every letter is one of LETTERS and every digit is 0-9; the standard module is much faster.
@@ -74,7 +74,7 @@ class Automaton:
                     now, a = self.born[a], self.right[a]
                 else:  # the arc b was added wherever its left part could be read once the gadget was in place
                     now, b = self.born[b] + 1, self.left[b]
-            if len(self.arcs) < 4_000_000:
+            if len(self.arcs) < 500_000:
                 self.arcs[key] = known
         return known
 
@@ -144,15 +144,16 @@ def _encoder(model, full: bool):
                 ids, n, digest, decoded = [], 0, [], []
                 for part, special in split.parts(text or ""):
                     words = [part] if special else split.words(part)
-                    if len(cache) > CACHE:
+                    if len(joined) > CACHE:
                         cache.clear()
                         joined.clear()
-                    for w in set(words).difference(cache):
+                    for w in set(words).difference(joined):
                         own = [automaton.specials[w]] if special else automaton.encode(w.encode("utf-8", "surrogatepass"))
-                        cache[w] = own
+                        if full:
+                            cache[w] = own
                         joined[w] = (len(own), ",".join(map(str, own)), automaton.decode(own))
                     if special:
-                        cache.pop(part)
+                        cache.pop(part, None)
                         found = [joined.pop(part)]
                         ids.append(automaton.specials[part])
                     else:
