@@ -37,12 +37,21 @@ class MinMax:
 
 def fit_label_codes(df: DataFrame, columns: Sequence[str]) -> dict[str, LabelCodes]:
     """Number the distinct values of each column from 0, in the order of the column's own type."""
+    # One pass for all columns: a row per column with its value in a field of the column's own type.
+    slots = [f"v{i}" for i in range(len(columns))]
+    entries = [F.struct(F.lit(i).alias("which"), *[
+        (F.col(c) if j == i else F.lit(None).cast(df.schema[c].dataType)).alias(slots[j]) for j, c in enumerate(columns)])
+        for i in range(len(columns))]
+    known = [F.when(F.col(c).isNotNull(), entry) for c, entry in zip(columns, entries)]
+    seen = df.select(F.explode(F.array_compact(F.array(*known))).alias("e")).select("e.*")
+    counted = stage(seen.groupBy("which", *slots).agg(F.count("*").alias("n")), "values")
+    sizes = {r[0]: (r[1], r[2]) for r in
+             counted.groupBy("which").agg(F.count("*"), F.sum(row_bytes(counted))).collect()}
     fitted = {}
-    for c in columns:
-        counted = stage(df.select(F.col(c).alias("value")).where(F.col("value").isNotNull())
-                        .groupBy("value").agg(F.count("*").alias("n")), f"values-{c}")
-        rows, size = counted.agg(F.count("*"), F.coalesce(F.sum(row_bytes(counted)), F.lit(0))).first()
-        table = dense_index(counted, ["value"], "code", rows=rows)
+    for i, c in enumerate(columns):
+        rows, size = sizes.get(i, (0, 0))
+        values = counted.where(F.col("which") == i).select(F.col(slots[i]).alias("value"), "n")
+        table = dense_index(values, ["value"], "code", rows=rows)
         fitted[c] = LabelCodes(table if rows <= ROWS_PER_RANGE else stage(table, f"codes-{c}"), size)
     return fitted
 

@@ -29,26 +29,28 @@ class EdgeModel:
     nodes: DataFrame
     codes: Mapping[str, LabelCodes]
     scaler: MinMax
-    stats: DataFrame            # node_id, fraud_rate, log_degree, degree
+    stats: DataFrame            # node_id, degree, frauds
     prior: float
     pipeline: PipelineModel
 
 
-def _node_stats(train: DataFrame, prior: float) -> DataFrame:
+def _node_stats(train: DataFrame) -> DataFrame:
     ends = train.select(F.explode(F.array(*_ENDS)).alias("node_id"), "label")
-    counted = ends.groupBy("node_id").agg(F.count("*").alias("degree"), F.sum("label").alias("frauds"))
-    rate = (F.col("frauds") + 10.0 * prior) / (F.col("degree") + 10.0)
-    return stage(counted.select("node_id", "degree", rate.alias("fraud_rate"),
-                                F.log1p(F.col("degree").cast("double")).alias("log_degree")), "node-stats")
+    return stage(ends.groupBy("node_id").agg(F.count("*").alias("degree"), F.sum("label").alias("frauds")), "node-stats")
 
 
-def _with_stats(edges: DataFrame, stats: DataFrame, prior: float, spread: list[str]) -> DataFrame:
+def _with_stats(edges: DataFrame, stats: DataFrame, prior: float, spread: list[str], counted: bool = False) -> DataFrame:
+    """Add the smoothed fraud rate and the degree of both nodes. Edges that are ``counted`` in the statistics are left out
+    of their own, so that a fit does not see its target in them."""
     out, size, hot = edges, table_bytes(stats), partial(hot_keys, stats, "node_id", "degree")
+    own, own_fraud = (F.lit(1), F.col("label")) if counted else (F.lit(0), F.lit(0))
     for end in _ENDS:
-        table = stats.select(F.col("node_id").alias(end), *[F.col(s).alias(f"{end}_{s}") for s in _STATS])
+        table = stats.select(F.col("node_id").alias(end), F.col("degree").alias("__degree"), F.col("frauds").alias("__frauds"))
         out = lookup(out, table, end, "left", size, hot, spread)
-        out = out.withColumns({f"{end}_fraud_rate": F.coalesce(f"{end}_fraud_rate", F.lit(prior)),
-                               f"{end}_log_degree": F.coalesce(f"{end}_log_degree", F.lit(0.0))})
+        degree = (F.coalesce("__degree", F.lit(0)) - own).cast("double")
+        frauds = (F.coalesce("__frauds", F.lit(0)) - own_fraud).cast("double")
+        out = out.withColumns({f"{end}_fraud_rate": (frauds + 10.0 * prior) / (degree + 10.0),
+                               f"{end}_log_degree": F.log1p(degree)}).drop("__degree", "__frauds")
     return out
 
 
@@ -80,7 +82,7 @@ def train_edge_classifier(rows: DataFrame, kind: str = "mlp", fit_on: str = "tra
     """Fit on ``rows`` (see :func:`cardlake.operators.features.prepare`) with a ``split`` of ``train`` / ``test``.
 
     Codes, scaler and node statistics come from the training rows; ``fit_on="all"`` fits codes and scaler on all rows.
-    Returns the model and the scored rows of both splits.
+    Returns the model and the rows of both splits, scored as :func:`score` would score them.
     """
     train = rows.where(F.col("split") == "train")
     base = rows if fit_on == "all" else train
@@ -90,13 +92,14 @@ def train_edge_classifier(rows: DataFrame, kind: str = "mlp", fit_on: str = "tra
     edges = stage(graph.resolve_edges(rows, nodes, spread=["idx"]), "model-edges")
     in_train = edges.where(F.col("split") == "train")
     prior = float(in_train.agg(F.avg("label")).first()[0] or 0.0)
-    stats = _node_stats(in_train, prior)
-    full = stage(_with_stats(_encode(edges, codes, scaler, "zero"), stats, prior, ["idx"]), "model-inputs")
+    stats = _node_stats(in_train)
+    encoded = stage(_encode(edges, codes, scaler, "zero"), "model-inputs")
+    to_fit = stage(_with_stats(encoded.where(F.col("split") == "train"), stats, prior, ["idx"], counted=True), "model-fit")
     steps = [VectorAssembler(inputCols=_inputs(), outputCol="raw"),
              StandardScaler(inputCol="raw", outputCol="x", withMean=True), _classifier(kind, seed, iterations)]
-    fitted = Pipeline(stages=steps).fit(full.where(F.col("split") == "train"))
+    fitted = Pipeline(stages=steps).fit(to_fit)
     model = EdgeModel(nodes, codes, scaler, stats, prior, fitted)
-    return model, _predict(fitted, full)
+    return model, _predict(fitted, _with_stats(encoded, stats, prior, ["idx"]))
 
 
 def _predict(fitted: PipelineModel, inputs: DataFrame) -> DataFrame:

@@ -457,14 +457,22 @@ def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.split_metrics(scored)
 
 
-@query()
+@query(f"""WITH {TXN} SELECT idx, "user", 1 AS src_known, CAST(merchant_name <> 0 AS INT) AS dst_known, 1 AS in_range,
+  1 AS agrees, 1 AS same FROM txn""")
 def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All transactions scored by a model that was saved and loaded again."""
+    """All transactions scored by a model that was saved and loaded again: the confidence is a probability, the prediction
+    follows from it, and the model scores as it did before it was saved."""
     fitted, _ = model.train_edge_classifier(_split_rows(spark, sf_dir), "logistic", iterations=10)
     path = scratch_path(spark, "model")
     model.save(fitted, path)
-    scored = model.score(adapters.transactions(spark, sf_dir), model.load(spark, path))
-    return scored.select("idx", "user", "prediction", "confidence", "src_known", "dst_known")
+    rows = adapters.transactions(spark, sf_dir)
+    before = model.score(rows, fitted).select("idx", F.col("confidence").alias("before"))
+    found = model.score(rows, model.load(spark, path)).join(before, "idx")
+    flags = {"src_known": F.col("src_known"), "dst_known": F.col("dst_known"),
+             "in_range": F.col("confidence").between(0.0, 1.0),
+             "agrees": (F.col("prediction") == "Yes") == (F.col("prob1") > F.col("prob0")),
+             "same": F.abs(F.col("confidence") - F.col("before")) < 1e-9}
+    return found.select("idx", "user", *[flag.cast("int").alias(name) for name, flag in flags.items()])
 
 
 def encoder_weights(seed: int = 7, heads: int = 4, width: int = 16, hidden: int = 32) -> neural.EncoderWeights:

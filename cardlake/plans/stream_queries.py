@@ -74,10 +74,11 @@ numbered AS (SELECT * REPLACE (CAST(26000000 + row_number() OVER (ORDER BY "user
   errors NULLS FIRST, is_fraud) AS INT) AS idx) FROM judged)"""
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> str:
+def _scored(spark: SparkSession, sf_dir: str, checkpoints: int = 1) -> str:
     root = scratch_path(spark, "scores")
-    messages = _requests(adapters.transactions_of(_events_stream(spark, sf_dir)))
-    scoring.score_stream(messages, _scorer, root, f"{root}/checkpoint").awaitTermination()
+    for i in range(checkpoints):
+        messages = _requests(adapters.transactions_of(_events_stream(spark, sf_dir)))
+        scoring.score_stream(messages, _scorer, root, f"{root}/checkpoint{i}").awaitTermination()
     return root
 
 
@@ -87,6 +88,13 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("batch_id").withColumn("scored", F.col("scored").cast("int"))
 
 
+@query(f"""WITH {_ARRIVED} SELECT idx, "user", amount, is_fraud FROM numbered
+UNION ALL SELECT CAST(idx + (SELECT count(*) FROM numbered) AS INT), "user", amount, is_fraud FROM numbered""")
+def stream_second_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with a new checkpoint on the same root adds its rows under ids of its own."""
+    return spark.read.parquet(f"{_scored(spark, sf_dir, 2)}/transactions").select("idx", "user", "amount", "is_fraud")
+
+
 _MESSAGE = """'*FRAUD DETECTED!*' || chr(10) || 'User: ' || "user" || chr(10) || 'Card: ' || card || chr(10) || 'Amount: '
   || amount || chr(10) || 'Time: ' || "year" || '-' || lpad(CAST("month" AS VARCHAR), 2, '0') || '-'
   || lpad(CAST("day" AS VARCHAR), 2, '0') || ' ' || "time" || chr(10) || 'Merchant: ' || """

@@ -71,15 +71,14 @@ def file_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.batch_no(records, ["conv_id", "turn"], by=["role"])
 
 
-@query(f"""WITH lines AS (
+_STAGED_LINES = f"""lines AS (
   SELECT 'documents_20240701.parquet' AS id, 'documents' AS "table", 'doc_id,lang,text' AS columns, doc_id AS pos,
     doc_id || ',' || {_cell('lang')} || ',' || {_cell('text')} AS line FROM documents
   UNION ALL SELECT 'customer_20240701.parquet', 'customer', 'c_custkey,c_name', c_custkey,
-    c_custkey || ',' || {_cell('c_name')} FROM customer)
-SELECT id, "table", CAST(count(*) AS VARCHAR) AS row_count, columns,
-  substr(columns || chr(10) || string_agg(line, chr(10) ORDER BY pos) || chr(10), 1, 1500) AS document, 64 AS width
-FROM lines GROUP BY id, "table", columns""")
-def index_tables_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c_custkey || ',' || {_cell('c_name')} FROM customer)"""
+
+
+def _indexed(spark: SparkSession, sf_dir: str) -> str:
     """The nightly index: staged files → documents → vectors → collection; a second run adds nothing."""
     root = scratch_path(spark, "index")
     for name, columns in (("documents", ["doc_id", "lang", "text"]), ("customer", ["c_custkey", "c_name"])):
@@ -88,11 +87,27 @@ def index_tables_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{root}/stage/{name}_20240701.parquet")
     for _ in range(2):
         indexing.index_tables(spark, f"{root}/stage", f"{root}/collection", partial(vectors.hashed_embedding, dim=_DIM))
-    found = spark.read.parquet(f"{root}/collection")
+    return f"{root}/collection"
+
+
+@query(f"""WITH {_STAGED_LINES}
+SELECT id, "table", CAST(count(*) AS VARCHAR) AS row_count, columns,
+  substr(columns || chr(10) || string_agg(line, chr(10) ORDER BY pos) || chr(10), 1, 1500) AS document, 64 AS width
+FROM lines GROUP BY id, "table", columns""")
+def index_tables_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spark.read.parquet(_indexed(spark, sf_dir))
     meta = [F.col("metadata").getItem(k).alias(k) for k in ("table", "row_count", "columns")]
     return found.select("id", "document", F.size("embedding").alias("width"), *meta)
 
 
+@query(f"""WITH {_STAGED_LINES}
+SELECT id, row_number() OVER (PARTITION BY id ORDER BY pos) AS line_no, line FROM lines
+UNION ALL SELECT DISTINCT id, 0, columns FROM lines""")
+def index_whole_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole text of each indexed table, line by line."""
+    return spark.read.parquet(indexing.lines_path(_indexed(spark, sf_dir))).select("id", "line_no", "line")
+
+
 @query("""SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS id, text AS raw_text, 64 AS width FROM conversations
 WHERE trim(text) <> ''""")
 def index_records_job(spark: SparkSession, sf_dir: str) -> DataFrame:

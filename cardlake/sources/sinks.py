@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -12,26 +13,52 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", '""').csv(path)
 
 
-def _replace_partition(df: DataFrame, path: str, by: str, value) -> None:
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def replace_partition(df: DataFrame, path: str, by: str, value) -> None:
     """Write ``df`` as the whole partition ``by=value``; an empty ``df`` empties it and leaves a readable table."""
     rows = df.withColumn(by, F.lit(value))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
-    folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    fs, folder = _folder(df.sparkSession, path)
     fs.mkdirs(folder)
     if df.isEmpty():  # a dynamic overwrite without rows replaces nothing
-        fs.delete(df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={value}"), True)
+        fs.delete(_folder(df.sparkSession, f"{path}/{by}={value}")[1], True)
 
 
 def write_stage(df: DataFrame, root: str, name: str, ds: str) -> str:
     """Stage a table under its run date; a second run of the date replaces the first."""
-    _replace_partition(df, f"{root}/{name}", "ds", ds)
+    replace_partition(df, f"{root}/{name}", "ds", ds)
     return f"{root}/{name}"
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write one stream batch; when the stream repeats a batch it replaces its own files."""
-    _replace_partition(df, path, "batch_id", batch_id)
+def batch_key(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """A name for a batch that no other stream shares: the stream's id, as its checkpoint keeps it, and the number."""
+    kept = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return f"{json.loads(kept)['id']}-{batch_id}"
+
+
+def write_batch(df: DataFrame, path: str, batch: int | str) -> None:
+    """Write one stream batch; when the stream repeats a batch it replaces its own files.
+
+    ``batch`` is the batch's :func:`batch_key` where several streams, or one with a new checkpoint, write to ``path``.
+    """
+    replace_partition(df, path, "batch_id", batch)
+
+
+def read_batch(spark: SparkSession, path: str, batch: int | str, schema: T.StructType) -> DataFrame:
+    """The rows of one batch, without a look at the folders of the others."""
+    fs, folder = _folder(spark, f"{path}/batch_id={batch}")
+    if not fs.exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch_id={batch}")
+
+
+def drop_batch(spark: SparkSession, path: str, batch: int | str) -> None:
+    fs, folder = _folder(spark, f"{path}/batch_id={batch}")
+    fs.delete(folder, True)
 
 
 def sort_layout(df: DataFrame, sort_by: Sequence[str]) -> DataFrame:
@@ -60,7 +87,7 @@ def append_table(df: DataFrame, path: str, sort_by: Sequence[str], ds: str | Non
     if mode == "replace_ds":
         if ds is None:
             raise ValueError("replace_ds needs a run date")
-        _replace_partition(laid_out, path, "ds", ds)
+        replace_partition(laid_out, path, "ds", ds)
     elif mode == "reference_append":
         if ds is None:
             laid_out.write.mode("append").parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
-from cardlake.sources.sinks import write_batch
+from cardlake.sources.sinks import batch_key, write_batch
 from cardlake.streaming.topics import TOPICS, Topic, read_topic_stream
 
 
@@ -18,11 +18,12 @@ def sink_bronze(records: DataFrame, topic: Topic, root: str, checkpoint: str, **
 
 
 def sink_table(records: DataFrame, topic: Topic, root: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Record values to the topic's table, one ``batch_id`` partition per batch, so a repeated batch adds nothing."""
+    """Record values to the topic's table, one ``batch_id`` partition per batch and checkpoint, so a repeated batch adds
+    nothing."""
     path = f"{root}/{topic.table}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.select("value.*"), path, batch_id)
+        write_batch(batch.select("value.*"), path, batch_key(batch.sparkSession, checkpoint, batch_id))
 
     return (records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

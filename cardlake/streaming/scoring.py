@@ -15,7 +15,7 @@ from cardlake.functions.cleaning import event_time
 from cardlake.operators.ordering import dense_index
 from cardlake.operators.report import FIRST_SCORED_IDX as FIRST_IDX, FRAUD, LAST_SCORED_IDX as LAST_IDX
 from cardlake.schemas import Enforced
-from cardlake.sources.sinks import write_batch
+from cardlake.sources.sinks import batch_key, drop_batch, read_batch, write_batch
 from cardlake.streaming.topics import TOPICS, publish
 
 
@@ -67,11 +67,12 @@ def as_transactions(scored: DataFrame, prediction: str = "prediction") -> DataFr
     return scored.select(*names, F.col(prediction).alias("is_fraud"), F.lit(True).alias("scored"))
 
 
-def _high_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
-    """The greatest id in use when the batch begins. Each batch leaves it as one row, so the history is not read."""
+def _high_before(spark: SparkSession, root: str, key: str, batch_id: int) -> int | None:
+    """The greatest id in use when the batch begins, whichever stream gave it. Of each stream only the marks of its last
+    batches are kept, one row each, so the history is not read."""
     try:
-        left = spark.read.schema("high int").parquet(f"{root}/high_water/batch_id={batch_id - 1}")
-        return left.agg(F.max("high")).first()[0]
+        left = spark.read.schema("high int, batch_id string").parquet(f"{root}/high_water")
+        return left.where(F.col("batch_id") != key).agg(F.max("high")).first()[0]
     except AnalysisException:
         if batch_id == 0:
             return None
@@ -81,7 +82,7 @@ def _high_before(spark: SparkSession, root: str, batch_id: int) -> int | None:
 def as_transactions_schema() -> T.StructType:
     """Scored transactions as they are stored."""
     return T.StructType([*schemas.TRANSACTION.fields, T.StructField("scored", T.BooleanType()),
-                         T.StructField("batch_id", T.LongType())])
+                         T.StructField("batch_id", T.StringType())])
 
 
 def publish_scored(transactions: DataFrame, root: str) -> None:
@@ -95,23 +96,25 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
 
     ``scorer`` adds a ``prediction`` of ``Yes`` / ``No`` (see :mod:`cardlake.operators.model`). Each batch writes
     ``transactions``, ``alerts`` and ``rejects`` under ``root``, into partitions of its own, so a repeated batch leaves
-    the same rows and ids. With ``topic_root`` the scored rows also go to the transaction topic there.
+    the same rows and ids, and a stream with a new checkpoint adds to what others left. Streams on one root must not run
+    at the same time. With ``topic_root`` the scored rows also go to the transaction topic there.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        requests = parse_requests(batch, value)
+        spark, requests = batch.sparkSession, parse_requests(batch, value)
+        key = batch_key(spark, checkpoint, batch_id)
         rows = as_transactions(scorer(requests.valid)).persist()
         try:
-            high = _high_before(batch.sparkSession, root, batch_id)
+            high = _high_before(spark, root, key, batch_id)
             order = [f.name for f in schemas.TRANSACTION.fields if f.name != "idx"]
-            write_batch(assign_idx(rows, order, high), f"{root}/transactions", batch_id)
-            written = (batch.sparkSession.read.schema(as_transactions_schema())
-                       .parquet(f"{root}/transactions").where(F.col("batch_id") == batch_id))
-            write_batch(alerts(written), f"{root}/alerts", batch_id)
+            write_batch(assign_idx(rows, order, high), f"{root}/transactions", key)
+            written = read_batch(spark, f"{root}/transactions", key, as_transactions_schema())
+            write_batch(alerts(written), f"{root}/alerts", key)
             if topic_root:
                 publish_scored(written, topic_root)
-            write_batch(requests.rejects, f"{root}/rejects", batch_id)
+            write_batch(requests.rejects, f"{root}/rejects", key)
             last = written.agg(F.coalesce(F.max("idx"), F.lit(high).cast("int")).alias("high"))
-            write_batch(last, f"{root}/high_water", batch_id)
+            write_batch(last, f"{root}/high_water", key)
+            drop_batch(spark, f"{root}/high_water", batch_key(spark, checkpoint, batch_id - 2))
         finally:
             rows.unpersist()
 

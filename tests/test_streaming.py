@@ -119,6 +119,18 @@ def test_scoring_stream(spark):
     assert rows(records.select("value.idx", "key")) == [(26_000_001, "user31"), (26_000_002, "user31"), (26_000_003, "user31")]
 
 
+def test_second_checkpoint_adds_to_the_root(spark):
+    root = scratch_path(spark, "two-streams")
+    spark.createDataFrame([(json.dumps({**SAMPLE, "amount": a}),) for a in ("1", "9")], "value string") \
+        .coalesce(1).write.text(f"{root}/in")
+    for checkpoint in ("a", "b"):
+        messages = spark.readStream.schema("value string").text(f"{root}/in")
+        scoring.score_stream(messages, lambda df: df.withColumn("prediction", F.lit("Yes")), f"{root}/out",
+                             f"{root}/{checkpoint}").awaitTermination()
+    every = rows(spark.read.parquet(f"{root}/out/transactions").select("idx", "amount"))
+    assert every == [(26_000_001, "1"), (26_000_002, "9"), (26_000_003, "1"), (26_000_004, "9")]
+
+
 def test_repeated_batch_replaces_itself(spark):
     path = scratch_path(spark, "batch")
     df = spark.range(3)
