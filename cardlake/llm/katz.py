@@ -14,7 +14,8 @@ mass to one unknown word, as the base score does, so both are distributions over
 Defined cases: a null or empty text has one token, the end; without training rows every token has probability 1; where
 Good-Turing gives no discount between 0 and 1 (a count of counts is missing), an absolute discount is used; a context whose
 counts are all above LIMIT gets one more count for the unseen; repeated rows count and are scored row by row; empty tables give no
-rows. Words are told apart by 64-bit hashes, behind a context by 40 bits of them.
+rows. Words are told apart by 64-bit hashes; in n-grams they go by number (rank by falling count within their bucket, which packs
+tighter than a hash).
 """
 
 from __future__ import annotations
@@ -31,10 +32,9 @@ from cardlake.session import scratch_path, stage
 
 ORDER, LIMIT = 2, 5
 BLOCK = 1 << 20  # tokens
-LOW = 5  # bytes of a word's hash that tell it apart from the others behind one context
 END = H.U(0x27220A95FE6D52B1)
-_ANSWER = "kind int, block long, bucket int, counts binary, context_sums binary, context long, stats array<double>"
-_NAMES = ["kind", "block", "bucket", "counts", "context_sums", "context", "stats"]
+_ANSWER = "kind int, block long, bucket int, counts binary, details binary, context long, stats array<double>"
+_NAMES = ["kind", "block", "bucket", "counts", "details", "context", "stats"]
 _TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.float64())]
 RESPONSE, TOTALS, HOT, TABLE = range(4)
 _ZSTD = pa.Codec("zstd")
@@ -66,10 +66,6 @@ def _open_values(b: bytes) -> np.ndarray:
     return values[_open(b[8:8 + size], np.uint16 if len(values) < 1 << 16 else np.uint32)]
 
 
-def _low(words: np.ndarray) -> bytes:
-    return words.view(np.uint8).reshape(-1, 8)[:, :LOW].tobytes()
-
-
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> H.U(40)) * H.U(buckets) >> H.U(24)).astype(np.int64)
 
@@ -142,7 +138,7 @@ class _Block:
         order = np.lexsort((w, ctx, bucket))
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
-        return at, at[one][order], back[which], ctx[order], w[order], bucket[order], hot[order]
+        return at, at[one][order], back[which], ctx[order], bucket[order], hot[order]
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -181,15 +177,21 @@ def _ask_unigrams(buckets: int):
 
 
 def _answer_unigrams(table: pa.Table) -> pa.Table:
+    """Counts of one bucket's words and their ranks, in each block's order; totals, and the bucket's table by rank."""
     bucket = table.column("bucket")[0].as_py()
     words = [_open(x, np.uint64) for x in table.column("words").to_pylist()]
     counts = [_open(x, np.uint32) for x in table.column("counts").to_pylist()]
     known, which = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(which, weights=np.concatenate(counts)).astype(np.int64)
+    order = np.lexsort((known, -total))
+    rank = np.empty(len(known), np.uint64)
+    rank[order] = np.arange(len(known), dtype=np.uint64)
     rows, at = [], 0
     for block, own in zip(table.column("block").to_pylist(), words):
-        rows.append((RESPONSE, block, bucket, _press(total[which[at:at + len(own)]].astype(np.uint64)), None, None, None))
+        mine = which[at:at + len(own)]
+        rows.append((RESPONSE, block, bucket, _press(total[mine].astype(np.uint64)), _press(rank[mine]), None, None))
         at += len(own)
+    known, total = known[order], total[order]
     seen = total > 0
     rows.append((TOTALS, None, bucket, None, None, None, [float(total.sum()), float(seen.sum()), *_count_of_counts(total)]))
     rows.append((TABLE, None, bucket, _press(total[seen].astype(np.uint64)), _press(known[seen]), None, None))
@@ -201,11 +203,9 @@ def _answer_grams(table: pa.Table) -> pa.Table:
     bucket = table.column("bucket")[0].as_py()
     col = lambda name, kind: [_open(x, kind) for x in table.column(name).to_pylist()]
     contexts, sizes, hots = col("contexts", np.uint64), col("sizes", np.uint32), col("hot", np.uint8)
-    low = [np.pad(np.frombuffer(x, np.uint8).reshape(-1, LOW), ((0, 0), (0, 8 - LOW))).reshape(-1).view(np.uint64)
-           for x in table.column("low").to_pylist()]
     counts, lower = col("counts", np.uint32), [_open_values(x) for x in table.column("lower").to_pylist()]
     ctx = np.concatenate([np.repeat(c, s) for c, s in zip(contexts, sizes)])
-    w, n, p = np.concatenate(low), np.concatenate(counts).astype(np.int64), np.concatenate(lower)
+    w, n, p = np.concatenate(col("numbers", np.uint64)), np.concatenate(counts).astype(np.int64), np.concatenate(lower)
     order = np.lexsort((w, ctx))
     ctx_o, w_o = ctx[order], w[order]
     entry = _runs(ctx_o, w_o)
@@ -233,7 +233,7 @@ def _answer_grams(table: pa.Table) -> pa.Table:
     rows.append((TOTALS, None, bucket, None, None, None, [float(total.sum()), float((total > 0).sum()), *_count_of_counts(total)]))
     seen = total > 0
     kept, runs = e_ctx[seen], _runs(e_ctx[seen])
-    parts = [_press(kept[runs]), _press(np.diff(np.append(runs, len(kept))).astype(np.uint32)), _low(w_o[entry][seen])]
+    parts = [_press(kept[runs]), _press(np.diff(np.append(runs, len(kept))).astype(np.uint32)), _press(w_o[entry][seen])]
     rows.append((TABLE, None, bucket, _press(total[seen].astype(np.uint32)), b"".join(len(x).to_bytes(8, "little") + x for x in parts), None, None))
     return _rows(rows)
 
@@ -274,6 +274,14 @@ class _Scorer:
             return count, np.where(count > 0, p, left / (total + 1))
         return count, np.where(count > 0, _factor(count, d) * count / total, left / total)
 
+    def numbers(self, block: _Block, answers: dict) -> np.ndarray:
+        """The number of each of the block's words: its rank, then its bucket."""
+        order, bucket = block.unigrams(self.buckets)
+        out = np.empty(len(block.words), np.uint64)
+        ranks = np.concatenate([_open(a["details"], np.uint64) for _, a in sorted(answers.items())])
+        out[order] = ranks * H.U(self.buckets) + bucket.astype(np.uint64)
+        return out
+
     def run(self, block: _Block, answers: list[dict]):
         """(word counts, probability of each token at the highest answered order, count of the n-gram that ends at it)."""
         word_count, word_p = self.unigram(block, answers[0])
@@ -283,14 +291,14 @@ class _Scorer:
         return word_count, p, count
 
     def _order(self, block, n, answers, lower, lower_count):
-        at, _, which, ctx, _, bucket, hot = block.grams(n, self.buckets, lower_count, self.orders[0]["totals"][0])
+        at, _, which, ctx, bucket, hot = block.grams(n, self.buckets, lower_count, self.orders[0]["totals"][0])
         if not len(at):
             return lower, np.zeros(len(lower), np.int64)
         one = self.orders[n - 1]
         d = one["discounts"]
         got = [a for _, a in sorted(answers.items())]
         count = np.concatenate([_open(a["counts"], np.uint64) for a in got]).astype(np.int64)
-        sums = np.concatenate([_context_sums(a["context_sums"]) for a in got], axis=1)
+        sums = np.concatenate([_context_sums(a["details"]) for a in got], axis=1)
         run = _runs(bucket, ctx)
         sums = np.repeat(sums, np.diff(np.append(run, len(ctx))), axis=1)
         if hot.any():
@@ -319,7 +327,7 @@ def _context_sums(raw: bytes) -> np.ndarray:
 
 def _answers(table: pa.Table, orders: int) -> list[dict]:
     out: list[dict] = [{} for _ in range(orders)]
-    for row in table.select(["n", "bucket", "counts", "context_sums"]).to_pylist():
+    for row in table.select(["n", "bucket", "counts", "details"]).to_pylist():
         out[row["n"] - 1][row["bucket"]] = row
     return out
 
@@ -327,19 +335,21 @@ def _answers(table: pa.Table, orders: int) -> list[dict]:
 def _ask_grams(n: int, scorer: _Scorer, buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         block = _Block(left.select(["block", "lens", "train", "words", "tokens"]).to_pylist()[0])
-        _, p, count = scorer.run(block, _answers(right, n - 1))
-        at, one, which, ctx, w, bucket, hot = block.grams(n, buckets, count, scorer.orders[0]["totals"][0])
+        answers = _answers(right, n - 1)
+        _, p, count = scorer.run(block, answers)
+        at, one, which, ctx, bucket, hot = block.grams(n, buckets, count, scorer.orders[0]["totals"][0])
         many = np.bincount(which, weights=block.flag[at], minlength=len(one)).astype(np.uint32)
+        number = scorer.numbers(block, answers[0])[block.tokens[one]]
         rows = []
         for k in np.unique(bucket):
             i, j = np.searchsorted(bucket, [k, k + 1])
             run = _runs(ctx[i:j])
             rows.append((int(k), block.block, _press(ctx[i:j][run]), _press(np.diff(np.append(run, j - i)).astype(np.uint32)),
-                         _press(hot[i:j][run].astype(np.uint8)), _low(w[i:j]), _press(many[i:j]), _press_values(p[one[i:j]])))
+                         _press(hot[i:j][run].astype(np.uint8)), _press(number[i:j]), _press(many[i:j]), _press_values(p[one[i:j]])))
         cols = list(zip(*rows)) or [[]] * 8
         kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 6)
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                    ["bucket", "block", "contexts", "sizes", "hot", "low", "counts", "lower"])
+                                    ["bucket", "block", "contexts", "sizes", "hot", "numbers", "counts", "lower"])
     return run
 
 
@@ -380,13 +390,13 @@ def score_documents(docs: DataFrame, train: str, text: str = "text", keep: tuple
         _write_answers(asked.groupBy("bucket").applyInArrow(_answer_unigrams, _ANSWER), tables, 1)
         orders.append(_summary(spark, tables, 1))
         for n in range(2, order + 1):
-            answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", "context_sums")
+            answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", "details")
             asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-                _ask_grams(n, _Scorer(orders, buckets), buckets), "bucket int, block long, contexts binary, sizes binary, hot binary, low binary, "
+                _ask_grams(n, _Scorer(orders, buckets), buckets), "bucket int, block long, contexts binary, sizes binary, hot binary, numbers binary, "
                 "counts binary, lower binary")
             _write_answers(asked.groupBy("bucket").applyInArrow(_answer_grams, _ANSWER), tables, n)
             orders.append(_summary(spark, tables, n))
-        answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", "context_sums")
+        answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", "details")
         scored = stage(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             _score(_Scorer(orders, buckets), order), f"kept {fields}, n_tokens long, n_known long, base_score double, score double"), "scores")
     finally:
