@@ -396,7 +396,9 @@ def score_documents(docs: DataFrame, train: str, text: str = "text", keep: tuple
                 "counts binary, lower binary")
             _write_answers(asked.groupBy("bucket").applyInArrow(_answer_grams, _ANSWER), tables, n)
             orders.append(_summary(spark, tables, n))
-        answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", "details")
+        # Scoring needs no word numbers, so they don't travel again.
+        details = F.when(F.col("n") > 1, F.col("details")).alias("details")
+        answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", details)
         scored = stage(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             _score(_Scorer(orders, buckets), order), f"kept {fields}, n_tokens long, n_known long, base_score double, score double"), "scores")
     finally:
