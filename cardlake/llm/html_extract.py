@@ -1,11 +1,13 @@
 """Main text of web pages by removal of site templates.
 
-Every block element's subtree is hashed (tag, class, text and children). The hashes are counted per host, once for each different
-parent they stand in, so that copies of a whole article do not make its parts a template. Subtrees that recur in many
-pages of their host are deleted, as are elements that by tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms,
-scripts or comments. If a page marks its content by article or main, only that is read; inside it paragraphs, headings and lists
-are never templates. A host has at most (elements per page / MANY) templates, so its list is bounded; Spark broadcasts the
-lists only if they are small.
+Every block element's subtree is hashed (tag, class, text and children). A subtree that recurs in LEAST unlike pages of its host is a
+template and deleted, whatever the size of the host. Pages are told apart by the text around the subtree: equal pages count once, and so
+do copies and near copies of an article, so that its parts are no templates (a sketch of word shingles if the rest is long; if
+it is short, its words and the parent must both differ). A page that consists of the subtree but for a fifth of its words does not
+count. Elements that by tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms, scripts or comments go too.
+If a page marks its content by article or main, only that is read; inside it paragraphs, headings and lists are never templates.
+Tasks pass on at most LEAST contexts per subtree and HELD subtrees; where likeness is not transitive, the count can depend on the
+order of the pages near the bound. Template tables are never kept per host in one row.
 
 Defined cases: null and empty html give an empty text; broken markup is read as far as it goes and a cut-off tag at the end is
 dropped; repeated pages give repeated rows; pages without a host share the empty host; empty tables give no rows.
@@ -15,14 +17,18 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardlake.session import stage
 
-LEAST, MANY = 5, 0.1  # a template stands in so many different parents, and in this share of the host's pages
+LEAST = 5  # a template stands in so many unlike pages of its host
+LONG, SKETCH = 40, 8  # words from which texts can be near copies; shingles that tell them
+HELD, FEW = 100_000, 2_000_000  # subtrees that a task holds at a time; templates that are sent to every task
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math".split())
@@ -119,31 +125,101 @@ def parse(page: str) -> _Node:
     return root
 
 
-def _walk(root: _Node):
-    """(node, inside content) of all elements in page order, without those below skipped ones."""
-    stack = [(root, False)]
+def _holds_content(root: _Node) -> bool:
+    """Whether an article or main stands outside skipped elements."""
+    stack = [root]
     while stack:
-        node, inside = stack.pop()
-        yield node, inside
+        node = stack.pop()
         if not node.skip:
-            inside = inside or node.tag in CONTENT
-            stack += [(c, inside) for c in reversed(node.children) if not isinstance(c, str)]
+            if node.tag in CONTENT:
+                return True
+            stack += [c for c in node.children if not isinstance(c, str)]
+    return False
+
+
+def _left_out(node: _Node, inside: bool) -> bool:
+    return node.skip or node.tag == "header" and not inside
 
 
 def _may_be_template(node: _Node, inside: bool) -> bool:
     return node.tag in BLOCK and node.tag not in WHOLE and node.tag not in ("br", "hr", "li") and not (inside and node.tag in SAFE)
 
 
-def subtrees(page: str) -> list[tuple[int, int]]:
-    """(hash, parent's hash) of the page's subtrees that a template could be."""
-    return list({(n.hash, n.parent.hash if n.parent else 0) for n, inside in _walk(parse(page)) if _may_be_template(n, inside)})
+def _context(words: np.ndarray, grams: np.ndarray, order: np.ndarray, first: int, end: int, parent: int) -> bytes | None:
+    """What tells the page around words first to end from others; None where they are nearly all of a long page, so its content."""
+    rest = len(words) - (end - first)
+    if end - first >= LONG and 5 * rest <= len(words):
+        return None
+    if rest >= LONG:
+        far = order[(order < first - 2) | (order >= end)]
+        return np.unique(grams[far[:SKETCH]]).astype("<u4").tobytes()
+    around = np.concatenate([words[:first], words[end:]]).tobytes()
+    return (parent + (1 << 63)).to_bytes(8, "big") + b"short" + xxhash.xxh64_digest(around)
+
+
+def _same_page(x: bytes, y: bytes) -> bool:
+    """Whether two contexts are of copies: half the sketch in common, or few words that are equal or stand in one parent."""
+    if x[8:13] == b"short" or y[8:13] == b"short":
+        return x[8:13] == y[8:13] and (x[:8] == y[:8] or x[13:] == y[13:])
+    return 2 * len(set(memoryview(x).cast("I")) & set(memoryview(y).cast("I"))) >= SKETCH
+
+
+def _add_context(found: list, new: bytes) -> None:
+    if not any(_same_page(new, x) for x in found):
+        found.append(new)
 
 
-def main_text(page: str, templates: frozenset) -> str:
+def subtrees(page: str) -> list[tuple[int, bytes]]:
+    """(hash, context) of the subtrees with text that a template could be, among those that are read; each hash once."""
     root = parse(page)
-    content = any(n.tag in CONTENT and not n.skip for n, _ in _walk(root))
+    words: list[int] = []
+    spans: list[tuple] = []
+    stack: list = [(root, not _holds_content(root), False, -1)]
+    while stack:
+        node, reading, inside, first = stack.pop()
+        if isinstance(node, str):
+            if reading:
+                words += [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in node.split()]
+            continue
+        if first >= 0:
+            if len(words) > first:
+                spans.append((node, first, len(words)))
+            continue
+        if _left_out(node, inside):
+            continue
+        if reading and _may_be_template(node, inside):
+            stack.append((node, reading, inside, len(words)))
+        inside = inside or node.tag in CONTENT
+        reading = reading or inside
+        stack += [(c, reading, inside, -1) for c in reversed(node.children)]
+    w = np.array(words, np.uint32)
+    grams = (w[:-2] * np.uint32(0x9E3779B1) ^ w[1:-1] * np.uint32(0x85EBCA6B) ^ w[2:] * np.uint32(0xC2B2AE35)) * np.uint32(0x27D4EB2F)
+    order = np.argsort(grams, kind="stable")
+    out: dict[int, bytes] = {}
+    for node, first, end in spans:
+        context = None if node.hash in out else _context(w, grams, order, first, end, node.parent.hash if node.parent else 0)
+        if context is not None:
+            out[node.hash] = context
+    return list(out.items())
+
+
+def _hashes(root: _Node) -> list[int]:
+    """The hashes that ``main_text`` may look up."""
+    out, stack = [], [(root, False)]
+    while stack:
+        node, inside = stack.pop()
+        if not _left_out(node, inside):
+            if _may_be_template(node, inside):
+                out.append(node.hash)
+            inside = inside or node.tag in CONTENT
+            stack += [(c, inside) for c in node.children if not isinstance(c, str)]
+    return out
+
+
+def main_text(page: str | _Node, templates: frozenset) -> str:
+    root = parse(page) if isinstance(page, str) else page
     parts: list[str] = []
-    stack: list = [(root, not content, False)]
+    stack: list = [(root, not _holds_content(root), False)]
     while stack:
         node, reading, inside = stack.pop()
         if isinstance(node, str):
@@ -152,7 +228,7 @@ def main_text(page: str, templates: frozenset) -> str:
             continue
         if node.tag == "header" and not inside and not node.skip:
             continue
-        if node.skip or node.hash in templates and _may_be_template(node, inside):
+        if node.skip or reading and node.hash in templates and _may_be_template(node, inside):
             if node.tag in BLOCK and reading:
                 parts.append("\n")
             continue
@@ -171,45 +247,103 @@ def host_of(url: Column) -> Column:
 
 
 def _subtree_rows(batches):
+    """(host, hash, context): unlike contexts of each subtree, or one null if LEAST were met."""
+    def rows():
+        keys = [(*k, c) for k, found in met.items() for c in (found if len(found) < LEAST else [None])]
+        columns = zip(*keys) if keys else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary()))],
+                                          ["host", "hash", "context"])
+
+    met: dict[tuple, list] = {}
+    for batch in batches:
+        for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+            for h, context in subtrees(page or ""):
+                found = met.setdefault((host, h), [])
+                if len(found) < LEAST:
+                    _add_context(found, context)
+            if len(met) >= HELD:
+                yield rows()
+                met = {}
+    yield rows()
+
+
+def _decide(batches):
+    for batch in batches:
+        keep = []
+        for sure, contexts in zip(batch.column("sure").to_pylist(), batch.column("contexts").to_pylist()):
+            found: list = []
+            for c in contexts:
+                if not sure and len(found) < LEAST:
+                    _add_context(found, c)
+            keep.append(sure or len(found) >= LEAST)
+        yield batch.filter(pa.array(keep, pa.bool_())).select(["host", "hash"])
+
+
+def _digest_of(host: str, h: int) -> int:
+    return _digest(host, str(h))
+
+
+def _digests(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([_digest_of(*x) for x in zip(batch.column("host").to_pylist(), batch.column("hash").to_pylist())],
+                                                   pa.int64())], ["digest"])
+
+
+def _asked_rows(batches):
     for batch in batches:
-        hosts, out = batch.column("host").to_pylist(), ([], [], [])
-        for host, page in zip(hosts, batch.column("html").to_pylist()):
-            for h, parent in subtrees(page or ""):
-                out[0].append(host)
-                out[1].append(h)
-                out[2].append(parent)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64())],
-                                         ["host", "hash", "parent"])
+        out = [(page, host, h) for page, host, html in zip(*(batch.column(c).to_pylist() for c in ("page", "host", "html")))
+               for h in set(_hashes(parse(html or "")))]
+        columns = zip(*out) if out else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int64()))], ["page", "host", "hash"])
 
 
 def _extract(batches):
     for batch in batches:
-        known: dict[tuple, frozenset] = {}
-        texts = []
-        for page, hashes in zip(batch.column("html").to_pylist(), batch.column("templates").to_pylist()):
-            key = tuple(hashes or ())
-            texts.append(main_text(page or "", known.setdefault(key, frozenset(key))))
+        texts = [main_text(page or "", frozenset(hashes or ())) for page, hashes in zip(batch.column("html").to_pylist(),
+                                                                                        batch.column("templates").to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(texts, pa.string())], ["kept", "text"])
 
 
-def site_templates(pages: DataFrame, url: str = "url", html: str = "html", least: int = LEAST, many: float = MANY) -> DataFrame:
-    """(host, templates): the hashes of the subtrees that recur in many pages of a host."""
+def site_templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(host, hash) of the subtrees that recur in LEAST unlike pages of a host."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html"))
-    counts = (rows.mapInArrow(_subtree_rows, "host string, hash long, parent long").distinct().groupBy("host", "hash").count()
-              .filter(F.col("count") >= least))
-    sizes = rows.groupBy("host").agg(F.count("*").alias("pages"))
-    return (counts.join(sizes, "host").filter(F.col("count") >= many * F.col("pages")).groupBy("host")
-            .agg(F.sort_array(F.collect_list("hash")).alias("templates")))
+    met = (rows.mapInArrow(_subtree_rows, "host string, hash long, context binary").groupBy("host", "hash")
+           .agg(F.max(F.col("context").isNull()).alias("sure"), F.sort_array(F.collect_set("context")).alias("contexts")))
+    some = met.filter(F.col("sure") | (F.size("contexts") >= LEAST))
+    return some.select("host", "hash", "sure", "contexts").mapInArrow(_decide, "host string, hash long")
 
 
-def extract(pages: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
-    """The kept columns and ``text``, one row per page."""
+def extract(pages: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ("page_id", "url"), few: int = FEW) -> DataFrame:
+    """The kept columns and ``text``, one row per page. Up to ``few`` templates go to every task, more are joined to the pages."""
+    spark = pages.sparkSession
     known = stage(site_templates(pages, url, html), "templates")
     kept = F.struct(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]).alias("kept")
     plain = pages.select(kept, host_of(F.col(url)).alias("host"), F.col(html).cast("string").alias("html"))
-    fields = plain.schema["kept"].dataType.simpleString()
-    out = plain.join(known, "host", "left").select("kept", "html", "templates").mapInArrow(_extract, f"kept {fields}, text string")
-    return out.select(*[F.col(f"kept.keep_{i}").alias(c) for i, c in enumerate(keep)], "text")
+    schema = f"kept {plain.schema['kept'].dataType.simpleString()}, text string"
+    outer = [*[F.col(f"kept.keep_{i}").alias(c) for i, c in enumerate(keep)], "text"]
+    if known.count() <= few:
+        listed = known.mapInArrow(_digests, "digest long").toArrow().column("digest").to_numpy()
+        table = spark.sparkContext.broadcast(np.sort(listed))
+
+        def run(batches):
+            for batch in batches:
+                texts = []
+                for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                    root = parse(page or "")
+                    hashes = list(set(_hashes(root)))
+                    asked = np.array([_digest_of(host, h) for h in hashes], np.int64)
+                    at = np.searchsorted(table.value, asked)
+                    hit = [h for h, i, x in zip(hashes, at.tolist(), asked.tolist()) if i < len(table.value) and table.value[i] == x]
+                    texts.append(main_text(root, frozenset(hit)))
+                yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(texts, pa.string())], ["kept", "text"])
+
+        return plain.mapInArrow(run, schema).select(*outer)
+    # By the page's digest, so that equal pages are looked up once; pages without a template do not take part in the lookup.
+    digest = F.xxhash64("host", "html")
+    asked = plain.select(digest.alias("page"), "host", "html").mapInArrow(_asked_rows, "page long, host string, hash long").distinct()
+    hits = stage(asked.join(known, ["host", "hash"]).groupBy("page").agg(F.collect_set("hash").alias("templates")), "template-hits")
+    out = plain.withColumn("page", digest).join(hits, "page", "left").select("kept", "html", "templates").mapInArrow(_extract, schema)
+    return out.select(*outer)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

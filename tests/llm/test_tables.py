@@ -118,3 +118,16 @@ def test_pipeline_against_stages(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and 0 < got.count() < docs.count()
     for name, step in corpus_pipeline.STAGES[1:-1]:
         assert step(spark, docs.limit(0), SMALL).columns == docs.columns
+
+
+@pytest.mark.parametrize("n, copies, few", [(400, 0, 10**6), (1000, 0, 10**6), (1000, 950, 10**6), (1000, 0, 0)])
+def test_templates_do_not_depend_on_the_size_of_the_host(spark, n, copies, few):
+    """A block in 50 variants of a column, on small and large hosts and beside copies of one page; by broadcast and by join."""
+    rows = [(i, f"http://h/{i}", f"<body><div class=col{k % 50}><div class=box>constant</div></div><div><p>Story {k}</p></div>")
+            for i in range(n) for k in [max(0, i - copies)]]
+    copied = "<div class=text><p>" + " ".join(f"w{i}" for i in range(60)) + "</p><p>end of the story</p></div>"
+    rows += [(5000 + i, f"http://h/c{i}", f"<body><div>other note {i}</div>{copied}") for i in range(20)]  # an article with differing notes
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df, few=few).collect()}
+    assert all(got[i] == f"Story {max(0, i - copies)}" for i in range(n))
+    assert all(got[5000 + i].endswith("w59 end of the story") for i in range(20)) and len(got) == n + 20
