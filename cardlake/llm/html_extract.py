@@ -5,7 +5,9 @@ template and deleted, whatever the size of the host. Pages are told apart by the
 do copies and near copies of an article, so that its parts are no templates (a sketch of word shingles if the rest is long; if
 it is short, its words and the parent must both differ). A page that consists of the subtree but for a fifth of its words does not
 count. Elements that by tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms, scripts or comments go too.
-If a page marks its content by article or main, only that is read; inside it paragraphs, headings and lists are never templates.
+If a page marks its content by article or main, only that is read, and templates inside it go as well; its h1 and the
+entries, rows and cells of its lists and tables stay unless the whole list or table recurs. Elsewhere rows and cells of up to three
+words stay.
 Tasks pass on at most LEAST contexts per subtree and HELD subtrees; where likeness is not transitive, the count can depend on the
 order of the pages near the bound. Template tables are never kept per host in one row.
 
@@ -37,7 +39,7 @@ BLOCK = frozenset("address article aside blockquote body br center dd details di
 SKIP = RAW | frozenset("head nav footer aside form button select option dialog object audio video canvas menu".split())
 CONTENT = frozenset(("article", "main"))
 WHOLE = frozenset(("html", "body", "article", "main"))
-SAFE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl li dt dd table tbody thead tr td th figure".split())
+PARTS = frozenset("li dt dd tr td th thead tbody tfoot".split())  # of lists and tables; the same entry in many of them is chance
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 NAMES = re.compile(
@@ -142,7 +144,8 @@ def _left_out(node: _Node, inside: bool) -> bool:
 
 
 def _may_be_template(node: _Node, inside: bool) -> bool:
-    return node.tag in BLOCK and node.tag not in WHOLE and node.tag not in ("br", "hr", "li") and not (inside and node.tag in SAFE)
+    return node.tag in BLOCK and node.tag not in WHOLE and node.tag not in ("br", "hr", "li") and not (
+        inside and (node.tag in PARTS or node.tag == "h1"))
 
 
 def _context(words: np.ndarray, grams: np.ndarray, order: np.ndarray, first: int, end: int, parent: int) -> bytes | None:
@@ -182,7 +185,7 @@ def subtrees(page: str) -> list[tuple[int, bytes]]:
                 words += [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in node.split()]
             continue
         if first >= 0:
-            if len(words) > first:
+            if len(words) > first + (3 if node.tag in PARTS else 0):
                 spans.append((node, first, len(words)))
             continue
         if _left_out(node, inside):

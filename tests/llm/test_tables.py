@@ -131,3 +131,19 @@ def test_templates_do_not_depend_on_the_size_of_the_host(spark, n, copies, few):
     got = {r["page_id"]: r["text"] for r in html_extract.extract(df, few=few).collect()}
     assert all(got[i] == f"Story {max(0, i - copies)}" for i in range(n))
     assert all(got[5000 + i].endswith("w59 end of the story") for i in range(20)) and len(got) == n + 20
+
+
+def test_templates_inside_the_article(spark):
+    """A notice within every article goes; copies and near copies of one article stay whole, as do headings and table cells."""
+    ad, links = "<p>Subscribe to our newsletter</p>", "<ul><li>Home</li><li>About us</li></ul>"
+    rows = [(i, f"http://h/{i}", f"<article><h1>News</h1><p>Story {i}</p>{ad}<table><tr><td>Yes</td><td>{i}</td></tr></table>{links}</article>") for i in range(30)]
+    rows += [(100 + i, f"http://h/c{i}", f"<nav>{i}</nav><article><h1>Copy</h1><p>first part</p><p>second part</p></article>") for i in range(30)]
+    parts = [[f"p{k}w{j}" for j in range(30)] for k in range(8)]
+    for i in range(30):  # near copies: another word is new in each
+        own = [list(p) for p in parts]
+        own[i % 8][i % 30] = f"new{i}"
+        rows.append((200 + i, f"http://h/n{i}", "<main>" + "".join(f"<p>{' '.join(p)}</p>" for p in own) + "</main>"))
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    assert all(got[i] == f"News Story {i} Yes {i}" for i in range(30))
+    assert all(got[100 + i] == "Copy first part second part" and len(got[200 + i].split()) == 240 for i in range(30))
