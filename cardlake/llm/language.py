@@ -3,9 +3,11 @@
 p(language | page) is proportional to p(text | language) * p(declared markup language | language) * p(address suffix | language) *
 p(language | host). The text likelihood is a trigram model of bytes learned from documents whose language is known. The two
 channels are confusion tables, the host prior is smoothed towards its domain, that towards all pages; all come from grouped sums of
-the text posteriors over all pages. A page's own share is taken out of its host's and domain's sums.
+the text posteriors over all pages. A page's own share is taken out of its host's and domain's sums. All evidence is added up in
+logarithms without floors, so a text that is clear enough outweighs a host of any size.
 
-Trigram counts are fitted on a bounded sample of documents (``SAMPLE``, least by hash of the text); counts over pages are complete.
+The languages are counted over all documents (``LANGUAGES`` most frequent at most). Trigram counts are fitted on a bounded sample of the
+texts of each (``SAMPLE`` different ones, least by hash); counts over pages are complete.
 
 Defined cases: null, empty or text-less pages are judged by the other evidence; a page without a declaration, suffix or host has the
 empty value there, which has probabilities like any other; ties go to the first language in order; without training rows there is
@@ -15,19 +17,20 @@ no language: null, probability 0; repeated pages are judged row by row; empty ta
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cardlake.llm.html_extract import host_of
 from cardlake.session import stage
 
-SAMPLE, LANGUAGES = 8_000, 64
+SAMPLE, LANGUAGES = 2_000, 64  # texts of a language, languages
 SLOTS = 1 << 15
 DOMAIN_WEIGHT, HOST_WEIGHT = 20.0, 20.0  # pages that the level above counts for
-EVIDENCE = 60.0  # trigrams of one text are not independent: a text speaks like at most so many
+EVIDENCE = 60.0  # trigrams of one text are not independent: what a text has more than these counts by its root
 TAGS = re.compile(r"(?is)<(script|style|head)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^>]*(?:>|\Z)")
 UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -55,15 +58,21 @@ def _add(table: pa.Table) -> pa.Table:
 
 
 def fit_text_model(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """The languages in order (the LANGUAGES most frequent at most) and log2 p(trigram | language), one row each."""
+    """The languages in order (the LANGUAGES most frequent at most) and log p(trigram | language), one row each."""
     rows = docs.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    cut = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    if cut is None:
+    sizes = {r["lang"]: r["texts"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("texts"))
+             .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    if not sizes:
         return [], np.zeros((0, SLOTS))
-    some = rows.filter(F.col("h") <= cut)
-    names = [r["lang"] for r in some.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    counted = (some.filter(F.col("lang").isin(names)).select("lang", F.col("text").cast("binary").alias("text"))
+    # The least texts of each language by hash: a few more by their number, cut at the exact one.
+    place = F.col("h").cast("double") * 2.0 ** -64 + 0.5
+    near = F.coalesce(*[F.when(F.col("lang") == x, place <= 2 * (sample + 10) / max(1, n)) for x, n in sizes.items()])
+    ranked = rows.filter(near).select("lang", "h").distinct().withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    cuts = ranked.filter(F.col("rank") <= sample).groupBy("lang").agg(F.max("h").alias("cut")).collect()
+    chosen = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.col("h") <= r["cut"]) for r in cuts], F.lit(False))
+    some = rows.filter(chosen).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    counted = (some.select("lang", F.col("text").cast("binary").alias("text"))
                .mapInArrow(_count, "lang string, counts binary").groupBy("lang").applyInArrow(_add, "lang string, counts binary").collect())
     counts = {r["lang"]: np.frombuffer(r["counts"], np.int64) for r in counted}
     names = sorted(counts)
@@ -72,14 +81,15 @@ def fit_text_model(docs: DataFrame, text: str = "text", lang: str = "lang", samp
 
 
 def text_posterior(page: str, model: np.ndarray) -> list[float]:
+    """log p(language | text) for each language."""
     text = entities.unescape(TAGS.sub(" ", page)).encode("utf-8", "replace")
     found = trigrams(text)
     if len(found) < 2:
-        return [1 / len(model)] * len(model)
+        return [-math.log(len(model))] * len(model)
     seen, n = np.unique(found, return_counts=True)
-    total = model[:, seen] @ n * min(1.0, EVIDENCE / len(found))
-    p = np.exp(total - total.max())
-    return (p / p.sum()).tolist()
+    total = model[:, seen] @ n * min(1.0, math.sqrt(EVIDENCE / len(found)))
+    total -= total.max()
+    return (total - math.log(np.exp(total).sum())).tolist()
 
 
 def suffix_of(url: Column) -> Column:
@@ -106,10 +116,10 @@ def identify(pages: DataFrame, names: list[str], model: np.ndarray, url: str = "
         for batch in batches:
             post = [text_posterior(p or "", model) for p in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("kept", "declared", "suffix", "host")),
-                                              pa.array(post, pa.list_(pa.float64()))], ["kept", "declared", "suffix", "host", "post"])
+                                              pa.array(post, pa.list_(pa.float64()))], ["kept", "declared", "suffix", "host", "logs"])
 
-    seen = stage(plain.mapInArrow(run, f"kept {fields}, declared string, suffix string, host string, post array<double>")
-                 .withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)), "evidence")
+    seen = stage(plain.mapInArrow(run, f"kept {fields}, declared string, suffix string, host string, logs array<double>")
+                 .withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)), "evidence").withColumn("post", F.transform("logs", F.exp))
     many = len(names)
     sums = lambda key: seen.groupBy(key).agg(F.array(*[F.sum(F.col("post")[i]) for i in range(many)]).alias(f"{key}_sums"))
     total = [r or 0.0 for r in seen.agg(*[F.sum(F.col("post")[i]) for i in range(many)]).first()]
@@ -123,16 +133,16 @@ def identify(pages: DataFrame, names: list[str], model: np.ndarray, url: str = "
     for i in range(many):
         own = F.col("post")[i]
         size = lambda key: F.aggregate(f"{key}_sums", F.lit(0.0), lambda a, x: a + x) - 1  # noqa: E731  less the page itself
-        domain = (F.col("domain_sums")[i] - own + DOMAIN_WEIGHT * overall[i]) / (size("domain") + DOMAIN_WEIGHT)
-        host = (F.col("host_sums")[i] - own + HOST_WEIGHT * domain) / (size("host") + HOST_WEIGHT)
-        channel = [(F.col(f"{c}_sums")[i] - own + 0.5) / (total[i] + 0.5 * kinds[c]) for c in kinds]
-        scores.append(F.log(F.greatest(own, F.lit(1e-12))) + F.log(F.greatest(host, F.lit(1e-12)))
-                      + sum(F.log(F.greatest(c, F.lit(1e-12))) for c in channel))
+        others = lambda key: F.greatest(F.col(f"{key}_sums")[i] - own, F.lit(0.0))  # noqa: E731  sums may round below the own share
+        domain = (others("domain") + DOMAIN_WEIGHT * overall[i]) / (F.greatest(size("domain"), F.lit(0.0)) + DOMAIN_WEIGHT)
+        host = (others("host") + HOST_WEIGHT * domain) / (F.greatest(size("host"), F.lit(0.0)) + HOST_WEIGHT)
+        channel = [(others(c) + 0.5) / (total[i] + 0.5 * kinds[c]) for c in kinds]
+        scores.append(F.col("logs")[i] + F.log(host) + sum(F.log(c) for c in channel))
     out = out.withColumn("scores", F.array(*scores)).withColumn("most", F.array_max("scores"))
     sure = 1 / F.aggregate("scores", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("most")))
     of = F.array(*[F.lit(x) for x in names])
     return out.select(*outer, F.element_at(of, F.array_position("scores", F.col("most")).cast("int")).alias("lang"), sure.alias("probability"),
-                      F.element_at(of, F.array_position("post", F.array_max("post")).cast("int")).alias("text_lang"), "declared", "suffix")
+                      F.element_at(of, F.array_position("logs", F.array_max("logs")).cast("int")).alias("text_lang"), "declared", "suffix")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

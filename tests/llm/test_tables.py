@@ -147,3 +147,28 @@ def test_templates_inside_the_article(spark):
         spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
     assert all(got[i] == f"News Story {i} Yes {i}" for i in range(30))
     assert all(got[100 + i] == "Copy first part second part" and len(got[200 + i].split()) == 240 for i in range(30))
+
+
+@pytest.mark.parametrize("n", [100, 100_000])
+def test_mislabelled_page_on_small_and_large_hosts(spark, n):
+    """One German page that says English, on an English host; the other pages are labelled rightly."""
+    docs = spark.read.parquet(f"{MORE}/documents.parquet")
+    names, model = language.fit_text_model(docs)
+    of = {x: docs.filter(F.col("lang") == x).agg(F.max(F.struct(F.length("text"), "text"))).first()[0][1][:1000] for x in ("en", "de")}
+    page = lambda lang, text: F.lit(f'<html lang="{lang}"><body>{of[text]}')
+    i = F.col("id").cast("string")
+    english = spark.range(1, n).select("id", F.concat(F.lit("http://a.example.com/en/"), i).alias("url"), page("en", "en").alias("html"))
+    rest = spark.range(n, 2 * n).withColumn("de", F.col("id") % 10 < 3).select(
+        "id", F.concat(F.lit("http://h"), F.expr("id % 50").cast("string"), F.lit(".example.org/"), F.when(F.col("de"), "de/").otherwise("en/"), i).alias("url"),
+        F.when(F.col("de"), page("de", "de")).otherwise(page("en", "en")).alias("html"))
+    wrong = spark.range(1).select("id", F.lit("http://a.example.com/en/0").alias("url"), page("en", "de").alias("html"))
+    found = language.identify(english.unionByName(rest).unionByName(wrong), names, model, keep=("id",))
+    got = found.groupBy("declared", "lang").count().collect()
+    assert found.filter("id = 0").first()["lang"] == "de" and {(r["declared"], r["lang"]): r["count"] for r in got}["en", "de"] == 1
+
+
+def test_languages_are_counted_over_all_documents(spark):
+    docs = spark.range(3000).select(F.concat(F.lit("the words of text "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    rare = spark.createDataFrame([("das sind die Wörter", "de")], "text string, lang string")
+    names, model = language.fit_text_model(docs.union(rare), sample=5)
+    assert names == ["de", "en"] and model.shape[0] == 2
