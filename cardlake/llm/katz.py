@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardlake.llm import hashing as H
 from cardlake.session import scratch_path, stage
 
-ORDER, LIMIT = 2, 5
+ORDER, LIMIT = 3, 5
 BLOCK = 1 << 20  # tokens
 END = H.U(0x27220A95FE6D52B1)
 _ANSWER = "kind int, block long, bucket int, counts binary, details binary, context long, stats array<double>"

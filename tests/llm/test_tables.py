@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cardlake.llm import bpe, decontaminate, html_extract, jaccard_join, language, secrets, toxicity, vector_search, warc
+from cardlake.llm import bpe, decontaminate, html_extract, jaccard_join, katz, language, secrets, toxicity, vector_search, warc
 from cardlake.llm.queries import QUERIES
 from cardlake.session import scratch_path
 
@@ -172,3 +172,11 @@ def test_languages_are_counted_over_all_documents(spark):
     rare = spark.createDataFrame([("das sind die Wörter", "de")], "text string, lang string")
     names, model = language.fit_text_model(docs.union(rare), sample=5)
     assert names == ["de", "en"] and model.shape[0] == 2
+
+
+def test_katz_query_uses_contexts_of_two_words(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn(
+        "in_training", ~F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 1, F.lit(False)))
+    scores = lambda df: {r["doc_id"]: round(r["score"], 6) for r in df.collect()}
+    got = scores(QUERIES["op2_katz_backoff"](spark, SMALL))
+    assert got == scores(katz.score_documents(docs, "in_training", order=3)) != scores(katz.score_documents(docs, "in_training", order=2))
