@@ -1,10 +1,12 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest. DataFrame functions and MLlib only.
 
-A candidate is a run of at least 16 letters, digits and signs with a digit in it. Its features are its length, shares and
-transitions of character classes, coverage by dictionary words, path signs, and the words before and after it. The forest learns
-from labelled findings (text around a candidate, label). Without a table of findings, ``planted_findings`` derives one: real
-text from the documents with credentials and look-alikes (digests, identifiers, paths, placeholders) set into it, whose labels are
-known. That table and the dictionary are of bounded size; the scan covers every text whole.
+A candidate is a run of at least 16 letters, digits and signs, or a value of at least 6 characters without space behind a
+credential word (``KEY``), whatever its signs. Its features are its length, shares and transitions of character classes, coverage by
+dictionary words, path signs, and the words before and after it. The forest learns from labelled findings (text around a
+candidate, label). Without a table of findings, ``planted_findings`` derives one: real text from any place of the documents with
+credentials and look-alikes (digests, identifiers, paths, placeholders, words) set into it, whose labels are known; a table with few
+texts gets fixed ones besides. The number of these findings is bounded (``FINDINGS`` texts of ``WINDOW`` characters); dictionary words are
+counted over all texts, and the scan covers every text whole.
 
 Texts are cut into candidates and the pieces between them in one pass of the pattern; texts without a candidate never move.
 
@@ -21,10 +23,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cardlake.session import stage
 
 CHARS = r"[A-Za-z0-9+/_=-]"
-CANDIDATE = rf"(?<!{CHARS})(?=[A-Za-z+/_=-]*[0-9]){CHARS}{{16,}}"
+KEY = r"(?i:passw(?:or)?d|passphrase|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|auth|bearer|credential)"
+VALUE = r"""[^\s"':=>](?:[^\s"']|["'](?=[A-Za-z0-9])){4,}[^\s"'.,;:)\]}]"""
+BEHIND = (rf"(?<![\w-])[\w-]{{0,40}}?{KEY}[\w-]{{0,12}}[\"']?(?:\s{{0,3}}(?:[:=]=?>?|->)\s{{0,3}}|\s{{1,3}}(?:is\s{{1,3}})?)"
+          rf"(?:(?i:bearer|basic)\s{{1,3}})?[\"']?(?={VALUE})")
+CANDIDATE = rf"(?:{BEHIND}{VALUE}|(?<!{CHARS})(?=[+/_=-]*[A-Za-z0-9]){CHARS}{{16,}})"
 TREES, DEPTH, SEED = 30, 8, 11
-FINDINGS = 2_000  # documents that planted findings are set into
+FINDINGS, WINDOW, FEWEST = 2_000, 240, 200  # texts that planted findings are set into, their characters; with fewer, FIXED is used too
 WORDS = 400  # dictionary words
+FIXED = "The server reads its settings from a file and writes a report of what it did to another place when the work has come to an end."
 MARK = "<secret>"
 THRESHOLD = 0.5
 # Neighbouring words that speak for and against a credential.
@@ -47,9 +54,12 @@ def _candidates(rows: DataFrame, *keep: str) -> DataFrame:
         F.struct(F.lit(1).alias("next"), F.array().cast("array<int>").alias("all")),
         lambda done, x: F.struct((done["next"] + F.length(x["gap"]) + F.length(x["hit"])).alias("next"),
                                  F.concat(done["all"], F.array(done["next"] + F.length(x["gap"]))).alias("all")))["all"]
-    return (cut.withColumn("starts", starts).select(*keep, F.col("gaps"), "starts", F.posexplode("hits").alias("at", "found"))
-            .select(*keep, "at", F.element_at("starts", F.col("at") + 1).alias("start"), "found",
-                    F.expr("right(gaps[at], 48)").alias("before"), F.expr("left(gaps[at + 1], 24)").alias("after")))
+    lead = F.regexp_extract("hit", rf"^({BEHIND})", 1)  # the credential word and what stands up to its value
+    return (cut.withColumn("starts", starts).select(*keep, F.col("gaps"), "starts", F.posexplode("hits").alias("at", "hit"))
+            .withColumn("lead", lead)
+            .select(*keep, "at", (F.element_at("starts", F.col("at") + 1) + F.length("lead")).alias("start"),
+                    F.expr("substring(hit, length(lead) + 1)").alias("found"),
+                    F.expr("right(concat(right(gaps[at], 48), lead), 48)").alias("before"), F.expr("left(gaps[at + 1], 24)").alias("after")))
 
 
 def _share(column: Column, pattern: str) -> Column:
@@ -72,24 +82,38 @@ def _features(words: list[str]) -> Column:
         flag(after.rlike(r"^\.[a-z]{1,4}\b")), flag(before.rlike(r"[:=]\s*[\"']?$")), flag(before.rlike("[\"']$") & after.rlike("^[\"']")),
         flag(last_word.rlike(FOR)), flag(before.rlike(FOR)), flag(last_word.rlike(AGAINST)), flag(before.rlike(AGAINST)),
         flag(x.rlike(PLACEHOLDER)), flag(x.rlike(r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-")),
-        flag(x.rlike("^(AKIA|ghp_|gho_|xox|sk_|pk_|eyJ|AIza)")))])
+        flag(x.rlike("^[a-z]+$")), flag(x.rlike(r"^\p{Lu}?[\p{Ll}-]+$")), flag(x.rlike(r"[(){}<>\[\]]|^\$")), flag(x.rlike(r"(.)\1{3,}")),
+        flag(before.rlike(rf"{KEY}[\w-]{{0,12}}[\"']?\s*[:=]")), flag(x.rlike("^(AKIA|ghp_|gho_|xox|sk_|pk_|eyJ|AIza)")))])
+
+
+def _window(text: str) -> Column:
+    """WINDOW characters from any place of a text, chosen by its hash."""
+    return F.expr(f"substring({text}, 1 + cast(pmod(xxhash64({text}), greatest(1, length({text}) - {WINDOW - 1})) as int), {WINDOW})")
 
 
 def planted_findings(docs: DataFrame, text: str = "text", bound: int = FINDINGS) -> DataFrame:
-    """(text, label): for at most ``bound`` texts, least by hash, each kind of credential and look-alike set between their words."""
-    base = (docs.select(F.substring(F.col(text).cast("string"), 1, 240).alias("text")).filter("length(text) >= 40").distinct()
+    """(text, label, first, last): for at most ``bound`` texts, least by hash, each kind of credential and look-alike set between their
+    words, and the places (1-based) of what was set in."""
+    base = (docs.select(F.col(text).cast("string").alias("text")).select(_window("text").alias("text")).filter("length(text) >= 40").distinct()
             .withColumn("h", F.xxhash64("text")).orderBy("h").limit(bound))
     hexes = F.sha2(F.concat(F.col("h").cast("string"), F.col("kind").cast("string")).cast("binary"), 256)
     mixed = F.regexp_replace(F.base64(F.unhex(hexes)), "=+$", "")
     upper = F.upper(F.regexp_replace(mixed, "[+/]", "7"))
     word = F.regexp_extract("text", r"([A-Za-z]{3,})", 1)
     q = F.lit('"')
+    letters = F.translate(mixed, "0123456789+/", "qXvZkWjHyGpF")
     credentials = (
         F.concat(F.lit("token = "), q, F.substring(hexes, 1, 40), q), F.concat(F.lit("api_key: '"), F.substring(mixed, 1, 32), F.lit("'")),
         F.concat(F.lit("password="), F.substring(mixed, 1, 18)), F.concat(F.lit("secret: "), F.substring(hexes, 1, 32)),
         F.concat(F.lit("aws_access_key_id = AKIA"), F.substring(upper, 1, 16)), F.concat(F.lit("Authorization: Bearer "), mixed),
         F.concat(F.lit("ghp_"), F.regexp_replace(F.substring(mixed, 1, 36), "[+/]", "x")),
-        F.concat(F.lit("token = "), q, F.substring(hexes, 5, 40), q))
+        F.concat(F.lit("token = "), q, F.substring(hexes, 5, 40), q),
+        F.concat(F.lit("password: "), F.lower(word), F.regexp_replace(F.substring(hexes, 1, 2), "[a-f]", "2")),
+        F.concat(F.lit("pwd "), q, F.substring(mixed, 1, 5), F.lit("&"), F.substring(mixed, 6, 4), F.lit("!"), q),
+        F.concat(F.lit("db_password="), F.substring(mixed, 1, 4), F.lit("$"), F.substring(mixed, 5, 3)),
+        F.concat(F.lit("my password is "), F.substring(mixed, 1, 9)), F.concat(F.lit("secret: '"), F.substring(letters, 1, 12), F.lit("'")),
+        F.concat(F.lit("api_key="), F.substring(letters, 1, 28)), F.concat(F.lit("key "), F.substring(letters, 1, 32)),
+        F.concat(F.lit("eyJ"), F.substring(letters, 1, 20), F.lit(".eyJ"), F.substring(letters, 9, 30), F.lit("."), F.substring(mixed, 1, 40)))
     others = (
         F.concat(F.lit("commit "), F.substring(hexes, 1, 40)), F.concat(F.lit("sha256: "), hexes), F.concat(F.lit("md5 "), F.substring(hexes, 1, 32)),
         F.concat(F.lit("id "), F.substring(hexes, 1, 8), F.lit("-"), F.substring(hexes, 9, 4), F.lit("-"), F.substring(hexes, 13, 4),
@@ -97,14 +121,21 @@ def planted_findings(docs: DataFrame, text: str = "text", bound: int = FINDINGS)
         F.concat(F.lit("/usr/lib/"), word, F.lit("/include/"), word, F.lit("-1.2")), F.concat(F.lit("https://host/"), word, F.lit("/page-2/"), word, F.lit("_3")),
         F.concat(F.lit("token = "), q, F.lit("YOUR_API_KEY_HERE_1"), q), F.concat(word, word, F.lit("-"), word, F.lit("-2024-"), word),
         F.concat(F.lit("call 2024-01-02-"), F.translate(F.substring(hexes, 1, 12), "abcdef", "123456")),
-        F.concat(F.lit("number "), F.translate(F.substring(hexes, 1, 18), "abcdef", "123456")))
+        F.concat(F.lit("number "), F.translate(F.substring(hexes, 1, 18), "abcdef", "123456")),
+        F.lit("the password protected pages"), F.concat(F.lit("a token "), word, word), F.concat(F.lit("password is "), word, F.lit("able")),
+        F.lit("password: required"), F.lit("token: string"), F.concat(F.lit("password=get"), word, F.lit("()")), F.lit("secret: ${SECRET_VALUE}"),
+        F.lit("password: ********"), F.concat(word, F.lit("-"), word, F.lit("-"), word, F.lit("-"), word, F.lit("-"), word),
+        F.concat(F.lower(word), F.lower(word), F.lower(word), F.lower(word), F.lower(word), F.lower(word)),
+        F.concat(F.lit("see "), word, F.lit("/"), word, F.lit("/"), word, F.lit("/"), word, F.lit("/"), word))
     kinds = [*credentials, *others]
     rows = base.withColumn("kind", F.explode(F.array(*[F.lit(i) for i in range(len(kinds))])))
     snippet = F.coalesce(*[F.when(F.col("kind") == i, k) for i, k in enumerate(kinds)])
     half = F.expr("greatest(20, cast(length(text) / 2 as int))")
     set_in = F.concat(F.expr("left(text, greatest(20, cast(length(text) / 2 as int)))"), F.lit(" "), snippet, F.lit(" "),
                       F.substring("text", half + 1, F.lit(240)))
-    return rows.select(set_in.alias("text"), (F.col("kind") < len(credentials)).cast("double").alias("label"))
+    first = F.expr("length(left(text, greatest(20, cast(length(text) / 2 as int))))") + 2
+    return rows.select(set_in.alias("text"), (F.col("kind") < len(credentials)).cast("double").alias("label"), first.alias("first"),
+                       (first + F.length(snippet) - 1).alias("last"))
 
 
 class SecretModel:
@@ -121,24 +152,31 @@ class SecretModel:
 
 
 def fit_secrets(findings: DataFrame, dictionary: DataFrame, threshold: float = THRESHOLD) -> SecretModel:
-    """``findings``: text, label (1 credential, 0 not); ``dictionary``: texts whose most frequent words are known words."""
+    """``findings``: text, label (1 credential, 0 not), maybe first and last (where the label holds; words elsewhere are none, other
+    candidates there are left out); ``dictionary``: texts whose most frequent words are known words."""
     words = [r["word"] for r in dictionary.select(F.explode(F.split(F.lower("text"), r"[^a-z]+")).alias("word"))
              .filter("length(word) between 4 and 12").groupBy("word").count().orderBy(F.desc("count"), "word").limit(WORDS).collect()]
-    rows = _candidates(findings.filter("text is not null and label is not null"), "label").withColumn(
-        "vector", array_to_vector(_features(words)))
+    placed = [c for c in ("first", "last") if c in findings.columns]
+    rows = _candidates(findings.filter("text is not null and label is not null"), "label", *placed)
+    if len(placed) == 2:
+        inside = F.col("start").between(F.col("first"), F.col("last"))
+        rows = rows.filter(inside | ~F.col("found").rlike("[0-9]")).withColumn("label", F.when(inside, F.col("label")).otherwise(0.0))
+    rows = rows.withColumn("vector", array_to_vector(_features(words)))
     forest = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
     return SecretModel(forest.fit(stage(rows.select("label", "vector"), "findings")), words, threshold)
 
 
-def fit_planted(docs: DataFrame, text: str = "text") -> SecretModel | None:
-    """A model from ``planted_findings``; None if the table has no text to plant them in."""
+def fit_planted(docs: DataFrame, text: str = "text") -> SecretModel:
+    """A model from ``planted_findings``, in fixed text too if the table has less than FEWEST texts to plant them in."""
     base = docs.filter(F.length(text) >= 40).select(F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     # The least texts by hash, cut on the hash alone; at most twice the bound of them is read.
-    cut = base.select("h").distinct().orderBy("h").limit(2 * FINDINGS).agg(F.max("h")).first()[0]
-    if cut is None:
-        return None
-    some = stage(base.filter(F.col("h") <= cut).select(F.substring("text", 1, 2000).alias("text")).distinct(), "planted")
-    return fit_secrets(planted_findings(some), some)
+    cut = base.select("h").distinct().orderBy("h").limit(2 * FINDINGS).agg(F.max("h"), F.count("*")).first()
+    some = base.filter(F.col("h") <= cut[0]) if cut[1] else base.limit(0)
+    some = stage(some.select(_window("text").alias("text")).distinct(), "planted")
+    if cut[1] < FEWEST:
+        fixed = docs.sparkSession.range(FEWEST).select(F.concat(F.lit(FIXED + " "), F.col("id").cast("string"), F.lit(". " + FIXED)).alias("text"))
+        some = some.unionByName(fixed)
+    return fit_secrets(planted_findings(some), docs.select(F.col(text).alias("text")))
 
 
 def find_secrets(docs: DataFrame, model: SecretModel | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

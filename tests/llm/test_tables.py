@@ -180,3 +180,15 @@ def test_katz_query_uses_contexts_of_two_words(spark):
     scores = lambda df: {r["doc_id"]: round(r["score"], 6) for r in df.collect()}
     got = scores(QUERIES["op2_katz_backoff"](spark, SMALL))
     assert got == scores(katz.score_documents(docs, "in_training", order=3)) != scores(katz.score_documents(docs, "in_training", order=2))
+
+
+def test_secrets_of_any_form(spark):
+    """Short values, values with signs, letters only; look-alikes stay; the same from a table without texts to plant in."""
+    docs = spark.read.parquet(f"{MORE}/documents.parquet").select("doc_id", "text")
+    bad = ["password: hunter2", "pwd \"Tr0ub4dor&3\"", "api_key=QwhZkXvbnTrLpMsdFgHjKcVb", "password=aX4$kq9."]
+    good = ["the password protected pages", "commit 24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "password: required", "internationalization of things"]
+    rows = spark.createDataFrame(list(enumerate([f"we wrote {x} in the file" for x in bad + good])), "doc_id long, text string")
+    for model in (secrets.fit_planted(docs), secrets.fit_planted(rows.limit(0))):
+        got = {r["doc_id"]: r["text"] for r in secrets.redact(rows, model).collect()}
+        assert [secrets.MARK in got[i] for i in range(8)] == [True] * 4 + [False] * 4, got
+        assert got[0] == "we wrote password: <secret> in the file" and got[1] == "we wrote pwd \"<secret>\" in the file"
