@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cardlake.llm import (bpe, conversations, decontaminate, html_extract, jaccard_join, katz, language, secrets, toxicity,
-                          vector_search, warc)
+from cardlake.llm import (bpe, conversations, decontaminate, html_extract, jaccard_join, katz, language, secrets, sharding,
+                          toxicity, vector_search, warc)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_ngram_jaccard_join": jaccard_join.op9,
     "op10_language_id": language.op10,
     "op11_conversation_repair": conversations.op11,
+    "op12_histogram_sort": sharding.op12,
 }
 ORACLES: dict[str, str] = {
     "op6_exact_top_k": """
