@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cardlake.llm import (bpe, conversations, decontaminate, html_extract, jaccard_join, katz, language, secrets, sharding,
-                          toxicity, vector_search, warc)
+from cardlake.llm import (bpe, conversations, decontaminate, html_extract, jaccard_join, katz, language, lexical, secrets,
+                          sharding, toxicity, vector_search, warc)
 
 QUERIES = {
     "op1_toxicity": toxicity.op1,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_language_id": language.op10,
     "op11_conversation_repair": conversations.op11,
     "op12_histogram_sort": sharding.op12,
+    "op13_lexical_search": lexical.op13,
 }
 ORACLES: dict[str, str] = {
     "op6_exact_top_k": """
@@ -38,4 +39,23 @@ f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >=
 SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)""",
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc_row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+b AS (
+  SELECT row_number() OVER () AS item_row, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM benchmark),
+s AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_terms FROM d WHERE len(words) > 0),
+tf AS (SELECT doc_row, doc_id, n, term, count(*) AS tf FROM (SELECT doc_row, doc_id, len(words) AS n, unnest(words) AS term FROM d) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+q AS (
+  SELECT item_row, item_id, term, count(*) * CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS weight
+  FROM (SELECT item_row, item_id, unnest(words) AS term FROM b) JOIN df USING (term), s GROUP BY item_row, item_id, term, df, n_docs),
+scored AS (
+  SELECT item_row, item_id, doc_row, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term), s GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0 AND doc_id IS NOT NULL)
+WHERE rank <= 20""",
 }
