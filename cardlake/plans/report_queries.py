@@ -188,7 +188,16 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions written as CSV in order, read back, and numbered by their place in the files."""
     path = scratch_path(spark, "csv")
     sinks.write_csv(adapters.transactions(spark, sf_dir).orderBy("idx"), path)
-    return readers.file_order_index(readers.read_csv(spark, path, schemas.TRANSACTION), "position")
+    return readers.read_csv(spark, path, schemas.TRANSACTION, index="position")
+
+
+@query("""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, doc_id, CASE doc_id % 5 WHEN 0 THEN chr(10) || 'a "b",' || chr(13) || chr(10)
+  || text WHEN 1 THEN '"' || lang || chr(10) WHEN 2 THEN NULL ELSE text END AS text, CASE WHEN doc_id % 3 > 0 THEN source END AS source FROM documents""")
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks, quotes and commas written as CSV in order, read back by splits, and numbered."""
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(adapters.texts_for_csv(spark, sf_dir).orderBy("doc_id"), path)
+    return readers.read_csv(spark, path, adapters.texts_for_csv(spark, sf_dir).schema, index="position")
 
 
 @query(f"""WITH {CARD} SELECT idx, "user", card_number, credit_limit FROM card""")

@@ -8,7 +8,7 @@ from cardlake import schemas
 from cardlake.functions import cleaning as fn
 from cardlake.plans.registry import TXN, query
 from cardlake.session import scratch_path
-from cardlake.sources import adapters, readers
+from cardlake.sources import adapters, csv_records, readers, sinks
 from cardlake.streaming import ingest, scoring, topics
 
 _TXN = topics.TOPICS["transaction-topic"]
@@ -165,3 +165,15 @@ def chunked_csv_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     (stream.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
      .start(f"{root}/rows").awaitTermination())
     return spark.read.parquet(f"{root}/rows")
+
+
+@query("""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN chr(10) || 'a "b",' || chr(13) || chr(10) || text WHEN 1 THEN '"' || lang || chr(10)
+  WHEN 2 THEN NULL ELSE text END AS text, CASE WHEN doc_id % 3 > 0 THEN source END AS source FROM documents""")
+def stream_csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks as a stream of CSV files, two per batch, each file read by its splits."""
+    root = scratch_path(spark, "chunks")
+    rows = adapters.texts_for_csv(spark, sf_dir)
+    sinks.write_csv(rows.repartition(4, "doc_id"), f"{root}/csv")
+    csv_records.stream_csv(spark, f"{root}/csv", rows.schema, lambda df, number: sinks.write_batch(df, f"{root}/rows", number),
+                           f"{root}/checkpoint", max_files=2).awaitTermination()
+    return spark.read.parquet(f"{root}/rows").drop("batch_id")

@@ -63,3 +63,12 @@ def labelled_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"),
         F.dayofmonth("l_shipdate").alias("day"), F.col("l_linestatus"),
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"))
+
+
+def texts_for_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts; some begin with a line break, hold quotes and commas, end with a line break or are empty."""
+    kind = F.pmod("doc_id", F.lit(5))
+    text = (F.when(kind == 0, F.concat(F.lit('\na "b",\r\n'), "text")).when(kind == 1, F.concat(F.lit('"'), "lang", F.lit("\n")))
+            .when(kind == 2, "").otherwise(F.col("text")))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", text.alias("text"), F.when(F.pmod("doc_id", F.lit(3)) > 0, F.col("source")).alias("source"))

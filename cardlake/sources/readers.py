@@ -11,21 +11,31 @@ from cardlake.operators.cleaning import select_present
 from cardlake.operators.graph import Relation
 from cardlake.operators.ordering import running_totals
 from cardlake.session import stage
+from cardlake.sources import csv_records
 
 CORRUPT = "_corrupt"
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, corrupt: bool = False,
-             multi_line: bool = True) -> DataFrame:
-    """CSV with a header row. With ``corrupt`` lines that do not fit are kept whole in the column ``_corrupt``.
+             multi_line: bool = True, header: bool = True, index: str | None = None) -> DataFrame:
+    """CSV, by default with a header row. With ``corrupt`` lines that do not fit are kept whole in the column ``_corrupt``.
 
-    Quoted line breaks belong to their field. Where no field holds one, ``multi_line=False`` lets Spark split large files.
+    An empty field is null, quoted or not. Large files are split. Line breaks inside quotes belong to their field; a pass over the quotes tells where there are any.
+    ``multi_line=False`` saves that pass where no field can hold one. ``index`` adds a first column of that name, the row's
+    number in the order of the files.
     """
     if corrupt:
         schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
-    reader = reader.option("multiLine", multi_line)
-    return (reader.option("columnNameOfCorruptRecord", CORRUPT) if corrupt else reader).csv(path)
+    if multi_line:
+        lines = csv_records.read_lines(spark.read, path)
+        states = stage(csv_records.split_states(lines), "split-states")
+        if not states.where("starts_inside or spans").isEmpty():
+            records = csv_records.cut_records(lines, states, header)
+            rows = csv_records.parse_records(records, schema, CORRUPT if corrupt else None)
+            return file_order_index(rows, index) if index else rows.drop(*csv_records.PLACE)
+    reader = spark.read.schema(schema).option("header", header).option("escape", '"').option("mode", "PERMISSIVE")
+    rows = (reader.option("columnNameOfCorruptRecord", CORRUPT) if corrupt else reader).csv(path)
+    return file_order_index(rows, index) if index else rows
 
 
 def file_order_index(df: DataFrame, name: str = "idx", start: int = 0) -> DataFrame:
@@ -35,17 +45,20 @@ def file_order_index(df: DataFrame, name: str = "idx", start: int = 0) -> DataFr
     positions both come from that table, so it does not matter how another scan would split the files. Files stand in
     the order of their folder, the number in their name and their name. Only the small table of splits is sorted.
     """
-    file = F.col("_metadata.file_path")
-    located = stage(df.select("*", file.alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
-                              F.monotonically_increasing_id().alias("__row")), "located")
-    number = F.regexp_extract(F.element_at(F.split("__file", "/"), -1), r"(\d+)", 1)
-    splits = stage(located.groupBy("__file", "__block").agg(F.count("*").alias("n"), F.min("__row").alias("__first"))
-                   .withColumn("__folder", F.regexp_replace("__file", "/[^/]*$", ""))
+    file, block, row = csv_records.PLACE
+    columns = [c for c in df.columns if c not in csv_records.PLACE]
+    if file not in df.columns:
+        df = df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.file_block_start").alias(block),
+                       F.monotonically_increasing_id().alias(row))
+    located = stage(df, "located")
+    number = F.regexp_extract(F.element_at(F.split(file, "/"), -1), r"(\d+)", 1)
+    splits = stage(located.groupBy(file, block).agg(F.count("*").alias("n"), F.min(row).alias("__first"))
+                   .withColumn("__folder", F.regexp_replace(file, "/[^/]*$", ""))
                    .withColumn("__digits", F.length(number)).withColumn("__number", number), "splits")
-    before, _ = running_totals(splits, ["__folder", "__digits", "__number", "__file", "__block"], ["n"])
-    before = before.select("__file", "__block", "__first", (F.col("cum_n") - F.col("n") + start).alias("__before"))
-    index = F.col("__before") + F.col("__row") - F.col("__first")
-    return located.join(before, ["__file", "__block"]).select(index.alias(name), *[c for c in df.columns if c != name])
+    before, _ = running_totals(splits, ["__folder", "__digits", "__number", file, block], ["n"])
+    before = before.select(file, block, "__first", (F.col("cum_n") - F.col("n") + start).alias("__before"))
+    index = F.col("__before") + F.col(row) - F.col("__first")
+    return located.join(before, [file, block]).select(index.alias(name), *[c for c in columns if c != name])
 
 
 def read_topic(spark: SparkSession, root: str, topic: str, schema: T.StructType, columns: Sequence[str] | None = None,

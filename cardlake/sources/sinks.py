@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV with a header, quotes doubled; a null is empty and an empty text is two quotes."""
-    df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", '""').csv(path)
+    """CSV with a header, quotes doubled, space kept; a null is empty and an empty text is two quotes."""
+    (df.write.mode(mode).option("header", True).option("escape", '"').option("emptyValue", '""')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def _folder(spark: SparkSession, path: str):
