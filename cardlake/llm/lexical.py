@@ -226,10 +226,10 @@ def _search(k: int, opened: int | None):
                 weights = np.frombuffer(batch.column("q_weights")[i].as_buffer(), np.int64)
                 floors = dict.fromkeys(asked.tolist(), 0) | {f["item_row"]: f["floor"] for f in batch.column("floors")[i].as_py() or []}
                 items = [(terms[a:b], weights[a:b], floors[r]) for r, a, b in zip(asked.tolist(), q_ptr, q_ptr[1:])]
-                for row, (ids, scores) in zip(asked.tolist(), search_tree(tree, items, k, opened)):
-                    if len(ids):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), row)), pa.array(ids), pa.array(scores)],
-                                                         ["item_row", "doc_id", "score"])
+                found = list(search_tree(tree, items, k, opened))
+                rows = np.repeat(asked, [len(ids) for ids, _ in found])
+                yield pa.RecordBatch.from_arrays([pa.array(rows), *[pa.array(np.concatenate(c)) for c in zip(*found)]],
+                                                 ["item_row", "doc_id", "score"])
     return run
 
 
@@ -273,6 +273,9 @@ def rank_documents(docs: DataFrame, items: DataFrame, k: int = K, text: str = "t
     weight = F.floor(1000 * F.log((2 * F.lit(documents) + 2) / (2 * F.col("df") + 1)))
     vectors = (entries.join(counts, "term").select("item_row", "term", (weight * F.col("count")).alias("weight")).filter("weight > 0")
                .groupBy("item_row").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("entries")))
+    vectors = stage(vectors, "item-vectors")
+    items_n, entries_n = vectors.agg(F.count("*"), F.sum(F.size("entries"))).first()
+    vectors = vectors.repartition(1 + max(items_n // ITEMS, (entries_n or 0) // ITEM_TERMS))  # full blocks, however the rows were dealt
     blocks = stage(vectors.mapInArrow(_item_blocks, "item_rows binary, q_ptr binary, q_terms binary, q_weights binary")
                    .withColumn("block", F.monotonically_increasing_id()), "item-blocks")
     trees = stage(sparse.filter("doc_id is not null and octet_length(terms) > 0")
