@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardlake.functions import cleaning as fn
-from cardlake.operators.lookups import hot_keys, lookup, row_bytes
+from cardlake.operators import lookups
+from cardlake.operators.lookups import heavy_keys, lookup, row_bytes
 from cardlake.operators.ordering import ROWS_PER_RANGE, dense_index
 from cardlake.session import stage
 
@@ -71,11 +71,12 @@ def apply_label_codes(df: DataFrame, codes: Mapping[str, LabelCodes], unseen: st
     if unseen not in ("error", "zero", "reject"):
         raise ValueError(f"unknown unseen policy {unseen!r}")
     out, missing = df, []
+    large = [c for c in codes if codes[c].size > lookups.BROADCAST_BYTES]
+    hot = heavy_keys(df, {c: F.col(c) for c in large}) if large else {}  # one pass over the rows for all columns
     for c, fitted in codes.items():
         key = f"__key_{c}"
         table = fitted.table.select(F.col("value").alias(key), F.col("code").alias(f"__code_{c}"))
-        out = lookup(out.withColumn(key, F.col(c)), table, key, size=fitted.size,
-                     hot=partial(hot_keys, fitted.table, "value"), spread=spread or df.columns)
+        out = lookup(out.withColumn(key, F.col(c)), table, key, size=fitted.size, hot=hot.get(c, ()), spread=spread or df.columns)
         code, falsy = F.col(f"__code_{c}"), _falsy(F.col(key), df.schema[c].dataType.simpleString())
         no_code = code.isNull() & F.col(key).isNotNull() & (~falsy if falsy_zero else F.lit(True))
         value = F.when(falsy, F.lit(0).cast("long")) if falsy_zero else F.when(F.col(key).isNull(), F.lit(None))

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from cardlake.operators.lookups import hot_keys, lookup, row_bytes, table_bytes
+from cardlake.operators import lookups
+from cardlake.operators.lookups import heavy_keys, hot_keys, lookup, row_bytes, table_bytes
 from cardlake.operators.ordering import dense_index
 from cardlake.operators.sampling import take_exactly
 from cardlake.session import stage
@@ -52,27 +53,30 @@ def type_sizes(nodes: DataFrame) -> dict[str, tuple[int, int]]:
     return {r["type"]: (r["n"], r["bytes"]) for r in sizes}
 
 
-def _look_up_nodes(rows: DataFrame, nodes: DataFrame, sizes: dict[str, tuple[int, int]], column: str, kind: str,
-                   name: str, how: str, spread: Sequence[str] | None) -> DataFrame:
-    """Add ``name``, the id of the node of type ``kind`` whose key stands in ``column``."""
-    key, typed = f"__{name}_key", nodes.where(F.col("type") == kind)
-    table = typed.select(F.col("key").alias(key), F.col("node_id").alias(name))
-    hot = partial(hot_keys, typed, "key", "degree") if "degree" in nodes.columns else ()
-    return lookup(rows.withColumn(key, F.col(column).cast("string")), table, key, how, sizes.get(kind, (0, 0))[1], hot,
-                  spread).drop(key)
+def _look_up_nodes(rows: DataFrame, nodes: DataFrame, sizes: dict[str, tuple[int, int]], ends: Sequence[tuple[str, str, str]],
+                   how: str, spread: Sequence[str] | None) -> DataFrame:
+    """For each (name, column, kind) add ``name``, the id of the node of type ``kind`` whose key stands in ``column``."""
+    size = {name: sizes.get(kind, (0, 0))[1] for name, _, kind in ends}
+    large = {name: F.col(column).cast("string") for name, column, _ in ends if size[name] > lookups.BROADCAST_BYTES}
+    hot, out = heavy_keys(rows, large) if large else {}, rows
+    for name, column, kind in ends:
+        key = f"__{name}_key"
+        table = nodes.where(F.col("type") == kind).select(F.col("key").alias(key), F.col("node_id").alias(name))
+        out = lookup(out.withColumn(key, F.col(column).cast("string")), table, key, how, size[name], hot.get(name, ()), spread).drop(key)
+    return out
 
 
 def resolve_edges(rows: DataFrame, nodes: DataFrame, card: str = "card_id", merchant: str = "merchant_name",
-                  default: int | None = None, spread: Sequence[str] | None = None) -> DataFrame:
+                  default: int | None = None, spread: Sequence[str] | None = None,
+                  sizes: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """Add ``src`` and ``dst``, the node ids of card and merchant.
 
     Without ``default`` rows whose nodes are unknown are dropped. With it they get that id, and ``src_known`` /
     ``dst_known`` tell them from rows that really meet this node.
+    ``sizes`` saves measuring the nodes (:func:`type_sizes`).
     """
-    how = "inner" if default is None else "left"
-    out, sizes = rows, type_sizes(nodes)
-    for end, column, kind in (("src", card, "card"), ("dst", merchant, "merchant")):
-        out = _look_up_nodes(out, nodes, sizes, column, kind, end, how, spread or rows.columns)
+    out = _look_up_nodes(rows, nodes, sizes or type_sizes(nodes), [("src", card, "card"), ("dst", merchant, "merchant")],
+                         "inner" if default is None else "left", spread or rows.columns)
     if default is not None:
         out = out.withColumns({
             "src_known": F.col("src").isNotNull(), "dst_known": F.col("dst").isNotNull(),
@@ -113,15 +117,18 @@ def select_relations(expression: str, names: Sequence[str]) -> list[str]:
     return [n for n in names if re.match(expression, n)]
 
 
+def _key(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
 def _ends(relations: Sequence[Relation]) -> DataFrame:
-    """Both ends of every edge as (type, key, pos); ``pos`` orders by relation, row, side."""
+    """Both ends of every edge as (type, key, pos); ``pos`` orders by relation, row, side. A missing id is the empty one."""
     parts = []
     for number, relation in enumerate(relations):
         base = F.lit(number).cast("long") * F.lit(1 << 50) + F.col("row").cast("long") * 2
         ends = F.array(
-            F.struct(F.lit(relation.src_type).alias("type"), F.col("src").cast("string").alias("key"), base.alias("pos")),
-            F.struct(F.lit(relation.dst_type).alias("type"), F.col("dst").cast("string").alias("key"),
-                     (base + 1).alias("pos")))
+            F.struct(F.lit(relation.src_type).alias("type"), _key("src").alias("key"), base.alias("pos")),
+            F.struct(F.lit(relation.dst_type).alias("type"), _key("dst").alias("key"), (base + 1).alias("pos")))
         parts.append(relation.rows.select(F.explode(ends).alias("e")).select("e.*"))
     out = parts[0]
     for part in parts[1:]:
@@ -129,24 +136,30 @@ def _ends(relations: Sequence[Relation]) -> DataFrame:
     return out
 
 
+def _numbered(first: DataFrame, start: dict[str, int], name: str) -> DataFrame:
+    """``first(type, key, pos, degree)`` numbered by ``pos`` within each type, from the type's first free id on."""
+    parts = [dense_index(first.where(F.col("type") == t), ["pos"], "node_id", start.get(t, 0), rows=n)
+             for t, (n, _) in sorted(type_sizes(first).items())]
+    if not parts:
+        return first.select(F.lit(0).cast("long").alias("node_id"), "type", "key", "degree")
+    return stage(reduce(DataFrame.unionByName, parts).select("node_id", "type", "key", "degree"), name)
+
+
+def _first_seen(relations: Sequence[Relation]) -> DataFrame:
+    return stage(_ends(relations).groupBy("type", "key").agg(F.min("pos").alias("pos"), F.count("*").alias("degree")), "ends")
+
+
 def index_nodes(relations: Sequence[Relation]) -> DataFrame:
     """Nodes of all relations, numbered from 0 within each type as first seen."""
-    first = stage(_ends(relations).groupBy("type", "key").agg(F.min("pos").alias("pos"), F.count("*").alias("degree")),
-                  "ends")
-    parts = [dense_index(first.where(F.col("type") == t), ["pos"], "node_id", rows=n)
-             for t, (n, _) in sorted(type_sizes(first).items())]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return stage(out.select("node_id", "type", "key", "degree"), "typed-nodes")
+    return _numbered(_first_seen(relations), {}, "typed-nodes")
 
 
 def index_relation(relation: Relation, nodes: DataFrame,
                    sizes: dict[str, tuple[int, int]] | None = None) -> DataFrame:
     """``(src_id, dst_id, row)`` of one relation; rows with an unknown node are dropped."""
-    out, sizes = relation.rows, sizes or type_sizes(nodes)
-    for end, kind in (("src", relation.src_type), ("dst", relation.dst_type)):
-        out = _look_up_nodes(out, nodes, sizes, end, kind, f"{end}_id", "inner", relation.rows.columns)
+    rows = relation.rows.withColumns({end: _key(end) for end in ("src", "dst")})
+    out = _look_up_nodes(rows, nodes, sizes or type_sizes(nodes),
+                         [("src_id", "src", relation.src_type), ("dst_id", "dst", relation.dst_type)], "inner", rows.columns)
     return out.select("src_id", "dst_id", "row")
 
 
@@ -183,18 +196,21 @@ def hetero_edges(relations: Sequence[Relation], nodes: DataFrame, target: str) -
     return out
 
 
-def attach_features(nodes: DataFrame, features: DataFrame, target: str) -> tuple[DataFrame, DataFrame]:
+def attach_features(nodes: DataFrame, features: DataFrame, target: str, index: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Give ``features(row, key, features)`` node ids of type ``target``.
 
-    Keys that are no node yet become nodes with the next free ids, as first seen. Returns all nodes and
-    ``(node_id, key, features, is_new)``.
+    Keys that are no node yet become nodes with the next free ids, as first seen; they are added to the stored ``index`` if one is
+    named (see :mod:`cardlake.operators.node_index`). Returns all nodes and ``(node_id, key, features, is_new)``.
     """
+    features = features.withColumn("key", _key("key"))
     known = nodes.where(F.col("type") == target)
     free = known.agg(F.max("node_id")).first()[0]
-    lines = stage(features.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("degree")), "feature-keys")
-    fresh = stage(lines.join(known.select("key"), "key", "left_anti"), "new-keys")
-    fresh = dense_index(fresh, ["row"], "node_id", 0 if free is None else free + 1)
-    fresh = stage(fresh.select("node_id", F.lit(target).alias("type"), "key", "degree"), "new-nodes")
+    lines = stage(features.groupBy("key").agg(F.min("row").alias("pos"), F.count("*").alias("degree")), "feature-keys")
+    fresh = stage(lines.join(known.select("key"), "key", "left_anti").withColumn("type", F.lit(target)), "new-keys")
+    fresh = _numbered(fresh, {target: 0 if free is None else free + 1}, "new-nodes")
+    if index:
+        from cardlake.operators.node_index import append_nodes
+        append_nodes(nodes.sparkSession, index, fresh)
     every = nodes.unionByName(fresh)
     ids = known.select("key", "node_id", F.lit(False).alias("is_new")).unionByName(
         fresh.select("key", "node_id", F.lit(True).alias("is_new")))
@@ -245,14 +261,20 @@ def index_edges(rows: DataFrame, nodes: DataFrame | None = None) -> Graph:
         relation = Relation("node", "node", rows)
         indexed = index_nodes([relation])
         return Graph(indexed, index_relation(relation, indexed))
-    first = nodes.groupBy(F.col("key").cast("string").alias("key")).agg(
+    first = nodes.groupBy(_key("key").alias("key")).agg(
         F.min("row").alias("row"), F.count("*").alias("degree"))
     indexed = stage(dense_index(stage(first, "listed-keys"), ["row"], "node_id")
                     .select("node_id", F.lit("node").alias("type"), "key", "degree"), "listed-nodes")
-    out = rows
-    sizes = type_sizes(indexed)
+    rows = rows.withColumns({end: _key(end) for end in ("src", "dst")})
+    out = _look_up_nodes(rows, indexed, type_sizes(indexed), [("src_id", "src", "node"), ("dst_id", "dst", "node")], "left", rows.columns)
     for end in ("src", "dst"):
-        out = _look_up_nodes(out, indexed, sizes, end, "node", f"{end}_id", "left", rows.columns)
         unknown = F.raise_error(F.concat(F.lit("edge with unknown node "), F.col(end))).cast("long")
         out = out.withColumn(f"{end}_id", F.coalesce(F.col(f"{end}_id"), unknown))
     return Graph(indexed, out.select("src_id", "dst_id", "row"))
+
+
+def listed_features(nodes: DataFrame, indexed: DataFrame) -> DataFrame:
+    """``(node_id, features)`` of a list ``nodes(row, key, features)``: each node's first line, if it holds a number."""
+    first = nodes.groupBy(_key("key").alias("key")).agg(F.min_by("features", "row").alias("features"))
+    found = lookup(first, indexed.select("key", "node_id"), "key", "inner", table_bytes(indexed), ())
+    return found.where(F.size("features") > 0).select("node_id", "features")

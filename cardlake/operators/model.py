@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import partial
+from functools import cached_property
 
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from cardlake.functions import cleaning as fn
 from cardlake.operators import features, graph, metrics
 from cardlake.operators.features import LabelCodes, MinMax
-from cardlake.operators.lookups import hot_keys, lookup, table_bytes
+from cardlake.operators import lookups
+from cardlake.operators.lookups import heavy_keys, lookup, table_bytes
 from cardlake.session import stage
 
 _ENDS = ("src", "dst")
@@ -33,16 +34,29 @@ class EdgeModel:
     prior: float
     pipeline: PipelineModel
 
+    @cached_property
+    def node_sizes(self) -> dict[str, tuple[int, int]]:
+        """Rows and bytes of each node type, measured when first asked for."""
+        return graph.type_sizes(self.nodes)
+
+    @cached_property
+    def stats_bytes(self) -> int:
+        return table_bytes(self.stats)
+
+    @cached_property
+    def least_merchant(self) -> int | None:
+        return self.nodes.where(F.col("type") == "merchant").agg(F.min(F.col("key").try_cast("long"))).first()[0]
+
 
 def _node_stats(train: DataFrame) -> DataFrame:
     ends = train.select(F.explode(F.array(*_ENDS)).alias("node_id"), "label")
     return stage(ends.groupBy("node_id").agg(F.count("*").alias("degree"), F.sum("label").alias("frauds")), "node-stats")
 
 
-def _with_stats(edges: DataFrame, stats: DataFrame, prior: float, spread: list[str], counted: bool = False) -> DataFrame:
+def _with_stats(edges: DataFrame, stats: DataFrame, size: int, prior: float, spread: list[str], counted: bool = False) -> DataFrame:
     """Add the smoothed fraud rate and the degree of both nodes. Edges that are ``counted`` in the statistics are left out
     of their own, so that a fit does not see its target in them."""
-    out, size, hot = edges, table_bytes(stats), partial(hot_keys, stats, "node_id", "degree")
+    out, hot = edges, heavy_keys(edges, {end: F.col(end) for end in _ENDS}) if size > lookups.BROADCAST_BYTES else ()
     own, own_fraud = (F.lit(1), F.col("label")) if counted else (F.lit(0), F.lit(0))
     for end in _ENDS:
         table = stats.select(F.col("node_id").alias(end), F.col("degree").alias("__degree"), F.col("frauds").alias("__frauds"))
@@ -93,13 +107,14 @@ def train_edge_classifier(rows: DataFrame, kind: str = "mlp", fit_on: str = "tra
     in_train = edges.where(F.col("split") == "train")
     prior = float(in_train.agg(F.avg("label")).first()[0] or 0.0)
     stats = _node_stats(in_train)
+    size = table_bytes(stats)
     encoded = stage(_encode(edges, codes, scaler, "zero"), "model-inputs")
-    to_fit = stage(_with_stats(encoded.where(F.col("split") == "train"), stats, prior, ["idx"], counted=True), "model-fit")
+    to_fit = stage(_with_stats(encoded.where(F.col("split") == "train"), stats, size, prior, ["idx"], counted=True), "model-fit")
     steps = [VectorAssembler(inputCols=_inputs(), outputCol="raw"),
              StandardScaler(inputCol="raw", outputCol="x", withMean=True), _classifier(kind, seed, iterations)]
     fitted = Pipeline(stages=steps).fit(to_fit)
     model = EdgeModel(nodes, codes, scaler, stats, prior, fitted)
-    return model, _predict(fitted, _with_stats(encoded, stats, prior, ["idx"]))
+    return model, _predict(fitted, _with_stats(encoded, stats, size, prior, ["idx"]))
 
 
 def _predict(fitted: PipelineModel, inputs: DataFrame) -> DataFrame:
@@ -119,18 +134,16 @@ def score(requests: DataFrame, model: EdgeModel, unseen: str = "zero", fill_erro
     ``fill_errors=False`` the latter is scored with the first error text.
     """
     names = requests.columns
-    merchants = model.nodes.where(F.col("type") == "merchant")
-    least = merchants.agg(F.min(F.col("key").try_cast("long"))).first()[0]
     given = F.when(F.col("merchant_name") != 0, F.col("merchant_name"))
     rows = requests.select(
         F.struct(*names).alias("request"), fn.card_key(F.col("user"), F.col("card")).alias("card_id"),
-        F.coalesce(given, F.lit(least).cast("long")).alias("merchant_name"), given.isNotNull().alias("has_merchant"),
+        F.coalesce(given, F.lit(model.least_merchant).cast("long")).alias("merchant_name"), given.isNotNull().alias("has_merchant"),
         "merchant_city", "use_chip", (fn.or_default(F.col("errors")) if fill_errors else F.col("errors")).alias("errors"),
         fn.money(F.col("amount")).alias("amount"),
         *[F.col(c).cast("double").alias(c) for c in ("year", "month", "day")])
-    edges = graph.resolve_edges(rows, model.nodes, default=0)
+    edges = graph.resolve_edges(rows, model.nodes, default=0, sizes=model.node_sizes)
     edges = edges.withColumn("dst_known", F.col("dst_known") & F.col("has_merchant"))
-    full = _with_stats(_encode(edges, model.codes, model.scaler, unseen), model.stats, model.prior, edges.columns)
+    full = _with_stats(_encode(edges, model.codes, model.scaler, unseen), model.stats, model.stats_bytes, model.prior, edges.columns)
     return _predict(model.pipeline, full).select("request.*", "prediction", "confidence", "prob0", "prob1", "src_known",
                                                  "dst_known")
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cardlake.operators import attention, features, graph, metrics, model, neural, report, sampling
+from cardlake.operators import attention, features, graph, metrics, model, neural, node_index, ordering, report, sampling
 from cardlake.operators.lookups import table_bytes
+from cardlake.plans import heterograph
 from cardlake.plans.registry import EDGE, TXN, query
 from cardlake.session import scratch_path
-from cardlake.sources import adapters, readers
+from cardlake.sources import adapters, readers, sinks
 
 
 def _rounded(columns: dict[str, Column], digits: int = 6) -> list[Column]:
@@ -291,6 +292,65 @@ def relation_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexed.withColumn("relation", F.lit(f"{relation.src_type}<>{relation.dst_type}"))
 
 
+_FOLDER = """a AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, CAST(o_orderkey AS VARCHAR) AS o, CAST(o_custkey AS VARCHAR) AS c,
+  CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 3 <> 0),
+later AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, CAST(o_orderkey AS VARCHAR) AS o, CAST(o_custkey AS VARCHAR) AS c
+  FROM orders WHERE o_orderkey % 3 = 0),
+customers AS (SELECT c AS key, row_number() OVER (ORDER BY min(row)) - 1 AS node_id FROM a GROUP BY c),
+statuses AS (SELECT s AS key, row_number() OVER (ORDER BY min(row)) - 1 AS node_id FROM a GROUP BY s)"""
+
+
+def _write_relations(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """Two relation files about some orders (a status may be empty), in the order of the order keys."""
+    orders = adapters.table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").orderBy("o_orderkey")
+    status = F.when(F.pmod("o_orderkey", F.lit(10)) == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
+    for name, column in (("customer", F.col("o_custkey")), ("status", status)):
+        sinks.write_csv(orders.select(F.col("o_orderkey").alias("order"), column.alias(name)), f"{root}/relation_{name}")
+
+
+@query(f"""WITH {_FOLDER} SELECT 'order' AS type, o AS key, row AS node_id FROM a
+UNION ALL SELECT 'order', o, row + (SELECT count(*) FROM a) FROM later
+UNION ALL SELECT 'customer', key, node_id FROM customers
+UNION ALL SELECT 'customer', c, row_number() OVER (ORDER BY min(row)) - 1 + (SELECT count(*) FROM customers) FROM later
+  WHERE c NOT IN (SELECT key FROM customers) GROUP BY c
+UNION ALL SELECT 'status', key, node_id FROM statuses""")
+def node_index_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two relation files give ids that a third, read later, only adds to."""
+    root = scratch_path(spark, "relations")
+    _write_relations(spark, sf_dir, f"{root}/files")
+    heterograph.build(spark, f"{root}/files", "relation.*", "order", index=f"{root}/index")
+    later = adapters.table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").orderBy("o_orderkey")
+    sinks.write_csv(later.select(F.col("o_orderkey").alias("order"), F.col("o_custkey").alias("customer")), f"{root}/files/late_customer")
+    heterograph.build(spark, f"{root}/files", "late.*", "order", index=f"{root}/index")
+    return node_index.read_index(spark, f"{root}/index").select("type", "key", "node_id")
+
+
+@query(f"""WITH {_FOLDER}, pairs AS (
+  SELECT 'customer' AS other, row AS src, node_id AS dst FROM a JOIN customers ON c = key
+  UNION ALL SELECT 'status', row, node_id FROM a JOIN statuses ON s = key)
+SELECT 'target' AS src_type, 'target<>' || other AS relation, other AS dst_type, src, dst FROM pairs
+UNION ALL SELECT other, other || '<>target', 'target', dst, src FROM pairs
+UNION ALL SELECT 'target', 'self_relation', 'target', row, row FROM a""")
+def heterograph_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph of all relation files in a folder; edges to the empty status count."""
+    root = scratch_path(spark, "relations")
+    _write_relations(spark, sf_dir, root)
+    return heterograph.build(spark, root, "relation.*", "order").edges
+
+
+@query(f"""WITH {_FOLDER} SELECT row AS src_id, node_id AS dst_id FROM a JOIN statuses ON s = key
+WHERE row % 2 = 0""")
+def listed_nodes_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges between nodes of a given list, which numbers them: orders first, then the statuses."""
+    orders = ordering.dense_index(adapters.table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0"), ["o_orderkey"], "row")
+    status = F.when(F.pmod("o_orderkey", F.lit(10)) == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
+    edges = orders.select("row", F.col("o_orderkey").cast("string").alias("src"), F.concat(F.lit("s"), F.coalesce(status, F.lit(""))).alias("dst"))
+    n = orders.count()
+    listed = edges.select("row", F.col("src").alias("key")).unionByName(edges.select((F.col("row") + n).alias("row"), F.col("dst").alias("key")))
+    found = graph.index_edges(edges.where("row % 2 = 0"), listed).edges
+    return found.select("src_id", (F.col("dst_id") - n).alias("dst_id"))
+
+
 # --- attention and perceptrons -----------------------------------------------------------------------------------
 
 _ATT_SRC, _ATT_DST = [[0.7, -0.4], [1.5, 0.3]], [[-0.2, 0.9], [0.5, -1.1]]

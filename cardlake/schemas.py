@@ -6,45 +6,53 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-_TYPES = {"int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
+INT, LONG, DOUBLE, STRING = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()
 _AVRO = {"int": "int", "bigint": "long", "double": "double", "string": "string"}
 
 
-def _record(text: str) -> T.StructType:
-    """``name:type`` items; a trailing ``?`` marks an optional field."""
-    fields = []
-    for item in text.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("?")], kind.endswith("?")))
-    return T.StructType(fields)
+def required(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, False)
+
+
+def optional(name: str, kind: T.DataType) -> T.StructField:
+    return T.StructField(name, kind, True)
 
 
 # Field names, types and order of the record types.
-TRANSACTION = _record("""
-    idx:int user:string card:string year:int month:int day:int time:string amount:string
-    use_chip:string? merchant_name:long? merchant_city:string? merchant_state:string? zip:double?
-    mcc:int errors:string? is_fraud:string
-""")
-USER = _record("""
-    idx:int user:string person:string current_age:int retirement_age:int birth_year:int birth_month:int
-    gender:string address:string apartment:double? city:string state:string zipcode:int
-    latitude:double longitude:double per_capita_income__zipcode:string yearly_income__person:string
-    total_debt:string fico_score:int num_credit_cards:int
-""")
-CARD = _record("""
-    idx:int user:string card_index:long card_brand:string card_type:string card_number:long
-    expires:string cvv:int has_chip:string cards_issued:long credit_limit:string acct_open_date:string
-    year_pin_last_changed:int card_on_dark_web:string
-""")
-FRAUD_REPORT = _record("""
-    user:string count_fraud:long person:string? current_age:int? total_debt:string? card_number:string?
-    credit_limit:string?
-""")
-REQUEST = _record("""
-    user:string card:string year:int month:int day:int time:string amount:string
-    use_chip:string? merchant_name:long? merchant_city:string? merchant_state:string? zip:double?
-    mcc:int errors:string? is_fraud:string?
-""")
+TRANSACTION = T.StructType([
+    required("idx", INT), required("user", STRING), required("card", STRING), required("year", INT),
+    required("month", INT), required("day", INT), required("time", STRING), required("amount", STRING),
+    optional("use_chip", STRING), optional("merchant_name", LONG), optional("merchant_city", STRING),
+    optional("merchant_state", STRING), optional("zip", DOUBLE), required("mcc", INT), optional("errors", STRING),
+    required("is_fraud", STRING),
+])
+USER = T.StructType([
+    required("idx", INT), required("user", STRING), required("person", STRING), required("current_age", INT),
+    required("retirement_age", INT), required("birth_year", INT), required("birth_month", INT),
+    required("gender", STRING), required("address", STRING), optional("apartment", DOUBLE),
+    required("city", STRING), required("state", STRING), required("zipcode", INT), required("latitude", DOUBLE),
+    required("longitude", DOUBLE), required("per_capita_income__zipcode", STRING),
+    required("yearly_income__person", STRING), required("total_debt", STRING), required("fico_score", INT),
+    required("num_credit_cards", INT),
+])
+CARD = T.StructType([
+    required("idx", INT), required("user", STRING), required("card_index", LONG), required("card_brand", STRING),
+    required("card_type", STRING), required("card_number", LONG), required("expires", STRING), required("cvv", INT),
+    required("has_chip", STRING), required("cards_issued", LONG), required("credit_limit", STRING),
+    required("acct_open_date", STRING), required("year_pin_last_changed", INT),
+    required("card_on_dark_web", STRING),
+])
+FRAUD_REPORT = T.StructType([
+    required("user", STRING), required("count_fraud", LONG), optional("person", STRING),
+    optional("current_age", INT), optional("total_debt", STRING), optional("card_number", STRING),
+    optional("credit_limit", STRING),
+])
+REQUEST = T.StructType([
+    required("user", STRING), required("card", STRING), required("year", INT), required("month", INT),
+    required("day", INT), required("time", STRING), required("amount", STRING), optional("use_chip", STRING),
+    optional("merchant_name", LONG), optional("merchant_city", STRING), optional("merchant_state", STRING),
+    optional("zip", DOUBLE), required("mcc", INT), optional("errors", STRING), optional("is_fraud", STRING),
+])
 NAMESPACE = "com.example"
 RECORDS = {"Transaction": TRANSACTION, "User": USER, "Card": CARD}
 

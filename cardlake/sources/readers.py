@@ -10,6 +10,7 @@ from cardlake.functions.cleaning import strip
 from cardlake.operators.cleaning import select_present
 from cardlake.operators.graph import Relation
 from cardlake.operators.ordering import running_totals
+from cardlake.schemas import Enforced
 from cardlake.session import stage
 from cardlake.sources import csv_records
 
@@ -137,31 +138,54 @@ def record_counts(tables: dict[str, DataFrame]) -> DataFrame:
 _EDGE = T.StructType([T.StructField("src", T.StringType()), T.StructField("dst", T.StringType())])
 
 
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in ``folder``, in order."""
+    return [p.rsplit("/", 1)[1] for p in _glob(spark, f"{folder}/*") if not p.rsplit("/", 1)[1].startswith(("_", "."))]
+
+
 def read_edgelist(spark: SparkSession, path: str, header: bool = True, source_type: str = "user",
                   sink_type: str = "user", skip_first: bool = False) -> Relation:
-    """An edge list; a header row names the two node types.
+    """An edge list; a header row names the two node types. An empty field is the empty id, and its edge counts.
 
     ``skip_first`` drops the first row of a file without a header too.
     """
     if header:
         source_type, sink_type = spark.read.option("header", True).csv(path).columns
-    rows = file_order_index(spark.read.schema(_EDGE).option("header", header).csv(path), "row")
+    rows = read_csv(spark, path, _EDGE, header=header, index="row")
     if skip_first and not header:
         rows = rows.where(F.col("row") > 0)
-    return Relation(source_type, sink_type, rows)
+    return Relation(source_type, sink_type, rows.select("row", *[F.coalesce(c, F.lit("")).alias(c) for c in ("src", "dst")]))
 
 
-def read_node_features(spark: SparkSession, path: str) -> DataFrame:
-    """``(row, key, features)`` from lines of an id and numbers or ``true`` / ``false``; there is no header."""
-    raw = spark.read.csv(path)
-    first, *rest = raw.columns
+def _feature_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(row, line, key, texts, features) of the lines of a feature file that are not empty; there is no header."""
+    lines = file_order_index(spark.read.text(path).withColumnRenamed("value", "line"), "row").where(strip(F.col("line")) != "")
+    parts = F.split(strip(F.col("line")), ",")
 
-    def number(c: str) -> Column:
-        text = F.lower(F.col(c))
-        return F.when(text == "true", 1.0).when(text == "false", 0.0).otherwise(F.col(c).try_cast("double"))
+    def number(text: Column) -> Column:
+        low = F.lower(strip(text))
+        return F.when(low == "true", 1.0).when(low == "false", 0.0).otherwise(low.try_cast("double"))
 
-    return file_order_index(raw, "row").select("row", F.col(first).alias("key"),
-                                               F.array(*[number(c) for c in rest]).alias("features"))
+    told = lines.withColumn("parts", parts).select("row", "line", F.element_at("parts", 1).alias("key"),
+                                                   F.slice("parts", F.lit(2), F.size("parts")).alias("texts"))
+    return told.withColumn("features", F.transform("texts", number))
+
+
+def read_node_features(spark: SparkSession, path: str) -> DataFrame:
+    """``(row, key, features)`` from lines of an id and numbers or ``true`` / ``false``; what is neither is null."""
+    return _feature_lines(spark, path).select("row", "key", "features")
+
+
+def enforce_node_features(spark: SparkSession, path: str) -> Enforced:
+    """The lines that hold nothing but numbers, as many as the first line, and ``(row, line, reasons)`` of the others."""
+    lines = stage(_feature_lines(spark, path), "feature-lines")
+    width = lines.agg(F.min_by(F.size("texts"), "row")).first()[0] or 0
+    odd = F.when(F.size("texts") != width, F.concat(F.size("texts").cast("string"), F.lit(f" values instead of {width}")))
+    words = F.transform(F.filter(F.arrays_zip("texts", "features"), lambda e: e["features"].isNull()),
+                        lambda e: F.concat(F.lit("not a number: "), e["texts"]))
+    checked = lines.withColumn("reasons", F.array_compact(F.concat(F.array(odd), words)))
+    return Enforced(checked.where(F.size("reasons") == 0).select("row", "key", "features"),
+                    checked.where(F.size("reasons") > 0).select("row", "line", "reasons"))
 
 
 def read_masked_nodes(spark: SparkSession, path: str) -> DataFrame:

@@ -42,18 +42,14 @@ def assign_idx(rows: DataFrame, order_by: list[str], high: int | None = None) ->
     return numbered.withColumn("idx", F.when(F.col("idx") > LAST_IDX, spent).otherwise(F.col("idx").cast("int")))
 
 
-# The wording of an alert.
-ALERT_HEAD = "*FRAUD DETECTED!*"
-ALERT_LABELS = ("User", "Card", "Amount", "Time", "Merchant")
+# Fixed value: the wording of an alert.
+ALERT = "*FRAUD DETECTED!*\nUser: %s\nCard: %s\nAmount: %s\nTime: %d-%02d-%02d %s\nMerchant: %s"
 
 
 def alert_text() -> Column:
     """The alert message of a transaction row; a missing merchant reads ``None``."""
-    when = F.format_string("%d-%02d-%02d %s", "year", "month", "day", "time")
     merchant = F.coalesce(F.col("merchant_name").cast("string"), F.lit("None"))
-    values = (F.col("user"), F.col("card"), F.col("amount"), when, merchant)
-    return F.concat_ws("\n", F.lit(ALERT_HEAD), *[
-        F.concat(F.lit(f"{label}: "), value) for label, value in zip(ALERT_LABELS, values)])
+    return F.format_string(ALERT, "user", "card", "amount", "year", "month", "day", "time", merchant)
 
 
 def alerts(transactions: DataFrame) -> DataFrame:

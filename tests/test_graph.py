@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cardlake.operators import graph, lookups
+from cardlake.operators import graph, lookups, node_index
+from cardlake.plans import heterograph
 from cardlake.sources import readers
 from tests.conftest import rows
 
@@ -129,3 +130,55 @@ def test_features_without_broadcast(frame, monkeypatch):
     late = sorted((k for k in first if int(k[1:]) >= 20), key=first.get)
     assert [ids[k] for k in late] == [20, 21, 22, 23, 24]
     assert rows(found.select("features", "node_id")) == sorted(([x], ids[k]) for _, k, (x,) in lines)
+
+
+def test_empty_ids_keep_their_edges(spark, tmp_path):
+    path = write(tmp_path / "r.csv", 'a,b\nx,\n,y\nz,w\n"q,\n1",w\n')
+    relation = readers.read_edgelist(spark, path)
+    assert rows(relation.rows) == [(0, "x", ""), (1, "", "y"), (2, "z", "w"), (3, "q,\n1", "w")]
+    nodes = graph.index_nodes([relation])
+    assert rows(graph.index_relation(relation, nodes)) == [(0, 0, 0), (1, 1, 1), (2, 2, 2), (3, 2, 3)]
+    assert rows(nodes.where("key = ''").select("type", "node_id")) == [("a", 1), ("b", 0)]
+    frame = spark.createDataFrame([(0, None, "k"), (1, "k", None)], "row long, src string, dst string")
+    assert rows(graph.index_edges(frame).edges) == [(0, 1, 0), (1, 0, 1)]
+
+
+def test_stored_index_is_extended_and_survives_a_broken_extension(spark, tmp_path):
+    def relation(pairs):
+        return graph.Relation("u", "v", spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "row long, src string, dst string"))
+    path = str(tmp_path / "index")
+    assert node_index.read_index(spark, path).count() == 0
+    first = node_index.extend_index(spark, path, [relation([("a", "x"), ("b", "y"), ("a", None)])])
+    assert rows(first.select("type", "node_id", "key")) == [("u", 0, "a"), ("u", 1, "b"), ("v", 0, "x"), ("v", 1, "y"), ("v", 2, "")]
+    # an extension that wrote its nodes but not its marks does not count, and its number is used again
+    spark.createDataFrame([(2, "u", "lost", 1)], "node_id long, type string, key string, degree long").write.parquet(f"{path}/nodes/version=1")
+    assert rows(node_index.read_index(spark, path).select("type", "node_id", "key")) == rows(first.select("type", "node_id", "key"))
+    again = node_index.extend_index(spark, path, [relation([("c", "y"), ("a", "z"), ("c", "z")])])
+    assert rows(again.select("type", "node_id", "key")) == [
+        ("u", 0, "a"), ("u", 1, "b"), ("u", 2, "c"), ("v", 0, "x"), ("v", 1, "y"), ("v", 2, ""), ("v", 3, "z")]
+    assert rows(node_index.extend_index(spark, path, [relation([("c", "y")])])) == rows(again)
+
+
+def test_folder_to_heterograph(spark, tmp_path):
+    write(tmp_path / "relation_a.csv", "t,card\n1,c1\n2,\n")
+    write(tmp_path / "relation_b.csv", "t,city\n2,x\n")
+    write(tmp_path / "features.csv", "2,1.5,true\n9,2,false\n\n1,abc,1\n3,1,1,7\n")
+    index = str(tmp_path / "index")
+    built = heterograph.build(spark, str(tmp_path), "relation*", "t", "features.csv", index)
+    assert rows(built.nodes.select("type", "node_id", "key")) == [
+        ("card", 0, "c1"), ("card", 1, ""), ("city", 0, "x"), ("t", 0, "1"), ("t", 1, "2"), ("t", 2, "9")]
+    assert rows(graph.graph_summary(built.edges)) == [
+        ("card", "card<>target", "target", 2), ("city", "city<>target", "target", 1), ("target", "self_relation", "target", 3),
+        ("target", "target<>card", "card", 2), ("target", "target<>city", "city", 1)]
+    assert rows(built.features.select("node_id", "features", "is_new")) == [(1, [1.5, 1.0], False), (2, [2.0, 0.0], True)]
+    assert rows(built.rejects) == [(3, "1,abc,1", ["not a number: abc"]), (4, "3,1,1,7", ["3 values instead of 2"])]
+    assert node_index.read_index(spark, index).count() == 6
+    with pytest.raises(ValueError, match="no file"):
+        heterograph.build(spark, str(tmp_path), "none.*", "t")
+
+
+def test_features_of_the_node_list(frame):
+    listed = frame([(0, "a", [1.0]), (1, "b", []), (2, "a", [9.0]), (3, None, [2.0])], "row long, key string, features array<double>")
+    g = graph.index_edges(frame([(0, "b", "a")], "row long, src string, dst string"), listed)
+    assert rows(g.edges.select("src_id", "dst_id", "row")) == [(1, 0, 0)]
+    assert rows(graph.listed_features(listed, g.nodes)) == [(0, [1.0]), (2, [2.0])]
