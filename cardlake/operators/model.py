@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel, Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -187,3 +188,45 @@ def load(spark: SparkSession, path: str) -> EdgeModel:
         spark.read.parquet(f"{path}/nodes"), codes,
         MinMax({r["name"]: r["low"] for r in ranges}, {r["name"]: r["high"] for r in ranges}),
         spark.read.parquet(f"{path}/stats"), ranges[0]["prior"], PipelineModel.load(f"{path}/pipeline"))
+
+
+def _versions(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("at timestamp, version int").parquet(f"{root}/versions")
+    except AnalysisException:
+        return None
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    """The last version whose mark is written."""
+    versions = _versions(spark, root)
+    return None if versions is None else versions.agg(F.max("version")).first()[0]
+
+
+def save_version(model: EdgeModel, root: str) -> int:
+    """Keep the model under the next number; the mark that makes readers see it is written behind everything else."""
+    spark = model.nodes.sparkSession
+    last = latest_version(spark, root)
+    number = 0 if last is None else last + 1
+    save(model, f"{root}/models/{number}")
+    spark.range(1).select(F.current_timestamp().alias("at")).write.mode("overwrite").parquet(f"{root}/versions/version={number}")
+    return number
+
+
+class ModelScorer:
+    """Scores the requests of each batch with a stored model: the last version, looked up once per batch, or a fixed one.
+
+    The model's tables are static sides of the joins; a version that came meanwhile takes effect with the next batch.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, version: int | None = None):
+        self.spark, self.root, self.fixed = spark, root, version
+        self.version, self.model = None, None
+
+    def __call__(self, requests: DataFrame) -> DataFrame:
+        wanted = latest_version(self.spark, self.root) if self.fixed is None else self.fixed
+        if wanted is None:
+            raise ValueError(f"no model under {self.root}")
+        if wanted != self.version:
+            self.version, self.model = wanted, load(self.spark, f"{self.root}/models/{wanted}")
+        return score(requests, self.model).withColumn("model_version", F.lit(self.version))

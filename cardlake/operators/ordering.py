@@ -1,6 +1,6 @@
 """Row positions and running totals over a whole table, without putting it in one task.
 
-A global order is cut into ranges by sampled key values. The cuts are literals in the plan, so a task that is run again
+A global order is cut into ranges of bounded rows and bytes by sampled key values. The cuts are literals in the plan, so a task that is run again
 after a lost executor puts each row in the same range. Rows are numbered or summed inside each range, and the totals of
 the ranges before it (one small number each) are added.
 """
@@ -14,13 +14,15 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from cardlake.operators.lookups import hot_keys, lookup, table_bytes
+from cardlake.operators.lookups import hot_keys, lookup, row_bytes, table_bytes
 from cardlake.session import stage
 
 ROWS_PER_RANGE = 1 << 18
+BYTES_PER_RANGE = 256 << 20
 MAX_RANGES = 1 << 14
 _SAMPLES_PER_RANGE = 32
 _RANGE = "__range"
+_BYTES = "__bytes"
 
 
 @dataclass(frozen=True)
@@ -31,25 +33,40 @@ class Ranges:
     count: int
 
 
-def order_ranges(df: DataFrame, keys: Sequence[str], rows_per_range: int = ROWS_PER_RANGE,
-                 rows: int | None = None) -> Ranges:
+def order_ranges(df: DataFrame, keys: Sequence[str], rows_per_range: int = ROWS_PER_RANGE, rows: int | None = None,
+                 size: str | None = None, bytes_per_range: int = BYTES_PER_RANGE) -> Ranges:
     """Cut the order by ``keys`` (ascending, nulls first) into ranges of about ``rows_per_range`` rows.
 
-    ``rows`` saves the counting pass where the number of rows is known.
+    ``size`` names a column with the bytes of each row; then a range holds about ``bytes_per_range`` at most, too. Rows are sampled
+    in proportion to their part of all rows and all bytes, so the cuts are quantiles of both together, and a few wide rows are not
+    missed. ``rows`` saves the counting pass where the number of rows is known and there is no ``size``.
     """
-    rows = df.count() if rows is None else rows
+    total = 0
+    if size is not None:
+        rows, total = df.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    elif rows is None:
+        rows = df.count()
     count = 1
-    while count * rows_per_range < rows and count < MAX_RANGES:
+    while (count * rows_per_range < rows or count * bytes_per_range < total) and count < MAX_RANGES:
         count *= 2
     if count == 1:
         return Ranges(F.lit(0), 1)
     key = F.struct(*keys)
-    # At most MAX_RANGES * _SAMPLES_PER_RANGE keys reach the driver, whatever the size of the table.
-    sample = [r[0] for r in df.select(*keys).sample(min(1.0, _SAMPLES_PER_RANGE * count / rows), seed=7)
-              .orderBy(*keys).select(F.to_json(key, {"ignoreNullFields": "false"})).collect()]
+    # About MAX_RANGES * _SAMPLES_PER_RANGE keys reach the driver at most, whatever the size of the table.
+    wanted = _SAMPLES_PER_RANGE * count
+    part = F.lit(1 / rows) if not total else (F.lit(1 / rows) + F.col(size) / F.lit(float(total))) / 2
+    sample = (df.select(*keys, part.alias("__part")).where(F.rand(7) < F.col("__part") * wanted).orderBy(*keys)
+              .select(F.to_json(key, {"ignoreNullFields": "false"}), F.greatest("__part", F.lit(1 / wanted))).collect())
     if not sample:
         return Ranges(F.lit(0), 1)
-    cuts = "[" + ",".join(sample[len(sample) * i // count] for i in range(1, count)) + "]"
+    # A row taken for certain counts as its part, the others as what they stand for.
+    whole, so_far, chosen = sum(r[1] for r in sample), 0.0, []
+    for at, weight in sample:
+        while len(chosen) < count - 1 and so_far >= whole * (len(chosen) + 1) / count:
+            chosen.append(at)
+        so_far += weight
+    chosen += [sample[-1][0]] * (count - 1 - len(chosen))
+    cuts = "[" + ",".join(chosen) + "]"
     kind = T.ArrayType(T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys]))
     bounds = F.from_json(F.lit(cuts), kind)
     # Binary search: each step decides one bit of the range number.
@@ -74,14 +91,20 @@ def _before(per_range: dict[int, float], count: int) -> list:
 
 
 def dense_index(df: DataFrame, order_by: Sequence[str], name: str = "idx", start: int = 0,
-                rows_per_range: int = ROWS_PER_RANGE, rows: int | None = None) -> DataFrame:
+                rows_per_range: int = ROWS_PER_RANGE, rows: int | None = None,
+                bytes_per_range: int = BYTES_PER_RANGE) -> DataFrame:
     """Number the rows ``start``, ``start + 1``, … in the order of ``order_by``; the index is the first column.
 
-    ``order_by`` must order the rows totally. It takes one shuffle of ``df``; the cuts and the range sizes come from scans
-    of the key columns only.
+    ``order_by`` must order the rows totally. ``df`` is evaluated once, into a written table; the cuts and the range sizes come
+    from scans of its key columns, and one shuffle follows. ``rows`` tells that there are so many rows: few enough for one range
+    are numbered right away.
     """
-    ranges = order_ranges(df, order_by, rows_per_range, rows)
-    ranged = df.withColumn(_RANGE, ranges.number)
+    if rows is not None and rows <= rows_per_range:
+        ranged, ranges = df.withColumn(_RANGE, F.lit(0)), Ranges(F.lit(0), 1)
+    else:
+        staged = stage(df.withColumn(_BYTES, row_bytes(df)), "to-number")
+        ranges = order_ranges(staged, order_by, rows_per_range, size=_BYTES, bytes_per_range=bytes_per_range)
+        ranged = staged.drop(_BYTES).withColumn(_RANGE, ranges.number)
     position = F.row_number().over(Window.partitionBy(_RANGE).orderBy(*order_by)).cast("long") - 1 + start
     if ranges.count > 1:
         sizes = {r[0]: r[1] for r in ranged.groupBy(_RANGE).count().collect()}

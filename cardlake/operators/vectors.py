@@ -11,12 +11,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from cardlake.functions.text import tokens
+from cardlake.operators import lookups
+from cardlake.operators.lookups import table_bytes
 from cardlake.operators.ordering import dense_index
+from cardlake.session import stage
 
 BATCH = 100
-MAX_QUERIES = 4096
+MAX_QUERIES = 1024
 TOP_K = 4
 METRICS = ("l2", "cosine", "ip")
+_BLOCK = 4096  # vectors of a block
 
 
 def hashed_embedding(text: Column, dim: int) -> Column:
@@ -73,12 +77,16 @@ def embed_with(df: DataFrame, provider: Callable[[list[str]], list[list[float]]]
     return df.mapInArrow(run, schema)
 
 
+def first_of_ids(incoming: DataFrame, order_by: str) -> DataFrame:
+    """One row per id, the first by ``order_by``."""
+    rest = [c for c in incoming.columns if c != "id"]
+    return incoming.groupBy("id").agg(F.min_by(F.struct(*rest), F.col(order_by)).alias("row")).select("id", "row.*")
+
+
 def insert_new(collection: DataFrame, incoming: DataFrame, order_by: str | None = None) -> DataFrame:
     """The rows of ``incoming`` to append: ids the collection lacks. Of equal ids the first by ``order_by`` stays."""
     if order_by is not None:
-        rest = [c for c in incoming.columns if c != "id"]
-        incoming = (incoming.groupBy("id").agg(F.min_by(F.struct(*rest), F.col(order_by)).alias("row"))
-                    .select("id", "row.*"))
+        incoming = first_of_ids(incoming, order_by)
     return incoming.join(collection.select("id"), "id", "left_anti")
 
 
@@ -106,83 +114,123 @@ def insert_batch(incoming: DataFrame, fields: Sequence[str], order_by: Sequence[
     return kept.select(auto_id, *fields)
 
 
+def _packed(size: int, kind: pa.DataType):
+    """Rows of (id, v) as blocks: ids, the vectors of all as one matrix, and their length. Rows without a vector have no place."""
+    def pack(ids, parts, width):
+        return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(kind)), pa.array([np.concatenate(parts).tobytes()], pa.binary()),
+                                           pa.array([width], pa.int32())], ["ids", "matrix", "width"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, parts, width = [], [], None
+        for b in batches:
+            b = b.filter(b.column("v").is_valid())  # here: a filter before would compute an embedding function twice
+            for at in range(0, b.num_rows, size):
+                part = b.slice(at, size)
+                values = part.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                width = len(values) // part.num_rows if width is None else width
+                if len(values) != part.num_rows * width:
+                    raise ValueError(f"vectors of length {width} expected")
+                ids += part.column("id").to_pylist()
+                parts.append(values)
+                while len(ids) >= size:
+                    whole = np.concatenate(parts)
+                    yield pack(ids[:size], [whole[:size * width]], width)
+                    ids, parts = ids[size:], [whole[size * width:]]
+        if ids:
+            yield pack(ids, parts, width)
+    return run
+
+
+def _blocks(df: DataFrame, id_column: str, vector: str, size: int, name: str) -> DataFrame:
+    from pyspark.sql.pandas.types import to_arrow_type
+    kind = df.schema[id_column].dataType
+    slim = df.select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    return stage(slim.mapInArrow(_packed(size, to_arrow_type(kind)), f"ids array<{kind.simpleString()}>, matrix binary, width int"), name)
+
+
 def top_k(queries: DataFrame, collection: DataFrame, k: int = TOP_K, metric: str = "l2", query_id: str = "query_id",
           vector: str = "embedding", decimals: int = 9, max_queries: int = MAX_QUERIES) -> DataFrame:
     """``(query_id, rank, id, distance)`` of the ``k`` nearest rows of ``collection(id, embedding)`` for each query.
 
-    The search is exact: every vector is compared, as matrix products of Arrow batches, and each task passes on only its
-    ``k`` best per query. Distances are rounded to ``decimals`` and ties go to the smaller id, so neither batch sizes nor
+    The search is exact: every vector is compared, as matrix products of blocks, and each task passes on only its
+    ``k`` best per query. Distances are rounded to ``decimals`` and ties go to the smaller id, so neither block sizes nor
     partitions show in the result. ``ip`` is the negative inner product. A zero vector has cosine distance 1.
 
-    Queries are few and travel with the function, ``max_queries`` at a time; more of them take further passes.
+    Both sides are tables of blocks, ``max_queries`` and 4,096 vectors each. Query blocks are broadcast in parts of a measured
+    size, one pass over the collection for each part; no query passes through the driver by itself.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}")
-    blocks = _query_blocks(queries, query_id, vector, max_queries)
-    id_type = collection.schema["id"].dataType
-    schema = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType), T.StructField("id", id_type),
-                           T.StructField("distance", T.DoubleType())])
-    slim = collection.select("id", F.col(vector).cast("array<double>").alias("v"))
-    out = None
-    for ids, matrix in blocks:
-        part = slim.mapInArrow(_nearest(ids, matrix, k, metric, decimals, query_id, schema), schema)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = queries.sparkSession.createDataFrame([], schema)
+    spark, id_type, query_type = queries.sparkSession, collection.schema["id"].dataType, queries.schema[query_id].dataType
+    schema = T.StructType([T.StructField(query_id, query_type), T.StructField("id", id_type), T.StructField("distance", T.DoubleType())])
+    asked = _blocks(queries, query_id, vector, max_queries, "query-blocks").select(
+        F.monotonically_increasing_id().alias("block"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q"), F.col("width").alias("q_width"))
+    asked = stage(asked, "numbered-query-blocks")
+    passes, held = [[]], 0
+    for number, size in asked.select("block", F.octet_length("q") + 64 * F.size("q_ids")).collect():  # two numbers per block
+        if passes[-1] and held + size > lookups.BROADCAST_BYTES:
+            passes.append([])
+            held = 0
+        passes[-1].append(number)
+        held += size
+    vectors = _blocks(collection, "id", vector, _BLOCK, "vector-blocks").withColumn("one", F.lit(0))
+    out = spark.createDataFrame([], schema)
+    for part in passes:
+        told = F.broadcast(asked.where(F.col("block").isin(part)).withColumn("one", F.lit(0)))
+        out = out.unionByName(vectors.join(told, "one").mapInArrow(_nearest(k, metric, decimals, query_id, schema), schema))
     best = F.row_number().over(Window.partitionBy(query_id).orderBy("distance", "id"))
     return out.withColumn("rank", best).where(F.col("rank") <= k).select(query_id, "rank", "id", "distance")
 
 
-def _query_blocks(queries: DataFrame, query_id: str, vector: str, size: int) -> Iterator[tuple[list, np.ndarray]]:
-    ids, rows = [], []
-    for r in queries.select(query_id, F.col(vector).cast("array<double>")).toLocalIterator():
-        ids.append(r[0])
-        rows.append(r[1])
-        if len(ids) == size:
-            yield ids, np.array(rows, dtype=np.float64)
-            ids, rows = [], []
-    if ids:
-        yield ids, np.array(rows, dtype=np.float64)
-
+def block_distances(q: np.ndarray, v: np.ndarray, metric: str, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per query the places of vectors that can be among its k nearest, and their distances.
 
-def _nearest(query_ids: list, q: np.ndarray, k: int, metric: str, decimals: int, query_id: str, schema: T.StructType):
-    """The per-partition search: running k best per query over its batches."""
+    For ``l2`` a matrix product gives each squared distance up to a bound on its rounding; the few vectors within that bound of
+    the k-th are then measured by differences, which keep all digits for near copies too.
+    """
+    dot = q @ v.T
+    if metric == "ip":
+        values = -dot
+    elif metric == "cosine":
+        scale = np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((v * v).sum(axis=1))[None, :]
+        values = 1.0 - np.divide(dot, scale, out=np.zeros_like(dot), where=scale > 0)
+    else:
+        square, slack = (v * v).sum(axis=1), 8 * (v.shape[1] + 4) * np.finfo(np.float64).eps
+    for i, row in enumerate(q):
+        if metric != "l2":
+            cut = np.partition(values[i], k - 1)[k - 1] if len(v) > k else np.inf
+            near = np.flatnonzero(values[i] <= cut + 2e-9)  # rounding may make a tie of what lies just beyond
+            yield near, values[i][near]
+            continue
+        own = row @ row
+        rough, off = own + square - 2 * dot[i], slack * (own + square)
+        least = np.partition(rough + off, k - 1)[k - 1] if len(v) > k else np.inf
+        near = np.flatnonzero(np.sqrt(np.maximum(rough - off, 0.0)) <= np.sqrt(np.maximum(least, 0.0)) + 2e-9)
+        yield near, np.sqrt(((v[near] - row) ** 2).sum(axis=1))
+
+
+def _nearest(k: int, metric: str, decimals: int, query_id: str, schema: T.StructType):
+    """The k best per query over all blocks of a task."""
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(schema)
 
-    def distances(v: np.ndarray) -> np.ndarray:
-        if metric == "ip":
-            d = -(q @ v.T)
-        elif metric == "cosine":
-            scale = np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((v * v).sum(axis=1))[None, :]
-            dot = q @ v.T
-            d = 1.0 - np.divide(dot, scale, out=np.zeros_like(dot), where=scale > 0)
-        else:
-            # Differences, not |q|²+|v|²-2qv: that form loses all digits for near copies.
-            d = np.sqrt(np.stack([((v - row) ** 2).sum(axis=1) for row in q]))
-        return np.round(d, decimals) + 0.0
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[list] = [[] for _ in query_ids]
+        best: dict[int, tuple[list, list]] = {}
         for b in batches:
-            # Rows without a vector go here: a filter before would compute an embedding function twice.
-            b = b.filter(b.column("v").is_valid())
-            if b.num_rows == 0:
-                continue
-            values = b.column("v").flatten().to_numpy(zero_copy_only=False)
-            if len(values) != b.num_rows * q.shape[1]:
-                raise ValueError(f"vectors of length {q.shape[1]} expected")
-            d, ids = distances(values.reshape(b.num_rows, -1)), b.column("id")
-            for i, row in enumerate(d):
-                cut = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
-                if len(best[i]) == k:
-                    cut = min(cut, best[i][-1][0])
-                near = np.flatnonzero(row <= cut)
-                if len(near):
-                    found = zip(row[near].tolist(), ids.take(pa.array(near)).to_pylist())
-                    best[i] = sorted([*best[i], *found])[:k]
-        rows = [(query_ids[i], found, dist) for i, group in enumerate(best) for dist, found in group]
-        if rows:
+            for i in range(b.num_rows):
+                number, width = b.column("block")[i].as_py(), b.column("width")[i].as_py()
+                if width != b.column("q_width")[i].as_py():
+                    raise ValueError(f"vectors of length {b.column('q_width')[i].as_py()} expected")
+                ids, v, q = b.column("ids")[i].values, *(np.frombuffer(b.column(c)[i].as_buffer(), np.float64).reshape(-1, width)
+                                                         for c in ("matrix", "q"))
+                if number not in best:
+                    asked = b.column("q_ids")[i].as_py()
+                    best[number] = asked, [[] for _ in asked]
+                for mine, (near, d) in zip(best[number][1], block_distances(q, v, metric, k)):
+                    found = zip((np.round(d, decimals) + 0.0).tolist(), ids.take(pa.array(near)).to_pylist())
+                    mine[:] = sorted([*mine, *found])[:k]
+        for asked, groups in best.values():
+            rows = [(asked[i], found, dist) for i, group in enumerate(groups) for dist, found in group]
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), arrow)], schema=arrow)
 
     return run
@@ -192,7 +240,7 @@ def retrieve(questions: DataFrame, collection: DataFrame, provider: Callable[[Co
              metric: str = "l2", question_id: str = "query_id", text: str = "text") -> DataFrame:
     """The ``k`` documents nearest to each question as its context: ``(query_id, rank, id, distance, document)``."""
     asked = questions.select(question_id, provider(F.col(text)).alias("embedding"))
-    found = top_k(asked, collection, k, metric, question_id)
-    if questions.count() <= MAX_QUERIES:  # at most MAX_QUERIES * k rows: the documents need not move
+    found = stage(top_k(asked, collection, k, metric, question_id), "nearest")
+    if table_bytes(found) <= lookups.BROADCAST_BYTES:  # the documents need not move
         found = F.broadcast(found)
     return collection.select("id", "document").join(found, "id").select(question_id, "rank", "id", "distance", "document")

@@ -11,23 +11,25 @@ from cardlake.sources.readers import read_stage, read_topic
 from cardlake.sources.sinks import append_table, write_stage
 
 
-def build_report(spark: SparkSession, bronze: str, count_mode: str = "reference", fmt: str = "parquet") -> DataFrame:
+def build_report(spark: SparkSession, bronze: str, count_mode: str = "reference", fmt: str = "parquet",
+                 exclude_scored: bool = False) -> DataFrame:
     """The report as one lazy plan over the bronze files; filter and columns reach the scans."""
-    transactions = read_topic(spark, bronze, "transaction-topic", schemas.TRANSACTION, ["user", "is_fraud"],
-                              F.col("is_fraud") == FRAUD, fmt)
+    columns = ["user", "is_fraud", *["idx"] * exclude_scored]
+    transactions = read_topic(spark, bronze, "transaction-topic", schemas.TRANSACTION, columns, F.col("is_fraud") == FRAUD, fmt)
     users = read_topic(spark, bronze, "user-topic", schemas.USER, ["idx", "user", "person", "current_age", "total_debt"],
                        fmt=fmt)
     cards = read_topic(spark, bronze, "card-topic", schemas.CARD, ["idx", "user", "card_number", "credit_limit"], fmt=fmt)
-    return coerce_olap(fraud_report(transactions, cards, users, count_mode))
+    return coerce_olap(fraud_report(transactions, cards, users, count_mode, exclude_scored=exclude_scored))
 
 
 def run(spark: SparkSession, bronze: str, table: str, ds: str, count_mode: str = "reference",
-        stage_root: str | None = None, mode: str = "replace_ds", fmt: str = "parquet") -> None:
-    """Write the report of run date ``ds``; with ``stage_root`` also keep it among the staged tables.
+        stage_root: str | None = None, mode: str = "replace_ds", fmt: str = "parquet", exclude_scored: bool = False) -> None:
+    """Write the report of run date ``ds``; with ``stage_root`` also keep it among the staged tables. ``exclude_scored`` leaves out
+    what the scoring stream sent back to the topic.
 
     The range layout of the table looks at its input twice, so the report is written once before it.
     """
-    report = build_report(spark, bronze, count_mode, fmt)
+    report = build_report(spark, bronze, count_mode, fmt, exclude_scored)
     if stage_root:
         write_stage(report, stage_root, "fraud_report", ds)
         report = read_stage(spark, stage_root, "fraud_report", ds, report.schema)

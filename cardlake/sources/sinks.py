@@ -49,7 +49,7 @@ def write_batch(df: DataFrame, path: str, batch: int | str) -> None:
     replace_partition(df, path, "batch_id", batch)
 
 
-def read_batch(spark: SparkSession, path: str, batch: int | str, schema: T.StructType) -> DataFrame:
+def read_batch(spark: SparkSession, path: str, batch: int | str, schema: T.StructType | str) -> DataFrame:
     """The rows of one batch, without a look at the folders of the others."""
     fs, folder = _folder(spark, f"{path}/batch_id={batch}")
     if not fs.exists(folder):

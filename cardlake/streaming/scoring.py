@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +16,11 @@ from cardlake.operators.ordering import dense_index
 from cardlake.operators.report import FIRST_SCORED_IDX as FIRST_IDX, FRAUD, LAST_SCORED_IDX as LAST_IDX
 from cardlake.schemas import Enforced
 from cardlake.sources.sinks import batch_key, drop_batch, read_batch, write_batch
-from cardlake.streaming.topics import TOPICS, publish
+from cardlake.streaming import leases
+from cardlake.streaming.topics import TOPICS, publish_batch
 
+# Columns that a scorer may add to its prediction; they are kept beside the transaction, by its id.
+SCORES = ("prediction", "confidence", "prob0", "prob1", "src_known", "dst_known", "model_version")
 
 
 def parse_requests(messages: DataFrame, value: str = "value") -> Enforced:
@@ -57,10 +60,10 @@ def alerts(transactions: DataFrame) -> DataFrame:
     return transactions.where(F.col("is_fraud") == FRAUD).select("idx", "user", alert_text().alias("message"))
 
 
-def as_transactions(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
+def as_transactions(scored: DataFrame, prediction: str = "prediction", keep: Sequence[str] = ()) -> DataFrame:
     """Scored requests as transaction records, marked ``scored`` so that they are not scored or counted as truth again."""
     names = [f.name for f in schemas.TRANSACTION.fields if f.name not in ("idx", "is_fraud")]
-    return scored.select(*names, F.col(prediction).alias("is_fraud"), F.lit(True).alias("scored"))
+    return scored.select(*names, F.col(prediction).alias("is_fraud"), F.lit(True).alias("scored"), *keep)
 
 
 def _high_before(spark: SparkSession, root: str, key: str, batch_id: int) -> int | None:
@@ -81,36 +84,57 @@ def as_transactions_schema() -> T.StructType:
                          T.StructField("batch_id", T.StringType())])
 
 
-def publish_scored(transactions: DataFrame, root: str) -> None:
-    """Send scored rows back to the transaction topic. A repeated batch sends the same ids again (see :func:`dedupe`)."""
-    publish(transactions.select(*schemas.TRANSACTION.fieldNames()), TOPICS["transaction-topic"], root)
+def publish_scored(transactions: DataFrame, root: str, key: str) -> None:
+    """Send the scored rows of batch ``key`` back to the transaction topic; a repeated batch adds nothing."""
+    publish_batch(transactions.select(*schemas.TRANSACTION.fieldNames()), TOPICS["transaction-topic"], root, key)
 
 
 def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame], root: str, checkpoint: str,
-                 value: str = "value", topic_root: str | None = None, **trigger) -> StreamingQuery:
+                 value: str = "value", topic_root: str | None = None, ids: str = "ordered", **trigger) -> StreamingQuery:
     """Score a stream of JSON requests.
 
-    ``scorer`` adds a ``prediction`` of ``Yes`` / ``No`` (see :mod:`cardlake.operators.model`). Each batch writes
+    ``scorer`` adds a ``prediction`` of ``Yes`` / ``No`` (:class:`cardlake.operators.model.ModelScorer` is one). Each batch writes
     ``transactions``, ``alerts`` and ``rejects`` under ``root``, into partitions of its own, so a repeated batch leaves
-    the same rows and ids, and a stream with a new checkpoint adds to what others left. Streams on one root must not run
-    at the same time. With ``topic_root`` the scored rows also go to the transaction topic there.
+    the same rows and ids, and a stream with a new checkpoint adds to what others left. What a scorer adds besides (:data:`SCORES`)
+    stands in ``scores``, by ``idx``. With ``topic_root`` the scored rows also go to the transaction topic there.
+
+    ``ids="ordered"`` numbers the rows of a batch in the order of their columns, behind the greatest id in use; streams on one root
+    must then run one after the other. ``ids="leased"`` numbers them as they come, in blocks that the stream leases
+    (:mod:`cardlake.streaming.leases`); any number of streams may run at once.
     """
+    if ids not in ("ordered", "leased"):
+        raise ValueError(f"unknown ids {ids!r}")
+
+    def number(rows: DataFrame, key: str, batch_id: int) -> tuple[DataFrame, int | None]:
+        if ids == "leased":
+            before = batch_key(rows.sparkSession, checkpoint, batch_id - 1) if batch_id else None
+            return leases.number_rows(rows, root, key, before), None
+        high = _high_before(rows.sparkSession, root, key, batch_id)
+        return assign_idx(rows, [f.name for f in schemas.TRANSACTION.fields if f.name != "idx"], high), high
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, requests = batch.sparkSession, parse_requests(batch, value)
-        key = batch_key(spark, checkpoint, batch_id)
-        rows = as_transactions(scorer(requests.valid)).persist()
+        key, names = batch_key(spark, checkpoint, batch_id), as_transactions_schema().fieldNames()[:-1]
+        scored = scorer(requests.valid)
+        extra = [c for c in SCORES if c in scored.columns]
+        rows = as_transactions(scored, keep=extra).persist()
         try:
-            high = _high_before(spark, root, key, batch_id)
-            order = [f.name for f in schemas.TRANSACTION.fields if f.name != "idx"]
-            write_batch(assign_idx(rows, order, high), f"{root}/transactions", key)
+            numbered, high = number(rows, key, batch_id)
+            if len(extra) > 1:
+                write_batch(numbered, f"{root}/scored", key)  # ids are given once, for both tables
+                numbered = read_batch(spark, f"{root}/scored", key, numbered.schema)
+                write_batch(numbered.select("idx", *extra), f"{root}/scores", key)
+            write_batch(numbered.select(*names), f"{root}/transactions", key)
             written = read_batch(spark, f"{root}/transactions", key, as_transactions_schema())
             write_batch(alerts(written), f"{root}/alerts", key)
             if topic_root:
-                publish_scored(written, topic_root)
+                publish_scored(written, topic_root, key)
             write_batch(requests.rejects, f"{root}/rejects", key)
-            last = written.agg(F.coalesce(F.max("idx"), F.lit(high).cast("int")).alias("high"))
-            write_batch(last, f"{root}/high_water", key)
-            drop_batch(spark, f"{root}/high_water", batch_key(spark, checkpoint, batch_id - 2))
+            if ids == "ordered":
+                last = written.agg(F.coalesce(F.max("idx"), F.lit(high).cast("int")).alias("high"))
+                write_batch(last, f"{root}/high_water", key)
+            for table in ("scored",) if batch_id < 2 else ("scored", "high_water", "lease_state"):
+                drop_batch(spark, f"{root}/{table}", key if table == "scored" else batch_key(spark, checkpoint, batch_id - 2))
         finally:
             rows.unpersist()
 

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from cardlake import schemas
+from cardlake.sources.sinks import _folder
 
 
 @dataclass(frozen=True)
@@ -59,6 +60,30 @@ def publish(df: DataFrame, topic: Topic, root: str, timestamp: Column | None = N
     records.drop("topic").write.format(fmt).mode("append").partitionBy("partition").save(f"{root}/topics/{topic.name}")
 
 
+def publish_batch(df: DataFrame, topic: Topic, root: str, key: str, timestamp: Column | None = None) -> None:
+    """Append the records of a stream's batch ``key`` once, however often the batch is repeated.
+
+    They are written aside and moved into the topic under names made from the key; a file that is there already stays, so that a
+    reader which has seen it does not see its rows under another name. A mark, written last, tells that the batch is complete.
+    """
+    spark, base = df.sparkSession, f"{root}/topics/{topic.name}"
+    fs, mark = _folder(spark, f"{root}/published/{topic.name}/{key}")
+    if fs.exists(mark):
+        return
+    aside = f"{root}/staging/{topic.name}/{key}"
+    records = to_topic(df, topic, timestamp).drop("topic").repartition("partition")
+    records.write.mode("overwrite").partitionBy("partition").parquet(aside)
+    for part in fs.globStatus(_folder(spark, f"{aside}/partition=*")[1]) or []:
+        target = f"{base}/{part.getPath().getName()}"
+        fs.mkdirs(_folder(spark, target)[1])
+        for i, file in enumerate(sorted(str(f.getPath()) for f in fs.listStatus(part.getPath()))):
+            to = _folder(spark, f"{target}/batch-{key}-{i:05d}.parquet")[1]
+            if not fs.exists(to):
+                fs.rename(_folder(spark, file)[1], to)
+    fs.mkdirs(mark)
+    fs.delete(_folder(spark, aside)[1], True)
+
+
 def record_schema(topic: Topic) -> T.StructType:
     return T.StructType([
         T.StructField("key", T.StringType()), T.StructField("value", topic.schema),

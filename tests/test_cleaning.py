@@ -41,12 +41,12 @@ def test_money(frame):
 
 
 def test_keys_and_times(spark):
-    df = spark.createDataFrame([("u1", 3, 2023, 5, 20, "5:23"), (None, 3, 2023, 2, 30, "15:03")],
+    df = spark.createDataFrame([("u1", 2, 2018, 7, 4, "9:07"), (None, 2, 2019, 2, 30, "15:03")],
                                "user string, card int, y int, m int, d int, t string")
     out = df.select(fn.card_key(F.col("user"), F.col("card")).alias("k"),
                     fn.event_time(*[F.col(c) for c in "ymdt"]).cast("string").alias("at"),
                     fn.prefixed("card", F.col("card")).alias("card")).collect()
-    assert [tuple(r) for r in out] == [("u1_3", "2023-05-20 05:23:00", "card3"), (None, None, "card3")]
+    assert [tuple(r) for r in out] == [("u1_2", "2018-07-04 09:07:00", "card2"), (None, None, "card2")]
 
 
 def test_text_field(spark):

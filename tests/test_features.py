@@ -33,13 +33,13 @@ def test_minmax(frame):
 
 
 def test_prepare(frame):
-    df = frame([(1, "user4", "card7", 2023, 5, 20, "$1,200.00", None, 4711000123456789012, "Springfield", 5411, None, "Yes")],
+    df = frame([(1, "user9", "card1", 2016, 8, 30, "$1,740.00", None, 4711000123456789012, "Springfield", 5411, None, "Yes")],
                "idx int, user string, card string, year int, month int, day int, amount string, use_chip string, "
                "merchant_name long, merchant_city string, mcc int, errors string, is_fraud string")
     row = features.prepare(df).first()
-    assert (row["card_id"], row["amount"], row["errors"], row["label"]) == ("user4_card7", 1200.0, "No error", 1)
+    assert (row["card_id"], row["amount"], row["errors"], row["label"]) == ("user9_card1", 1740.0, "No error", 1)
     ready = features.prepare(df).withColumns({c: F.lit(1.0) for c in ("merchant_city", "use_chip", "errors")})
-    assert ready.select(features.edge_attr().alias("v")).first()["v"] == [1200.0, 1.0, 1.0, 2023.0, 5.0, 20.0, 1.0]
+    assert ready.select(features.edge_attr().alias("v")).first()["v"] == [1740.0, 1.0, 1.0, 2016.0, 8.0, 30.0, 1.0]
 
 
 @pytest.mark.parametrize("small", [3, 100_000])

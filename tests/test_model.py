@@ -65,3 +65,33 @@ def test_a_missing_merchant_is_the_least_one(trained, transactions):
     named = model.score(two.withColumn("merchant_name", F.lit(min(names)).cast("long")), fitted).collect()
     assert [r["prob1"] for r in none] == [r["prob1"] for r in named] == [r["prob1"] for r in least]
     assert not any(r["dst_known"] for r in none)
+
+
+def test_versions_and_stream_scores(spark, trained, transactions):
+    """A stream scores with the last stored version; probabilities stand beside the transactions and equal those of a batch."""
+    import json
+    from cardlake.streaming import scoring
+    fitted, _ = trained
+    root = scratch_path(spark, "versions")
+    assert model.latest_version(spark, root) is None
+    with pytest.raises(ValueError, match="no model"):
+        model.ModelScorer(spark, root)(transactions)
+    assert model.save_version(fitted, root) == 0
+    requests = transactions.limit(300).drop("is_fraud", "idx")
+
+    def run(part):
+        requests.select(F.to_json(F.struct(*requests.columns)).alias("value")).write.text(f"{root}/in/{part}")
+        messages = spark.readStream.schema("value string").option("recursiveFileLookup", True).text(f"{root}/in")
+        scoring.score_stream(messages, model.ModelScorer(spark, root), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+
+    run(0)
+    assert model.save_version(fitted, root) == 1 and model.latest_version(spark, root) == 1
+    run(1)
+    scores, moved = (spark.read.parquet(f"{root}/out/{t}") for t in ("scores", "transactions"))
+    assert {(r[0], r[1]) for r in scores.groupBy("model_version").count().collect()} == {(0, 300), (1, 300)}
+    names = [c for c in requests.columns]
+    both = scores.join(moved, "idx")
+    assert both.count() == 600 and both.where("(prediction = 'Yes') <> (is_fraud = 'Yes')").count() == 0
+    batch = model.score(requests, fitted).select(F.to_json(F.struct(*names)).alias("k"), F.round("prob1", 9).alias("p")).distinct()
+    stream = both.select(F.to_json(F.struct(*names)).alias("k"), F.round("prob1", 9).alias("p")).distinct()
+    assert sorted(map(tuple, batch.collect())) == sorted(map(tuple, stream.collect()))

@@ -101,3 +101,28 @@ def test_index_within_hot_groups_by_shuffle(frame, monkeypatch):
         assert r["pos"] == seen.get(r["g"], 0)
         seen[r["g"]] = r["pos"] + 1
     assert sum(seen.values()) == 900
+
+
+def test_wide_texts_stay_under_a_size_per_task(spark):
+    """A few rows hold nearly all bytes; the input is evaluated once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    wide = spark.range(0, 4000, 1, 6).select("id", F.when((F.col("id") >= 1000) & (F.col("id") < 1040), F.repeat(F.lit("x"), 50_000))
+                                             .otherwise("y").alias("text")).mapInArrow(count, "id long, text string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = dense_index(wide, ["id"], "pos", bytes_per_range=300_000)
+        sizes = out.groupBy(F.spark_partition_id()).agg(F.sum(F.length("text")).alias("n")).collect()
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert out.where("pos <> id").count() == 0 and out.count() == 4000 and seen.value == 4000
+    staged = spark.createDataFrame([(r["id"], 50_064 if 1000 <= r["id"] < 1040 else 65) for r in spark.range(4000).collect()], "id long, b long")
+    ranges = order_ranges(staged, ["id"], size="b", bytes_per_range=300_000)
+    per = staged.groupBy(ranges.number).agg(F.sum("b").alias("b")).collect()
+    assert ranges.count >= 8 and max(r["b"] for r in per) <= 900_000 and "__range" in plan and sizes

@@ -21,7 +21,7 @@ def test_avro_record():
 
 def test_enforce(spark):
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schemas.TRANSACTION.fields if f.name != "errors"])
-    good = ("1", "u", "c", "2020", "1", "2", "5:23", "$1", None, "4711000123456789012", None, None, "62701.0", "7", "No")
+    good = ("1", "u", "c", "2020", "1", "2", "8:41", "$1", None, "4711000123456789012", None, None, "62701.0", "7", "No")
     lost = good[:13] + (None,) + good[14:]
     odd = good[:3] + ("x",) + good[4:9] + ("1.5e", None, None) + good[12:]
     out = schemas.enforce(spark.createDataFrame([good, lost, odd], text), schemas.TRANSACTION)

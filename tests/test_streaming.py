@@ -6,7 +6,7 @@ from cardlake import schemas
 from cardlake.plans import daily_report
 from cardlake.session import scratch_path
 from cardlake.sources import adapters, readers, sinks
-from cardlake.streaming import ingest, scoring, topics
+from cardlake.streaming import ingest, leases, scoring, topics
 from tests.conftest import SMALL, rows
 
 TXN = topics.TOPICS["transaction-topic"]
@@ -79,12 +79,12 @@ def test_requests(spark):
 
 
 def test_alert_text(spark):
-    row = spark.createDataFrame([("user4", "card7", 2023, 5, 2, "5:23", "$1,200", None, 1, "Yes"),
-                                 ("user5", "card7", 2023, 5, 2, "5:23", "$1", 7, 2, "No")],
+    row = spark.createDataFrame([("user88", "card1", 2019, 12, 9, "23:07", "$64.10", None, 1, "Yes"),
+                                 ("user89", "card0", 2019, 12, 9, "0:45", "$2", 7, 2, "No")],
                                 "user string, card string, year int, month int, day int, time string, amount string, "
                                 "merchant_name long, idx int, is_fraud string")
     assert [r["message"] for r in scoring.alerts(row).collect()] == [
-        "*FRAUD DETECTED!*\nUser: user4\nCard: card7\nAmount: $1,200\nTime: 2023-05-02 5:23\nMerchant: None"]
+        "*FRAUD DETECTED!*\nUser: user88\nCard: card1\nAmount: $64.10\nTime: 2019-12-09 23:07\nMerchant: None"]
 
 
 def test_scoring_stream(spark):
@@ -131,6 +131,90 @@ def test_second_checkpoint_adds_to_the_root(spark):
     assert every == [(26_000_001, "1"), (26_000_002, "9"), (26_000_003, "1"), (26_000_004, "9")]
 
 
+def write_requests(spark, path, amounts):
+    spark.createDataFrame([(json.dumps({**SAMPLE, "amount": a}),) for a in amounts], "value string").repartition(3).write.text(path)
+
+
+def test_leased_ids_of_streams_at_once(spark):
+    """Three streams on one root at the same time, several batches each: no id twice."""
+    root, streams = scratch_path(spark, "leased"), []
+    for s in "abc":
+        for part in range(2):
+            write_requests(spark, f"{root}/in-{s}/{part}", [f"{s}{part}{i}" for i in range(20)])
+        messages = spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).option("recursiveFileLookup", True).text(f"{root}/in-{s}")
+        streams.append(scoring.score_stream(messages, lambda df: df.withColumn("prediction", F.lit("No")), f"{root}/out",
+                                            f"{root}/checkpoint-{s}", ids="leased"))
+    for q in streams:
+        q.awaitTermination()
+    every = spark.read.parquet(f"{root}/out/transactions")
+    assert every.count() == 120 and every.select("idx").distinct().count() == 120
+    assert every.select("amount").distinct().count() == 120
+    assert every.agg(F.min("idx")).first()[0] >= 26_000_001
+
+
+def test_leases(spark, monkeypatch):
+    root = scratch_path(spark, "leases")
+    assert leases.claim(spark, f"{root}/x") and not leases.claim(spark, f"{root}/x")
+    assert leases.lease_blocks(spark, root, "b0", 2, 10) == [26_000_001, 26_000_011]
+    assert leases.lease_blocks(spark, root, "b0", 2, 10) == [26_000_001, 26_000_011]  # a repeated batch finds its own
+    assert leases.lease_blocks(spark, root, "b1", 1, 10) == [26_000_021]
+    df = spark.range(25).select(F.col("id").alias("v")).repartition(4)
+    got = [[], [], []]
+    for i, key in enumerate(("k0", "k1", "k2")):
+        got[i] = sorted(r["idx"] for r in leases.number_rows(df if i < 2 else df.limit(0), root, key, f"k{i - 1}" if i else None, 10).collect())
+    assert got[0] == list(range(26_000_031, 26_000_056)) and got[2] == []
+    assert got[1][:5] == list(range(26_000_056, 26_000_061)) and len(set(got[0] + got[1])) == 50
+    import pytest
+    with pytest.raises(ValueError, match="not allowed"):
+        leases.lease_blocks(spark, scratch_path(spark, "leases"), "b", 2, 900_000_000)
+
+
+def test_repeated_batch_publishes_once(spark, tmp_path):
+    """A batch that is run again, after its rows went to the topic but before the stream knew, adds no copy."""
+    root = scratch_path(spark, "publish")
+    write_requests(spark, f"{root}/in", [str(i) for i in range(30)])
+
+    def run():
+        messages = spark.readStream.schema("value string").text(f"{root}/in")
+        scoring.score_stream(messages, lambda df: df.withColumn("prediction", F.lit("Yes")), f"{root}/out", f"{root}/checkpoint",
+                             topic_root=f"{root}/topic").awaitTermination()
+
+    run()
+    fs, commit = sinks._folder(spark, f"{root}/checkpoint/commits/0")
+    assert fs.delete(commit, False)
+    run()
+    records = readers.read_topic(spark, f"{root}/topic", TXN.name, topics.record_schema(TXN), ["value"])
+    assert records.count() == 30 == records.select("value.idx").distinct().count()
+    assert spark.read.parquet(f"{root}/out/transactions").count() == 30
+    # moved half way: the files that are there stay, the others follow
+    df = filled(adapters.transactions(spark, SMALL), TXN.schema)
+    topics.publish_batch(df, TXN, f"{root}/half", "k")
+    base, mark = f"{root}/half/topics/{TXN.name}", sinks._folder(spark, f"{root}/half/published/{TXN.name}/k")[1]
+    fs.delete(mark, True)
+    fs.delete(sinks._folder(spark, f"{base}/partition=2")[1], True)
+    topics.publish_batch(df, TXN, f"{root}/half", "k")
+    assert rows(spark.read.schema(topics.record_schema(TXN)).parquet(base).select("value.idx")) == rows(df.select("idx"))
+
+
+def test_report_without_scored_rows(spark):
+    root = scratch_path(spark, "exclude")
+    txn = filled(adapters.transactions(spark, SMALL), TXN.schema)
+    scored = txn.where("idx < 500").withColumn("idx", (F.col("idx") + 26_000_001).cast("int")).withColumn("is_fraud", F.lit("Yes"))
+
+    def bronze(df, name):
+        topic = topics.TOPICS[name]
+        topics.topic_layout(filled(df, topic.schema), topic).write.mode("append").partitionBy("partition").parquet(f"{root}/topics/{name}")
+
+    bronze(txn, "transaction-topic")
+    bronze(adapters.cards(spark, SMALL), "card-topic")
+    bronze(adapters.users(spark, SMALL), "user-topic")
+    before = rows(daily_report.build_report(spark, root))
+    bronze(scored, "transaction-topic")
+    assert rows(daily_report.build_report(spark, root, exclude_scored=True)) == before != rows(daily_report.build_report(spark, root))
+    daily_report.run(spark, root, f"{root}/table", "20240701", exclude_scored=True)
+    assert spark.read.parquet(f"{root}/table").count() == len(before)
+
+
 def test_repeated_batch_replaces_itself(spark):
     path = scratch_path(spark, "batch")
     df = spark.range(3)
