@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardlake.functions.cleaning import null_if_sentinel
+from cardlake.operators.ordering import dense_index
 
 # Labels, and the range of ids that scored transactions get.
 FRAUD = "Yes"
@@ -59,6 +60,11 @@ def fraud_report(transactions: DataFrame, cards: DataFrame, users: DataFrame, co
                          "credit_limit")
 
 
+def present(report: DataFrame) -> DataFrame:
+    """The report in the order of its users, with ``position`` from 0. Only what is shown needs the order; tables are sorted by count."""
+    return dense_index(report, ["user"], "position")
+
+
 def coerce_olap(report: DataFrame, compat_person: bool = False) -> DataFrame:
     """The report in the column types of its table; texts that stand for null become null.
 

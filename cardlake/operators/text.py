@@ -48,7 +48,8 @@ def table_documents(rows: DataFrame, columns: Sequence[str], file: str = "file_n
     """
     header = tx.csv_header(columns) + "\n"
     need = max(1, -(-prefix // max(2, len(columns))))
-    lines = table_lines(rows, columns, [file, *order_by])
+    # What stands behind the prefix of a line is in no document; it is cut off before the lines travel.
+    lines = table_lines(rows, columns, [file, *order_by]).withColumn("line", F.substring("line", 1, prefix))
     place = F.row_number().over(Window.partitionBy(file).orderBy(*order_by))
     ranked = lines.withColumn("r", place).where(F.col("r") <= need)
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "line"))), lambda s: s["line"]), "\n")

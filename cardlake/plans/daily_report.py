@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake import schemas
 from cardlake.operators.report import FRAUD, coerce_olap, fraud_report
-from cardlake.session import stage
+from cardlake.session import stage, staged_until_done
 from cardlake.sources.readers import read_stage, read_topic
 from cardlake.sources.sinks import append_table, write_stage
 
@@ -29,10 +29,11 @@ def run(spark: SparkSession, bronze: str, table: str, ds: str, count_mode: str =
 
     The range layout of the table looks at its input twice, so the report is written once before it.
     """
-    report = build_report(spark, bronze, count_mode, fmt, exclude_scored)
-    if stage_root:
-        write_stage(report, stage_root, "fraud_report", ds)
-        report = read_stage(spark, stage_root, "fraud_report", ds, report.schema)
-    else:
-        report = stage(report, "fraud-report")
-    append_table(report, table, ["count_fraud", "user"], ds, mode)
+    with staged_until_done(spark):
+        report = build_report(spark, bronze, count_mode, fmt, exclude_scored)
+        if stage_root:
+            write_stage(report, stage_root, "fraud_report", ds)
+            report = read_stage(spark, stage_root, "fraud_report", ds, report.schema)
+        else:
+            report = stage(report, "fraud-report")
+        append_table(report, table, ["count_fraud", "user"], ds, mode)

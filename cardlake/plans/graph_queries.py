@@ -292,40 +292,42 @@ def relation_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexed.withColumn("relation", F.lit(f"{relation.src_type}<>{relation.dst_type}"))
 
 
-_FOLDER = """a AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, CAST(o_orderkey AS VARCHAR) AS o, CAST(o_custkey AS VARCHAR) AS c,
-  CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey % 3 <> 0),
-later AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, CAST(o_orderkey AS VARCHAR) AS o, CAST(o_custkey AS VARCHAR) AS c
-  FROM orders WHERE o_orderkey % 3 = 0),
+def _folder_sql(some: str) -> str:
+    """The relation files' rows and the ids of their customers and statuses."""
+    return f"""a AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, CAST(o_orderkey AS VARCHAR) AS o, CAST(o_custkey AS VARCHAR) AS c,
+  CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE o_orderstatus END AS s FROM orders WHERE {some}),
 customers AS (SELECT c AS key, row_number() OVER (ORDER BY min(row)) - 1 AS node_id FROM a GROUP BY c),
 statuses AS (SELECT s AS key, row_number() OVER (ORDER BY min(row)) - 1 AS node_id FROM a GROUP BY s)"""
 
 
-def _write_relations(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Two relation files about some orders (a status may be empty), in the order of the order keys."""
-    orders = adapters.table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0").orderBy("o_orderkey")
+def _write_relations(orders: DataFrame, root: str) -> None:
+    """Two relation files about the orders (a status may be empty), in the order of the order keys."""
     status = F.when(F.pmod("o_orderkey", F.lit(10)) == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
     for name, column in (("customer", F.col("o_custkey")), ("status", status)):
-        sinks.write_csv(orders.select(F.col("o_orderkey").alias("order"), column.alias(name)), f"{root}/relation_{name}")
+        sinks.write_csv(orders.orderBy("o_orderkey").select(F.col("o_orderkey").alias("order"), column.alias(name)), f"{root}/relation_{name}")
 
 
-@query(f"""WITH {_FOLDER} SELECT 'order' AS type, o AS key, row AS node_id FROM a
+@query(f"""WITH {_folder_sql("o_orderkey % 3 <> 0")},
+later AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, CAST(o_orderkey AS VARCHAR) AS o, CAST(o_custkey AS VARCHAR) AS c
+  FROM orders WHERE o_orderkey % 3 = 0)
+SELECT 'order' AS type, o AS key, row AS node_id FROM a
 UNION ALL SELECT 'order', o, row + (SELECT count(*) FROM a) FROM later
 UNION ALL SELECT 'customer', key, node_id FROM customers
 UNION ALL SELECT 'customer', c, row_number() OVER (ORDER BY min(row)) - 1 + (SELECT count(*) FROM customers) FROM later
   WHERE c NOT IN (SELECT key FROM customers) GROUP BY c
 UNION ALL SELECT 'status', key, node_id FROM statuses""")
 def node_index_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two relation files give ids that a third, read later, only adds to."""
-    root = scratch_path(spark, "relations")
-    _write_relations(spark, sf_dir, f"{root}/files")
+    """All orders: two relation files about two thirds of them give ids that a third file, read later, only adds to."""
+    root, orders = scratch_path(spark, "relations"), adapters.table(spark, sf_dir, "orders")
+    _write_relations(orders.where("o_orderkey % 3 <> 0"), f"{root}/files")
     heterograph.build(spark, f"{root}/files", "relation.*", "order", index=f"{root}/index")
-    later = adapters.table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").orderBy("o_orderkey")
+    later = orders.where("o_orderkey % 3 = 0").orderBy("o_orderkey")
     sinks.write_csv(later.select(F.col("o_orderkey").alias("order"), F.col("o_custkey").alias("customer")), f"{root}/files/late_customer")
     heterograph.build(spark, f"{root}/files", "late.*", "order", index=f"{root}/index")
     return node_index.read_index(spark, f"{root}/index").select("type", "key", "node_id")
 
 
-@query(f"""WITH {_FOLDER}, pairs AS (
+@query(f"""WITH {_folder_sql("true")}, pairs AS (
   SELECT 'customer' AS other, row AS src, node_id AS dst FROM a JOIN customers ON c = key
   UNION ALL SELECT 'status', row, node_id FROM a JOIN statuses ON s = key)
 SELECT 'target' AS src_type, 'target<>' || other AS relation, other AS dst_type, src, dst FROM pairs
@@ -334,21 +336,19 @@ UNION ALL SELECT 'target', 'self_relation', 'target', row, row FROM a""")
 def heterograph_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graph of all relation files in a folder; edges to the empty status count."""
     root = scratch_path(spark, "relations")
-    _write_relations(spark, sf_dir, root)
+    _write_relations(adapters.table(spark, sf_dir, "orders"), root)
     return heterograph.build(spark, root, "relation.*", "order").edges
 
 
-@query(f"""WITH {_FOLDER} SELECT row AS src_id, node_id AS dst_id FROM a JOIN statuses ON s = key
-WHERE row % 2 = 0""")
+@query(f"""WITH {_folder_sql("true")} SELECT row AS src_id, node_id + (SELECT count(*) FROM a) AS dst_id FROM a JOIN statuses ON s = key""")
 def listed_nodes_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges between nodes of a given list, which numbers them: orders first, then the statuses."""
-    orders = ordering.dense_index(adapters.table(spark, sf_dir, "orders").where("o_orderkey % 3 <> 0"), ["o_orderkey"], "row")
-    status = F.when(F.pmod("o_orderkey", F.lit(10)) == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
-    edges = orders.select("row", F.col("o_orderkey").cast("string").alias("src"), F.concat(F.lit("s"), F.coalesce(status, F.lit(""))).alias("dst"))
-    n = orders.count()
-    listed = edges.select("row", F.col("src").alias("key")).unionByName(edges.select((F.col("row") + n).alias("row"), F.col("dst").alias("key")))
-    found = graph.index_edges(edges.where("row % 2 = 0"), listed).edges
-    return found.select("src_id", (F.col("dst_id") - n).alias("dst_id"))
+    orders = ordering.dense_index(adapters.table(spark, sf_dir, "orders"), ["o_orderkey"], "row")
+    status = F.when(F.pmod("o_orderkey", F.lit(10)) == 0, F.lit("")).otherwise(F.col("o_orderstatus"))
+    edges = orders.select("row", F.col("o_orderkey").cast("string").alias("src"), F.concat(F.lit("s"), status).alias("dst"))
+    after = edges.select((F.col("row") + edges.count()).alias("row"), F.col("dst").alias("key"))
+    listed = edges.select("row", F.col("src").alias("key")).unionByName(after)
+    return graph.index_edges(edges, listed).edges.select("src_id", "dst_id")
 
 
 # --- attention and perceptrons -----------------------------------------------------------------------------------
@@ -487,6 +487,21 @@ def pr_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.select("threshold", *_rounded({c: F.col(c) for c in ("precision", "recall")}, 9))
 
 
+@query(f"""WITH {_CURVE} SELECT score AS threshold, round(fp / n, 9) AS fpr, round(tp / p, 9) AS tpr FROM pts
+WHERE i = 1 OR np IS NULL OR np <> pos OR nn <> neg UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""")
+def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole curve, from (0, 0) to (1, 1)."""
+    points = metrics.roc(metrics.curve_points(_judged(spark, sf_dir)), ends=True)
+    return points.select("threshold", *_rounded({c: F.col(c) for c in ("fpr", "tpr")}, 9))
+
+
+@query(f"""WITH {_CURVE} SELECT score AS threshold, round(tp / (tp + fp), 9) AS precision, round(tp / p, 9) AS recall
+FROM pts UNION ALL SELECT NULL, 1.0, 0.0""")
+def precision_recall_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = metrics.precision_recall(metrics.curve_points(_judged(spark, sf_dir)), ends=True)
+    return points.select("threshold", *_rounded({c: F.col(c) for c in ("precision", "recall")}, 9))
+
+
 @query(f"""WITH {_CURVE}, rates AS (SELECT *, tp / (tp + fp) AS prec, coalesce(lag(tp / (tp + fp)) OVER (ORDER BY score DESC), 1.0)
   AS before FROM pts)
 SELECT round(sum(neg * (2 * tp - pos) / 2.0) / max(p * n), 9) AS roc_auc,
@@ -510,11 +525,29 @@ def _split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.stratified_split(rows, "label")
 
 
-@query()
+_LEARNED = f"""{TXN}, labelled AS (SELECT idx, CAST(CAST(replace(amount, '$', '') AS DOUBLE) > 60 AS INT) AS label FROM txn),
+keyed AS (SELECT idx, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || idx)) AS r FROM labelled),
+sizes AS (SELECT label, count(*) AS n, sum(count(*)) OVER () AS total FROM labelled GROUP BY 1),
+shared AS (SELECT *, total - CAST(ceil(0.2 * total) AS BIGINT) AS n_train FROM sizes),
+floors AS (SELECT *, n * n_train // total AS base, n * n_train % total AS rest FROM shared),
+quotas AS (SELECT label, n - base - CASE WHEN row_number() OVER (ORDER BY rest DESC, label)
+  <= n_train - sum(base) OVER () THEN 1 ELSE 0 END AS n_test FROM floors)"""
+
+
+@query(f"""WITH {_LEARNED} SELECT CASE WHEN r <= n_test THEN 'test' ELSE 'train' END AS split, count(*) AS n,
+  1 AS loss_below_base, 1 AS accuracy_above_base FROM keyed JOIN quotas USING (label) GROUP BY 1""")
 def train_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loss and accuracy of a classifier trained on the card-merchant graph; no SQL, as it is fitted iteratively."""
-    _, scored = model.train_edge_classifier(_split_rows(spark, sf_dir), "mlp", iterations=20)
-    return model.split_metrics(scored)
+    """A classifier trained on the card-merchant graph, with labels that follow from the amount: the rows of both splits, and whether
+    its loss and accuracy are better than those of the label's share alone."""
+    amount = F.regexp_replace("amount", "[$]", "").cast("double")
+    labelled = adapters.transactions(spark, sf_dir).withColumn("is_fraud", F.when(amount > 60, "Yes").otherwise("No"))
+    rows = sampling.stratified_split(features.prepare(labelled), "label")
+    _, scored = model.train_edge_classifier(rows, "mlp", iterations=20)
+    shares = scored.groupBy("split").agg(F.avg("label").alias("p"))
+    base = -(F.col("p") * F.log("p") + (1 - F.col("p")) * F.log(1 - F.col("p")))
+    return model.split_metrics(scored).join(shares, "split").select(
+        "split", "n", (F.col("loss") < base).cast("int").alias("loss_below_base"),
+        (F.col("accuracy") > F.greatest(F.col("p"), 1 - F.col("p"))).cast("int").alias("accuracy_above_base"))
 
 
 @query(f"""WITH {TXN} SELECT idx, "user", 1 AS src_known, CAST(merchant_name <> 0 AS INT) AS dst_known, 1 AS in_range,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardlake.functions import text as tx
 from cardlake.operators import text, vectors
-from cardlake.session import stage
+from cardlake.session import stage, staged_until_done
 from cardlake.sources.readers import file_order_index, list_datasets, read_documents
 from cardlake.sources.sinks import replace_partition
 
@@ -55,23 +55,26 @@ def index_tables(spark: SparkSession, prefix: str, collection: str, embed: Embed
     known = vectors.known_ids(spark, collection, list(paths))
     for name, path in paths.items():
         if name not in known:
-            named, columns = numbered = _numbered(spark, path)
-            header = spark.createDataFrame([(0, tx.csv_header(columns))], "line_no long, line string")
-            lines = text.table_lines(named, columns, ["pos"]).select((F.col("pos") + 1).alias("line_no"), "line")
-            replace_partition(header.unionByName(lines), lines_path(collection), "id", name)
-            vectors.add_to_collection(collection, table_rows(spark, path, embed, numbered=numbered))
+            with staged_until_done(spark):
+                named, columns = numbered = _numbered(spark, path)
+                header = spark.createDataFrame([(0, tx.csv_header(columns))], "line_no long, line string")
+                lines = text.table_lines(named, columns, ["pos"]).select((F.col("pos") + 1).alias("line_no"), "line")
+                replace_partition(header.unionByName(lines), lines_path(collection), "id", name)
+                vectors.add_to_collection(collection, table_rows(spark, path, embed, numbered=numbered))
 
 
 def index_records(records: DataFrame, collection: str, order_by: Sequence[str], embed: Embed, start: int = 0) -> None:
     """Append the texts of ``records`` (``content`` or ``message``) under ids that continue from ``start``."""
-    picked = text.pick_text(records).withColumnRenamed("text", "raw_text")
-    numbered = vectors.insert_batch(picked, ["raw_text"], order_by, start)
-    numbered.withColumn("embedding", embed(F.col("raw_text"))).write.mode("append").parquet(collection)
+    with staged_until_done(records.sparkSession):
+        picked = text.pick_text(records).withColumnRenamed("text", "raw_text")
+        numbered = vectors.insert_batch(picked, ["raw_text"], order_by, start)
+        numbered.withColumn("embedding", embed(F.col("raw_text"))).write.mode("append").parquet(collection)
 
 
 def index_documents(spark: SparkSession, folder: str, collection: str, embed: Embed) -> None:
     """Append the chunks of all files in a folder; a chunk's id is its file's path and its number."""
-    chunks = stage(text.chunk(read_documents(spark, folder)), "chunks")
-    rows = chunks.select(F.concat_ws("#", "path", "chunk_no").alias("id"), embed(F.col("chunk")).alias("embedding"),
-                         F.col("chunk").alias("document"))
-    vectors.add_to_collection(collection, rows)
+    with staged_until_done(spark):
+        chunks = stage(text.chunk(read_documents(spark, folder)), "chunks")
+        rows = chunks.select(F.concat_ws("#", "path", "chunk_no").alias("id"), embed(F.col("chunk")).alias("embedding"),
+                             F.col("chunk").alias("document"))
+        vectors.add_to_collection(collection, rows)

@@ -41,6 +41,13 @@ def fraud_report_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir, "transactions")
 
 
+@query(f"""WITH {TXN}, {CARD}, {USER}, report AS (
+  SELECT t."user", CAST(count(*) AS BIGINT) AS count_fraud, {_REPORT_COLUMNS} {_FANNED})
+SELECT row_number() OVER (ORDER BY "user") - 1 AS position, * FROM report""")
+def report_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.present(_report(spark, sf_dir, "reference"))
+
+
 @query(f"""WITH {TXN}, {CARD}, {USER}
 SELECT t."user", CAST(count(*) AS BIGINT) AS count_fraud, {_REPORT_COLUMNS} {_FANNED}""")
 def daily_report_job(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cardlake import schemas
 from cardlake.functions import cleaning as fn
+from cardlake.operators import features, model, sampling
 from cardlake.plans.registry import TXN, query
 from cardlake.session import scratch_path
 from cardlake.sources import adapters, csv_records, readers, sinks
@@ -95,6 +96,62 @@ def stream_second_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{_scored(spark, sf_dir, 2)}/transactions").select("idx", "user", "amount", "is_fraud")
 
 
+@query(f"""WITH {_ARRIVED} SELECT "user", amount, is_fraud, 2 AS n, 2 AS n_ids, 1 AS in_range, count(*) OVER () * 2 AS all_ids FROM numbered
+""")
+def stream_concurrent_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams score the same requests on one root at the same time; every row gets an id of its own."""
+    root, running = scratch_path(spark, "scores"), []
+    for i in range(2):
+        messages = _requests(adapters.transactions_of(_events_stream(spark, sf_dir)))
+        running.append(scoring.score_stream(messages, _scorer, root, f"{root}/checkpoint{i}", ids="leased"))
+    for q in running:
+        q.awaitTermination()
+    rows = spark.read.parquet(f"{root}/transactions").drop("batch_id", "scored")
+    names = [c for c in rows.columns if c != "idx"]
+    # Requests that agree in every field are told apart by their number among each other.
+    numbered = rows.withColumn("nth", F.floor((F.row_number().over(Window.partitionBy(*names).orderBy("idx")) - 1) / 2))
+    grouped = numbered.groupBy(*names, "nth").agg(F.count("*").alias("n"), F.count_distinct("idx").alias("n_ids"),
+                                                  F.min("idx").alias("least"), F.max("idx").alias("greatest"))
+    ids = rows.agg(F.count_distinct("idx").alias("all_ids"))
+    return grouped.crossJoin(F.broadcast(ids)).select(
+        "user", "amount", "is_fraud", F.col("n").cast("int").alias("n"), F.col("n_ids").cast("int").alias("n_ids"),
+        ((F.col("least") > 26_000_000) & (F.col("greatest") <= 10 ** 9)).cast("int").alias("in_range"), "all_ids")
+
+
+@query(f"""WITH {TXN}, fine AS (SELECT * FROM txn WHERE idx % 40 <> 39 AND mcc > 4)
+SELECT "user", card, "time", amount, mcc, 0 AS model_version, 1 AS in_range, 1 AS follows, 1 AS as_batch, count(*) AS n FROM fine GROUP BY ALL""")
+def stream_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests scored on arrival by a stored model. Its probabilities stand beside the transactions, and equal those of a batch."""
+    root = scratch_path(spark, "model-stream")
+    rows = adapters.transactions(spark, sf_dir)
+    fitted, _ = model.train_edge_classifier(sampling.stratified_split(features.prepare(rows), "label"), "logistic", iterations=5)
+    model.save_version(fitted, f"{root}/model")
+    messages = _requests(adapters.transactions_of(_events_stream(spark, sf_dir)))
+    scoring.score_stream(messages, model.ModelScorer(spark, f"{root}/model"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    scores, moved = (spark.read.parquet(f"{root}/out/{t}").drop("batch_id") for t in ("scores", "transactions"))
+    both = scores.join(moved, "idx")
+    requests = [f.name for f in schemas.REQUEST.fields if f.name != "is_fraud"]
+    again = model.score(moved.select("idx", *requests), fitted).select("idx", F.col("prob1").alias("batch_prob1"))
+    told = both.join(again, "idx")
+    flags = {"in_range": F.col("prob1").between(0.0, 1.0) & (F.abs(F.col("prob0") + F.col("prob1") - 1.0) < 1e-9),
+             "follows": (F.col("prediction") == F.col("is_fraud")) & ((F.col("prediction") == "Yes") == (F.col("prob1") > F.col("prob0"))),
+             "as_batch": F.abs(F.col("prob1") - F.col("batch_prob1")) < 1e-9}
+    told = told.select("user", "card", "time", "amount", "mcc", "model_version", *[c.cast("int").alias(n) for n, c in flags.items()])
+    return told.groupBy(*told.columns).agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_ARRIVED} SELECT {_FIELDS} FROM numbered""")
+def stream_to_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows sent back to the transaction topic by a stream whose only batch runs twice."""
+    root = scratch_path(spark, "scores")
+    for _ in range(2):
+        messages = _requests(adapters.transactions_of(_events_stream(spark, sf_dir)))
+        scoring.score_stream(messages, _scorer, root, f"{root}/checkpoint", topic_root=f"{root}/topic").awaitTermination()
+        sinks.forget_commit(spark, f"{root}/checkpoint", 0)
+    records = spark.read.schema(topics.record_schema(_TXN)).parquet(f"{root}/topic/topics/{_TXN.name}")
+    return records.select("value.*")
+
+
 _MESSAGE = """'*FRAUD DETECTED!*' || chr(10) || 'User: ' || "user" || chr(10) || 'Card: ' || card || chr(10) || 'Amount: '
   || amount || chr(10) || 'Time: ' || "year" || '-' || lpad(CAST("month" AS VARCHAR), 2, '0') || '-'
   || lpad(CAST("day" AS VARCHAR), 2, '0') || ' ' || "time" || chr(10) || 'Merchant: ' || """

@@ -6,7 +6,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardlake.operators import text, vectors
+from cardlake.operators import collection, text, vectors
 from cardlake.plans import indexing
 from cardlake.plans.registry import query
 from cardlake.session import scratch_path
@@ -118,19 +118,19 @@ def index_records_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("id", "raw_text", F.size("embedding").alias("width"))
 
 
-@query("""SELECT substr(file_name, 1, 8) AS "table", count(*) AS row_count, CAST(sum(key) AS BIGINT) AS key_sum FROM (
-  SELECT 'customer' AS file_name, c_custkey AS key FROM customer UNION ALL SELECT 'supplier', s_suppkey FROM supplier)
-GROUP BY 1""")
+@query("""SELECT file_name, split_part(file_name, '_', 1) AS "table", count(*) AS row_count, CAST(sum(key) AS BIGINT) AS key_sum FROM (
+  SELECT 'customer_2024_a' AS file_name, c_custkey AS key FROM customer WHERE c_custkey % 2 = 0
+  UNION ALL SELECT 'customer_2024_b', c_custkey FROM customer WHERE c_custkey % 2 = 1
+  UNION ALL SELECT 'supplier', s_suppkey FROM supplier) GROUP BY 1""")
 def prefix_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files found under a prefix, named by table and run date."""
+    """Datasets found under a prefix; their names, and the tables they belong to, come from where their files lie."""
     root = scratch_path(spark, "prefix")
-    for name, key in (("customer", "c_custkey"), ("supplier", "s_suppkey")):
-        adapters.table(spark, sf_dir, name).select(F.col(key).alias("key"), F.lit(name).alias("entity")) \
-            .write.parquet(f"{root}/{name}")
-    schema = spark.read.parquet(f"{root}/customer").schema
-    found = readers.read_prefix_with_file(spark, root, schema)
-    return found.groupBy(F.col("entity").alias("table")).agg(
-        F.count("*").alias("row_count"), F.sum("key").alias("key_sum"))
+    customers = adapters.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
+    for name, rows in (("customer_2024_a", customers.where("key % 2 = 0")), ("customer_2024_b", customers.where("key % 2 = 1")),
+                       ("supplier", adapters.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key")))):
+        rows.write.parquet(f"{root}/{name}")
+    found = readers.read_prefix_with_file(spark, root, customers.schema)
+    return found.groupBy("file_name", "table").agg(F.count("*").alias("row_count"), F.sum("key").alias("key_sum"))
 
 
 _TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{Nd}\\p{Nl}\\p{Pc}]+'), lambda t: t <> '')"
@@ -208,3 +208,40 @@ def vector_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vector_insert_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = adapters.table(spark, sf_dir, "conversations").withColumnRenamed("text", "raw_text")
     return vectors.insert_batch(records, ["raw_text"], ["conv_id", "turn"], 1000)
+
+
+@query(f"""SELECT vec_id AS id, CASE WHEN vec_id % 3 = 0 THEN 'first' ELSE 'second' END AS source, label FROM embeddings""")
+def vector_insert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bucketed collection gets a third of the vectors, then all of them: those it has stay as they are."""
+    path = scratch_path(spark, "bucketed")
+    every = adapters.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+    collection.insert_bucketed(path, every.where("id % 3 = 0").withColumn("source", F.lit("first")), buckets=64)
+    collection.insert_bucketed(path, every.withColumn("source", F.lit("second")))
+    return collection.read_collection(spark, path).select("id", "source", "label")
+
+
+@query("""SELECT conv_id, turn, coalesce(length(text), 0) AS width, CAST(coalesce(text LIKE '%q%', false) AS INT) AS failed
+FROM conversations""")
+def provider_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts embedded by an outside provider that fails on some; their rows are flagged and hold zeros."""
+    def provider(texts: list[str]) -> list[list[float]]:
+        if any("q" in t for t in texts):
+            raise RuntimeError("service down")
+        return [[float(len(t)), 1.0] for t in texts]
+
+    told = vectors.embed_with(adapters.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), provider, 2, batch=1)
+    width = F.when(F.col("failed"), F.length("text").cast("double") * F.lit(1.0)).otherwise(F.get("embedding", F.lit(0)))
+    zero = ~F.col("failed") | ((F.get("embedding", F.lit(0)) == 0.0) & (F.get("embedding", F.lit(1)) == 0.0))
+    return told.select("conv_id", "turn", F.when(zero, width).cast("long").alias("width"), F.col("failed").cast("int").alias("failed"))
+
+
+@query("""SELECT 'part=' || c_nationkey AS folder, CAST(sum(length(c_name || chr(10) || c_mktsegment || chr(10))) AS BIGINT) AS n
+FROM customer GROUP BY c_nationkey""")
+def documents_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of text files, one row each: all customers, a file per nation."""
+    root = scratch_path(spark, "folder")
+    rows = adapters.table(spark, sf_dir, "customer")
+    (rows.select(F.concat_ws("\n", "c_name", "c_mktsegment").alias("value"), F.col("c_nationkey").alias("part"))
+     .repartition("part").write.partitionBy("part").text(root))
+    found = readers.read_documents(spark, root)
+    return found.select(F.element_at(F.split("path", "/"), -2).alias("folder"), F.length("text").cast("long").alias("n"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +36,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cardlake-"))
         folder = spark.sparkContext.getCheckpointDir()
@@ -50,6 +53,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_OPEN: ContextVar[list[str] | None] = ContextVar("open", default=None)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -57,5 +63,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     whether a later join can broadcast the table.
     """
     path = scratch_path(df.sparkSession, name)
+    if _OPEN.get() is not None:
+        _OPEN.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged_until_done(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that are staged inside, at its end. For jobs that leave nothing but what they write elsewhere."""
+    paths: list[str] = []
+    token = _OPEN.set(paths)
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        for path in paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from cardlake.operators.lookups import BROADCAST_BYTES, table_bytes
-from cardlake.session import stage
+from cardlake.session import stage, staged_until_done
 
 PLACE = ("__file", "__block", "__row")  # where a record starts: file, start of the split, number in the split
 _RECORDS = "__file string, __block long, __row long, record string, goes_on boolean, is_open boolean"
@@ -229,8 +229,9 @@ def stream_csv(spark: SparkSession, path: str, schema: T.StructType, write: Call
     Large files are read by many tasks, line breaks inside quotes or not; a batch is read again if it is repeated.
     """
     def batch(lines: DataFrame, number: int) -> None:
-        states = stage(split_states(lines), "split-states")
-        write(parse_records(cut_records(lines, states), schema).drop(*PLACE), number)
+        with staged_until_done(lines.sparkSession):
+            states = stage(split_states(lines), "split-states")
+            write(parse_records(cut_records(lines, states), schema).drop(*PLACE), number)
 
     return (read_lines(spark.readStream.option("maxFilesPerTrigger", max_files), path).writeStream.foreachBatch(batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

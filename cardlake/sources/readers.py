@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -100,10 +101,17 @@ def read_stage(spark: SparkSession, root: str, name: str, ds: str | None = None,
 
 
 def read_prefix_with_file(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Files under ``path`` with ``file_name`` and ``table``, the file name up to its first underscore."""
+    """Datasets under ``path`` with ``file_name``, the name of the dataset, and ``table``, that name up to its first underscore.
+
+    A dataset is a file right under ``path`` or a folder there, whatever the names and folders of the parts in it.
+    """
     df = (spark.read.format(fmt).schema(schema).option("recursiveFileLookup", True)
           .option("pathGlobFilter", f"*.{fmt}").load(path))
-    name = F.col("_metadata.file_name")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(folder).toString()
+    depth = len(re.sub(r":/+", ":/", root).rstrip("/").split("/"))
+    parts = F.split(F.regexp_replace("_metadata.file_path", r"^([a-z0-9]+):/+", "$1:/"), "/")
+    name = F.url_decode(F.element_at(parts, depth + 1))
     return df.select("*", name.alias("file_name"), F.element_at(F.split(name, "_"), 1).alias("table"))
 
 

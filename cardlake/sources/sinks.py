@@ -62,6 +62,12 @@ def drop_batch(spark: SparkSession, path: str, batch: int | str) -> None:
     fs.delete(folder, True)
 
 
+def forget_commit(spark: SparkSession, checkpoint: str, batch_id: int) -> None:
+    """Make a stream that is started again repeat its batch ``batch_id``, as it does after a driver was lost behind the writes."""
+    fs, commit = _folder(spark, f"{checkpoint}/commits/{batch_id}")
+    fs.delete(commit, False)
+
+
 def sort_layout(df: DataFrame, sort_by: Sequence[str]) -> DataFrame:
     """Range-partition and sort, so that files and row groups hold narrow ranges of the key and scans can skip them.
 

@@ -15,6 +15,7 @@ from cardlake.functions.cleaning import event_time
 from cardlake.operators.ordering import dense_index
 from cardlake.operators.report import FIRST_SCORED_IDX as FIRST_IDX, FRAUD, LAST_SCORED_IDX as LAST_IDX
 from cardlake.schemas import Enforced
+from cardlake.session import staged_until_done
 from cardlake.sources.sinks import batch_key, drop_batch, read_batch, write_batch
 from cardlake.streaming import leases
 from cardlake.streaming.topics import TOPICS, publish_batch
@@ -138,7 +139,11 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
         finally:
             rows.unpersist()
 
-    return (messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    def batch(messages: DataFrame, batch_id: int) -> None:
+        with staged_until_done(messages.sparkSession):
+            write(messages, batch_id)
+
+    return (messages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 

@@ -97,3 +97,32 @@ def test_rebalance_without_keys(frame):
     df = frame([(i if i % 3 else None, "Yes" if i % 10 == 0 else "No") for i in range(300)], "idx long, is_fraud string")
     out = sampling.rebalance(df, 20)
     assert out.where("is_fraud = 'No'").count() == 20 and out.where("is_fraud = 'Yes'").count() == 30
+
+
+@pytest.mark.parametrize("labels", [1, 50, 65])
+def test_split_has_one_rule_for_rows_without_a_key(frame, labels):
+    """650 rows have no key: they count for the quota of their label and are train, whatever the number of labels."""
+    df = frame([(i if i >= 650 else None, f"l{i % labels}") for i in range(3250)], "idx long, label string")
+    out = sampling.stratified_split(df, "label", test_size=0.2)
+    assert out.where("idx IS NULL AND split = 'train'").count() == 650
+    assert out.where("split = 'test'").count() == 650
+    by_label = {r[0]: r[1] for r in out.where("split = 'test'").groupBy("label").count().collect()}
+    assert len(by_label) == labels and all(abs(n - 650 / labels) <= 1 for n in by_label.values())
+
+
+def test_split_takes_the_first_by_hash(frame):
+    import hashlib
+    data = [(i, i % 3) for i in range(2000)]
+    out = sampling.stratified_split(frame(data, "idx long, label int"), "label", test_size=0.1)
+    quotas = sampling.split_quotas({s: sum(1 for _, x in data if x == s) for s in range(3)}, 0.1)
+    want = set()
+    for s, quota in quotas.items():
+        own = sorted((i for i, x in data if x == s), key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+        want |= set(own[:quota])
+    assert {r["idx"] for r in out.where("split = 'test'").collect()} == want
+
+
+def test_split_with_too_few_keys_or_rows(frame):
+    df = frame([(None, "a")] * 8 + [(1, "a"), (2, "a")], "idx long, label string")
+    assert sorted(r["split"] for r in sampling.stratified_split(df, "label", test_size=0.5).collect()) == ["test"] * 2 + ["train"] * 8
+    assert sampling.stratified_split(df.limit(0), "label").collect() == []

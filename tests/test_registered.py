@@ -4,7 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import SMALL
-from tools.check_oracles import compare, connect
+from tools.check_oracles import NO_SQL, compare, connect
 
 
 @pytest.fixture(scope="module")
@@ -20,10 +20,6 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-# Queries whose results SQL cannot express; their tests compare them with brute force or held-out figures.
-NO_SQL = {"train_metrics", "batch_scores", "pipeline"}
-
-
 def test_queries_without_sql_are_known():
     missing = set(queries()) - set(oracle_sql())
     assert {q for q in missing if not q.startswith("op")} <= NO_SQL

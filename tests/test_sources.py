@@ -6,7 +6,7 @@ from pyspark.sql import functions as F, types as T
 from cardlake import schemas
 from cardlake.operators import report
 from cardlake.plans import questions
-from cardlake.session import scratch_path, shared_folder, stage
+from cardlake.session import scratch_path, shared_folder, stage, staged_until_done
 from cardlake.sources import readers, sinks
 from tests.conftest import rows
 
@@ -153,3 +153,44 @@ def test_positions_do_not_depend_on_later_splits(spark, tmp_path):
         assert sorted(r["idx"] for r in out.collect()) == list(range(20000))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_tables_by_dataset_folder(spark):
+    root = scratch_path(spark, "data sets")
+    spark.range(3).write.parquet(f"{root}/card_20240701")
+    spark.range(2).write.parquet(f"{root}/user.parquet")
+    spark.range(4).withColumn("ds", F.lit("x")).write.partitionBy("ds").parquet(f"{root}/txn_b")
+    found = readers.read_prefix_with_file(spark, root, T.StructType([T.StructField("id", T.LongType())]))
+    assert rows(found.groupBy("file_name", "table").count()) == [("card_20240701", "card", 3), ("txn_b", "txn", 4), ("user.parquet", "user.parquet", 2)]
+
+
+def test_sorted_tables_have_narrow_row_groups(spark):
+    """Row groups hold narrow ranges of the sort key, so a filter on it skips most of them."""
+    import glob
+    import pyarrow.parquet as pq
+    path = scratch_path(spark, "layout")
+    df = spark.range(0, 40_000, 1, 8).select((F.hash("id") % 1000).alias("count_fraud"), F.concat(F.lit("u"), "id").alias("user"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so little data is one file
+    try:
+        sinks.append_table(df, path, ["count_fraud", "user"], "20240701")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = []
+    for file in glob.glob(path.removeprefix("file:") + "/ds=20240701/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for g in range(meta.num_row_groups):
+            stats = meta.row_group(g).column(0).statistics
+            spans.append((stats.min, stats.max))
+    spans.sort()
+    assert len(spans) >= 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert max(b - a for a, b in spans) < 2000 / 3
+
+
+def test_staged_tables_are_deleted_with_their_job(spark):
+    with staged_until_done(spark):
+        kept = stage(spark.range(3), "inside")
+        path = kept.inputFiles()[0]
+        assert os.path.exists(path.removeprefix("file://"))
+    assert not os.path.exists(path.removeprefix("file://"))
+    with pytest.raises(ValueError):
+        shared_folder(_Session(None, "local-cluster[2,1,1024]"))
