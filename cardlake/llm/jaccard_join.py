@@ -10,11 +10,16 @@
    not looked at unless a document is little else.
 4. *Groups.* Classes are partitioned around leaders: in each round every class is compared with the one class that leads most of
    its prefix shingles. The linked ones form groups.
-5. *Token-group matrix.* It holds the union of the members' prefix shingles of each group. The overlap of a class with a
-   group's row bounds its overlap with any member; only groups that reach k are opened. Of their members those are compared
-   exactly that have a fitting size and share at least as many prefix shingles as a link leaves no way to miss.
-
-Steps 4 and 5 leave out only pairs that are already in one component, so components are exact: a pair of different texts
+5. *Homes.* Every class is filed under its group or, if it is linked with nothing, under the group that holds most of its prefix.
+   A class's shared shingles are dealt by hash into more parts than a link of that class can have differing shingles, so some part
+   that is not empty is the same in both sets of a link. Homes with such a part in common meet.
+6. *Token-group matrix.* Homes that meet are compared block by block. A block's matrix holds the union of its members' shingles for
+   each group; the overlap of a class with a group's row bounds its overlap with any member. Only groups whose row reaches the least
+   overlap are opened, and their members compared exactly, as products of matrices. A pair of blocks is one row, whatever is
+   compared in it, and passes on no more links than connect its classes. Classes of one home that no link connects are compared
+   with each other by their blocks: that work, though no row, grows with the square of their number.
+
+Steps 4 and 6 leave out only pairs that are already in one component, so components are exact: a pair of different texts
 that links is either compared or connected by compared links.
 
 Defined cases: null, empty and word-less texts have an empty set and are linked with nothing; fewer than ``size`` words make one
@@ -24,18 +29,23 @@ component unless the component has no other.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake.llm import hashing as H
 from cardlake.llm.components import components
+from cardlake.llm.decontaminate import _bit_map, MAP_BITS
 from cardlake.session import stage
 
 SIZE, SHARE = 5, (80, 100)
 FLUSH = 1 << 21  # shingles that a task holds before it sends them on
 ROUNDS = 3  # leader rounds
-PREFIX_OVERLAP = 16  # shared prefix shingles that a link needs; prefixes are this much longer
+PREFIX_OVERLAP = 16  # prefixes are this much longer than a link's differences
+BLOCK_CLASSES, BLOCK_TOKENS = 1024, 1 << 20  # a block of classes: about as many of them and of their shingles
+_COLUMNS = 4096  # columns of the matrices that are multiplied at a time
 
 
 def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
@@ -169,17 +179,187 @@ def _candidates(share: tuple[int, int]):
         out = []
         for i in np.unique(owner):
             a, b = np.searchsorted(owner, [i, i + 1])
-            own, least = tokens[a:b], min(PREFIX_OVERLAP, int(need[i]))
-            out.append((sigs[i].tobytes(), int(sizes[i]), len(own), int(need[i]), int(alpha[i]), least,
-                        min(PREFIX_OVERLAP, int(alpha[i])), own[:len(own) - int(need[i]) + least].view(np.int64).tolist(),
-                        np.sort(own).tobytes()))
-        cols = list(zip(*out)) or [[]] * 9
-        kinds = (pa.binary(), *[pa.int64()] * 6, pa.list_(pa.int64()), pa.binary())
+            own = tokens[a:b]
+            out.append((sigs[i].tobytes(), int(sizes[i]), len(own), int(alpha[i]),
+                        own[:len(own) - int(need[i]) + min(PREFIX_OVERLAP, int(need[i]))].view(np.int64).tolist(), np.sort(own).tobytes()))
+        cols = list(zip(*out)) or [[]] * 6
+        kinds = (pa.binary(), *[pa.int64()] * 3, pa.list_(pa.int64()), pa.binary())
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                    ["sig", "n", "s", "need", "alpha", "least", "least_short", "prefix", "tokens"])
+                                    ["sig", "n", "s", "alpha", "prefix", "tokens"])
+    return run
+
+
+def _ladder(limit: int) -> Iterator[int]:
+    """Numbers of parts: few enough to be shared by classes of unlike sizes, at most half again as many as needed."""
+    n = 1
+    while n <= limit:
+        yield n
+        n = max(n + 1, n * 5 // 4)
+
+
+def part_keys(tokens: np.ndarray, parts: int) -> np.ndarray:
+    """A key for each part that is not empty: equal for sets that agree in this part."""
+    spread = H.mix(tokens ^ H.U(0x2545F4914F6CDD1D))
+    part = (spread >> H.U(32)) * H.U(parts) >> H.U(32)
+    order = np.argsort(part, kind="stable")
+    part, spread = part[order], H.mix(spread[order])
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    return H.mix(np.add.reduceat(spread, starts) ^ H.mix(part[starts] * H.U(65537) + H.U(parts)))
+
+
+def _asking(share: tuple[int, int]):
+    """The part keys with which a class looks for linked sets that are no smaller."""
+    whole = sum(share)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for home, n, s, raw in zip(*(batch.column(c).to_pylist() for c in ("home", "n", "s", "tokens"))):
+                tokens, largest = np.frombuffer(raw, np.uint64), s * whole // share[0] - n
+                differing = ((s + largest) * whole - 2 * share[0] * (n + largest)) // whole
+                for parts in _ladder(8 * s + 8):
+                    keys = part_keys(tokens, parts) if parts > differing else ()
+                    if len(keys) > differing:
+                        out += [(k, home, n, parts) for k in keys.view(np.int64).tolist()]
+                        break
+                else:
+                    raise AssertionError("no number of parts separates this set")
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["key", "home", "n", "parts"])
+    return run
+
+
+def _holding(share: tuple[int, int], levels: list[tuple[int, int, int]], bits):
+    """The part keys of a class that some class asks for; ``levels``: numbers of parts with the sizes of the classes that use them."""
+    def run(batches):
+        known = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            out = []
+            for home, n, raw in zip(*(batch.column(c).to_pylist() for c in ("home", "n", "tokens"))):
+                tokens = np.frombuffer(raw, np.uint64)
+                for parts, least, most in levels:
+                    if least <= n and most * share[1] >= n * share[0]:
+                        keys = part_keys(tokens, parts)
+                        slot = (keys >> H.U(64 - MAP_BITS)).astype(np.int64)
+                        keys = keys[known[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1]
+                        out += [(k, home) for k in keys.view(np.int64).tolist()]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["key", "other"])
     return run
 
 
+def meeting_homes(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """``(low, high)``: homes, or one home, that may hold the two sets of a link. Keys are counted once per home."""
+    asked = stage(classes.where("s >= alpha").select("home", "n", "s", "tokens")
+                  .mapInArrow(_asking(share), "key long, home long, n long, parts long"), "asked-parts")
+    levels = sorted(tuple(r) for r in asked.groupBy("parts").agg(F.min("n"), F.max("n")).collect())  # one row per rung
+    bits = _bit_map(classes.sparkSession, asked.select(F.col("key").alias("fp")))
+    held = (classes.select("home", "n", "tokens").mapInArrow(_holding(share, levels, bits), "key long, other long").distinct())
+    met = asked.select("key", "home").distinct().join(held, "key")
+    return met.select(F.least("home", "other").alias("low"), F.greatest("home", "other").alias("high")).distinct()
+
+
+_BLOCK = "home long, block long, cids binary, grps binary, ns binary, sizes binary, tokens binary"
+
+
+def _pack_block(table: pa.Table) -> pa.Table:
+    """Classes of one block in one row: numbers, groups, set sizes, and their shared shingles one after the other."""
+    ints = lambda c: table.column(c).to_numpy().astype(np.int64).tobytes()
+    raw = table.column("tokens").to_pylist()
+    cells = [ints("cid"), ints("grp"), ints("n"), np.array([len(r) // 8 for r in raw], np.int64).tobytes(), b"".join(raw)]
+    return pa.table({"home": table.column("home").slice(0, 1), "block": table.column("block").slice(0, 1)}
+                    | {n: pa.array([c], pa.binary()) for n, c in zip(("cids", "grps", "ns", "sizes", "tokens"), cells)})
+
+
+def _overlaps(left: tuple, right: tuple) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, given as (row, column) entries of sparse matrices with so many rows."""
+    (a_row, a_col, a_n), (b_row, b_col, b_n) = left, right
+    out = np.zeros((a_n, b_n), np.float32)
+    for at in range(0, int(max(a_col.max(initial=-1), b_col.max(initial=-1))) + 1, _COLUMNS):
+        a, b = np.zeros((a_n, _COLUMNS), np.float32), np.zeros((b_n, _COLUMNS), np.float32)
+        for matrix, row, col in ((a, a_row, a_col), (b, b_row, b_col)):
+            own = (col >= at) & (col < at + _COLUMNS)
+            matrix[row[own], col[own] - at] = 1
+        out += a @ b.T
+    return out.astype(np.int64)
+
+
+def block_links(a: dict, b: dict, share: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links between the classes of two blocks that connect different groups; of those that close a circle only the first is told."""
+    common = np.intersect1d(a["tokens"], b["tokens"])
+    if not len(common):
+        return []
+
+    def entries(block):
+        at = np.minimum(np.searchsorted(common, block["tokens"]), len(common) - 1)
+        own = common[at] == block["tokens"]
+        return np.repeat(np.arange(len(block["sizes"])), block["sizes"])[own], at[own]
+
+    (a_row, a_col), (b_row, b_col) = entries(a), entries(b)
+    groups, of_group = np.unique(b["grps"], return_inverse=True)
+    # The matrix: a row per group with the union of its members' shingles, and the size of its smallest member.
+    union = np.unique(of_group[b_row].astype(np.int64) * len(common) + b_col)
+    least = np.full(len(groups), np.iinfo(np.int64).max)
+    np.minimum.at(least, of_group, b["ns"])
+    bound = _overlaps((a_row, a_col, len(a["ns"])), (union // len(common), union % len(common), len(groups)))
+    whole = sum(share)
+    qualify = (bound * whole >= share[0] * (a["ns"][:, None] + least[None, :])) & (a["grps"][:, None] != groups[None, :])
+    opened, asks = qualify.any(0), qualify.any(1)
+    if not opened.any():
+        return []
+    members, rows = np.flatnonzero(opened[of_group]), np.flatnonzero(asks)
+    place = np.full(len(b["ns"]), -1)
+    place[members] = np.arange(len(members))
+    turn = np.full(len(a["ns"]), -1)
+    turn[rows] = np.arange(len(rows))
+    a_own, b_own = turn[a_row] >= 0, place[b_row] >= 0
+    both = _overlaps((turn[a_row[a_own]], a_col[a_own], len(rows)), (place[b_row[b_own]], b_col[b_own], len(members)))
+    fits = (both * whole >= share[0] * (a["ns"][rows][:, None] + b["ns"][members][None, :])) & qualify[rows][:, of_group[members]]
+    root: dict[int, int] = {}
+
+    def find(x):
+        while x in root:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(fits)):
+        x, y = find(int(a["grps"][rows[i]])), find(int(b["grps"][members[j]]))
+        if x != y:
+            root[x] = y
+            out.append((int(a["cids"][rows[i]]), int(b["cids"][members[j]])))
+    return out
+
+
+def _compared(share: tuple[int, int]):
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                def block(side):
+                    cell = lambda name, kind: np.frombuffer(batch.column(f"{side}_{name}")[i].as_buffer(), kind)
+                    return {n: cell(n, np.int64) for n in ("cids", "grps", "ns", "sizes")} | {"tokens": cell("tokens", np.uint64)}
+                found = block_links(block("a"), block("b"), share)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+    return run
+
+
+def compare_homes(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Links ``(a, b)`` between classes of different groups whose homes meet."""
+    met = stage(meeting_homes(classes, share), "met-homes")
+    homes = met.select(F.explode(F.array("low", "high")).alias("home")).distinct()
+    own = classes.join(homes, "home").select("home", "cid", "grp", "n", "s", "tokens")
+    sizes = own.groupBy("home").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("s") / BLOCK_TOKENS)).alias("blocks"))
+    dealt = own.join(sizes, "home").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("long")).drop("blocks", "s")
+    blocks = stage(dealt.groupBy("home", "block").applyInArrow(_pack_block, _BLOCK), "blocks")
+
+    def side(name: str, home: str) -> DataFrame:
+        return blocks.select(F.col("home").alias(home), *[F.col(c).alias(f"{name}_{c}") for c in blocks.columns if c != "home"])
+
+    pairs = met.join(side("a", "low"), "low").join(side("b", "high"), "high").where("low <> high or a_block <= b_block")
+    return pairs.mapInArrow(_compared(share), "a long, b long")
+
+
 def _verified(share: tuple[int, int]):
     """Pairs whose exact overlap reaches the threshold."""
     def run(batches):
@@ -226,14 +406,10 @@ def similar_classes(docs: DataFrame, text: str = "text", size: int = SIZE,
         _packs(size, buckets), "bucket int, sigs binary, many binary, low binary")
     shared = packs.groupBy("bucket").applyInArrow(_shared(buckets), "part int, sigs binary, many binary, tokens binary, ranks binary")
     classes = stage(shared.groupBy("part").applyInArrow(
-        _candidates(share), "sig binary, n long, s long, need long, alpha long, least long, least_short long, "
+        _candidates(share), "sig binary, n long, s long, alpha long, "
         "prefix array<long>, tokens binary")
         .withColumn("cid", F.monotonically_increasing_id()), "candidates")
-    posts = stage(classes.select("cid", "n", "s", "need", "alpha", "least", "least_short",
-                                 F.posexplode("prefix").alias("pos", "token"))
-                  .withColumn("short", (F.col("s") >= F.col("alpha"))
-                              & (F.col("pos") < F.col("s") - F.col("alpha") + F.col("least_short")))
-                  .withColumn("cap", F.floor(F.col("s") * sum(share) / share[0]) - F.col("n")).drop("pos"), "prefixes")
+    posts = stage(classes.select("cid", "n", "s", F.explode("prefix").alias("token")), "prefixes")
 
     # Leaders: in round 0 the class with the fewest shingles of its own (an original among its copies), then any by salted
     # hash. A class meets the one that leads most of its prefix.
@@ -258,42 +434,20 @@ def similar_classes(docs: DataFrame, text: str = "text", size: int = SIZE,
     common = (grouped.groupBy("token", "grp").agg(F.count("*").alias("held")).groupBy("token")
               .agg(F.max(F.struct("held", "grp")).alias("top"), F.count("*").alias("groups")).filter("groups > 1")
               .select("token", F.col("top.grp").alias("other")))
-    near = (grouped.join(common, "token").filter("grp <> other").groupBy("cid", "n", "s", "other").count()
-            .groupBy("cid", "n", "s").agg(F.max(F.struct("count", "other")).alias("best"))
-            .join(heads.withColumnRenamed("grp", "other"), F.col("best.other") == F.col("other"))
+    best = stage(grouped.join(common, "token").filter("grp <> other").groupBy("cid", "n", "s", "other").count()
+                 .groupBy("cid", "n", "s").agg(F.max(F.struct("count", "other")).alias("best")), "nearest-groups")
+    kin = best.select("cid", F.col("best.other").alias("other"))
+    near = (best.join(heads.withColumnRenamed("grp", "other"), F.col("best.other") == F.col("other"))
             .select("cid", "n", "s", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("m"), F.col("lead.s").alias("t"))
             .filter(_fits(share)).select(F.least("cid", "lead").alias("a"), F.greatest("cid", "lead").alias("b")).distinct())
     first = stage(first.unionByName(_compare(near, classes, share)), "leader-links")
     group_of = stage(components(first), "groups")
 
-    # The matrix: the shingles of each group, as far as classes of another group ask for them. Of two sets the smaller
-    # one asks, with a shorter prefix, for its overlap with a set that is no smaller must be larger. cap: the size of the
-    # largest set that a class can link with, given how much of it is shared with any other.
-    members = stage(posts.join(group_of.withColumnRenamed("node", "cid"), "cid", "left")
-                    .withColumn("grp", F.coalesce("root", "cid")).drop("root"), "members")
-    mixed = (members.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo <> hi")
-             .select("token"))
-    asking = stage(members.join(mixed, "token"), "asking")
-    matrix = asking.groupBy("token", F.col("grp").alias("other")).agg(
-        F.min("least").alias("enough"), F.max("n").alias("largest"), F.min("n").alias("smallest"), F.max("cap").alias("cap"))
-    queries = asking.filter("short").select("token", "cid", "grp", "n", "s", "alpha", "least_short")
-    opened = stage(
-        queries.join(matrix, (queries["token"] == matrix["token"]) & (F.col("grp") != F.col("other"))
-                     & (F.col("largest") >= F.col("n")) & (matrix["cap"] >= F.col("n")) & _overlap_fits("n", "smallest", "s", share))
-        .groupBy("cid", "other").agg(F.count("*").alias("overlap"), F.min("least_short").alias("least"),
-                                     F.min("enough").alias("enough"))
-        .filter(F.col("overlap") >= F.least("least", "enough")).select("cid", F.col("other").alias("grp")), "opened-groups")
-    inside = asking.select("token", "grp", F.col("cid").alias("b"), F.col("n").alias("m"), F.col("s").alias("t"),
-                           (F.col("least") - F.col("need")).alias("slack_b"))
-    asked = opened.join(queries.drop("grp"), "cid").withColumn("slack", F.col("least_short") - F.col("alpha")).drop("alpha", "least_short")
-    # Two linked sets share at least this much, and miss at most the rest of either prefix (the one that ends first).
-    least = F.ceil((F.col("n") + F.col("m")) * share[0] / (share[0] + share[1]))
-    further = (asked.join(inside, (asked["token"] == inside["token"]) & (asked["grp"] == inside["grp"]) & _fits(share)
-                          & ((F.col("m") > F.col("n")) | (F.col("m") == F.col("n")) & (F.col("b") > F.col("cid"))))
-               .groupBy(F.col("cid").alias("a"), "b")
-               .agg(F.count("*").alias("overlap"), F.min(least + F.least("slack", "slack_b")).alias("enough"))
-               .filter(F.col("overlap") >= F.col("enough")).select("a", "b"))
-    second = stage(_compare(further, classes, share), "group-links")
+    # Homes for blocks; which classes are compared with each other does not depend on how they are filed.
+    home = (classes.join(group_of.withColumnRenamed("node", "cid"), "cid", "left")
+            .join(kin.withColumnRenamed("other", "kin"), "cid", "left")
+            .select("cid", "n", "s", "alpha", "tokens", F.coalesce("root", "cid").alias("grp"), F.coalesce("root", "kin", "cid").alias("home")))
+    second = stage(compare_homes(stage(home, "homes"), share), "group-links")
     return classes, first.unionByName(second)
 
 

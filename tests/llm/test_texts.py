@@ -210,3 +210,89 @@ def test_automaton_with_hard_merges():
             path = automaton.encode(at) if ids != [automaton.token_of.get(at)] and len(ids) > 1 else ids
             automaton.token_of = {label: t for t, label in labels.items()}
             assert path == ids, word
+
+
+def test_blocks_against_all_pairs():
+    import numpy as np
+    pick = np.random.default_rng(7)
+    base = pick.integers(0, 2**63, 90, dtype=np.uint64)
+
+    def block(seed, n):
+        r, sets = np.random.default_rng(seed), []
+        for _ in range(n):
+            kept = base[r.random(90) > r.choice([0.02, 0.08, 0.2])]
+            sets.append(np.unique(np.concatenate([kept, r.integers(0, 2**63, r.integers(0, 5), dtype=np.uint64)])))
+        ns = np.array([len(s) + int(r.integers(0, 4)) for s in sets])  # some shingles that nobody else has
+        return {"cids": np.arange(n) + 1000 * seed, "grps": r.integers(0, 25, n) + 1000 * (seed % 2), "ns": ns,
+                "sizes": np.array([len(s) for s in sets]), "tokens": np.concatenate(sets)}, sets
+
+    for seeds in ((1, 2), (3, 4), (5, 5)):
+        (a, a_sets), (b, b_sets) = block(seeds[0], 60), block(seeds[1], 70 if seeds[0] != seeds[1] else 60)
+        linked = set()
+        for i, x in enumerate(a_sets):
+            for j, y in enumerate(b_sets):
+                both = len(np.intersect1d(x, y))
+                if a["grps"][i] != b["grps"][j] and 100 * both >= 80 * (a["ns"][i] + b["ns"][j] - both):
+                    linked.add((int(a["grps"][i]), int(b["grps"][j])))
+        got = jaccard_join.block_links(a, b, (80, 100))
+        group = dict(zip(a["cids"].tolist(), a["grps"].tolist())) , dict(zip(b["cids"].tolist(), b["grps"].tolist()))
+        told = [(group[0][x], group[1][y]) for x, y in got]
+        assert set(told) <= linked and linked
+
+        def roots(edges):
+            parent = {}
+            def find(x):
+                while x in parent:
+                    x = parent[x]
+                return x
+            for x, y in edges:
+                if find(x) != find(y):
+                    parent[find(x)] = find(y)
+            return {frozenset(n for e in linked for n in e if find(n) == find(x)) for x, _ in linked}
+        assert roots(told) == roots(linked) and len(told) <= len({n for e in linked for n in e})
+
+
+def test_sets_of_a_link_agree_in_a_part():
+    import numpy as np
+    pick = np.random.default_rng(1)
+    for _ in range(300):
+        a = np.unique(pick.integers(0, 2**63, pick.integers(1, 200), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[pick.random(len(a)) > 0.1], pick.integers(0, 2**63, pick.integers(0, 9), dtype=np.uint64)]))
+        differing = len(np.setxor1d(a, b))
+        for parts in jaccard_join._ladder(1000):
+            keys = jaccard_join.part_keys(a, parts)
+            if len(keys) > differing:
+                assert np.isin(keys, jaccard_join.part_keys(b, parts)).any()
+                break
+
+
+def test_links_by_small_blocks(spark, monkeypatch):
+    """Far copies of one text, which mostly do not link, in many blocks of few classes."""
+    import random
+    monkeypatch.setattr(jaccard_join, "BLOCK_CLASSES", 7)
+    monkeypatch.setattr(jaccard_join, "_COLUMNS", 64)
+    pick = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(160):
+        words = list(base)
+        for _ in range(pick.randrange(0, 7)):
+            at = pick.randrange(len(words))
+            words[at:at + 1] = pick.choice([[], [f"x{pick.randrange(12)}"], [f"u{i}"]])
+        texts.append((i, " ".join(words)))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[j:j + 5]) for j in range(len(words) - 4)}
+    sets, root = [shingles(t) for _, t in texts], list(range(160))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(160):
+            for j in range(i):
+                if root[i] != root[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+                    changed = True
+    assert len(set(root)) > 5
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_join.link_documents(df).collect()} == dict(enumerate(root))
