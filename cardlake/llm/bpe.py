@@ -6,8 +6,11 @@ to is copied without its arc v, u now leads to the copy, and wherever u may be r
 where v led. All arcs with one label lead to one state, so a state is a token's last gadget copy, and a table row needs
 only the arcs that its gadgets took away; the others are looked up in the state it was copied from (``may_follow``).
 
-Encoding runs the automaton over a pre-split word: for each prefix the one token that ends it is found in the table of tokens and
-arcs, then the path is read off backwards. A task does this once per distinct word. Decoding emits the arcs' byte labels.
+Encoding reads bytes. What a prefix of a word leaves open is a set of places from which a token may still reach further, each with
+the node of the label trie it has come to and the token that ends there; such sets are the states of a deterministic automaton over
+bytes, and every step also tells the one token that ends the path of the prefix read so far. Its transition table is filled from the
+token automaton as words ask for it; a word is a walk through the table, and its path is read off backwards. Decoding emits the arcs'
+byte labels.
 
 Defined cases: a null or empty text has no tokens; repeated rows are encoded row by row; empty tables give no rows; a text of any
 length is split into words first and never held as tokens of several texts at once.
@@ -23,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CACHE = 250_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
+TABLE = 400_000  # transitions that a task remembers; a full table is begun anew
 # The pre-split pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The same for texts in which every letter is one of LETTERS and every digit is 0-9; the standard module is much faster.
@@ -45,7 +49,6 @@ class Automaton:
     def __init__(self, labels: dict[int, bytes], merges: list[tuple[int, int, int]], specials: dict[str, int]):
         self.labels, self.specials = labels, specials
         self.token_of = {label: t for t, label in labels.items() if t not in specials.values()}
-        self.longest = max(map(len, self.token_of), default=1)
         size = max(labels, default=0) + 1
         self.born, self.left, self.right = [-1] * size, [0] * size, [0] * size
         self.gone: dict[int, int] = {}  # (token, arc taken from the state behind it) -> number of the gadget
@@ -55,6 +58,48 @@ class Automaton:
                 self.born[new], self.left[new], self.right[new] = step, u, v
         self.size = size
         self.arcs: dict[int, bool] = {}
+        self.lengths = {t: len(label) for t, label in labels.items()}
+        # The trie of all labels: node and byte to node, the token that a node is (or -1), and whether labels go on behind it.
+        self.child: dict[int, int] = {}
+        self.ends, self.inner = [-1], [False]
+        for label, token in self.token_of.items():
+            node = 0
+            for byte in label:
+                key = node << 8 | byte
+                if key not in self.child:
+                    self.child[key] = len(self.ends)
+                    self.ends.append(-1)
+                    self.inner.append(False)
+                    self.inner[node] = True
+                node = self.child[key]
+            self.ends[node] = token
+        self.restart()
+
+    def restart(self) -> None:
+        """An empty transition table: the start state, where any token may begin."""
+        self.states: list[tuple[tuple[int, int], ...]] = [((0, -1),)]
+        self.numbers = {self.states[0]: 0}
+        self.table: dict[int, tuple[int, int]] = {}
+
+    def transition(self, state: int, byte: int) -> tuple[int, int]:
+        """The state behind ``byte`` and the token that ends the path there. The longest open place that fits decides: there is one."""
+        token, still = -1, []
+        for node, before in self.states[state]:
+            node = self.child.get(node << 8 | byte, -1)
+            if node < 0:
+                continue
+            ended = self.ends[node]
+            if token < 0 <= ended and (before < 0 or self.may_follow(before, ended)):
+                token = ended
+            if self.inner[node]:
+                still.append((node, before))
+        still.append((0, token))
+        key = tuple(still)
+        number = self.numbers.get(key)
+        if number is None:
+            number = self.numbers[key] = len(self.states)
+            self.states.append(key)
+        return number, token
 
     def may_follow(self, token: int, arc: int) -> bool:
         """Whether the state behind ``token`` has the arc, once all gadgets are in place."""
@@ -79,21 +124,21 @@ class Automaton:
         return known
 
     def encode(self, word: bytes) -> list[int]:
-        whole = self.token_of.get(word)
-        if whole is not None:
-            return [whole]
-        n, get = len(word), self.token_of.get
-        last: list[int] = [-1] * (n + 1)  # the token that ends the path of each prefix
-        for end in range(1, n + 1):
-            for begin in range(max(0, end - self.longest), end):
-                token = get(word[begin:end])
-                if token is not None and (begin == 0 or last[begin] >= 0 and self.may_follow(last[begin], token)):
-                    last[end] = token
-                    break
-        out, at = [], n
+        if len(self.table) > TABLE:
+            self.restart()
+        state, table, last = 0, self.table, []
+        for byte in word:
+            key = state << 8 | byte
+            step = table.get(key)
+            if step is None:
+                step = table[key] = self.transition(state, byte)
+            state, token = step
+            last.append(token)
+        out, at = [], len(word)
         while at:
-            out.append(last[at])
-            at -= len(self.labels[last[at]])
+            token = last[at - 1]
+            out.append(token)
+            at -= self.lengths[token]
         return out[::-1]
 
     def decode(self, ids) -> bytes:
