@@ -25,6 +25,7 @@ from cardlake.session import stage
 WINDOW, GRAM = 13, 8
 MAP_BITS = 26  # 2**26 bits are 8 MiB
 SLICE_BITS = 16
+ROWS = 4096  # fingerprints of items in a batch
 SALTS = 16  # a fingerprint that a third of the documents hold is spread over this many join keys
 
 
@@ -46,7 +47,7 @@ def fingerprints(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray,
 
 def _item_rows(window: int, gram: int):
     schema = pa.schema([("item_row", pa.int64()), ("fp", pa.int64()), ("item_pos", pa.int32()), ("size", pa.int32()),
-                        ("item_words", pa.list_(pa.int64()))])
+                        ("item_words", pa.list_(pa.int64())), ("n_words", pa.int64())])
 
     def run(batches):
         for batch in batches:
@@ -57,9 +58,13 @@ def _item_rows(window: int, gram: int):
                 short = len(words) < window
                 at, fps = (np.zeros(1, np.int64), H.gram_hashes(words, len(words))) if short else \
                     fingerprints(words, window, gram)
-                own = words.view(np.int64).tolist()
-                out += [(ids[row], int(f), int(p), len(words) if short else gram, own)
-                        for p, f in zip(at, fps.view(np.int64))]
+                size = len(words) if short else gram
+                for p, f in zip(at.tolist(), fps.view(np.int64).tolist()):
+                    begin = max(0, p - window)  # an extension goes no further than a window on either side
+                    out.append((ids[row], f, p - begin, size, words[begin:p + size + window].view(np.int64).tolist(), len(words)))
+                    if len(out) >= ROWS:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+                        out = []
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
     return run
@@ -97,8 +102,8 @@ def _extend(window: int):
     def run(batches):
         for batch in batches:
             out, cols = [], [batch.column(c).to_pylist() for c in
-                             ("doc_row", "item_row", "pos", "size", "before", "near", "item_pos", "item_words")]
-            for doc, item, pos, size, a, near, b, words in zip(*cols):
+                             ("doc_row", "item_row", "pos", "size", "before", "near", "item_pos", "item_words", "n_words")]
+            for doc, item, pos, size, a, near, b, words, n in zip(*cols):
                 if near[a:a + size] != words[b:b + size]:
                     continue
                 left, right = 0, size
@@ -106,7 +111,7 @@ def _extend(window: int):
                     left += 1
                 while a + right < len(near) and b + right < len(words) and near[a + right] == words[b + right]:
                     right += 1
-                if left + right >= min(window, len(words)):
+                if left + right >= min(window, n):
                     out.append((doc, item, pos - left, pos + right))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
@@ -145,8 +150,8 @@ def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     tests = stage(items.select(F.col(item_id).alias("item_id"), F.col(item_text).cast("binary").alias("text"))
                   .withColumn("item_row", F.monotonically_increasing_id()), "items")
     prints = stage(tests.select("item_row", "text").mapInArrow(
-        _item_rows(window, gram), "item_row long, fp long, item_pos int, size int, item_words array<long>"), "item-prints")
-    shorts = sorted(r[0] for r in prints.filter(F.size("item_words") < window).select("size").distinct().collect())
+        _item_rows(window, gram), "item_row long, fp long, item_pos int, size int, item_words array<long>, n_words long"), "item-prints")
+    shorts = sorted(r[0] for r in prints.filter(F.col("n_words") < window).select("size").distinct().collect())
     kept = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
     found = stage(
         docs.select(F.struct(*kept).alias("kept"), F.col(text).cast("binary").alias("text"))
@@ -155,7 +160,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     hits = found.filter("fp is not null").withColumn("salt", F.pmod(F.xxhash64("doc_row"), F.lit(SALTS)))
     salted = prints.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     spans = (hits.drop("n_words", "kept").join(salted, ["fp", "size", "salt"])
-             .select("doc_row", "item_row", "pos", "size", "before", "near", "item_pos", "item_words")
+             .select("doc_row", "item_row", "pos", "size", "before", "near", "item_pos", "item_words", "n_words")
              .mapInArrow(_extend(window), "doc_row long, item_row long, first long, last long").distinct())
     named = spans.join(tests.select("item_row", "item_id"), "item_row")
     merged = F.aggregate(

@@ -296,3 +296,15 @@ def test_links_by_small_blocks(spark, monkeypatch):
                     changed = True
     assert len(set(root)) > 5
     assert {r["doc_id"]: r["component_id"] for r in jaccard_join.link_documents(df).collect()} == dict(enumerate(root))
+
+
+def test_overlaps_with_a_very_long_item(spark):
+    """An item of 100,000 words: its fingerprints carry a window of it, not the whole."""
+    import time
+    words = [f"w{i}" for i in range(100_000)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "short item")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x " + " ".join(words[50_000:50_040]) + " y"), (2, " ".join(words[70:82])), (3, "a short item here"),
+                                  (4, " ".join(words))], "doc_id long, text string")
+    start = time.time()
+    got = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in decontaminate.find_overlaps(docs, items).collect()}
+    assert got == {1: (40, [1]), 2: (0, []), 3: (2, [2]), 4: (100_000, [1])} and time.time() - start < 60
