@@ -1,9 +1,10 @@
 """WARC archives without repeated payloads.
 
-Headers are shuffled by payload digest; the record with the least page_id of a digest stays a response, the others become
-revisit records that refer to it. Archives are written by Spark's text writer: a record is text (the payload is HTML in UTF-8), and the
-two line ends behind each record are the writer's line separator. Every file is a gzipped WARC file of its own. Reading streams one file
-at a time, takes each record by its Content-Length, and digests the payload again.
+Headers, without payloads, are shuffled by payload digest; the record with the least page_id of a digest stays a response, the others
+become revisit records that refer to it. Digests that occur once are not joined back; the table of the others is broadcast if its
+measured size allows, so payloads stay where they are read. Archives are written by Spark's text writer: a record is text (the payload is HTML in UTF-8), and the
+two line ends behind each record are the writer's line separator. Every file is a gzipped WARC file of its own. No file holds more
+than a set number of bytes, or one record. Reading streams one file at a time, takes each record by its Content-Length, and digests the payload again.
 
 Defined cases: a null payload is empty; payloads under ``least`` bytes are always responses; equal payloads of pages with equal ids
 are both responses if that id is the least; a null page_id is written as an empty field, read as null, and is an original
@@ -19,17 +20,19 @@ import io
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cardlake.session import scratch_path
+from cardlake.operators.lookups import lookup, table_bytes
+from cardlake.session import scratch_path, stage
 
 LEAST = 100
+ARCHIVE_BYTES = 1 << 30  # payloads of one archive
 END = "\r\n\r\n"
 
 
 def resolve_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", least: int = LEAST) -> DataFrame:
     """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to, refers_to_url.
 
-    Only digests that occur twice are joined back; a digest with a third of all rows is split by the adaptive skew join, and its
-    group is one row per task before it is shuffled.
+    A digest with a third of all rows is one row per task before its headers are shuffled. Where the table of repeated digests is
+    too large to broadcast, its frequent ones are spread over many tasks in the join.
     """
     body = F.coalesce(F.col(payload).cast("string"), F.lit(""))
     heads = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("payload")).withColumn(
@@ -38,8 +41,9 @@ def resolve_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url
     first = (heads.filter(F.col("payload_bytes") >= least).groupBy("payload_digest")
              .agg(F.min("page_id").alias("first"), F.min_by("url", "page_id").alias("first_url"), F.count("*").alias("copies"))
              .filter("copies > 1 and first is not null").select("payload_digest", "first", "first_url"))
+    first = stage(first, "repeated-digests")
     revisit = F.coalesce(F.col("first") != F.col("page_id"), F.col("first").isNotNull())
-    return heads.join(first, "payload_digest", "left").select(
+    return lookup(heads, first, "payload_digest", "left", table_bytes(first), spread=["page_id", "url"]).select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest",
         F.when(revisit, F.lit("revisit")).otherwise("response").alias("record_type"),
         F.when(revisit, F.col("first")).alias("refers_to"), F.when(revisit, F.col("first_url")).alias("refers_to_url"))
@@ -54,8 +58,16 @@ def _field(value: Column) -> Column:
     return F.regexp_replace(F.coalesce(value.cast("string"), F.lit("")), r"[\r\n]", " ")
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """The records of ``resolve_revisits`` as gzipped WARC/1.1 files under ``path``."""
+def largest_payload(pages: DataFrame, payload: str = "html") -> int:
+    return pages.agg(F.max(F.octet_length(F.col(payload).cast("string")))).first()[0] or 1
+
+
+def write_archives(records: DataFrame, path: str, largest: int | None = None, most: int = ARCHIVE_BYTES) -> None:
+    """The records of ``resolve_revisits`` as gzipped WARC/1.1 files under ``path``.
+
+    No file holds payloads of more than ``most`` bytes, or one record: as many records go to one as fit with the ``largest`` payload.
+    """
+    largest = largest or records.agg(F.max("payload_bytes")).first()[0] or 1
     is_revisit = F.col("record_type") == "revisit"
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("payload_bytes").cast("string"), F.lit(END))
@@ -72,7 +84,8 @@ def write_archives(records: DataFrame, path: str) -> None:
             _record_id(F.col("refers_to"), F.col("payload_digest")), F.lit("\r\nWARC-Refers-To-Target-URI: "), _field(F.col("refers_to_url")),
             F.lit("\r\nX-Refers-To-Page-Id: "), _field(F.col("refers_to")))).otherwise(""),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"))
-    records.select(F.concat(head, F.lit(END), block).alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
+    records.select(F.concat(head, F.lit(END), block).alias("value")).write.option("lineSep", END).option("compression", "gzip") \
+        .option("maxRecordsPerFile", max(1, most // max(1, largest))).text(path)
 
 
 def parse_archive(content: bytes):
@@ -128,5 +141,6 @@ def read_archives(spark: SparkSession, path: str, payload: bool = False) -> Data
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
-    write_archives(resolve_revisits(spark.read.parquet(f"{sf_dir}/pages.parquet")), path)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    write_archives(resolve_revisits(pages), path, largest_payload(pages))
     return read_archives(spark, path).drop("url")
