@@ -4,7 +4,8 @@ Every block element's subtree is hashed (tag, class, text and children). A subtr
 template and deleted, whatever the size of the host. Pages are told apart by the text around the subtree: equal pages count once, and so
 do copies and near copies of an article, so that its parts are no templates (a sketch of word shingles if the rest is long; if
 it is short, its words and the parent must both differ). A page that consists of the subtree but for a fifth of its words does not
-count. Elements that by tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms, scripts or comments go too.
+count. Elements that by tag, role, style or class are menus, headers, footers, sidebars, notices, adverts, forms, scripts or comments go
+too, but not a form or a named element that is wrapped around the content or, inside it, around its title.
 If a page marks its content by article or main, only that is read, and templates inside it go as well; its h1 and the
 entries, rows and cells of its lists and tables stay unless the whole list or table recurs. Elsewhere rows and cells of up to three
 words stay.
@@ -46,8 +47,15 @@ NAMES = re.compile(
     r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|cookies?|consent|gdpr|notices?|"
     r"popup|modal|newsletter|subscribe|subscription|promo\w*|sponsor\w*|related|recommend\w*|share|sharing|social|comments?|replies|respond|disqus|"
     r"login|signup|pagination|pager|widget|toolbar|skip)(?:[\s_-]|$)")
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(?i)\b(class|id|role|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# Text elements are told by a whole class name, not by a part of one; a reader's comment may be an article of its own.
+NAMED = re.compile(NAMES.pattern.replace("[\\s_-]", "\\s"))
+TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre span a b i em strong".split())
+COMMENT = re.compile(r"(?i)(?:^|[\s_-])(?:comments?|repl(?:y|ies)|respond)(?:[\s_-]|$)")
+UNSEEN = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
+# A quote that is never closed ends with its tag.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|"
+                   r"<(?P<close2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"(?i)\b(class|id|role|hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"\s+")
 
 
@@ -67,7 +75,7 @@ class _Node:
 def parse(page: str) -> _Node:
     """The element tree; iterative, so depth is not limited by the stack."""
     root = _Node("html", "", False, None)
-    top, at, order = root, 0, [root]
+    top, at, order, wrappers, comments = root, 0, [root], [], []
     while at < len(page):
         found = TOKEN.search(page, at)
         if not found:
@@ -78,9 +86,10 @@ def parse(page: str) -> _Node:
         if found.start() > at:
             top.children.append(page[at:found.start()])
         at = found.end()
-        if found.group(2) is None:
+        name = found["tag"] or found["tag2"]
+        if name is None:
             continue
-        tag, closing = found.group(2).lower(), found.group(1)
+        tag, closing, rest = name.lower(), found["close"] or found["close2"], found["rest"] if found["tag"] else found["rest2"]
         if closing:
             node = top
             while node is not root and node.tag != tag:
@@ -107,11 +116,17 @@ def parse(page: str) -> _Node:
                     break
                 node = node.parent
         label, hide = "", False
-        if found.group(3):
-            marks = {m.group(1).lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in ATTRIBUTE.finditer(found.group(3))}
+        named = False
+        if rest:
+            marks = {m.group(1).lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in ATTRIBUTE.finditer(rest)}
             label = f"{marks.get('class', '')} {marks.get('id', '')}"
-            hide = "hidden" in marks or marks.get("role", "").lower() in ROLES or bool(tag not in WHOLE and NAMES.search(label))
-        node = _Node(tag, label, hide or tag in SKIP, top)
+            hide = "hidden" in marks or marks.get("role", "").lower() in ROLES or bool(UNSEEN.search(marks.get("style", "")))
+            named = bool(tag not in WHOLE and (NAMED if tag in TEXTS else NAMES).search(label))
+        node = _Node(tag, label, hide or named or tag in SKIP, top)
+        if tag == "article" and COMMENT.search(label):
+            comments.append(node)
+        if tag == "form" and not hide or named and not hide and tag not in SKIP:
+            wrappers.append(node)
         top.children.append(node)
         order.append(node)
         if tag in VOID:
@@ -120,13 +135,37 @@ def parse(page: str) -> _Node:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             node.children.append(page[at:end.start() if end else len(page)])
             at = end.end() if end else len(page)
-        elif not found.group(3).rstrip().endswith("/") or tag in BLOCK:
+        elif not rest.rstrip().endswith("/") or tag in BLOCK:
             top = node
+    for node in comments:  # beside or inside an article that is none
+        node.skip = any(o.tag in CONTENT and o not in comments for o in order)
+    for node in wrappers:
+        node.skip = not _wraps_content(node)
     for node in reversed(order):
         node.hash = _digest(node.tag, node.label, *[c.strip() if isinstance(c, str) else str(c.hash) for c in node.children])
     return root
 
 
+def _inside_content(node: _Node) -> bool:
+    while node:
+        if node.tag in CONTENT:
+            return True
+        node = node.parent
+    return False
+
+
+def _wraps_content(node: _Node) -> bool:
+    """Whether what a form or a class name would remove is the page's content or a part of it: it holds an article or main, or, as a
+    form, three paragraphs, or stands inside the content around its title."""
+    seen, stack = {}, [node]
+    while stack:
+        for c in stack.pop().children:
+            if not isinstance(c, str):
+                seen[c.tag] = seen.get(c.tag, 0) + 1
+                stack.append(c)
+    return not CONTENT.isdisjoint(seen) or node.tag == "form" and seen.get("p", 0) >= 3 or "h1" in seen and _inside_content(node.parent)
+
+
 def _holds_content(root: _Node) -> bool:
     """Whether an article or main stands outside skipped elements."""
     stack = [root]

@@ -192,3 +192,74 @@ def test_secrets_of_any_form(spark):
         got = {r["doc_id"]: r["text"] for r in secrets.redact(rows, model).collect()}
         assert [secrets.MARK in got[i] for i in range(8)] == [True] * 4 + [False] * 4, got
         assert got[0] == "we wrote password: <secret> in the file" and got[1] == "we wrote pwd \"<secret>\" in the file"
+
+
+def test_top_k_of_huge_components(spark):
+    """Sums that pass 64 bits on the way are exact; results that have no place in 64 bits raise."""
+    far = float(2 ** 30)
+    rows = [(0, [far, far, 1.0]), (1, [far, -far, 2.0]), (2, [-far, far, 3.0]), (3, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in vector_search.top_k(df.filter("vec_id = 0"), df, 3).collect())
+    assert got == [(0, 1, 3, 2 * 2 ** 46 + 2 ** 16), (0, 2, 2, 3 * 2 ** 16), (0, 3, 1, 2 * 2 ** 16)]
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        vector_search.top_k(df.filter("vec_id = 0"), df.union(df.filter("vec_id = 0").withColumn("vec_id", F.lit(9).cast("long"))), 3).collect()
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        wide = spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>")
+        vector_search.top_k(wide, wide, 1).collect()
+
+
+def test_top_k_with_many_query_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "PART_BYTES", 100)
+    monkeypatch.setattr(vector_search, "QUERIES", 10)
+    df = spark.range(300).select(F.col("id").alias("vec_id"), F.array(F.col("id") % 7 * 1.0, F.col("id") % 11 * 1.0).alias("embedding")).repartition(4)
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in vector_search.top_k(df, df, 2).collect()}
+    v = [(i % 7 * 256, i % 11 * 256) for i in range(300)]
+    for q in range(0, 300, 17):
+        best = sorted((-(v[q][0] * v[i][0] + v[q][1] * v[i][1]), i) for i in range(300) if i != q)[:2]
+        assert [got[q, r] for r in (1, 2)] == [(i, -s) for s, i in best]
+
+
+def test_archives_of_bounded_size(spark, monkeypatch):
+    """A small bound gives many files; the join without a broadcast gives the same records; a third of the pages are one payload."""
+    from cardlake.operators import lookups
+    rows = [(i, f"http://a/{i}", "x" * 500 if i % 3 == 0 else f"{i} " * 60) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    read = []
+    for most, size in ((1 << 30, 64 << 20), (2000, 0)):
+        monkeypatch.setattr(lookups, "BROADCAST_BYTES", size)
+        path = scratch_path(spark, "warc")
+        warc.write_archives(warc.resolve_revisits(pages), path, warc.largest_payload(pages), most)
+        back = warc.read_archives(spark, path)
+        read.append(sorted(map(tuple, back.collect()), key=str))
+        n = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).count()
+        assert n <= 8 if most > 2000 else n >= 300 / (2000 // 500)
+    assert read[0] == read[1] and sum(r[4] == "revisit" for r in read[0]) == 99 and {r[5] for r in read[0] if r[5] is not None} == {0}
+
+
+def test_seventy_languages(spark):
+    """Every language that documents name can be found, and a host with most pages is spread."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    docs, pages = [], []
+    for i in range(70):
+        words = [f"{letters[(i + j) % 26]}{letters[(i * 7 + j * 3) % 26]}{letters[(i * 5 + j) % 26]}{letters[i % 26]}{letters[i // 26]}" for j in range(9)]
+        docs += [(" ".join(words[k:] + words[:k]) * 3, f"l{i:02d}") for k in range(4 if i else 400)]
+        pages += [(1000 * i + k, f"http://h{i}.org/" if k else "http://big.org/", f"<html><body>{' '.join(words[k:] + words[:k]) * 4}") for k in range(3)]
+    names, model = language.fit_text_model(spark.createDataFrame(docs, "text string, lang string"))
+    assert names == [f"l{i:02d}" for i in range(70)]
+    got = {r["page_id"]: r["lang"] for r in language.identify(spark.createDataFrame(pages, "page_id long, url string, html string"), names, model).collect()}
+    assert sum(got[p] == f"l{p // 1000:02d}" for p, *_ in pages) >= 0.97 * len(pages) and len(got) == 210
+
+
+def test_forms_names_comments_and_quotes():
+    """What is wrapped around content stays, what only looks like it goes."""
+    read = lambda page: html_extract.main_text(page, frozenset())
+    assert read("<body><form id=aspnet><div><article><h1>T</h1><p>a</p></article></div><form><input>Search</form></form>") == "T a"
+    assert read("<body><form><p>one</p><p>two</p><p>three</p></form><form>Send <p>x</p></form>") == "one two three"
+    assert read("<article><div class=entry-header><h1>Title</h1></div><p class=related-work>Prior work.</p><div class=related>More</div></article>") == \
+        "Title Prior work."
+    assert read("<body><div class=header><h1>Site</h1></div><article><p>a</p></article>") == "a"
+    assert read("<article><p>story</p><article class=comment><p>me too</p></article></article><article class='comment'>and me</article>") == "story"
+    assert read("<body><p style='color:red'>a<p style=\"display: none\">b<div style='visibility:hidden'>c</div>d") == "a d"
+    assert read('<p>one <a href="x>two</a> three') == "one two three"
+    assert read("<p>one <a href='x>two three") == "one two three"
+    assert read("<body><nav><form><article>x</article></form></nav><p>y") == "y"
