@@ -1,8 +1,7 @@
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cardlake.operators.report import coerce_olap, fraud_report
+from cardlake.operators.report import coerce_olap, fraud_report, present
 from tests.conftest import rows
 
 TXN = [("u2", "Yes"), ("u1", "Yes"), ("u1", "Yes"), (None, "Yes"), ("u1", "No"), ("u3", "No"), ("u1", "yes")]
@@ -40,21 +39,27 @@ def test_nothing(spark):
 
 
 def test_fan_out_equals_the_join(frame):
-    """Against pandas, with several profile rows and a user that holds a third of everything."""
+    """Counted by hand, with several profile rows and a user that holds a third of everything."""
     txn = [(f"u{0 if i % 3 == 0 else i % 17}", "Yes" if i % 2 else "No") for i in range(600)]
     cards = [(i, f"u{0 if i % 3 == 0 else i % 19}", 100 + i, None if i % 4 else f"${i}") for i in range(90)]
     users = [(i, f"u{i % 13}", None if i < 3 else f"p{i}", 20 + i, f"${i}") for i in range(20)]
     got = {r["user"]: tuple(r) for r in fraud_report(*tables(frame, txn, cards, users)).collect()}
-    t, c, u = (pd.DataFrame(x, columns=n) for x, n in (
-        (txn, ["user", "is_fraud"]), (cards, ["idx", "user", "card_number", "credit_limit"]),
-        (users, ["idx", "user", "person", "current_age", "total_debt"])))
-    joined = t[t.is_fraud == "Yes"].merge(c.drop(columns="idx"), on="user", how="left") \
-        .merge(u.drop(columns="idx"), on="user", how="left")
-    want = joined.groupby("user", as_index=False).agg(
-        n=("user", "size"), person=("person", "first"), current_age=("current_age", "first"),
-        total_debt=("total_debt", "first"), card_number=("card_number", "first"), credit_limit=("credit_limit", "first"))
-    want = {r.user: tuple(None if pd.isna(v) else v for v in r[1:]) for r in want.itertuples()}
-    assert {k: tuple(v) for k, v in got.items()} == want
+
+    def known(rows_of, user, place):
+        return next((r[place] for r in rows_of if r[1] == user and r[place] is not None), None)
+
+    want = {}
+    for user in {name for name, flag in txn if flag == "Yes"}:
+        frauds = sum(1 for name, flag in txn if name == user and flag == "Yes")
+        n_cards = sum(1 for r in cards if r[1] == user) or 1
+        n_profiles = sum(1 for r in users if r[1] == user) or 1
+        want[user] = (user, frauds * n_cards * n_profiles, *[known(users, user, i) for i in (2, 3, 4)], *[known(cards, user, i) for i in (2, 3)])
+    assert got == want
+
+
+def test_order_for_presentation(frame):
+    shown = present(coerce_olap(fraud_report(*tables(frame))))
+    assert [(r["position"], r["user"]) for r in shown.orderBy("position").collect()] == [(0, "u1"), (1, "u2")]
 
 
 def test_scored_rows_can_be_left_out(frame):
