@@ -152,7 +152,7 @@ def identify(pages: DataFrame, names: list[str], model: np.ndarray, url: str = "
                  .withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)), "evidence").withColumn("post", F.transform("logs", F.exp))
     many = len(names)
     sums = lambda key: _language_sums(seen, key).withColumnRenamed("sums", f"{key}_sums")
-    total = next(iter([list(r["sums"]) for r in _language_sums(seen.withColumn("every", F.lit(0)), "every").collect()]), [0.0] * many)
+    total = next(iter([list(r["sums"]) for r in _language_sums(seen.withColumn("every", F.lit("")), "every").collect()]), [0.0] * many)
     n = sum(total)
     overall = [(t + 1) / (n + many) for t in total]
     kinds = {c: seen.select(c).distinct().count() for c in ("declared", "suffix")}
