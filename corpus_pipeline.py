@@ -54,7 +54,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", drop_toxic), ("ngram_jaccard_join", drop_near_duplicates), ("decontamination", drop_contaminated),
           ("secret_scan", blot_secrets), ("bpe", encode)]
 
-# Boosted trees, connected components and BPE are beyond SQL; tests/llm compares run() with a brute-force version.
+# Boosted trees, connected components and BPE are beyond SQL. tests/llm compares run() with the stages' decisions taken one by one, and the
+# join, decontamination and encoding stages with brute force by themselves.
 ORACLE_SQL = None
 
 
