@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cardlake.functions import text as tx
 from cardlake.operators import text, vectors
-from cardlake.plans import indexing
+from cardlake.plans import indexing, text_queries
 from cardlake.session import scratch_path
 from tests.conftest import rows
 
@@ -108,3 +108,14 @@ def test_index_of_a_folder(spark, tmp_path):
         indexing.index_documents(spark, str(tmp_path), path, lambda c: vectors.hashed_embedding(c, 8))
     found = spark.read.parquet(path)
     assert sorted(len(r["document"]) for r in found.collect()) == [5, 51, 300]
+
+
+def test_staged_files_grow_in_number_with_the_table(spark, monkeypatch):
+    df = spark.createDataFrame([(i * 7 % 100, "x" * 1000) for i in range(100)], "key long, text string")
+    monkeypatch.setattr(text_queries, "_FILE_BYTES", 10_000)  # the rows take some 110,000
+    path = scratch_path(spark, "ordered")
+    text_queries._write_ordered(df, "key", path)
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min("key").alias("low"), F.count("*").alias("n"))
+    found = files.orderBy("file").collect()
+    assert len(found) > 8 and max(r["n"] for r in found) < 25 and sum(r["n"] for r in found) == 100
+    assert [r["low"] for r in found] == sorted(r["low"] for r in found)
