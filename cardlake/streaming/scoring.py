@@ -24,8 +24,8 @@ from cardlake.streaming.topics import TOPICS, publish_batch
 SCORES = ("prediction", "confidence", "prob0", "prob1", "src_known", "dst_known", "model_version")
 
 
-def parse_requests(messages: DataFrame, value: str = "value") -> Enforced:
-    """JSON texts as typed requests, and those that are not with the reasons.
+def _parsed(messages: DataFrame, value: str) -> DataFrame:
+    """The fields of JSON texts as texts, and ``_fault`` where a text is no JSON.
 
     All fields are read as text first, so that numbers may come quoted and 64-bit ids never pass through a double. The
     parsed record goes through a generator: a filter on its fields then stays above it, and each text is parsed once.
@@ -33,9 +33,14 @@ def parse_requests(messages: DataFrame, value: str = "value") -> Enforced:
     fields = [T.StructField(f.name, T.StringType()) for f in schemas.REQUEST.fields]
     parsed = F.from_json(value, T.StructType([*fields, T.StructField("_bad", T.StringType())]),
                          {"columnNameOfCorruptRecord": "_bad"})
-    rows = messages.select(F.col(value).alias("_raw"), F.inline(F.array(parsed)))
-    fault = F.when(F.col("_bad").isNotNull() | F.col("_raw").isNull(), F.lit("not JSON"))
-    return schemas.enforce(rows, schemas.REQUEST, fault)
+    rows = messages.select(F.col(value).isNull().alias("_none"), F.inline(F.array(parsed)))
+    fault = F.when(F.col("_bad").isNotNull() | F.col("_none"), F.lit("not JSON"))
+    return rows.select(*schemas.REQUEST.fieldNames(), fault.alias("_fault"))
+
+
+def parse_requests(messages: DataFrame, value: str = "value") -> Enforced:
+    """JSON texts as typed requests, and those that are not with the reasons."""
+    return schemas.enforce(_parsed(messages, value), schemas.REQUEST, F.col("_fault"))
 
 
 def assign_idx(rows: DataFrame, order_by: list[str], high: int | None = None) -> DataFrame:
@@ -114,11 +119,13 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
         return assign_idx(rows, [f.name for f in schemas.TRANSACTION.fields if f.name != "idx"], high), high
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark, requests = batch.sparkSession, parse_requests(batch, value)
+        spark = batch.sparkSession
+        parsed = _parsed(batch, value).persist()  # read for what is scored and for the rejects
+        requests = schemas.enforce(parsed, schemas.REQUEST, F.col("_fault"))
         key, names = batch_key(spark, checkpoint, batch_id), as_transactions_schema().fieldNames()[:-1]
         scored = scorer(requests.valid)
         extra = [c for c in SCORES if c in scored.columns]
-        rows = as_transactions(scored, keep=extra).persist()
+        rows = as_transactions(scored, keep=extra)  # evaluated once: numbering writes them first
         try:
             numbered, high = number(rows, key, batch_id)
             if len(extra) > 1:
@@ -137,7 +144,7 @@ def score_stream(messages: DataFrame, scorer: Callable[[DataFrame], DataFrame],
             for table in ("scored",) if batch_id < 2 else ("scored", "high_water", "lease_state"):
                 drop_batch(spark, f"{root}/{table}", key if table == "scored" else batch_key(spark, checkpoint, batch_id - 2))
         finally:
-            rows.unpersist()
+            parsed.unpersist()
 
     def batch(messages: DataFrame, batch_id: int) -> None:
         with staged_until_done(messages.sparkSession):

@@ -238,3 +238,20 @@ def test_retention(spark):
     topics.compact(spark, TXN, f"{root}/a", f"{root}/b", now)
     kept = spark.read.schema(topics.record_schema(TXN)).parquet(f"{root}/b/topics/{TXN.name}")
     assert kept.count() == 2 * df.count()
+
+
+def test_a_request_is_parsed_once(spark):
+    """What makes a batch's messages runs once, for scores and rejects together."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    root = scratch_path(spark, "once")
+    spark.createDataFrame([(t,) for t in ["no JSON", None, "{}"]], "value string").write.parquet(f"{root}/in")
+    messages = spark.readStream.schema("value string").parquet(f"{root}/in").mapInArrow(count, "value string")
+    scoring.score_stream(messages, lambda r: r.withColumn("prediction", F.lit("No")), f"{root}/out", f"{root}/checkpoint", ids="leased").awaitTermination()
+    assert spark.read.parquet(f"{root}/out/rejects").count() == 3
+    assert read.value == 3
