@@ -42,6 +42,7 @@ from cardlake.session import stage
 
 SIZE, SHARE = 5, (80, 100)
 FLUSH = 1 << 21  # shingles that a task holds before it sends them on
+SLICE = 1 << 19  # shingles of a bucket that are sorted at a time
 ROUNDS = 3  # leader rounds
 PREFIX_OVERLAP = 16  # prefixes are this much longer than a link's differences
 BLOCK_CLASSES, BLOCK_TOKENS = 1024, 1 << 20  # a block of classes: about as many of them and of their shingles
@@ -116,7 +117,7 @@ def _packs(size: int, buckets: int):
     return run
 
 
-def _wide(low: bytes, bucket: int) -> np.ndarray:
+def _wide(low, bucket: int) -> np.ndarray:
     """Shingles as numbers that differ between buckets: 48 bits of hash, then the bucket on top."""
     out = np.zeros((len(low) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(low, np.uint8).reshape(-1, 6)
@@ -124,27 +125,66 @@ def _wide(low: bytes, bucket: int) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
+def _cells(column: pa.ChunkedArray) -> Iterator[pa.Buffer]:
+    """The bytes of each cell, not copied."""
+    for chunk in column.chunks:
+        for cell in chunk:
+            yield cell.as_buffer()
+
+
+def _slices(table: pa.Table, bucket: int, which: np.ndarray, many: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A bucket's shingles with their classes, in slices of about ``size`` by ascending hash."""
+    lows = list(_cells(table.column("low")))
+    bits = max(0, (sum(len(x) // 6 for x in lows) - 1) // size).bit_length()
+    parts: list[list] = [[] for _ in range(1 << bits)]
+    at = 0
+    for low in lows:
+        wide, end = _wide(low, bucket), at
+        left = len(wide)
+        while left > 0:
+            left -= int(many[end])
+            end += 1
+        owner = np.repeat(which[at:end], many[at:end])
+        at = end
+        number = ((wide & H.U((1 << 48) - 1)) >> H.U(48 - bits)).astype(np.int32)
+        order = np.argsort(number, kind="stable")
+        wide, owner = wide[order], owner[order]
+        ends = np.cumsum(np.bincount(number, minlength=1 << bits))
+        for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
+            if b > a:
+                parts[i].append((wide[a:b].copy(), owner[a:b].copy()))
+    for i, part in enumerate(parts):
+        parts[i] = []
+        if part:
+            yield np.concatenate([w for w, _ in part]), np.concatenate([o for _, o in part])
+
+
+def _of_several(low: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles that occur in two classes or more, by shingle and class, and in how many."""
+    order = np.lexsort((owner, low))
+    low, owner = low[order], owner[order]
+    fresh = np.ones(len(low), bool)  # a class that several tasks sent counts once
+    fresh[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
+    low, owner = low[fresh], owner[fresh]
+    start = np.ones(len(low), bool)
+    start[1:] = low[1:] != low[:-1]
+    runs = np.diff(np.append(np.flatnonzero(start), len(low)))
+    counts = np.repeat(runs, runs)
+    keep = counts > 1
+    return low[keep], owner[keep], counts[keep]
+
+
 def _shared(parts: int):
     def run(table: pa.Table) -> pa.Table:
         """Of one bucket: shingles that occur in two classes or more, packed per group of classes."""
         bucket = table.column("bucket")[0].as_py()
-        low = np.concatenate([_wide(x, bucket) for x in table.column("low").to_pylist()])
-        raw = np.frombuffer(b"".join(table.column("sigs").to_pylist()), "V16")
-        many = np.frombuffer(b"".join(table.column("many").to_pylist()), np.uint32)
+        raw = np.frombuffer(b"".join(_cells(table.column("sigs"))), "V16")
+        many = np.frombuffer(b"".join(_cells(table.column("many"))), np.uint32)
         sigs, which = np.unique(raw, return_inverse=True)
-        owner = np.repeat(which.astype(np.int32), many)
-        order = np.lexsort((owner, low))
-        low, owner = low[order], owner[order]
-        fresh = np.ones(len(low), bool)  # a class that several tasks sent counts once
-        fresh[1:] = (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])
-        low, owner = low[fresh], owner[fresh]
-        start = np.ones(len(low), bool)
-        start[1:] = low[1:] != low[:-1]
-        runs = np.diff(np.append(np.flatnonzero(start), len(low)))
-        counts = np.repeat(runs, runs)
-        keep = counts > 1
-        low, owner = low[keep], owner[keep]
-        rank = np.minimum(255, np.round(8 * np.log2(counts[keep]))).astype(np.uint8)
+        # Sorted slice by slice: what is held beside the packs is little more than the shared shingles.
+        found = [_of_several(*piece) for piece in _slices(table, bucket, which.astype(np.int32), many, SLICE)]
+        low, owner, counts = (np.concatenate(c) for c in zip(*found))
+        rank = np.minimum(255, np.round(8 * np.log2(counts))).astype(np.uint8)
         part = sigs.view(np.uint8).reshape(-1, 16)[:, :4].copy().view(np.uint32).reshape(-1).astype(np.int64) % parts
         groups = part[owner]
         order = np.lexsort((owner, groups))

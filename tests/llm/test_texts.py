@@ -5,6 +5,8 @@ import hashlib
 import math
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -308,3 +310,33 @@ def test_overlaps_with_a_very_long_item(spark):
     start = time.time()
     got = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in decontaminate.find_overlaps(docs, items).collect()}
     assert got == {1: (40, [1]), 2: (0, []), 3: (2, [2]), 4: (100_000, [1])} and time.time() - start < 60
+
+
+def test_shared_shingles_are_found_slice_by_slice(monkeypatch):
+    """Packs with a class sent twice and an only shingle; sorted by 7 at a time and all at once."""
+    r = np.random.default_rng(3)
+    sets = {bytes([i]) * 16: np.unique(r.integers(0, 1 << 48, 9 if i % 2 else 1).astype(np.uint64)) for i in range(20)}
+    common = r.integers(0, 1 << 48, 12).astype(np.uint64)
+    sets = {s: np.union1d(x, common[i % 3::3]) for i, (s, x) in enumerate(sets.items())}
+
+    def pack(names):
+        low = b"".join(sets[s].view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for s in names)
+        return 5, b"".join(names), np.array([len(sets[s]) for s in names], np.uint32).tobytes(), low
+
+    names = list(sets)
+    cells = list(zip(*[pack(names[:8]), pack(names[6:15]), pack(names[15:])]))
+    table = pa.table({"bucket": pa.array(cells[0], pa.int32()), **{n: pa.array(c, pa.binary()) for n, c in zip(("sigs", "many", "low"), cells[1:])}})
+    whole = jaccard_join._shared(4)(table).to_pylist()
+    monkeypatch.setattr(jaccard_join, "SLICE", 7)
+    assert jaccard_join._shared(4)(table).to_pylist() == whole
+    got = {s: set() for s in names}
+    for row in whole:
+        tokens, at = np.frombuffer(row["tokens"], np.uint64) & np.uint64((1 << 48) - 1), 0
+        for i, n in enumerate(np.frombuffer(row["many"], np.uint32)):
+            got[row["sigs"][16 * i:16 * i + 16]] |= set(tokens[at:at + n].tolist())
+            at += n
+    holders = {}
+    for s, x in sets.items():
+        for t in x.tolist():
+            holders.setdefault(t, set()).add(s)
+    assert got == {s: {t for t in x.tolist() if len(holders[t]) > 1} for s, x in sets.items()}
