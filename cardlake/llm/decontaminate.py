@@ -123,9 +123,9 @@ def _bit_map(spark: SparkSession, fps: DataFrame):
     def pack(batches):
         for batch in batches:
             rows = []
-            for low in batch.column("low").to_pylist():
+            for low in batch.column("low"):
                 bits = np.zeros(1 << SLICE_BITS, np.uint8)
-                bits[np.asarray(low, np.int64)] = 1
+                bits[low.values.to_numpy()] = 1
                 rows.append(np.packbits(bits, bitorder="little").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("high"), pa.array(rows, pa.binary())], ["high", "bits"])
 

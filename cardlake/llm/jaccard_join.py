@@ -43,6 +43,7 @@ from cardlake.session import stage
 SIZE, SHARE = 5, (80, 100)
 FLUSH = 1 << 21  # shingles that a task holds before it sends them on
 SLICE = 1 << 19  # shingles of a bucket that are sorted at a time
+KEYS = 1 << 19  # part keys that a task holds before it passes them on
 ROUNDS = 3  # leader rounds
 PREFIX_OVERLAP = 16  # prefixes are this much longer than a link's differences
 BLOCK_CLASSES, BLOCK_TOKENS = 1024, 1 << 20  # a block of classes: about as many of them and of their shingles
@@ -247,6 +248,14 @@ def part_keys(tokens: np.ndarray, parts: int) -> np.ndarray:
     return H.mix(np.add.reduceat(spread, starts) ^ H.mix(part[starts] * H.U(65537) + H.U(parts)))
 
 
+def _keyed_rows(found: list[tuple], names: list[str]) -> pa.RecordBatch:
+    """A row for each key of the arrays that come first, with the numbers behind them; no Python object per row."""
+    keys, *others = zip(*found)
+    many = [len(k) for k in keys]
+    cols = [np.concatenate(keys).view(np.int64), *[np.repeat(np.array(c, np.int64), many) for c in others]]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+
+
 def _asking(share: tuple[int, int]):
     """The part keys with which a class looks for linked sets that are no smaller."""
     whole = sum(share)
@@ -260,12 +269,12 @@ def _asking(share: tuple[int, int]):
                 for parts in _ladder(8 * s + 8):
                     keys = part_keys(tokens, parts) if parts > differing else ()
                     if len(keys) > differing:
-                        out += [(k, home, n, parts) for k in keys.view(np.int64).tolist()]
+                        out.append((keys, home, n, parts))
                         break
                 else:
                     raise AssertionError("no number of parts separates this set")
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["key", "home", "n", "parts"])
+                yield _keyed_rows(out, ["key", "home", "n", "parts"])
     return run
 
 
@@ -274,7 +283,7 @@ def _holding(share: tuple[int, int], levels: list[tuple[int, int, int]], bits):
     def run(batches):
         known = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
-            out = []
+            out, held = [], 0
             for home, n, raw in zip(*(batch.column(c).to_pylist() for c in ("home", "n", "tokens"))):
                 tokens = np.frombuffer(raw, np.uint64)
                 for parts, least, most in levels:
@@ -282,9 +291,14 @@ def _holding(share: tuple[int, int], levels: list[tuple[int, int, int]], bits):
                         keys = part_keys(tokens, parts)
                         slot = (keys >> H.U(64 - MAP_BITS)).astype(np.int64)
                         keys = keys[known[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1]
-                        out += [(k, home) for k in keys.view(np.int64).tolist()]
+                        if len(keys):
+                            out.append((keys, home))
+                            held += len(keys)
+                if held >= KEYS:
+                    yield _keyed_rows(out, ["key", "other"])
+                    out, held = [], 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["key", "other"])
+                yield _keyed_rows(out, ["key", "other"])
     return run
 
 

@@ -173,6 +173,60 @@ def test_katz_without_training(docs):
     assert katz.score_documents(docs.limit(0).withColumn("learn", F.lit(True)), "learn").count() == 0
 
 
+def test_katz_answers_take_few_bytes(spark):
+    """Answers to a block hold no more than a few bytes per n-gram, and shuffle files don't outlive the query that made them."""
+    import numpy as np
+
+    from cardlake.session import scratch_path
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join(f"w{x}" for x in np.minimum(r.zipf(1.3, 2000), 4000))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("learn", F.col("doc_id") % 5 != 1)
+    path = scratch_path(spark, "katz-test")
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    assert katz.score_documents(df, "learn", order=3, tables=path).count() == 60
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+    size = F.sum(F.octet_length("counts") + F.octet_length("details"))
+    answers = spark.read.parquet(path).where(f"kind = {katz.RESPONSE} and n > 1").agg(size).first()[0]
+    grams = sum(len({tuple(w[i:i + n]) for _, t in rows for w in [t.split() + ["end"]] for i in range(len(w) - n + 1)}) for n in (2, 3))
+    assert answers < 5.5 * grams
+
+
+def test_katz_codes_are_exact():
+    import numpy as np
+    ids = np.array([5 << katz.RANK_BITS, (5 << katz.RANK_BITS) + 3, 7, (9 << katz.RANK_BITS) + 1], np.int64)
+    assert katz._open_ids(katz._press_ids(ids)).tolist() == katz._open_numbers(katz._press_numbers(ids)).tolist() == ids.tolist()
+    for top in (0, 255, 256, 1 << 40):
+        assert katz._open_ints(katz._press_ints(np.array([0, top, 1]))).tolist() == [0, top, 1]
+    for key in (np.array([4, 1, 4, 0]), np.array([4, 1, 4, 0]) << 60 >> 1):
+        got, places = katz._sorted_places(key)
+        assert got.tolist() == sorted(key.tolist()) and places.tolist() == [3, 1, 0, 2]
+
+
+def test_part_keys_take_no_objects():
+    """The keys of many classes are passed on as arrays, a bounded number at a time."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+    r = np.random.default_rng(1)
+    sets = [np.sort(r.integers(1, 1 << 63, 400).astype(np.uint64)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), pa.array([400] * 2000, pa.int64()), pa.array([400] * 2000, pa.int64()),
+                                        pa.array([x.tobytes() for x in sets], pa.binary())], ["home", "n", "s", "tokens"])
+    bits = SimpleNamespace(value=b"\xff" * (1 << (jaccard_join.MAP_BITS - 3)))
+    for made, names in ((jaccard_join._holding((80, 100), [(200, 1, 1000), (250, 1, 1000)], bits), ["key", "other"]),
+                        (jaccard_join._asking((80, 100)), ["key", "home", "n", "parts"])):
+        tracemalloc.start()
+        out = list(made(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        rows = sum(b.num_rows for b in out)
+        assert out[0].schema.names == names and rows > 100_000 and peak < 60 * rows
+        key, home = (np.concatenate([b.column(i).to_numpy() for b in out]) for i in range(2))
+        parts = 200 if len(names) == 2 else out[0].column(3)[0].as_py()
+        assert set(jaccard_join.part_keys(sets[7], parts).view(np.int64).tolist()) <= set(key[home == 7].tolist())
+
+
 def test_bpe(docs, texts):
     tokenizers = pytest.importorskip("tokenizers")
     path = bpe.default_vocabulary()
