@@ -1,34 +1,39 @@
 """Katz backoff language model over all documents, fitted and applied by Spark.
 
 Documents are packed into blocks of tokens. For each order, a block sends its distinct n-grams once (context, word, count in
-training documents, probability of the next lower order) to buckets dealt by context; a bucket adds up the counts of all blocks, which
-gives its part of the n-gram table, and answers each block in the order it asked. Contexts that hold more than half a bucket's share
-are dealt over several buckets by word, and their sums (at most two per bucket) are put together afterwards. The table of
-each order is written as Parquet, partitioned by order and bucket.
+training documents, and such a count of the n-gram without its first word) to buckets dealt by context; a bucket adds up the counts
+of all blocks, which gives its part of the n-gram table, and answers each block in the order it asked. Contexts that hold more than an
+eighth of a bucket's share are dealt over several buckets by word, and their sums are put together afterwards (some eight contexts a
+bucket, each in as many parts as it holds eighths). The table of each order is written as Parquet, partitioned by order and bucket.
+
+Words and n-grams go by number: the bucket, then the rank in it (words by falling count, n-grams by context and word). A context is the
+number of an n-gram of the order below, and its n-grams stay in that one's bucket. So a block's n-grams are sorted as pairs of small
+integers, and what it sends of them is mostly differences of ascending numbers.
 
 Counts up to ``LIMIT`` get Good-Turing discounts. Backoff weights are normalised exactly: the mass left by discounting a context's
-words, over the lower-order mass of all words not seen behind it. A token is evaluated recursively: the discounted n-gram if it was
-seen, else the weight times the next lower order; a context that was never seen has weight 1. The lowest order leaves its
-mass to one unknown word, as the base score does, so both are distributions over the same V + 1 types.
+words, over the lower-order mass of all words not seen behind it. Words seen behind a context are seen behind the shorter one too, so
+their lower-order mass is a sum of discounted counts over one number, and only counts travel. A token is evaluated recursively: the
+discounted n-gram if it was seen, else the weight times the next lower order; a context that was never seen has weight 1. The lowest
+order leaves its mass to one unknown word, as the base score does, so both are distributions over the same V + 1 types.
 
 Defined cases: a null or empty text has one token, the end; without training rows every token has probability 1; where
 Good-Turing gives no discount between 0 and 1 (a count of counts is missing), an absolute discount is used; a context whose
 counts are all above LIMIT gets one more count for the unseen; repeated rows count and are scored row by row; empty tables give no
-rows. Words are told apart by 64-bit hashes; in n-grams they go by number (rank by falling count within their bucket, which packs
-tighter than a hash).
+rows. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake.llm import hashing as H
-from cardlake.session import scratch_path, stage
+from cardlake.session import scratch_path, shuffles_deleted, stage
 
 ORDER, LIMIT = 3, 5
 BLOCK = 1 << 20  # tokens
@@ -37,7 +42,10 @@ _ANSWER = "kind int, block long, bucket int, counts binary, details binary, cont
 _NAMES = ["kind", "block", "bucket", "counts", "details", "context", "stats"]
 _TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.float64())]
 RESPONSE, TOTALS, HOT, TABLE = range(4)
+_SUMS = 2 * (LIMIT + 1)  # numbers that a bucket tells of a context
 _ZSTD = pa.Codec("zstd")
+RANK_BITS = 40  # a number is a bucket, then a rank of so many bits
+_RANK = (1 << RANK_BITS) - 1
 
 
 def _press(a: np.ndarray) -> bytes:
@@ -53,17 +61,48 @@ def _open(b: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(item, -1).T).view(kind).reshape(-1)
 
 
-def _press_values(a: np.ndarray) -> bytes:
-    """Few distinct values: a list of them and their numbers."""
-    values, which = np.unique(a, return_inverse=True)
-    codes = _press(which.astype(np.uint16 if len(values) < 1 << 16 else np.uint32))
-    return len(codes).to_bytes(8, "little") + codes + _press(values)
+def _press_ints(a: np.ndarray) -> bytes:
+    """Numbers from 0 on, as narrow as they fit."""
+    top = int(a.max(initial=0))
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+    return bytes([width]) + _press(a.astype(f"u{width}"))
+
+
+def _open_ints(b: bytes) -> np.ndarray:
+    return _open(b[1:], f"u{b[0]}").astype(np.int64)
+
+
+def _press_ids(ids: np.ndarray) -> bytes:
+    """Mostly ascending numbers: the first and the differences."""
+    step = np.diff(ids)
+    return ids[:1].tobytes() + _press_ints(((step << 1) ^ (step >> 63)).view(np.uint64))
+
+
+def _open_ids(b: bytes) -> np.ndarray:
+    step = _open_ints(b[8:])
+    return np.cumsum(np.append(np.frombuffer(b[:8], np.int64), (step >> 1) ^ -(step & 1)))
+
+
+def _join(*parts: bytes) -> bytes:
+    return b"".join(len(x).to_bytes(8, "little") + x for x in parts)
+
+
+def _parts(raw: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(raw):
+        size = int.from_bytes(raw[at:at + 8], "little")
+        out.append(raw[at + 8:at + 8 + size])
+        at += 8 + size
+    return out
+
+
+def _press_numbers(ids: np.ndarray) -> bytes:
+    return _join(_press_ints(ids & _RANK), _press_ints(ids >> RANK_BITS))
 
 
-def _open_values(b: bytes) -> np.ndarray:
-    size = int.from_bytes(b[:8], "little")
-    values = _open(b[8 + size:], np.float64)
-    return values[_open(b[8:8 + size], np.uint16 if len(values) < 1 << 16 else np.uint32)]
+def _open_numbers(b: bytes) -> np.ndarray:
+    rank, bucket = map(_open_ints, _parts(b))
+    return rank | bucket << RANK_BITS
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -119,26 +158,55 @@ class _Block:
         order = np.argsort(bucket, kind="stable")
         return order, bucket[order]
 
-    def grams(self, n: int, buckets: int, context_count: np.ndarray, total: int):
-        """Distinct n-grams by (bucket, context, word): first token, entry of each token, and per entry context, bucket, hot flag."""
-        at = np.flatnonzero(self.place >= n - 1)
-        hashed = self.words[self.tokens]
-        context = np.full(len(at), n, np.uint64)
-        for j in range(n - 1, 0, -1):
-            context *= H.U(H.BASE)
-            context += hashed[at - j]
-        context = H.mix(context)
-        word = hashed[at]
-        _, one, which = np.unique(H.mix(context * H.U(0xD6E8FEB86659FD93) + word), return_index=True, return_inverse=True)
-        ctx, w = context[one], word[one]
-        parts = np.minimum(1024, np.ceil(2 * context_count[at[one] - 1] * buckets / max(1, total))).astype(np.uint64)
-        hot = parts > H.U(1)
-        spread = np.where(hot, H.mix(ctx + w % np.maximum(parts, H.U(1)) + H.U(1)), ctx)
-        bucket = _bucket(spread, buckets)
-        order = np.lexsort((w, ctx, bucket))
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        return at, at[one][order], back[which], ctx[order], bucket[order], hot[order]
+
+@dataclass
+class _Level:
+    """What a block knows of an order: per entry (distinct n-gram, by bucket, context and word) its number, and per token the entry of the
+    n-gram that ends there, its count, the probability of the token, and what the counts behind its context are divided by."""
+
+    ids: np.ndarray | None
+    entry: np.ndarray
+    count: np.ndarray
+    p: np.ndarray
+    whole: np.ndarray
+
+
+def _sorted_places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys in order and where each stood. The places are sorted as the low bits of the keys, if there is room for them."""
+    bits = max(1, len(key).bit_length())
+    if int(key.max(initial=0)) >> (63 - bits):
+        order = np.argsort(key, kind="stable")
+        return key[order], order
+    both = np.sort(key << bits | np.arange(len(key)))
+    return both >> bits, both & ((1 << bits) - 1)
+
+
+class _Grams:
+    """The distinct n-grams of a block, as entries by bucket, context and word."""
+
+    def __init__(self, n: int, block: _Block, number: np.ndarray, word: np.ndarray, low: _Level, buckets: int, total: int):
+        self.at = np.flatnonzero(block.place >= n - 1)
+        bits = max(1, len(number).bit_length())
+        key, places = _sorted_places(low.entry[self.at - 1] << bits | word[block.tokens[self.at]])
+        start = _runs(key)
+        self.first = self.at[places[start]]  # a token at which the entry occurs
+        self.which = np.empty(len(key), np.int64)
+        self.which[places] = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+        context = key[start] >> bits
+        self.context, self.number = low.ids[context], number[block.tokens[self.first]]
+        parts = np.minimum(1024, np.ceil(8 * low.count[self.first - 1] * buckets / max(1, total))).astype(np.int64)
+        self.hot = parts > 1
+        self.bucket = self.context >> RANK_BITS
+        if self.hot.any():
+            hot = np.flatnonzero(self.hot)
+            dealt = self.context[hot].astype(np.uint64) * H.U(1024) + (H.mix(self.number[hot].astype(np.uint64)) % parts[hot].astype(np.uint64))
+            self.bucket[hot] = _bucket(H.mix(dealt), buckets)
+            order = np.argsort(self.bucket.astype(np.uint16), kind="stable")
+            back = np.empty(len(order), np.int64)
+            back[order] = np.arange(len(order))
+            self.which = back[self.which]
+            for name in ("first", "context", "number", "hot", "bucket"):
+                setattr(self, name, getattr(self, name)[order])
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -184,12 +252,12 @@ def _answer_unigrams(table: pa.Table) -> pa.Table:
     known, which = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(which, weights=np.concatenate(counts)).astype(np.int64)
     order = np.lexsort((known, -total))
-    rank = np.empty(len(known), np.uint64)
-    rank[order] = np.arange(len(known), dtype=np.uint64)
+    rank = np.empty(len(known), np.int64)
+    rank[order] = np.arange(len(known))
     rows, at = [], 0
     for block, own in zip(table.column("block").to_pylist(), words):
         mine = which[at:at + len(own)]
-        rows.append((RESPONSE, block, bucket, _press(total[mine].astype(np.uint64)), _press(rank[mine]), None, None))
+        rows.append((RESPONSE, block, bucket, _press_ints(total[mine]), _press_ints(rank[mine]), None, None))
         at += len(own)
     known, total = known[order], total[order]
     seen = total > 0
@@ -198,44 +266,67 @@ def _answer_unigrams(table: pa.Table) -> pa.Table:
     return _rows(rows)
 
 
-def _answer_grams(table: pa.Table) -> pa.Table:
-    """Counts of one bucket's n-grams: answers in each block's order, sums per context, totals, and the bucket's table."""
-    bucket = table.column("bucket")[0].as_py()
-    col = lambda name, kind: [_open(x, kind) for x in table.column(name).to_pylist()]
-    contexts, sizes, hots = col("contexts", np.uint64), col("sizes", np.uint32), col("hot", np.uint8)
-    counts, lower = col("counts", np.uint32), [_open_values(x) for x in table.column("lower").to_pylist()]
-    ctx = np.concatenate([np.repeat(c, s) for c, s in zip(contexts, sizes)])
-    w, n, p = np.concatenate(col("numbers", np.uint64)), np.concatenate(counts).astype(np.int64), np.concatenate(lower)
-    order = np.lexsort((w, ctx))
-    ctx_o, w_o = ctx[order], w[order]
-    entry = _runs(ctx_o, w_o)
-    size = np.diff(np.append(entry, len(order)))
-    total = np.add.reduceat(n[order], entry)
-    each = np.empty(len(order), np.int64)
-    each[order] = np.repeat(total, size)
-    # per context: its count, how many words have each count up to LIMIT, and their lower-order mass
-    e_ctx, e_p = ctx_o[entry], p[order][entry]
-    start = _runs(e_ctx)
-    sums = np.stack([np.add.reduceat(total, start).astype(np.float64),
-                     *[np.add.reduceat((total == r).astype(np.float64), start) for r in range(1, LIMIT + 1)],
-                     np.add.reduceat(np.where(total > 0, e_p, 0.0), start)])
-    known = e_ctx[start]
-    rows, at = [], 0
-    for block, c, s in zip(table.column("block").to_pylist(), contexts, sizes):
-        many = int(s.sum())
-        mine = sums[:, np.searchsorted(known, c)]
-        rows.append((RESPONSE, block, bucket, _press(each[at:at + many].astype(np.uint64)), b"".join(
-            len(x).to_bytes(8, "little") + x for x in (_press(m) for m in mine)), None, None))
-        at += many
-    hot = np.unique(np.concatenate([c[h > 0] for c, h in zip(contexts, hots)]))
-    for c, i in zip(hot.view(np.int64).tolist(), np.searchsorted(known, hot)):
-        rows.append((HOT, None, bucket, None, None, c, sums[:, i].tolist()))
-    rows.append((TOTALS, None, bucket, None, None, None, [float(total.sum()), float((total > 0).sum()), *_count_of_counts(total)]))
-    seen = total > 0
-    kept, runs = e_ctx[seen], _runs(e_ctx[seen])
-    parts = [_press(kept[runs]), _press(np.diff(np.append(runs, len(kept))).astype(np.uint32)), _press(w_o[entry][seen])]
-    rows.append((TABLE, None, bucket, _press(total[seen].astype(np.uint32)), b"".join(len(x).to_bytes(8, "little") + x for x in parts), None, None))
-    return _rows(rows)
+def _answer_grams(top: bool):
+    """``top``: no higher order needs the numbers of these n-grams."""
+    def run(table: pa.Table) -> pa.Table:
+        """Counts of one bucket's n-grams: answers in each block's order, sums per context, totals, and the bucket's table."""
+        bucket = table.column("bucket")[0].as_py()
+        col = lambda name, opened: [opened(x) for x in table.column(name).to_pylist()]
+        contexts, sizes, hots = col("contexts", _open_ids), col("sizes", _open_ints), col("hot", _open_ints)
+        known, code = np.unique(np.concatenate(contexts), return_inverse=True)
+        ctx, w = np.repeat(code, np.concatenate(sizes)), np.concatenate(col("numbers", _open_numbers))
+        rank = w & _RANK
+        bits = max(1, int(rank.max(initial=0)).bit_length())
+        wide = bits + max(1, int((w >> RANK_BITS).max(initial=0)).bit_length())
+        if len(known).bit_length() + wide < 64:
+            key = ctx << wide | (w >> RANK_BITS) << bits | rank
+            order = np.argsort(key, kind="stable")  # the blocks' parts are in order already
+            entry = _runs(key[order])
+            del key
+        else:
+            order = np.lexsort((w, ctx))
+            entry = _runs(ctx[order], w[order])
+        del rank
+        size = np.diff(np.append(entry, len(order)))
+        total = np.add.reduceat(np.concatenate(col("counts", _open_ints))[order], entry)
+        below = np.maximum.reduceat(np.concatenate(col("lower", _open_ints))[order], entry)
+        each = np.empty(len(order), np.int64)
+        each[order] = np.repeat(np.arange(len(entry)), size)
+        e_ctx, e_w = ctx[order[entry]], w[order[entry]]
+        del ctx, w, order
+        # per context, of its words and of what the order below counts of them: the sum of the counts above LIMIT, and how many have
+        # each count up to there
+        start = _runs(e_ctx)
+        below[total == 0] = 0
+        sums = np.stack([np.add.reduceat(x, start) for c in (total, below) for x in (np.where(c > LIMIT, c, 0), *[c == r for r in range(1, LIMIT + 1)])]
+                        ).astype(np.int64) if len(start) else np.zeros((_SUMS, 0), np.int64)
+        mixed = np.zeros(sums.shape[1], np.uint64)
+        for row in sums:
+            mixed = H.mix(mixed + row.view(np.uint64))
+        _, one, kind = np.unique(mixed, return_index=True, return_inverse=True)  # few contexts differ in their sums
+        by_sums = np.lexsort(sums[[7, 1, 6, 0]][:, one])  # alike ones side by side
+        kinds, place = sums[:, one[by_sums]], np.empty(len(one), np.int64)
+        place[by_sums] = np.arange(len(one))
+        kind = place[kind]
+        rows, at, c_at = [], 0, 0
+        for block, s in zip(table.column("block").to_pylist(), sizes):
+            many = int(s.sum())
+            mine = each[at:at + many]
+            used, codes = np.unique(kind[code[c_at:c_at + len(s)]], return_inverse=True)
+            rows.append((RESPONSE, block, bucket, _press_ints(total[mine]),
+                         _join(b"" if top else _press_ids(mine), _press_ints(codes), _press_ints(kinds[:, used].reshape(-1))), None, None))
+            at, c_at = at + many, c_at + len(s)
+        hot = np.unique(np.concatenate([c[h > 0] for c, h in zip(contexts, hots)]))
+        for c, i in zip(hot.tolist(), np.searchsorted(known, hot)):
+            rows.append((HOT, None, bucket, None, None, c, sums[:, i].astype(np.float64).tolist()))
+        rows.append((TOTALS, None, bucket, None, None, None, [float(total.sum()), float((total > 0).sum()), *_count_of_counts(total)]))
+        seen = np.flatnonzero(total > 0)
+        runs = _runs(e_ctx[seen])
+        rows.append((TABLE, None, bucket, _press_ints(total[seen]), _join(*[x for x in (
+            _press_ids(seen), _press_ids(known[e_ctx[seen][runs]]), _press_ints(np.diff(np.append(runs, len(seen)))), _press_numbers(e_w[seen]))]),
+            None, None))
+        return _rows(rows)
+    return run
 
 
 def discounts(totals: list[float]) -> list[float]:
@@ -260,69 +351,67 @@ class _Scorer:
     def __init__(self, orders: list[dict], buckets: int):
         self.orders, self.buckets = orders, buckets  # per order: totals, discounts, hot context sums
 
-    def unigram(self, block: _Block, answers: dict):
-        order, _ = block.unigrams(self.buckets)
-        count = np.empty(len(block.words), np.int64)
-        count[order] = np.concatenate([_open(a["counts"], np.uint64) for _, a in sorted(answers.items())]).astype(np.int64)
+    def words(self, block: _Block, answers: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, _Level]:
+        """Per word its count, its number and its place by number; the lowest level."""
+        order, bucket = block.unigrams(self.buckets)
+        got = [a for _, a in sorted(answers.items())]
+        count, number, place = (np.empty(len(block.words), np.int64) for _ in range(3))
+        count[order] = np.concatenate([_open_ints(a["counts"]) for a in got])
+        number[order] = np.concatenate([_open_ints(a["details"]) for a in got]) | bucket << RANK_BITS
+        by_number = np.argsort(number)
+        place[by_number] = np.arange(len(number))
         one = self.orders[0]
         total, d = one["totals"][0], one["discounts"]
         left = sum((1 - d[r]) * (r + 1) * one["totals"][2 + r] for r in range(LIMIT))
         if not total:
-            return count, np.ones(len(count))
-        if not left:
-            left, p = 1.0, count / (total + 1)
-            return count, np.where(count > 0, p, left / (total + 1))
-        return count, np.where(count > 0, _factor(count, d) * count / total, left / total)
-
-    def numbers(self, block: _Block, answers: dict) -> np.ndarray:
-        """The number of each of the block's words: its rank, then its bucket."""
-        order, bucket = block.unigrams(self.buckets)
-        out = np.empty(len(block.words), np.uint64)
-        ranks = np.concatenate([_open(a["details"], np.uint64) for _, a in sorted(answers.items())])
-        out[order] = ranks * H.U(self.buckets) + bucket.astype(np.uint64)
-        return out
-
-    def run(self, block: _Block, answers: list[dict]):
-        """(word counts, probability of each token at the highest answered order, count of the n-gram that ends at it)."""
-        word_count, word_p = self.unigram(block, answers[0])
-        p, count = word_p[block.tokens], word_count[block.tokens]
+            whole, p = 1.0, np.ones(len(count))
+        elif not left:
+            whole = total + 1
+            p = np.where(count > 0, count, 1.0) / whole
+        else:
+            whole, p = total, np.where(count > 0, _factor(count, d) * count, left) / total
+        t = block.tokens
+        return count, number, place, _Level(number[by_number], place[t], count[t], p[t], np.full(len(t), whole, np.float64))
+
+    def grams(self, n: int, block: _Block, number: np.ndarray, place: np.ndarray, low: _Level) -> _Grams:
+        return _Grams(n, block, number, place, low, self.buckets, self.orders[0]["totals"][0])
+
+    def run(self, block: _Block, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, _Level]:
+        """Per word its count, number and place, and the level of the highest answered order."""
+        count, number, place, level = self.words(block, answers[0])
         for n in range(2, len(answers) + 1):
-            p, count = self._order(block, n, answers[n - 1], p, count)
-        return word_count, p, count
+            level = self._order(n, self.grams(n, block, number, place, level), answers[n - 1], level)
+        return count, number, place, level
 
-    def _order(self, block, n, answers, lower, lower_count):
-        at, _, which, ctx, bucket, hot = block.grams(n, self.buckets, lower_count, self.orders[0]["totals"][0])
-        if not len(at):
-            return lower, np.zeros(len(lower), np.int64)
+    def _order(self, n: int, g: _Grams, answers: dict, low: _Level) -> _Level:
+        up = _Level(np.zeros(0, np.int64), np.zeros(len(low.p), np.int64), np.zeros(len(low.p), np.int64), low.p.copy(), np.ones(len(low.p)))
+        if not len(g.at):
+            return up
         one = self.orders[n - 1]
         d = one["discounts"]
         got = [a for _, a in sorted(answers.items())]
-        count = np.concatenate([_open(a["counts"], np.uint64) for a in got]).astype(np.int64)
-        sums = np.concatenate([_context_sums(a["details"]) for a in got], axis=1)
-        run = _runs(bucket, ctx)
-        sums = np.repeat(sums, np.diff(np.append(run, len(ctx))), axis=1)
-        if hot.any():
-            spots = np.flatnonzero(hot)
-            sums[:, spots] = np.array([one["hot"][c] for c in ctx[spots].view(np.int64).tolist()]).T
-        total, left = sums[0], sum((1 - d[r]) * (r + 1) * sums[1 + r] for r in range(LIMIT))
+        count = np.concatenate([_open_ints(a["counts"]) for a in got])
+        details = [_parts(a["details"]) for a in got]
+        ranks = [_open_ids(r) if r else None for r, _, _ in details]
+        up.ids = None if ranks[0] is None else np.concatenate(ranks) | g.bucket << RANK_BITS
+        sums = np.concatenate([_open_ints(v).reshape(_SUMS, -1)[:, _open_ints(c)] for _, c, v in details], axis=1)
+        run = _runs(g.bucket, g.context)
+        for i in np.flatnonzero(g.hot[run]).tolist():
+            sums[:, i] = one["hot"][int(g.context[run[i]])]
+        each = np.arange(1, LIMIT + 1)
+        total, left = sums[0] + each @ sums[1:LIMIT + 1], ((1 - np.array(d)) * each) @ sums[1:LIMIT + 1]
+        below = sums[LIMIT + 1] + (np.array(self.orders[n - 2]["discounts"]) * each) @ sums[LIMIT + 2:]
         plain = (left <= 0) & (total > 0)  # nothing was discounted: one count more, for the unseen
         whole = np.where(plain, total + 1, np.maximum(total, 1))
         left = np.where(plain, 1.0, left)
-        weight = np.where(total > 0, left / whole / np.maximum(1 - sums[1 + LIMIT], 1e-300), 1.0)
-        own = _factor(count, d) * count / whole
-        p, c = lower.copy(), np.zeros(len(lower), np.int64)
-        p[at] = np.where(count[which] > 0, own[which], weight[which] * lower[at])
-        c[at] = count[which]
-        return p, c
-
-
-def _context_sums(raw: bytes) -> np.ndarray:
-    out, at = [], 0
-    while at < len(raw):
-        size = int.from_bytes(raw[at:at + 8], "little")
-        out.append(_open(raw[at + 8:at + 8 + size], np.float64))
-        at += 8 + size
-    return np.stack(out)
+        mass = below / low.whole[g.first[run]]
+        weight = np.where(total > 0, left / whole / np.maximum(1 - mass, 1e-300), 1.0)
+        each = np.repeat(np.arange(len(run)), np.diff(np.append(run, len(g.bucket))))  # context of each entry
+        of = each[g.which]
+        up.entry[g.at], up.count[g.at], up.whole[g.at] = g.which, count[g.which], whole[of]
+        own = _factor(count, d) * count / whole[each]
+        up.p[g.at] = np.where(up.count[g.at] > 0, own[g.which], weight[of] * low.p[g.at])
+        return up
 
 
 def _answers(table: pa.Table, orders: int) -> list[dict]:
@@ -335,17 +424,16 @@ def _answers(table: pa.Table, orders: int) -> list[dict]:
 def _ask_grams(n: int, scorer: _Scorer, buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         block = _Block(left.select(["block", "lens", "train", "words", "tokens"]).to_pylist()[0])
-        answers = _answers(right, n - 1)
-        _, p, count = scorer.run(block, answers)
-        at, one, which, ctx, bucket, hot = block.grams(n, buckets, count, scorer.orders[0]["totals"][0])
-        many = np.bincount(which, weights=block.flag[at], minlength=len(one)).astype(np.uint32)
-        number = scorer.numbers(block, answers[0])[block.tokens[one]]
+        _, number, place, low = scorer.run(block, _answers(right, n - 1))
+        g = scorer.grams(n, block, number, place, low)
+        many = np.bincount(g.which, weights=block.flag[g.at], minlength=len(g.first)).astype(np.int64)
+        below = np.where(many > 0, low.count[g.first], 0)
         rows = []
-        for k in np.unique(bucket):
-            i, j = np.searchsorted(bucket, [k, k + 1])
-            run = _runs(ctx[i:j])
-            rows.append((int(k), block.block, _press(ctx[i:j][run]), _press(np.diff(np.append(run, j - i)).astype(np.uint32)),
-                         _press(hot[i:j][run].astype(np.uint8)), _press(number[i:j]), _press(many[i:j]), _press_values(p[one[i:j]])))
+        starts = _runs(g.bucket)
+        for i, j in zip(starts, np.append(starts[1:], len(g.bucket))):
+            run = _runs(g.context[i:j])
+            rows.append((int(g.bucket[i]), block.block, _press_ids(g.context[i:j][run]), _press_ints(np.diff(np.append(run, j - i))),
+                         _press_ints(g.hot[i:j][run]), _press_numbers(g.number[i:j]), _press_ints(many[i:j]), _press_ints(below[i:j])))
         cols = list(zip(*rows)) or [[]] * 8
         kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 6)
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
@@ -356,14 +444,14 @@ def _ask_grams(n: int, scorer: _Scorer, buckets: int):
 def _score(scorer: _Scorer, order: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         block = _Block(left.select(["block", "lens", "train", "words", "tokens"]).to_pylist()[0])
-        word_count, p, _ = scorer.run(block, _answers(right, order))
+        word_count, _, _, level = scorer.run(block, _answers(right, order))
         count = word_count[block.tokens]
         total, types = scorer.orders[0]["totals"][:2]
-        base = np.log10((count + 0.5) / (total + 0.5 * (types + 1)))
+        base = np.log10((word_count + 0.5) / (total + 0.5 * (types + 1)))[block.tokens]
         add = lambda x: np.add.reduceat(x, block.first)  # noqa: E731  every document has a token at least
         kept = left.column("kept").combine_chunks().flatten()
         return pa.Table.from_arrays([kept, pa.array(block.lens), pa.array(add((count > 0).astype(np.int64))), pa.array(add(base)),
-                                     pa.array(add(np.log10(p)))], ["kept", "n_tokens", "n_known", "base_score", "score"])
+                                     pa.array(add(np.log10(level.p)))], ["kept", "n_tokens", "n_known", "base_score", "score"])
     return run
 
 
@@ -373,6 +461,11 @@ def score_documents(docs: DataFrame, train: str, text: str = "text", keep: tuple
 
     The n-gram tables are written under ``tables`` (a folder in the shared folder by default), partitioned by order and bucket.
     """
+    with shuffles_deleted(docs.sparkSession):
+        return _score_documents(docs, train, text, keep, order, tables)
+
+
+def _score_documents(docs: DataFrame, train: str, text: str, keep: tuple[str, ...], order: int, tables: str | None) -> DataFrame:
     spark = docs.sparkSession
     buckets = max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     tables = tables or scratch_path(spark, "katz")
@@ -394,11 +487,9 @@ def score_documents(docs: DataFrame, train: str, text: str = "text", keep: tuple
             asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
                 _ask_grams(n, _Scorer(orders, buckets), buckets), "bucket int, block long, contexts binary, sizes binary, hot binary, numbers binary, "
                 "counts binary, lower binary")
-            _write_answers(asked.groupBy("bucket").applyInArrow(_answer_grams, _ANSWER), tables, n)
+            _write_answers(asked.groupBy("bucket").applyInArrow(_answer_grams(n == order), _ANSWER), tables, n)
             orders.append(_summary(spark, tables, n))
-        # Scoring needs no word numbers, so they don't travel again.
-        details = F.when(F.col("n") > 1, F.col("details")).alias("details")
-        answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", details)
+        answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", "details")
         scored = stage(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             _score(_Scorer(orders, buckets), order), f"kept {fields}, n_tokens long, n_known long, base_score double, score double"), "scores")
     finally:
@@ -416,12 +507,12 @@ def _read_answers(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def _summary(spark: SparkSession, tables: str, n: int) -> dict:
-    """Totals, discounts and the sums of contexts that were spread (at most two per bucket) of one order."""
+    """Totals, discounts and the sums of contexts that were spread (about eight per bucket) of one order."""
     rows = _read_answers(spark, tables).filter(F.col("n") == n)
     size = 2 + LIMIT + 1
     totals = rows.filter(F.col("kind") == TOTALS).agg(*[F.sum(F.col("stats")[i]) for i in range(size)]).first()
     totals = [x or 0.0 for x in totals]
-    hot = rows.filter(F.col("kind") == HOT).groupBy("context").agg(*[F.sum(F.col("stats")[i]) for i in range(LIMIT + 2)]).collect()
+    hot = rows.filter(F.col("kind") == HOT).groupBy("context").agg(*[F.sum(F.col("stats")[i]) for i in range(_SUMS)]).collect()
     return {"totals": totals, "discounts": discounts(totals), "hot": {r[0]: list(r)[1:] for r in hot}}
 
 
