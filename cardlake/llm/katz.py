@@ -36,11 +36,11 @@ from cardlake.llm import hashing as H
 from cardlake.session import scratch_path, shuffles_deleted, stage
 
 ORDER, LIMIT = 3, 5
-BLOCK = 1 << 20  # tokens
+BLOCK = 3 << 19  # tokens
 END = H.U(0x27220A95FE6D52B1)
-_ANSWER = "kind int, block long, bucket int, counts binary, details binary, context long, stats array<double>"
-_NAMES = ["kind", "block", "bucket", "counts", "details", "context", "stats"]
-_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.float64())]
+_ANSWER = "kind int, block long, bucket int, counts binary, ranks binary, details binary, context long, stats array<double>"
+_NAMES = ["kind", "block", "bucket", "counts", "ranks", "details", "context", "stats"]
+_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.float64())]
 RESPONSE, TOTALS, HOT, TABLE = range(4)
 _SUMS = 2 * (LIMIT + 1)  # numbers that a bucket tells of a context
 _ZSTD = pa.Codec("zstd")
@@ -257,12 +257,12 @@ def _answer_unigrams(table: pa.Table) -> pa.Table:
     rows, at = [], 0
     for block, own in zip(table.column("block").to_pylist(), words):
         mine = which[at:at + len(own)]
-        rows.append((RESPONSE, block, bucket, _press_ints(total[mine]), _press_ints(rank[mine]), None, None))
+        rows.append((RESPONSE, block, bucket, _press_ints(total[mine]), _press_ints(rank[mine]), None, None, None))
         at += len(own)
     known, total = known[order], total[order]
     seen = total > 0
-    rows.append((TOTALS, None, bucket, None, None, None, [float(total.sum()), float(seen.sum()), *_count_of_counts(total)]))
-    rows.append((TABLE, None, bucket, _press(total[seen].astype(np.uint64)), _press(known[seen]), None, None))
+    rows.append((TOTALS, None, bucket, None, None, None, None, [float(total.sum()), float(seen.sum()), *_count_of_counts(total)]))
+    rows.append((TABLE, None, bucket, _press(total[seen].astype(np.uint64)), None, _press(known[seen]), None, None))
     return _rows(rows)
 
 
@@ -314,16 +314,16 @@ def _answer_grams(top: bool):
             mine = each[at:at + many]
             used, codes = np.unique(kind[code[c_at:c_at + len(s)]], return_inverse=True)
             rows.append((RESPONSE, block, bucket, _press_ints(total[mine]),
-                         _join(b"" if top else _press_ids(mine), _press_ints(codes), _press_ints(kinds[:, used].reshape(-1))), None, None))
+                         None if top else _press_ids(mine), _join(_press_ints(codes), _press_ints(kinds[:, used].reshape(-1))), None, None))
             at, c_at = at + many, c_at + len(s)
         hot = np.unique(np.concatenate([c[h > 0] for c, h in zip(contexts, hots)]))
         for c, i in zip(hot.tolist(), np.searchsorted(known, hot)):
-            rows.append((HOT, None, bucket, None, None, c, sums[:, i].astype(np.float64).tolist()))
-        rows.append((TOTALS, None, bucket, None, None, None, [float(total.sum()), float((total > 0).sum()), *_count_of_counts(total)]))
+            rows.append((HOT, None, bucket, None, None, None, c, sums[:, i].astype(np.float64).tolist()))
+        rows.append((TOTALS, None, bucket, None, None, None, None, [float(total.sum()), float((total > 0).sum()), *_count_of_counts(total)]))
         seen = np.flatnonzero(total > 0)
         runs = _runs(e_ctx[seen])
-        rows.append((TABLE, None, bucket, _press_ints(total[seen]), _join(*[x for x in (
-            _press_ids(seen), _press_ids(known[e_ctx[seen][runs]]), _press_ints(np.diff(np.append(runs, len(seen)))), _press_numbers(e_w[seen]))]),
+        rows.append((TABLE, None, bucket, _press_ints(total[seen]), _press_ids(seen), _join(
+            _press_ids(known[e_ctx[seen][runs]]), _press_ints(np.diff(np.append(runs, len(seen)))), _press_numbers(e_w[seen])),
             None, None))
         return _rows(rows)
     return run
@@ -357,7 +357,7 @@ class _Scorer:
         got = [a for _, a in sorted(answers.items())]
         count, number, place = (np.empty(len(block.words), np.int64) for _ in range(3))
         count[order] = np.concatenate([_open_ints(a["counts"]) for a in got])
-        number[order] = np.concatenate([_open_ints(a["details"]) for a in got]) | bucket << RANK_BITS
+        number[order] = np.concatenate([_open_ints(a["ranks"]) for a in got]) | bucket << RANK_BITS
         by_number = np.argsort(number)
         place[by_number] = np.arange(len(number))
         one = self.orders[0]
@@ -391,10 +391,13 @@ class _Scorer:
         d = one["discounts"]
         got = [a for _, a in sorted(answers.items())]
         count = np.concatenate([_open_ints(a["counts"]) for a in got])
+        if got[0]["ranks"]:
+            up.ids = np.concatenate([_open_ids(a["ranks"]) for a in got]) | g.bucket << RANK_BITS
+        up.entry[g.at], up.count[g.at] = g.which, count[g.which]
+        if got[0]["details"] is None:  # the next order is asked by number and count
+            return up
         details = [_parts(a["details"]) for a in got]
-        ranks = [_open_ids(r) if r else None for r, _, _ in details]
-        up.ids = None if ranks[0] is None else np.concatenate(ranks) | g.bucket << RANK_BITS
-        sums = np.concatenate([_open_ints(v).reshape(_SUMS, -1)[:, _open_ints(c)] for _, c, v in details], axis=1)
+        sums = np.concatenate([_open_ints(v).reshape(_SUMS, -1)[:, _open_ints(c)] for c, v in details], axis=1)
         run = _runs(g.bucket, g.context)
         for i in np.flatnonzero(g.hot[run]).tolist():
             sums[:, i] = one["hot"][int(g.context[run[i]])]
@@ -408,7 +411,7 @@ class _Scorer:
         weight = np.where(total > 0, left / whole / np.maximum(1 - mass, 1e-300), 1.0)
         each = np.repeat(np.arange(len(run)), np.diff(np.append(run, len(g.bucket))))  # context of each entry
         of = each[g.which]
-        up.entry[g.at], up.count[g.at], up.whole[g.at] = g.which, count[g.which], whole[of]
+        up.whole[g.at] = whole[of]
         own = _factor(count, d) * count / whole[each]
         up.p[g.at] = np.where(up.count[g.at] > 0, own[g.which], weight[of] * low.p[g.at])
         return up
@@ -416,7 +419,7 @@ class _Scorer:
 
 def _answers(table: pa.Table, orders: int) -> list[dict]:
     out: list[dict] = [{} for _ in range(orders)]
-    for row in table.select(["n", "bucket", "counts", "details"]).to_pylist():
+    for row in table.select(["n", "bucket", "counts", "ranks", "details"]).to_pylist():
         out[row["n"] - 1][row["bucket"]] = row
     return out
 
@@ -483,13 +486,14 @@ def _score_documents(docs: DataFrame, train: str, text: str, keep: tuple[str, ..
         _write_answers(asked.groupBy("bucket").applyInArrow(_answer_unigrams, _ANSWER), tables, 1)
         orders.append(_summary(spark, tables, 1))
         for n in range(2, order + 1):
-            answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", "details")
+            answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select(
+                "n", "block", "bucket", "counts", "ranks", F.lit(None).cast("binary").alias("details"))
             asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
                 _ask_grams(n, _Scorer(orders, buckets), buckets), "bucket int, block long, contexts binary, sizes binary, hot binary, numbers binary, "
                 "counts binary, lower binary")
             _write_answers(asked.groupBy("bucket").applyInArrow(_answer_grams(n == order), _ANSWER), tables, n)
             orders.append(_summary(spark, tables, n))
-        answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", "details")
+        answers = _read_answers(spark, tables).filter(F.col("kind") == RESPONSE).select("n", "block", "bucket", "counts", "ranks", "details")
         scored = stage(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             _score(_Scorer(orders, buckets), order), f"kept {fields}, n_tokens long, n_known long, base_score double, score double"), "scores")
     finally:

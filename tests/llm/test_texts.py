@@ -185,7 +185,7 @@ def test_katz_answers_take_few_bytes(spark):
     before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
     assert katz.score_documents(df, "learn", order=3, tables=path).count() == 60
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
-    size = F.sum(F.octet_length("counts") + F.octet_length("details"))
+    size = F.sum(F.octet_length("counts") + F.coalesce(F.octet_length("ranks"), F.lit(0)) + F.octet_length("details"))
     answers = spark.read.parquet(path).where(f"kind = {katz.RESPONSE} and n > 1").agg(size).first()[0]
     grams = sum(len({tuple(w[i:i + n]) for _, t in rows for w in [t.split() + ["end"]] for i in range(len(w) - n + 1)}) for n in (2, 3))
     assert answers < 5.5 * grams
