@@ -193,6 +193,7 @@ class _Grams:
         self.which = np.empty(len(key), np.int64)
         self.which[places] = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
         context = key[start] >> bits
+        del key, places
         self.context, self.number = low.ids[context], number[block.tokens[self.first]]
         parts = np.minimum(1024, np.ceil(8 * low.count[self.first - 1] * buckets / max(1, total))).astype(np.int64)
         self.hot = parts > 1
