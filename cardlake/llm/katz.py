@@ -12,9 +12,11 @@ integers, and what it sends of them is mostly differences of ascending numbers.
 
 Counts up to ``LIMIT`` get Good-Turing discounts. Backoff weights are normalised exactly: the mass left by discounting a context's
 words, over the lower-order mass of all words not seen behind it. Words seen behind a context are seen behind the shorter one too, so
-their lower-order mass is a sum of discounted counts over one number, and only counts travel. A token is evaluated recursively: the
-discounted n-gram if it was seen, else the weight times the next lower order; a context that was never seen has weight 1. The lowest
-order leaves its mass to one unknown word, as the base score does, so both are distributions over the same V + 1 types.
+their lower-order mass is a sum of discounted counts over one number, and only counts travel. They travel for those contexts alone behind
+which a block asked for a word that was never seen there: nothing else needs a weight, and the counts behind a context sum up to its own
+count, as the end is the only word with nothing behind it. A token is evaluated recursively: the discounted n-gram if it was seen, else
+the weight times the next lower order; a context that was never seen has weight 1. The lowest order leaves its mass to one unknown word,
+as the base score does, so both are distributions over the same V + 1 types.
 
 Defined cases: a null or empty text has one token, the end; without training rows every token has probability 1; where
 Good-Turing gives no discount between 0 and 1 (a count of counts is missing), an absolute discount is used; a context whose
@@ -43,6 +45,7 @@ _NAMES = ["kind", "block", "bucket", "counts", "ranks", "details", "context", "s
 _TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.float64())]
 RESPONSE, TOTALS, HOT, TABLE = range(4)
 _SUMS = 2 * (LIMIT + 1)  # numbers that a bucket tells of a context
+PLAIN, FIRST_KIND = 1, 2  # codes of contexts: all counts behind it are above LIMIT; the first of those whose numbers are told
 _ZSTD = pa.Codec("zstd")
 RANK_BITS = 40  # a number is a bucket, then a rank of so many bits
 _RANK = (1 << RANK_BITS) - 1
@@ -149,7 +152,7 @@ class _Block:
         self.lens, self.train = _open(row["lens"], np.uint32).astype(np.int64), _open(row["train"], np.uint8)
         self.words, self.tokens = _open(row["words"], np.uint64), _open(row["tokens"], np.uint32)
         self.first = np.cumsum(self.lens) - self.lens
-        self.place = np.arange(len(self.tokens)) - np.repeat(self.first, self.lens)  # in its document
+        self.place = np.arange(len(self.tokens), dtype=np.int32) - np.repeat(self.first.astype(np.int32), self.lens)  # in its document
         self.flag = np.repeat(self.train, self.lens)
 
     def unigrams(self, buckets: int):
@@ -161,14 +164,14 @@ class _Block:
 
 @dataclass
 class _Level:
-    """What a block knows of an order: per entry (distinct n-gram, by bucket, context and word) its number, and per token the entry of the
-    n-gram that ends there, its count, the probability of the token, and what the counts behind its context are divided by."""
+    """What a block knows of an order: per entry (distinct n-gram, by bucket, context and word) its number, its count, and what the counts
+    behind its context are divided by; per token the entry of the n-gram that ends there, and the probability of the token."""
 
     ids: np.ndarray | None
-    entry: np.ndarray
     count: np.ndarray
+    whole: np.ndarray | None
+    entry: np.ndarray
     p: np.ndarray
-    whole: np.ndarray
 
 
 def _sorted_places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,8 +180,12 @@ def _sorted_places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if int(key.max(initial=0)) >> (63 - bits):
         order = np.argsort(key, kind="stable")
         return key[order], order
-    both = np.sort(key << bits | np.arange(len(key)))
-    return both >> bits, both & ((1 << bits) - 1)
+    both = key << bits
+    both |= np.arange(len(key))
+    both.sort()
+    places = both & ((1 << bits) - 1)
+    both >>= bits
+    return both, places
 
 
 class _Grams:
@@ -187,15 +194,18 @@ class _Grams:
     def __init__(self, n: int, block: _Block, number: np.ndarray, word: np.ndarray, low: _Level, buckets: int, total: int):
         self.at = np.flatnonzero(block.place >= n - 1)
         bits = max(1, len(number).bit_length())
-        key, places = _sorted_places(low.entry[self.at - 1] << bits | word[block.tokens[self.at]])
+        key = low.entry[self.at - 1].astype(np.int64)
+        key <<= bits
+        key |= word[block.tokens[self.at]]
+        key, places = _sorted_places(key)
         start = _runs(key)
         self.first = self.at[places[start]]  # a token at which the entry occurs
-        self.which = np.empty(len(key), np.int64)
-        self.which[places] = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(key))))
+        self.which = np.empty(len(key), np.int32)
+        self.which[places] = np.repeat(np.arange(len(start), dtype=np.int32), np.diff(np.append(start, len(key))))
         context = key[start] >> bits
         del key, places
         self.context, self.number = low.ids[context], number[block.tokens[self.first]]
-        parts = np.minimum(1024, np.ceil(8 * low.count[self.first - 1] * buckets / max(1, total))).astype(np.int64)
+        parts = np.minimum(1024, np.ceil(8 * low.count[context] * buckets / max(1, total))).astype(np.int64)
         self.hot = parts > 1
         self.bucket = self.context >> RANK_BITS
         if self.hot.any():
@@ -203,8 +213,8 @@ class _Grams:
             dealt = self.context[hot].astype(np.uint64) * H.U(1024) + (H.mix(self.number[hot].astype(np.uint64)) % parts[hot].astype(np.uint64))
             self.bucket[hot] = _bucket(H.mix(dealt), buckets)
             order = np.argsort(self.bucket.astype(np.uint16), kind="stable")
-            back = np.empty(len(order), np.int64)
-            back[order] = np.arange(len(order))
+            back = np.empty(len(order), np.int32)
+            back[order] = np.arange(len(order), dtype=np.int32)
             self.which = back[self.which]
             for name in ("first", "context", "number", "hot", "bucket"):
                 setattr(self, name, getattr(self, name)[order])
@@ -301,19 +311,25 @@ def _answer_grams(top: bool):
         below[total == 0] = 0
         sums = np.stack([np.add.reduceat(x, start) for c in (total, below) for x in (np.where(c > LIMIT, c, 0), *[c == r for r in range(1, LIMIT + 1)])]
                         ).astype(np.int64) if len(start) else np.zeros((_SUMS, 0), np.int64)
-        mixed = np.zeros(sums.shape[1], np.uint64)
+        behind = np.add.reduceat(total, start) if len(start) else np.zeros(0, np.int64)
+        plain = (behind > 0) & ~sums[1:LIMIT + 1].any(axis=0)
+        weighed = np.flatnonzero(np.add.reduceat(total == 0, start, dtype=np.int64) * behind if len(start) else behind)  # words fail behind them
+        mixed = np.zeros(len(weighed), np.uint64)
         for row in sums:
-            mixed = H.mix(mixed + row.view(np.uint64))
-        _, one, kind = np.unique(mixed, return_index=True, return_inverse=True)  # few contexts differ in their sums
-        by_sums = np.lexsort(sums[[7, 1, 6, 0]][:, one])  # alike ones side by side
-        kinds, place = sums[:, one[by_sums]], np.empty(len(one), np.int64)
+            mixed = H.mix(mixed + row[weighed].view(np.uint64))
+        _, one, alike = np.unique(mixed, return_index=True, return_inverse=True)  # few contexts differ in their sums
+        by_sums = np.lexsort(sums[[7, 1, 6, 0]][:, weighed[one]])  # alike ones side by side
+        kinds, place, kind = sums[:, weighed[one[by_sums]]], np.empty(len(one), np.int64), np.zeros(len(known), np.int64)
         place[by_sums] = np.arange(len(one))
-        kind = place[kind]
+        kind[weighed] = place[alike]
         rows, at, c_at = [], 0, 0
-        for block, s in zip(table.column("block").to_pylist(), sizes):
+        for block, s, h in zip(table.column("block").to_pylist(), sizes, hots):
             many = int(s.sum())
-            mine = each[at:at + many]
-            used, codes = np.unique(kind[code[c_at:c_at + len(s)]], return_inverse=True)
+            mine, own = each[at:at + many], code[c_at:c_at + len(s)]
+            told = (np.add.reduceat(total[mine] == 0, np.cumsum(s) - s, dtype=np.int64) > 0) & (behind[own] > 0) & (h == 0)
+            used, of = np.unique(kind[own[told]], return_inverse=True)
+            codes = np.where(plain[own] & (h == 0), PLAIN, 0)
+            codes[told] = FIRST_KIND + of
             rows.append((RESPONSE, block, bucket, _press_ints(total[mine]),
                          None if top else _press_ids(mine), _join(_press_ints(codes), _press_ints(kinds[:, used].reshape(-1))), None, None))
             at, c_at = at + many, c_at + len(s)
@@ -372,7 +388,8 @@ class _Scorer:
         else:
             whole, p = total, np.where(count > 0, _factor(count, d) * count, left) / total
         t = block.tokens
-        return count, number, place, _Level(number[by_number], place[t], count[t], p[t], np.full(len(t), whole, np.float64))
+        return count, number, place, _Level(number[by_number], count[by_number], np.full(len(count), whole, np.float64),
+                                            place.astype(np.int32)[t], p[t])
 
     def grams(self, n: int, block: _Block, number: np.ndarray, place: np.ndarray, low: _Level) -> _Grams:
         return _Grams(n, block, number, place, low, self.buckets, self.orders[0]["totals"][0])
@@ -385,37 +402,40 @@ class _Scorer:
         return count, number, place, level
 
     def _order(self, n: int, g: _Grams, answers: dict, low: _Level) -> _Level:
-        up = _Level(np.zeros(0, np.int64), np.zeros(len(low.p), np.int64), np.zeros(len(low.p), np.int64), low.p.copy(), np.ones(len(low.p)))
         if not len(g.at):
-            return up
-        one = self.orders[n - 1]
-        d = one["discounts"]
+            return _Level(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(len(low.p), np.int32), low.p)
         got = [a for _, a in sorted(answers.items())]
         count = np.concatenate([_open_ints(a["counts"]) for a in got])
-        if got[0]["ranks"]:
-            up.ids = np.concatenate([_open_ids(a["ranks"]) for a in got]) | g.bucket << RANK_BITS
-        up.entry[g.at], up.count[g.at] = g.which, count[g.which]
+        ids = np.concatenate([_open_ids(a["ranks"]) for a in got]) | g.bucket << RANK_BITS if got[0]["ranks"] else None
+        entry = np.zeros(len(low.p), np.int32)
+        entry[g.at] = g.which
         if got[0]["details"] is None:  # the next order is asked by number and count
-            return up
-        details = [_parts(a["details"]) for a in got]
-        sums = np.concatenate([_open_ints(v).reshape(_SUMS, -1)[:, _open_ints(c)] for c, v in details], axis=1)
+            return _Level(ids, count, None, entry, low.p)
+        codes, kinds = zip(*[map(_open_ints, _parts(a["details"])) for a in got])
+        sums = np.concatenate([v.reshape(_SUMS, -1)[:, c[c >= FIRST_KIND] - FIRST_KIND] for c, v in zip(codes, kinds)], axis=1)
+        codes = np.concatenate(codes)
         run = _runs(g.bucket, g.context)
-        for i in np.flatnonzero(g.hot[run]).tolist():
-            sums[:, i] = one["hot"][int(g.context[run[i]])]
+        hot = np.flatnonzero(g.hot[run])
+        if len(hot):
+            sums = np.append(sums, np.array([self.orders[n - 1]["hot"][c] for c in g.context[run[hot]].tolist()], np.int64).T, axis=1)
+        told = np.append(np.flatnonzero(codes >= FIRST_KIND), hot)
+        total = low.count[low.entry[g.first[run] - 1]]  # something follows a context wherever it occurs
+        d, lower = (np.array(self.orders[i]["discounts"]) for i in (n - 1, n - 2))
         each = np.arange(1, LIMIT + 1)
-        total, left = sums[0] + each @ sums[1:LIMIT + 1], ((1 - np.array(d)) * each) @ sums[1:LIMIT + 1]
-        below = sums[LIMIT + 1] + (np.array(self.orders[n - 2]["discounts"]) * each) @ sums[LIMIT + 2:]
-        plain = (left <= 0) & (total > 0)  # nothing was discounted: one count more, for the unseen
+        left = ((1 - d) * each) @ sums[1:LIMIT + 1]
+        below = sums[LIMIT + 1] + (lower * each) @ sums[LIMIT + 2:]
+        plain = codes == PLAIN  # nothing was discounted: one count more, for the unseen
+        plain[told] = (left <= 0) & (total[told] > 0)
         whole = np.where(plain, total + 1, np.maximum(total, 1))
-        left = np.where(plain, 1.0, left)
-        mass = below / low.whole[g.first[run]]
-        weight = np.where(total > 0, left / whole / np.maximum(1 - mass, 1e-300), 1.0)
-        each = np.repeat(np.arange(len(run)), np.diff(np.append(run, len(g.bucket))))  # context of each entry
-        of = each[g.which]
-        up.whole[g.at] = whole[of]
-        own = _factor(count, d) * count / whole[each]
-        up.p[g.at] = np.where(up.count[g.at] > 0, own[g.which], weight[of] * low.p[g.at])
-        return up
+        left = np.where(plain[told], 1.0, left)
+        mass = below / low.whole[low.entry[g.first[run[told]]]]
+        weight = np.ones(len(run))
+        weight[told] = np.where(total[told] > 0, left / whole[told] / np.maximum(1 - mass, 1e-300), 1.0)
+        size = np.diff(np.append(run, len(g.bucket)))  # entries of each context
+        whole = np.repeat(whole, size)
+        p = low.p.copy()
+        p[g.at] = np.where(count > 0, _factor(count, d.tolist()) * count / whole, np.repeat(weight, size) * low.p[g.first])[g.which]
+        return _Level(ids, count, whole, entry, p)
 
 
 def _answers(table: pa.Table, orders: int) -> list[dict]:
@@ -431,7 +451,7 @@ def _ask_grams(n: int, scorer: _Scorer, buckets: int):
         _, number, place, low = scorer.run(block, _answers(right, n - 1))
         g = scorer.grams(n, block, number, place, low)
         many = np.bincount(g.which, weights=block.flag[g.at], minlength=len(g.first)).astype(np.int64)
-        below = np.where(many > 0, low.count[g.first], 0)
+        below = np.where(many > 0, low.count[low.entry[g.first]], 0)
         rows = []
         starts = _runs(g.bucket)
         for i, j in zip(starts, np.append(starts[1:], len(g.bucket))):

@@ -191,6 +191,21 @@ def test_katz_answers_take_few_bytes(spark):
     assert answers < 5.5 * grams
 
 
+def test_katz_tells_numbers_of_contexts_that_fail_alone(spark):
+    """Where every n-gram was seen, a block gets a few bits of a context; hot contexts and those that nothing discounts are scored all the same."""
+    import numpy as np
+
+    from cardlake.session import scratch_path
+    r = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in np.minimum(r.zipf(1.3, 2000), 4000)) + " so it is" * 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("learn", F.lit(True))
+    path = scratch_path(spark, "katz-test")
+    assert all(x["n_known"] == x["n_tokens"] and x["score"] < 0 for x in katz.score_documents(df, "learn", order=3, tables=path).collect())
+    told = spark.read.parquet(path).where(f"kind = {katz.RESPONSE} and n > 1")
+    grams = sum(len({tuple(w[i:i + n]) for _, t in rows for w in [t.split() + ["end"]] for i in range(len(w) - n + 1)}) for n in (2, 3))
+    assert told.agg(F.sum(F.octet_length("details"))).first()[0] - 80 * told.count() < 0.1 * grams
+
+
 def test_katz_codes_are_exact():
     import numpy as np
     ids = np.array([5 << katz.RANK_BITS, (5 << katz.RANK_BITS) + 3, 7, (9 << katz.RANK_BITS) + 1], np.int64)
