@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake.llm import hashing as H
+from cardlake.llm.memory import returned
 from cardlake.session import stage
 
 WINDOW, GRAM = 13, 8
@@ -194,7 +195,7 @@ def _scan(docs: DataFrame, window: int, gram: int, shorts: list[int], bits) -> D
                 of = pa.array([kept[r] for r in out.column(0).to_pylist()], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("kept").take(of), *out.columns],
                                                  ["kept", *out.schema.names])
-    return docs.mapInArrow(run, f"kept {fields}, doc_row long, n_words long, fp long, size int, pos long, before int, "
+    return docs.mapInArrow(returned(run), f"kept {fields}, doc_row long, n_words long, fp long, size int, pos long, before int, "
                                 "near array<long>")
 
 

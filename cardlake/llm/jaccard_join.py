@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardlake.llm import hashing as H
 from cardlake.llm.components import components
 from cardlake.llm.decontaminate import _bit_map, MAP_BITS
+from cardlake.llm.memory import returned, returned_by_group
 from cardlake.session import stage
 
 SIZE, SHARE = 5, (80, 100)
@@ -305,10 +306,10 @@ def _holding(share: tuple[int, int], levels: list[tuple[int, int, int]], bits):
 def meeting_homes(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
     """``(low, high)``: homes, or one home, that may hold the two sets of a link. Keys are counted once per home."""
     asked = stage(classes.where("s >= alpha").select("home", "n", "s", "tokens")
-                  .mapInArrow(_asking(share), "key long, home long, n long, parts long"), "asked-parts")
+                  .mapInArrow(returned(_asking(share)), "key long, home long, n long, parts long"), "asked-parts")
     levels = sorted(tuple(r) for r in asked.groupBy("parts").agg(F.min("n"), F.max("n")).collect())  # one row per rung
     bits = _bit_map(classes.sparkSession, asked.select(F.col("key").alias("fp")))
-    held = (classes.select("home", "n", "tokens").mapInArrow(_holding(share, levels, bits), "key long, other long").distinct())
+    held = (classes.select("home", "n", "tokens").mapInArrow(returned(_holding(share, levels, bits)), "key long, other long").distinct())
     met = asked.select("key", "home").distinct().join(held, "key")
     return met.select(F.least("home", "other").alias("low"), F.greatest("home", "other").alias("high")).distinct()
 
@@ -411,7 +412,7 @@ def compare_homes(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
         return blocks.select(F.col("home").alias(home), *[F.col(c).alias(f"{name}_{c}") for c in blocks.columns if c != "home"])
 
     pairs = met.join(side("a", "low"), "low").join(side("b", "high"), "high").where("low <> high or a_block <= b_block")
-    return pairs.mapInArrow(_compared(share), "a long, b long")
+    return pairs.mapInArrow(returned(_compared(share)), "a long, b long")
 
 
 def _verified(share: tuple[int, int]):
@@ -457,10 +458,11 @@ def similar_classes(docs: DataFrame, text: str = "text", size: int = SIZE,
     spark = docs.sparkSession
     buckets = min(1 << 16, max(16, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     packs = docs.select(F.col(text).cast("binary").alias("text")).mapInArrow(
-        _packs(size, buckets), "bucket int, sigs binary, many binary, low binary")
-    shared = packs.groupBy("bucket").applyInArrow(_shared(buckets), "part int, sigs binary, many binary, tokens binary, ranks binary")
+        returned(_packs(size, buckets)), "bucket int, sigs binary, many binary, low binary")
+    shared = packs.groupBy("bucket").applyInArrow(
+        returned_by_group(_shared(buckets)), "part int, sigs binary, many binary, tokens binary, ranks binary")
     classes = stage(shared.groupBy("part").applyInArrow(
-        _candidates(share), "sig binary, n long, s long, alpha long, "
+        returned_by_group(_candidates(share)), "sig binary, n long, s long, alpha long, "
         "prefix array<long>, tokens binary")
         .withColumn("cid", F.monotonically_increasing_id()), "candidates")
     posts = stage(classes.select("cid", "n", "s", F.explode("prefix").alias("token")), "prefixes")
@@ -511,7 +513,7 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kept = [F.col(doc_id).alias("id"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]]
     plain = docs.select(F.struct(*kept).alias("kept"), F.col(text).cast("binary").alias("text"))
     fields = plain.schema["kept"].dataType.simpleString()
-    sets = stage(plain.mapInArrow(_signatures(size), f"kept {fields}, n_shingles long, sig binary"), "sets")
+    sets = stage(plain.mapInArrow(returned(_signatures(size)), f"kept {fields}, n_shingles long, sig binary"), "sets")
     classes, links = similar_classes(docs, text, size, share)
     root_of = components(links).withColumnRenamed("node", "cid").join(classes.select("cid", "sig"), "cid").select("sig", "root")
     least = (sets.filter("sig is not null").groupBy("sig").agg(F.min("kept.id").alias("least"))

@@ -25,6 +25,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cardlake.llm.memory import returned
 from cardlake.session import stage
 
 SAMPLE = 16_000
@@ -88,7 +89,7 @@ def _featurize(df: DataFrame, text: str, keep: list[str], words: frozenset, star
             found = [features(t or "", words, starts) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(found, pa.list_(pa.float64()))], ["kept", "features"])
 
-    out = plain.mapInArrow(run, f"kept {fields}, features array<double>")
+    out = plain.mapInArrow(returned(run), f"kept {fields}, features array<double>")
     return out.select(*[F.col(f"kept.keep_{i}").alias(c) for i, c in enumerate(keep)], "features")
 
 

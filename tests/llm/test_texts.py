@@ -3,7 +3,10 @@
 import collections
 import hashlib
 import math
+import os
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -217,6 +220,29 @@ def test_katz_codes_are_exact():
         assert got.tolist() == sorted(key.tolist()) and places.tolist() == [3, 1, 0, 2]
 
 
+def test_python_workers_give_memory_back():
+    """What a task has freed is not kept by its process, though something small was made last."""
+    code = """
+import numpy as np
+from cardlake.llm import memory
+def held(): return int(open('/proc/self/statm').read().split()[1]) * 4096 / 1e6
+pins = []
+def run(batches):
+    for batch in batches:
+        small = [np.zeros(4000, np.uint8) + 1 for _ in range(50_000)]
+        pins.extend(np.zeros(100, np.uint8) for _ in range(100))
+        yield len(small)
+before = held()
+assert list(memory.returned(run)(iter([0]))) == [50_000]
+print(held() - before)
+table = memory.returned_by_group(lambda t: [np.zeros(4000, np.uint8) + 1 for _ in range(t)][:1])(50_000)
+print(held() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True,
+                         env=os.environ | {"PYTHONPATH": os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))}).stdout
+    assert all(float(x) < 50 for x in out.split()), out
+
+
 def test_part_keys_take_no_objects():
     """The keys of many classes are passed on as arrays, a bounded number at a time."""
     import tracemalloc
