@@ -25,7 +25,9 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-CACHE = 250_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
+from cardlake.llm.memory import returned
+
+CACHE = 100_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
 TABLE = 400_000  # transitions that a task remembers; a full table is begun anew
 # The pre-split pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -229,7 +231,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", keep:
     plain = docs.select(F.struct(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]).alias("kept"),
                         F.col(text).cast("string").alias("text"))
     fields = plain.schema["kept"].dataType.simpleString()
-    out = plain.mapInArrow(_encoder(model, ids), f"kept {fields}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    out = plain.mapInArrow(returned(_encoder(model, ids)), f"kept {fields}, n_tokens long, ids_sha256 string, decoded_sha256 string"
                            + (", ids array<int>" if ids else ""))
     return out.select(*[F.col(f"kept.keep_{i}").alias(c) for i, c in enumerate(keep)], *out.columns[1:])
 
