@@ -6,11 +6,9 @@ to is copied without its arc v, u now leads to the copy, and wherever u may be r
 where v led. All arcs with one label lead to one state, so a state is a token's last gadget copy, and a table row needs
 only the arcs that its gadgets took away; the others are looked up in the state it was copied from (``may_follow``).
 
-Encoding reads bytes. What a prefix of a word leaves open is a set of places from which a token may still reach further, each with
-the node of the label trie it has come to and the token that ends there; such sets are the states of a deterministic automaton over
-bytes, and every step also tells the one token that ends the path of the prefix read so far. Its transition table is filled from the
-token automaton as words ask for it; a word is a walk through the table, and its path is read off backwards. Decoding emits the arcs'
-byte labels.
+Encoding looks for the one path of a word: from each place reached, the longest token that fits is tried first, then shorter ones. As a
+prefix has one path only, a place from which no token leads on is never tried again, so each place is left once at most; nothing is
+remembered for a word but its places. Decoding emits the arcs' byte labels.
 
 Defined cases: a null or empty text has no tokens; repeated rows are encoded row by row; empty tables give no rows; a text of any
 length is split into words first and never held as tokens of several texts at once.
@@ -21,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cardlake.llm.memory import returned
 
 CACHE = 100_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
-TABLE = 400_000  # transitions that a task remembers; a full table is begun anew
+ARCS = 100_000  # pairs of tokens that a task remembers; a full table is begun anew
+ROWS = 64  # texts that a task holds as Python strings
 # The pre-split pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # The same for texts in which every letter is one of LETTERS and every digit is 0-9; the standard module is much faster.
@@ -46,13 +47,13 @@ def byte_letters() -> dict[str, int]:
 
 
 class Automaton:
-    """Compiled merges: token labels, arcs taken away by gadgets, and the encode and decode tables."""
+    """Compiled merges: token labels, arcs taken away by gadgets, and the trie of all labels."""
 
     def __init__(self, labels: dict[int, bytes], merges: list[tuple[int, int, int]], specials: dict[str, int]):
         self.labels, self.specials = labels, specials
         self.token_of = {label: t for t, label in labels.items() if t not in specials.values()}
         size = max(labels, default=0) + 1
-        self.born, self.left, self.right = [-1] * size, [0] * size, [0] * size
+        self.born, self.left, self.right = (array("i", [x]) * size for x in (-1, 0, 0))
         self.gone: dict[int, int] = {}  # (token, arc taken from the state behind it) -> number of the gadget
         for step, (u, v, new) in enumerate(merges):
             self.gone.setdefault(u * size + v, step)
@@ -60,10 +61,11 @@ class Automaton:
                 self.born[new], self.left[new], self.right[new] = step, u, v
         self.size = size
         self.arcs: dict[int, bool] = {}
-        self.lengths = {t: len(label) for t, label in labels.items()}
-        # The trie of all labels: node and byte to node, the token that a node is (or -1), and whether labels go on behind it.
+        self.lengths = array("i", [len(labels.get(t, b"")) for t in range(size)])
+        self.longest = max(self.lengths)
+        # The trie of all labels: node and byte to node, and the token that a node is (or -1).
         self.child: dict[int, int] = {}
-        self.ends, self.inner = [-1], [False]
+        self.ends = array("i", [-1])
         for label, token in self.token_of.items():
             node = 0
             for byte in label:
@@ -71,37 +73,12 @@ class Automaton:
                 if key not in self.child:
                     self.child[key] = len(self.ends)
                     self.ends.append(-1)
-                    self.inner.append(False)
-                    self.inner[node] = True
                 node = self.child[key]
             self.ends[node] = token
-        self.restart()
-
-    def restart(self) -> None:
-        """An empty transition table: the start state, where any token may begin."""
-        self.states: list[tuple[tuple[int, int], ...]] = [((0, -1),)]
-        self.numbers = {self.states[0]: 0}
-        self.table: dict[int, tuple[int, int]] = {}
-
-    def transition(self, state: int, byte: int) -> tuple[int, int]:
-        """The state behind ``byte`` and the token that ends the path there. The longest open place that fits decides: there is one."""
-        token, still = -1, []
-        for node, before in self.states[state]:
-            node = self.child.get(node << 8 | byte, -1)
-            if node < 0:
-                continue
-            ended = self.ends[node]
-            if token < 0 <= ended and (before < 0 or self.may_follow(before, ended)):
-                token = ended
-            if self.inner[node]:
-                still.append((node, before))
-        still.append((0, token))
-        key = tuple(still)
-        number = self.numbers.get(key)
-        if number is None:
-            number = self.numbers[key] = len(self.states)
-            self.states.append(key)
-        return number, token
+
+    def __getstate__(self) -> dict:
+        """What tasks need; the trie has the tokens of labels."""
+        return {k: v for k, v in self.__dict__.items() if k != "token_of"}
 
     def may_follow(self, token: int, arc: int) -> bool:
         """Whether the state behind ``token`` has the arc, once all gadgets are in place."""
@@ -121,27 +98,43 @@ class Automaton:
                     now, a = self.born[a], self.right[a]
                 else:  # the arc b was added wherever its left part could be read once the gadget was in place
                     now, b = self.born[b] + 1, self.left[b]
-            if len(self.arcs) < 500_000:
-                self.arcs[key] = known
+            if len(self.arcs) >= ARCS:
+                self.arcs.clear()
+            self.arcs[key] = known
         return known
 
     def encode(self, word: bytes) -> list[int]:
-        if len(self.table) > TABLE:
-            self.restart()
-        state, table, last = 0, self.table, []
-        for byte in word:
-            key = state << 8 | byte
-            step = table.get(key)
-            if step is None:
-                step = table[key] = self.transition(state, byte)
-            state, token = step
-            last.append(token)
-        out, at = [], len(word)
-        while at:
-            token = last[at - 1]
-            out.append(token)
-            at -= self.lengths[token]
-        return out[::-1]
+        child, ends, lengths, arcs, size = self.child, self.ends, self.lengths, self.arcs, self.size
+        path, untried, dead, at, before = [], [], set(), 0, -1
+        while at < len(word):
+            node, found = 0, []  # the tokens that begin here, by length
+            for byte in word[at:at + self.longest]:
+                node = child.get(node << 8 | byte, -1)
+                if node < 0:
+                    break
+                if ends[node] >= 0:
+                    found.append(ends[node])
+            while True:
+                if not found:  # no token leads on from here: back to the place before
+                    dead.add(at)
+                    if not path:
+                        raise KeyError(word)
+                    at -= lengths[path.pop()]
+                    found, before = untried.pop(), path[-1] if path else -1
+                    continue
+                token = found.pop()
+                if at + lengths[token] in dead:
+                    continue
+                if before < 0:
+                    break
+                fits = arcs.get(before * size + token)
+                if self.may_follow(before, token) if fits is None else fits:
+                    break
+            path.append(token)
+            untried.append(found)
+            at += lengths[token]
+            before = token
+        return path
 
     def decode(self, ids) -> bytes:
         labels = self.labels
@@ -181,11 +174,17 @@ class Splitter:
         return [(p, p in self.specials) for p in self.special.split(text) if p]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Some rows of a batch at a time; the batch itself if it is empty."""
+    for at in range(0, max(1, batch.num_rows), ROWS):
+        yield batch.slice(at, ROWS)
+
+
 def _encoder(model, full: bool):
     def run(batches):
         automaton = model.value
         split, cache, joined = Splitter(automaton.specials), {}, {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             out = []
             for text in batch.column("text").to_pylist():
                 ids, n, digest, decoded = [], 0, [], []

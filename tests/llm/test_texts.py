@@ -309,6 +309,21 @@ def test_automaton_with_hard_merges():
             assert path == ids, word
 
 
+def test_encoding_many_words_holds_little():
+    """Words that never come again leave next to nothing behind in a task."""
+    import random
+    import tracemalloc
+    automaton = bpe.compile_merges(bpe.default_vocabulary())
+    pick = random.Random(5)
+    words = [bytes(pick.choices(b" etaoinshrdlu", k=9)) for _ in range(30_000)]
+    tracemalloc.start()
+    for word in words:
+        assert automaton.decode(automaton.encode(word)) == word
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 20_000_000
+
+
 def test_blocks_against_all_pairs():
     import numpy as np
     pick = np.random.default_rng(7)
