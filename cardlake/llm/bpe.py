@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake.llm.memory import returned
 
-CACHE = 100_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
+CACHE = 150_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
 ARCS = 100_000  # pairs of tokens that a task remembers; a full table is begun anew
 ROWS = 64  # texts that a task holds as Python strings
 # The pre-split pattern of byte-level BPE.
@@ -183,36 +183,37 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 def _encoder(model, full: bool):
     def run(batches):
         automaton = model.value
-        split, cache, joined = Splitter(automaton.specials), {}, {}
+        split, joined, odd = Splitter(automaton.specials), {}, {}  # a word's ids; its bytes if decoding gives others
         for batch in (part for whole in batches for part in _slices(whole)):
             out = []
             for text in batch.column("text").to_pylist():
-                ids, n, digest, decoded = [], 0, [], []
+                digest, decoded = [], []
                 for part, special in split.parts(text or ""):
-                    words = [part] if special else split.words(part)
+                    if special:
+                        digest.append(str(automaton.specials[part]))
+                        decoded.append(automaton.decode([automaton.specials[part]]))
+                        continue
+                    words = split.words(part)
                     if len(joined) > CACHE:
-                        cache.clear()
                         joined.clear()
+                        odd.clear()
                     for w in set(words).difference(joined):
-                        own = [automaton.specials[w]] if special else automaton.encode(w.encode("utf-8", "surrogatepass"))
-                        if full:
-                            cache[w] = own
-                        joined[w] = (len(own), ",".join(map(str, own)), automaton.decode(own))
-                    if special:
-                        cache.pop(part, None)
-                        found = [joined.pop(part)]
-                        ids.append(automaton.specials[part])
+                        raw = w.encode("utf-8", "surrogatepass")
+                        own = automaton.encode(raw)
+                        joined[w] = ",".join(map(str, own))
+                        back = automaton.decode(own)
+                        if back != raw:
+                            odd[w] = back
+                    digest += [joined[w] for w in words]
+                    if not odd or odd.keys().isdisjoint(words):
+                        decoded.append("".join(words).encode("utf-8", "surrogatepass"))
                     else:
-                        found = [joined[w] for w in words]
-                        if full:
-                            for w in words:
-                                ids += cache[w]
-                    n += sum([f[0] for f in found])
-                    digest += [f[1] for f in found]
-                    decoded += [f[2] for f in found]
+                        decoded += [odd[w] if w in odd else w.encode("utf-8", "surrogatepass") for w in words]
                 back = b"".join(decoded).decode("utf-8", "replace")
-                out.append((n, hashlib.sha256(",".join(digest).encode()).hexdigest(),
-                            hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(), *([ids] if full else [])))
+                all_ids = ",".join(digest)
+                out.append((all_ids.count(",") + 1 if all_ids else 0, hashlib.sha256(all_ids.encode()).hexdigest(),
+                            hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest(),
+                            *([[int(x) for x in all_ids.split(",") if x]] if full else [])))
             cols = list(zip(*out)) or [[]] * (4 if full else 3)
             kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())]
             arrays = [batch.column("kept"), *[pa.array(c, t) for c, t in zip(cols, kinds)]]
