@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake.llm.memory import returned
 
-CACHE = 150_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
+CACHE = 250_000  # distinct words that a task remembers; only their encoding is saved, nothing is dropped
 ARCS = 100_000  # pairs of tokens that a task remembers; a full table is begun anew
 ROWS = 64  # texts that a task holds as Python strings
 # The pre-split pattern of byte-level BPE.
@@ -180,7 +180,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, ROWS)
 
 
-def _encoder(model, full: bool):
+def _encoder(model, full: bool, remembered: int = CACHE):
     def run(batches):
         automaton = model.value
         split, joined, odd = Splitter(automaton.specials), {}, {}  # a word's ids; its bytes if decoding gives others
@@ -194,7 +194,7 @@ def _encoder(model, full: bool):
                         decoded.append(automaton.decode([automaton.specials[part]]))
                         continue
                     words = split.words(part)
-                    if len(joined) > CACHE:
+                    if len(joined) > remembered:
                         joined.clear()
                         odd.clear()
                     for w in set(words).difference(joined):
@@ -222,16 +222,17 @@ def _encoder(model, full: bool):
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-                     ids: bool = True) -> DataFrame:
+                     ids: bool = True, remembered: int = CACHE) -> DataFrame:
     """The kept columns, n_tokens, ids_sha256, decoded_sha256 and, if wanted, the ids themselves.
 
-    The compiled automaton is broadcast: its size is that of the vocabulary file.
+    The compiled automaton is broadcast: its size is that of the vocabulary file. ``remembered`` is the number of words that a task keeps
+    the ids of; fewer take less memory and more time.
     """
     model = docs.sparkSession.sparkContext.broadcast(compile_merges(vocabulary))
     plain = docs.select(F.struct(*[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]).alias("kept"),
                         F.col(text).cast("string").alias("text"))
     fields = plain.schema["kept"].dataType.simpleString()
-    out = plain.mapInArrow(returned(_encoder(model, ids)), f"kept {fields}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    out = plain.mapInArrow(returned(_encoder(model, ids, remembered)), f"kept {fields}, n_tokens long, ids_sha256 string, decoded_sha256 string"
                            + (", ids array<int>" if ids else ""))
     return out.select(*[F.col(f"kept.keep_{i}").alias(c) for i, c in enumerate(keep)], *out.columns[1:])
 

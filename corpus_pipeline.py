@@ -48,7 +48,7 @@ def blot_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_documents(docs, bpe.default_vocabulary(), ids=False)
+    return bpe.encode_documents(docs, bpe.default_vocabulary(), ids=False, remembered=80_000)  # beside JVMs that earlier stages filled
 
 
 STAGES = [("toxicity", drop_toxic), ("ngram_jaccard_join", drop_near_duplicates), ("decontamination", drop_contaminated),
