@@ -39,6 +39,7 @@ from cardlake.llm import hashing as H
 from cardlake.llm.components import components
 from cardlake.llm.decontaminate import _bit_map, MAP_BITS
 from cardlake.llm.memory import returned, returned_by_group
+from cardlake.operators.lookups import hot_keys, lookup
 from cardlake.session import stage
 
 SIZE, SHARE = 5, (80, 100)
@@ -310,7 +311,8 @@ def meeting_homes(classes: DataFrame, share: tuple[int, int]) -> DataFrame:
     levels = sorted(tuple(r) for r in asked.groupBy("parts").agg(F.min("n"), F.max("n")).collect())  # one row per rung
     bits = _bit_map(classes.sparkSession, asked.select(F.col("key").alias("fp")))
     held = (classes.select("home", "n", "tokens").mapInArrow(returned(_holding(share, levels, bits)), "key long, other long").distinct())
-    met = asked.select("key", "home").distinct().join(held, "key")
+    # The files of both sides are far smaller than their rows in memory, and Spark goes by the files: neither is broadcast.
+    met = asked.select("key", "home").distinct().hint("merge").join(held, "key")
     return met.select(F.least("home", "other").alias("low"), F.greatest("home", "other").alias("high")).distinct()
 
 
@@ -474,7 +476,7 @@ def similar_classes(docs: DataFrame, text: str = "text", size: int = SIZE,
     order = F.struct(own.alias("own"), F.xxhash64("cid", "round").alias("h"), "cid", "n", "s")
     seeded = posts.withColumn("round", rounds)
     leaders = seeded.groupBy("token", "round").agg(F.min(order).alias("lead"), F.count("*").alias("held")).filter("held > 1")
-    met = (seeded.join(leaders, ["token", "round"])
+    met = (seeded.join(leaders.hint("merge"), ["token", "round"])  # Spark takes it for a part of the rounds' rows and might broadcast it
            .select("cid", "round", "n", "s", F.col("lead.cid").alias("lead"), F.col("lead.n").alias("m"), F.col("lead.s").alias("t"))
            .filter("cid <> lead").filter(_fits(share)).groupBy("cid", "round", "lead").count()
            .groupBy("cid", "round").agg(F.max(F.struct("count", "lead")).alias("best")))
@@ -516,15 +518,14 @@ def link_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = stage(plain.mapInArrow(returned(_signatures(size)), f"kept {fields}, n_shingles long, sig binary"), "sets")
     classes, links = similar_classes(docs, text, size, share)
     root_of = components(links).withColumnRenamed("node", "cid").join(classes.select("cid", "sig"), "cid").select("sig", "root")
-    least = (sets.filter("sig is not null").groupBy("sig").agg(F.min("kept.id").alias("least"))
+    least = (sets.filter("sig is not null").groupBy("sig").agg(F.min("kept.id").alias("least"), F.count("*").alias("copies"))
              .join(root_of, "sig", "left")
              .withColumn("root", F.coalesce(F.col("root").cast("string").cast("binary"), "sig")))
     by_root = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_sig = stage(least.select("sig", "root").join(by_root, "root").select("sig", "component_id"), "class-components")
-    # A class may hold a third of all documents: its single row is repeated for every salt.
-    salts = 32
-    salted = by_sig.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    out = (sets.withColumn("salt", F.pmod(F.xxhash64("kept.id"), F.lit(salts))).join(salted, ["sig", "salt"], "left"))
+    by_sig = stage(least.select("sig", "root", "copies").join(by_root, "root").select("sig", "component_id", "copies"), "class-components")
+    # A class may hold a third of all documents: only the rows of such classes are repeated for every salt. Spark does not see that rows are
+    # repeated when it decides what to broadcast.
+    out = lookup(sets, by_sig.drop("copies"), "sig", hot=hot_keys(by_sig, "sig", "copies"), spread=["kept"])
     return out.select(F.col("kept.id").alias(doc_id), *[F.col(f"kept.keep_{i}").alias(c) for i, c in enumerate(keep)],
                       "n_shingles", F.coalesce("component_id", "kept.id").alias("component_id"))
 

@@ -117,6 +117,24 @@ def test_links_within_a_large_family(spark):
     assert {r["doc_id"]: r["component_id"] for r in jaccard_join.link_documents(df).collect()} == root
 
 
+@pytest.fixture
+def small_broadcasts(spark):
+    """No table may take more than a page of 32 MiB and its index when it is broadcast."""
+    before = spark.conf.get("spark.sql.maxBroadcastTableSize")
+    spark.conf.set("spark.sql.maxBroadcastTableSize", str(40 << 20))
+    yield
+    spark.conf.set("spark.sql.maxBroadcastTableSize", before)
+
+
+def test_linked_rows_are_broadcast_only_as_they_are(spark, small_broadcasts):
+    """The classes' rows are not repeated for salts behind Spark's estimate, but for a class of very many documents."""
+    texts = F.concat_ws(" ", *[F.concat(F.lit(f"w{i}x"), F.col("id").cast("string")) for i in range(6)])
+    docs = spark.range(15_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "one and the same text of all these").otherwise(texts).alias("text"))
+    got = jaccard_join.link_documents(docs.union(spark.range(-5, 0).select("id", F.lit(None).cast("string"))))
+    assert got.groupBy((F.col("component_id") == F.col("doc_id")).alias("alone")).count().orderBy("alone").collect() == [(False, 4999), (True, 10_006)]
+    assert got.where("component_id = 0 and doc_id % 3 = 0 and n_shingles = 4").count() == 5000
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
