@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardlake.llm import hashing as H
 from cardlake.llm.memory import returned
+from cardlake.operators.lookups import heavy_keys
 from cardlake.session import stage
 
 WINDOW, GRAM = 13, 8
 MAP_BITS = 26  # 2**26 bits are 8 MiB
 SLICE_BITS = 16
 ROWS = 4096  # fingerprints of items in a batch
-SALTS = 16  # a fingerprint that a third of the documents hold is spread over this many join keys
+SALTS = 16  # a fingerprint that many documents hold is spread over this many join keys
 
 
 def fingerprints(words: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,9 +159,13 @@ def find_overlaps(docs: DataFrame, items: DataFrame, text: str = "text", item_id
         docs.select(F.struct(*kept).alias("kept"), F.col(text).cast("binary").alias("text"))
         .withColumn("doc_row", F.monotonically_increasing_id()).transform(_scan, window, gram, shorts, _bit_map(spark, prints)),
         "document-prints")
-    hits = found.filter("fp is not null").withColumn("salt", F.pmod(F.xxhash64("doc_row"), F.lit(SALTS)))
-    salted = prints.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    spans = (hits.drop("n_words", "kept").join(salted, ["fp", "size", "salt"])
+    hits = found.filter("fp is not null").drop("n_words", "kept")
+    # Only what many documents hold is repeated: Spark does not see that rows are when it decides what to broadcast.
+    hot = F.col("fp").isin(heavy_keys(hits, {"fp": F.col("fp")})["fp"])
+    zero = F.lit(0).cast("long")
+    hits = hits.withColumn("salt", F.when(hot, F.pmod(F.xxhash64("doc_row"), F.lit(SALTS))).otherwise(zero))
+    salted = prints.withColumn("salt", F.explode(F.when(hot, F.sequence(zero, F.lit(SALTS - 1).cast("long"))).otherwise(F.array(zero))))
+    spans = (hits.join(salted, ["fp", "size", "salt"])
              .select("doc_row", "item_row", "pos", "size", "before", "near", "item_pos", "item_words", "n_words")
              .mapInArrow(_extend(window), "doc_row long, item_row long, first long, last long").distinct())
     named = spans.join(tests.select("item_row", "item_id"), "item_row")

@@ -135,6 +135,18 @@ def test_linked_rows_are_broadcast_only_as_they_are(spark, small_broadcasts):
     assert got.where("component_id = 0 and doc_id % 3 = 0 and n_shingles = 4").count() == 5000
 
 
+def test_item_prints_are_broadcast_only_as_they_are(spark, small_broadcasts):
+    """A passage of all documents is spread, the other items' rows are not repeated."""
+    words = F.concat_ws(" ", *[F.concat(F.lit(f"w{i}x"), F.pmod("id", F.lit(40)).cast("string")) for i in range(60)])
+    own = F.concat_ws(" ", *[F.concat(F.lit(f"p{i}x"), F.pmod("id", F.lit(900)).cast("string")) for i in range(14)])
+    passage = " ".join(f"c{i}" for i in range(14))
+    items = spark.range(900).select(F.col("id").alias("item_id"), F.concat_ws(" ", words, own).alias("text")).union(
+        spark.createDataFrame([(1000, passage)], "item_id long, text string"))
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit(passage), own).alias("text"))
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], sorted(r["item_ids"])) for r in decontaminate.find_overlaps(docs, items).collect()}
+    assert got == {i: (28, 28, [i % 900, 1000]) for i in range(9000)}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
